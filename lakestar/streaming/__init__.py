@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The warehouse this package rebuilds is a batch, full-refresh snapshot; it has
+no incremental ingestion, watermarks, event-time windows or stateful
+operators, so there is nothing to express with Structured Streaming here.
+"""
