@@ -45,6 +45,16 @@ def standardize_code(c: Column | str, mapping: Mapping[str, str], default: str |
     return map_values(F.upper(F.trim(_col(c))), mapping, default)
 
 
+def standardize_country(c: Column | str) -> Column:
+    """Trimmed country; known codes decoded; blank or missing -> ``n/a``."""
+    raw = _col(c)
+    country = F.trim(raw)
+    decoded = map_values(country, COUNTRY, default=None)
+    return (F.when(decoded.isNotNull(), decoded)
+            .when((country == F.lit("")) | raw.isNull(), F.lit(UNKNOWN))
+            .otherwise(country))
+
+
 def trim_all(cols: Iterable[str]) -> list[Column]:
     return [F.trim(F.col(c)).alias(c) for c in cols]
 
@@ -84,13 +94,15 @@ def parse_int_date(c: Column | str) -> Column:
 
 
 def truncating_div(a: Column | str, b: Column | str) -> Column:
-    """Integer division truncating toward zero; null when ``b`` is 0 or null.
+    """Integer division truncating toward zero, as an ``int``; null when
+    ``b`` is 0 or null (``a / NULLIF(b, 0)`` on integers)."""
+    return int_div(a, F.nullif(_col(b), F.lit(0))).cast("int")
 
-    For 32-bit operands the double quotient never crosses an integer
-    boundary, so truncating it equals exact integer division.
-    """
-    a, b = _col(a), _col(b)
-    return (a / F.nullif(b, F.lit(0))).cast("int")
+
+def int_div(a: Column | str, b: Column | str) -> Column:
+    """SQL ``a div b``: integral division truncating toward zero (bigint);
+    null when ``b`` is 0 or null."""
+    return F.call_function("div", _col(a), _col(b))
 
 
 def amount_needs_repair(amount: Column | str, qty: Column | str, price: Column | str) -> Column:
@@ -158,5 +170,6 @@ def format_g12(x: Column | str) -> Column:
     """Python-style ``format(x, '.12g')`` for doubles in the usual range:
     Java's ``%.12g`` keeps trailing zeros, which Python's drops."""
     s = F.format_string("%.12g", _col(x).cast("double"))
-    stripped = F.regexp_replace(F.regexp_replace(s, "0+$", ""), r"\.$", "")
-    return F.when(s.contains("e") | ~s.contains("."), s).otherwise(stripped)
+    plain = F.regexp_replace(F.regexp_replace(s, "0+$", ""), r"\.$", "")
+    scientific = F.regexp_replace(s, r"\.?0+e", "e")
+    return F.when(s.contains("e"), scientific).when(s.contains("."), plain).otherwise(s)

@@ -88,13 +88,9 @@ def clean_demographics(raw: DataFrame, as_of: _dt.date | str) -> DataFrame:
 
 def clean_locations(raw: DataFrame) -> DataFrame:
     """Remove ``-`` from ids; decode country codes; blank or missing -> ``n/a``."""
-    country = F.trim("cntry")
-    decoded = C.map_values(country, C.COUNTRY, default=None)
     out = raw.select(
         C.remove_chars("cid", "-").alias("cid"),
-        F.when(decoded.isNotNull(), decoded)
-        .when((country == F.lit("")) | F.col("cntry").isNull(), F.lit(C.UNKNOWN))
-        .otherwise(country).alias("cntry"),
+        C.standardize_country("cntry").alias("cntry"),
     )
     return _shape(out, "erp_loc_a101")
 

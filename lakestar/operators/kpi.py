@@ -85,14 +85,16 @@ def category_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def revenue_share(breakdown: DataFrame, attribute: str) -> DataFrame:
-    """Add ``share_pct`` = revenue / total x 100 (2 dp) to a breakdown.
+    """Add ``share_pct`` = revenue / total x 100, rounded half-up to 2 dp.
 
-    The breakdown has one row per group (a few dozen), so the un-partitioned
-    window over it is cheap.
+    The rounding is done exactly, in integer basis points, so no binary
+    floating-point tie can flip a digit. The breakdown has one row per group
+    (a few dozen), so the un-partitioned total over it is cheap.
     """
     total = F.sum("revenue").over(Window.partitionBy())
-    return breakdown.select(attribute, "revenue",
-                            F.round(F.col("revenue") * F.lit(100.0) / total, 2).alias("share_pct")) \
+    wide = F.col("revenue").cast("decimal(38,0)")
+    basis_points = C.int_div(wide * 20000 + total, total * 2)
+    return breakdown.select(attribute, "revenue", (basis_points.cast("double") / 100).alias("share_pct")) \
         .orderBy(F.desc("revenue"), F.asc(attribute))
 
 
