@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from .dedupe import latest_per_key
-from .kpi import duplicate_excess, mean_of_group_sums
+from .kpi import mean_of_group_sums
 
 METRICS = (
     "raw_crm_customer_rows",
@@ -54,20 +54,26 @@ def category_matches(latest: DataFrame, categories: DataFrame, harmonised: bool)
     return keyed.join(ids, keyed["_cat"] == ids["_id"], "left_semi").agg(F.count(F.lit(1)).alias("n"))
 
 
-def repair_counts(raw_sales: DataFrame) -> DataFrame:
-    """Rows whose amount / price the conformed layer repairs, and rows
-    whose order date does not parse."""
-    return raw_sales.agg(
+def _repair_count_columns() -> list:
+    return [
         F.count_if(C.amount_needs_repair("sls_sales", "sls_quantity", "sls_price")).alias("sales_amount_rows_repaired"),
         F.count_if(C.price_needs_repair("sls_price")).alias("sales_price_rows_repaired"),
         F.count_if(C.parse_int_date("sls_order_dt").isNull()).alias("sales_missing_order_date_rows"),
-    )
+    ]
+
+
+def _repaired_amount():
+    return C.repair_amount("sls_sales", "sls_quantity", "sls_price").cast("bigint")
+
+
+def repair_counts(raw_sales: DataFrame) -> DataFrame:
+    """Rows whose amount / price the conformed layer repairs, and rows
+    whose order date does not parse."""
+    return raw_sales.agg(*_repair_count_columns())
 
 
 def repaired_sales(raw_sales: DataFrame) -> DataFrame:
-    return raw_sales.select(
-        "sls_ord_num", "sls_cust_id",
-        C.repair_amount("sls_sales", "sls_quantity", "sls_price").cast("bigint").alias("amount"))
+    return raw_sales.select("sls_ord_num", "sls_cust_id", _repaired_amount().alias("amount"))
 
 
 def audit_metrics(raw: dict[str, DataFrame], conformed: dict[str, DataFrame],
@@ -76,24 +82,25 @@ def audit_metrics(raw: dict[str, DataFrame], conformed: dict[str, DataFrame],
     cust, prd, sales = raw["crm_cust_info"], raw["crm_prd_info"], raw["crm_sales_details"]
     latest = latest_product_versions(prd)
     repaired = repaired_sales(sales)
+    # One pass per table: every metric of a table is one aggregate of it.
     one_row = [
         cust.agg(F.count(F.lit(1)).alias("raw_crm_customer_rows"),
-                 F.count_if(F.col("cst_id").isNull()).alias("raw_customer_null_ids")),
-        duplicate_excess(cust, "cst_id", "raw_customer_duplicate_id_excess"),
+                 F.count_if(F.col("cst_id").isNull()).alias("raw_customer_null_ids"),
+                 (F.count("cst_id") - F.count_distinct("cst_id")).alias("raw_customer_duplicate_id_excess")),
         prd.agg(F.count(F.lit(1)).alias("raw_crm_product_rows")),
         conformed["crm_cust_info"].agg(F.count(F.lit(1)).alias("silver_customer_rows")),
         conformed["crm_prd_info"].agg(F.count(F.lit(1)).alias("silver_product_rows")),
         latest.agg(F.count(F.lit(1)).alias("gold_active_product_rows")),
         star["fact_sales"].agg(F.count(F.lit(1)).alias("gold_fact_sales_rows")),
-        repair_counts(sales),
         category_matches(latest, raw["erp_px_cat_g1v2"], False)
         .withColumnRenamed("n", "active_product_category_matches_before_harmonization"),
         category_matches(latest, raw["erp_px_cat_g1v2"], True)
         .withColumnRenamed("n", "active_product_category_matches_after_harmonization"),
-        repaired.agg(F.count(F.lit(1)).alias("raw_crm_sales_rows"),
-                     F.sum("amount").alias("total_revenue"),
-                     F.count_distinct("sls_ord_num").alias("distinct_orders"),
-                     F.count_distinct("sls_cust_id").alias("distinct_customers_in_fact")),
+        sales.agg(F.count(F.lit(1)).alias("raw_crm_sales_rows"),
+                  *_repair_count_columns(),
+                  F.sum(_repaired_amount()).alias("total_revenue"),
+                  F.count_distinct("sls_ord_num").alias("distinct_orders"),
+                  F.count_distinct("sls_cust_id").alias("distinct_customers_in_fact")),
         mean_of_group_sums(repaired, "sls_ord_num", "amount", "average_order_value"),
         mean_of_group_sums(repaired, "sls_cust_id", "amount", "average_revenue_per_customer"),
     ]

@@ -8,10 +8,12 @@ task ever holds a whole group.
 ``validity_end_dates`` needs the next start within a key (``LEAD``). A plain
 window would place a hot key in one task, so the skew-safe plan range-
 partitions by (key, start, tie) -- the sampler splits a hot key across many
-partitions -- computes ``lead`` inside each partition slice, and patches the
-last row of each slice with the first start of the next slice that holds the
-same key. The patch table has one row per (slice, key) boundary, bounded by
-the number of partitions per key.
+partitions -- and computes ``lead`` inside each (slice, key). Slices hold
+contiguous ranges of the total order, so only the *last* key of a slice can
+continue in a later slice, and its missing lead is the first value of the
+next non-empty slice when that slice starts with the same key. The patch
+table therefore has one row per slice: its size is the partition count, a
+bound we choose, and it is broadcast -- no second pass over the rows.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ from pyspark.sql import functions as F
 
 from ..session import shared_root
 
+# The patch table of :func:`next_value_within_key` has one row per slice.
+MAX_SLICES = 1_000_000
+
 
 def _as_cols(cols: Sequence[str | Column] | str | Column) -> list[Column]:
     if isinstance(cols, (str, Column)):
@@ -71,15 +76,18 @@ def next_value_within_key(df: DataFrame, key: str, order_col: str, tie_breakers:
     """Add ``out`` = ``LEAD(order_col) OVER (PARTITION BY key ORDER BY
     order_col, tie_breakers)`` without ever putting one key in one task.
 
-    Nulls in ``order_col`` sort first, as in SQL ascending order.
+    Nulls sort first (SQL ascending order); null keys form one group, as in
+    a SQL window.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n > MAX_SLICES:
+        raise ValueError(f"too many slices for the broadcast patch table: {n}")
     order = [F.col(order_col).asc_nulls_first()] + [F.col(t).asc_nulls_first() for t in tie_breakers]
     # Range slices over the total order; a hot key spans several slices.
     # The slice ids are written once (reliable checkpoint in the shared
-    # folder): the two branches below must see the same slices, and the
-    # range sampler would otherwise run once per (differently pruned) branch.
+    # folder): the row pass and the slice summary below must see the same
+    # slices, and a retry after an executor loss must not re-sample them.
     shared_root(spark)
     sliced = (df.repartitionByRange(n, F.col(key).asc_nulls_first(), *order)
               .withColumn("_slice", F.spark_partition_id())
@@ -87,18 +95,22 @@ def next_value_within_key(df: DataFrame, key: str, order_col: str, tie_breakers:
     within = Window.partitionBy("_slice", key).orderBy(*order)
     local = sliced.withColumn(out, F.lead(order_col).over(within)) \
                   .withColumn("_is_last", F.lead(F.lit(1)).over(within).isNull())
-    # For each (slice, key): the first value in the slice. The next slice
-    # that holds the same key supplies the missing lead of the last row.
-    firsts = sliced.groupBy(key, "_slice").agg(
-        F.min_by(F.col(order_col), F.struct(*[F.col(order_col)] + [F.col(t) for t in tie_breakers])).alias("_first"))
-    nxt = firsts.withColumn("_carry", F.lead("_first").over(Window.partitionBy(key).orderBy("_slice"))) \
-                .select(key, "_slice", "_carry")
-    # Null keys form one group in SQL windows, so match them null-safely.
-    nxt = nxt.withColumnRenamed(key, "_nkey").withColumnRenamed("_slice", "_nslice")
-    cond = local[key].eqNullSafe(nxt["_nkey"]) & (local["_slice"] == nxt["_nslice"])
-    patched = local.join(nxt, cond, "left")
-    return patched.withColumn(out, F.when(F.col("_is_last"), F.col("_carry")).otherwise(F.col(out))) \
-                  .drop("_slice", "_is_last", "_carry", "_nkey", "_nslice")
+    # One row per non-empty slice: its first (key, value) and its last key,
+    # in the total order (struct comparison: field by field, nulls first).
+    rank = F.struct(F.col(key), F.col(order_col), *[F.col(t) for t in tie_breakers])
+    summary = sliced.groupBy("_slice").agg(
+        F.min_by(F.struct(F.col(key).alias("k"), F.col(order_col).alias("v")), rank).alias("_first"),
+        F.max_by(F.col(key), rank).alias("_last_key"))
+    following = Window.orderBy("_slice")  # at most `n` rows
+    nxt = F.lead("_first").over(following)
+    patch = summary.select(
+        F.col("_slice").alias("_pslice"),
+        F.col("_last_key"),
+        F.when(nxt["k"].eqNullSafe(F.col("_last_key")), nxt["v"]).alias("_carry"))
+    patched = local.join(F.broadcast(patch), local["_slice"] == patch["_pslice"], "left")
+    takes_carry = F.col("_is_last") & F.col(key).eqNullSafe(F.col("_last_key"))
+    return patched.withColumn(out, F.when(takes_carry, F.col("_carry")).otherwise(F.col(out))) \
+                  .drop("_slice", "_is_last", "_carry", "_pslice", "_last_key")
 
 
 def validity_end_dates(df: DataFrame, key: str, start: str, end: str = "end_date",

@@ -122,20 +122,21 @@ def metric_average_revenue(spark, sf_dir):
 
 
 def metric_duplicate_excess(spark, sf_dir):
-    raw = extracts.crm_cust_info(spark, sf_dir)
+    raw = _wh(spark, sf_dir).raw("crm_cust_info")
     return raw.agg(F.count_if(F.col("cst_id").isNull()).alias("null_ids"),
                    (F.count("cst_id") - F.count_distinct("cst_id")).alias("duplicate_excess"))
 
 
 def metric_repair_counts(spark, sf_dir):
-    return audit.repair_counts(extracts.crm_sales_details(spark, sf_dir))
+    return audit.repair_counts(_wh(spark, sf_dir).raw("crm_sales_details"))
 
 
 def metric_category_matches(spark, sf_dir):
     """Active products whose category id is a lookup id, before and after
     harmonising the CRM key, as ``(metric, value)`` rows."""
-    latest = audit.latest_product_versions(extracts.crm_prd_info(spark, sf_dir))
-    cats = extracts.erp_px_cat_g1v2(spark, sf_dir)
+    wh = _wh(spark, sf_dir)
+    latest = audit.latest_product_versions(wh.raw("crm_prd_info"))
+    cats = wh.raw("erp_px_cat_g1v2")
     parts = [audit.category_matches(latest, cats, harmonised).select(F.lit(name).alias("metric"),
                                                                       F.col("n").alias("value"))
              for name, harmonised in (("matches_before_harmonization", False),
@@ -150,7 +151,7 @@ def metrics_audit(spark, sf_dir):
 
 # ---- generic operators on other driver tables ---------------------------------
 def latest_product_version(spark, sf_dir):
-    return audit.latest_product_versions(extracts.crm_prd_info(spark, sf_dir))
+    return audit.latest_product_versions(_wh(spark, sf_dir).raw("crm_prd_info"))
 
 
 def latest_event_per_user(spark, sf_dir):
@@ -176,7 +177,7 @@ def join_checked_many_to_one(spark, sf_dir):
 
 def parse_int_dates(spark, sf_dir):
     """Parse statistics of the three integer-coded sales dates."""
-    raw = extracts.crm_sales_details(spark, sf_dir)
+    raw = _wh(spark, sf_dir).raw("crm_sales_details")
     cols = ["sls_order_dt", "sls_ship_dt", "sls_due_dt"]
     parsed = raw.select(*[C.parse_int_date(c).alias(c) for c in cols])
     parts = [parsed.agg(F.lit(c).alias("column_name"),
@@ -188,7 +189,7 @@ def parse_int_dates(spark, sf_dir):
 
 def repair_measures(spark, sf_dir):
     """Sales lines whose amount or price the conformed layer repairs."""
-    raw = extracts.crm_sales_details(spark, sf_dir)
+    raw = _wh(spark, sf_dir).raw("crm_sales_details")
     bad = C.amount_needs_repair("sls_sales", "sls_quantity", "sls_price") | C.price_needs_repair("sls_price")
     return raw.where(bad).select(
         "sls_ord_num", "sls_prd_key", "sls_quantity",
@@ -199,10 +200,8 @@ def repair_measures(spark, sf_dir):
 
 def standardize_codes(spark, sf_dir):
     """Every distinct raw code with its standardised value and row count."""
-    cust = extracts.crm_cust_info(spark, sf_dir)
-    prd = extracts.crm_prd_info(spark, sf_dir)
-    demo = extracts.erp_cust_az12(spark, sf_dir)
-    loc = extracts.erp_loc_a101(spark, sf_dir)
+    wh = _wh(spark, sf_dir)
+    cust, prd, demo, loc = (wh.raw(n) for n in ("crm_cust_info", "crm_prd_info", "erp_cust_az12", "erp_loc_a101"))
     specs = [
         ("marital_status", cust, "cst_marital_status", C.standardize_code("cst_marital_status", C.MARITAL_STATUS)),
         ("customer_gender", cust, "cst_gndr", C.standardize_code("cst_gndr", C.CUSTOMER_GENDER)),
@@ -253,7 +252,7 @@ def dq_duplicate_keys(spark, sf_dir):
 def dq_unmatched_category(spark, sf_dir):
     """Product versions without a category, before and after harmonising
     the CRM category key."""
-    raw_products = extracts.crm_prd_info(spark, sf_dir)
+    raw_products = _wh(spark, sf_dir).raw("crm_prd_info")
     tables = {
         "before": clean_products(raw_products, category_fixes=None),
         "after": clean_products(raw_products),

@@ -171,7 +171,11 @@ def erp_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def erp_px_cat_g1v2(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    return spark.createDataFrame(CATEGORY_ROWS, RAW["erp_px_cat_g1v2"])
+    """The category lookup as a local relation (``VALUES``): planned and
+    evaluated in the JVM, no Python worker, one small partition."""
+    rows = F.array(*[F.struct(*[F.lit(v) for v in row]) for row in CATEGORY_ROWS])
+    names = RAW["erp_px_cat_g1v2"].fieldNames()
+    return _shape(spark.range(0, 1, 1, 1).select(F.inline(rows)).toDF(*names), "erp_px_cat_g1v2")
 
 
 EXTRACTS = {
