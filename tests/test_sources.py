@@ -1,0 +1,71 @@
+"""CSV sources and sinks of the raw layer."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestar.schemas import RAW
+from lakestar.session import new_run_dir
+from lakestar.sources import csv_io
+
+
+def _write_text(spark, lines, purpose):
+    folder = new_run_dir(spark, purpose)
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, "part.csv")
+    with open(path, "w", newline="") as fh:
+        fh.write("\r\n".join(lines))  # CRLF, no final newline
+    return path
+
+
+def test_read_csv_typed_with_crlf(spark):
+    path = _write_text(spark, [
+        "prd_id,prd_key,prd_nm,prd_cost,prd_line,prd_start_dt,prd_end_dt",
+        "210,CO-RF-FR-R92B-58,HL Road Frame - Black- 58,,R ,2003-07-01,",
+        "212,AC-HE-HL-U509-R,Sport-100 Helmet- Red,12,S ,2011-07-01,2007-12-28",
+    ], "csv-typed")
+    df = csv_io.read_csv(spark, path, RAW["crm_prd_info"])
+    rows = df.orderBy("prd_id").collect()
+    assert [r.prd_id for r in rows] == [210, 212]
+    assert rows[0].prd_cost is None and rows[0].prd_end_dt is None
+    assert rows[0].prd_line == "R "  # text kept verbatim, no trimming
+    assert rows[1].prd_end_dt is not None
+
+
+def test_failfast_and_permissive(spark):
+    path = _write_text(spark, ["id,cat,subcat,maintenance", "AC_BR,Accessories,Bike Racks,Yes", "bad,row"],
+                       "csv-bad")
+    schema = RAW["erp_px_cat_g1v2"]
+    with pytest.raises(Exception):
+        csv_io.read_csv(spark, path, schema).collect()
+    lenient = csv_io.read_csv(spark, path, schema, mode="PERMISSIVE", corrupt_column="_corrupt").cache()
+    assert lenient.count() == 2
+    assert lenient.where(F.col("_corrupt").isNotNull()).count() == 1
+
+
+def test_null_tokens(spark):
+    path = _write_text(spark, ["cid,cntry", "AW-1,NA", "AW-2,", "AW-3,Germany"], "csv-na")
+    rows = csv_io.read_csv_with_null_tokens(spark, path, RAW["erp_loc_a101"]).orderBy("cid").collect()
+    assert [r.cntry for r in rows] == [None, None, "Germany"]
+
+
+def test_ingest_round_trip(spark):
+    src = spark.createDataFrame([("AC_HE", "Accessories", "Helmets", "Yes"), ("CO_PD", " Components", "Pedals", "No")],
+                                RAW["erp_px_cat_g1v2"])
+    landing = new_run_dir(spark, "landing-test")
+    csv_io.write_csv(src, f"{landing}/cat")
+    loaded = csv_io.ingest(spark, {"erp_px_cat_g1v2": f"{landing}/cat"}, new_run_dir(spark, "raw-test"))
+    assert sorted(map(tuple, loaded["erp_px_cat_g1v2"].collect())) == sorted(map(tuple, src.collect()))
+
+
+def test_metrics_csv_sink(spark):
+    metrics = spark.createDataFrame([("total_revenue", "29356250"), ("distinct_orders", "27659")], "metric string, value string")
+    out = new_run_dir(spark, "metrics-test")
+    csv_io.write_metrics_csv(metrics, out)
+    files = [f for f in os.listdir(out) if f.endswith(".csv")]
+    assert len(files) == 1
+    with open(os.path.join(out, files[0])) as fh:
+        assert fh.read().splitlines() == ["metric,value", "total_revenue,29356250", "distinct_orders,27659"]
