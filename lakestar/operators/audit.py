@@ -112,3 +112,62 @@ def audit_metrics(raw: dict[str, DataFrame], conformed: dict[str, DataFrame],
         stacked = long if stacked is None else stacked.unionByName(long)
     order = F.array_position(F.array(*[F.lit(m) for m in METRICS]), F.col("metric"))
     return stacked.select("metric", C.format_g12("num").alias("value")).orderBy(order)
+
+
+class InvariantError(AssertionError):
+    """A warehouse grain or completeness invariant does not hold."""
+
+
+INVARIANTS = (
+    "customer_id_null_or_not_unique",
+    "product_number_null_or_not_unique",
+    "product_category_missing",
+    "fact_dimension_key_missing",
+    "fact_measure_missing",
+    "fact_rows_differ_from_raw_sales",
+    "fact_revenue_differs_from_raw_sales",
+)
+
+
+def invariants(raw: dict[str, DataFrame], conformed: dict[str, DataFrame],
+               star: dict[str, DataFrame]) -> DataFrame:
+    """``(invariant, failures, holds)``: the audit's grain and completeness
+    assertions as distributed counts. ``failures`` is the number of offending
+    rows or keys, or the absolute difference of two totals that must agree.
+
+    Each table is read once; the two reconciliations are signed totals from
+    both sides, unioned and summed by name (a handful of rows).
+    """
+    cust, products, fact = conformed["crm_cust_info"], star["dim_products"], star["fact_sales"]
+    sales = raw["crm_sales_details"]
+    one = F.lit(1)
+    frames = [
+        cust.agg((F.count(one) - F.count_distinct("cst_id")).alias("customer_id_null_or_not_unique")),
+        products.agg((F.count(one) - F.count_distinct("product_number")).alias("product_number_null_or_not_unique"),
+                     F.count_if(C.any_null("category", "subcategory", "maintenance")).alias("product_category_missing")),
+        fact.agg(F.count_if(C.any_null("customer_key", "product_key")).alias("fact_dimension_key_missing"),
+                 F.count_if(C.any_null("sales_amount", "price")).alias("fact_measure_missing"),
+                 F.count(one).alias("fact_rows_differ_from_raw_sales"),
+                 F.sum(F.col("sales_amount").cast("bigint")).alias("fact_revenue_differs_from_raw_sales")),
+        sales.agg((-F.count(one)).alias("fact_rows_differ_from_raw_sales"),
+                  (-F.sum(_repaired_amount())).alias("fact_revenue_differs_from_raw_sales")),
+    ]
+    longs = [f.unpivot([], f.columns, "invariant", "failures") if len(f.columns) > 1 else
+             f.select(F.lit(f.columns[0]).alias("invariant"), F.col(f.columns[0]).alias("failures"))
+             for f in frames]
+    stacked = longs[0]
+    for part in longs[1:]:
+        stacked = stacked.unionByName(part)
+    totals = stacked.groupBy("invariant").agg(F.abs(F.sum(F.coalesce(F.col("failures").cast("bigint"), F.lit(0))))
+                                             .alias("failures"))
+    order = F.array_position(F.array(*[F.lit(n) for n in INVARIANTS]), F.col("invariant"))
+    return totals.select("invariant", "failures", (F.col("failures") == 0).alias("holds")).orderBy(order)
+
+
+def assert_invariants(report: DataFrame) -> None:
+    """Raise :class:`InvariantError` listing every invariant that fails
+    (the report has one row per invariant, so the collect is bounded)."""
+    broken = report.where(~F.col("holds")).collect()
+    if broken:
+        raise InvariantError("warehouse invariants failed: " +
+                             ", ".join(f"{r.invariant}={r.failures}" for r in broken))

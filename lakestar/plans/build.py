@@ -106,6 +106,35 @@ class Warehouse:
                     future.result()
         return self
 
+    def register_catalog(self, layers: dict[str, str] | None = None) -> list[str]:
+        """Expose this run in the session catalog as ``bronze.*``,
+        ``silver.*`` and ``gold.*`` (the reference's layer namespaces), so
+        ``spark.sql("SELECT ... FROM gold.fact_sales")`` works.
+
+        Namespaces live under the shared root; tables are external parquet
+        tables over the run's files (dropping one never deletes data).
+        Conformed tables keep their load stamp. Returns the table names.
+        """
+        layers = layers or {"bronze": "raw", "silver": "conformed", "gold": "star"}
+        names = {"raw": list(CONFORMED_RULES), "conformed": list(CONFORMED_RULES), "star": list(STAR_TABLES)}
+        registered = [f"{ns}.{name}" for ns, layer in layers.items() for name in names[layer]]
+        owner_key = (self.spark.sparkContext.applicationId, tuple(sorted(layers.items())))
+        with _CATALOG_LOCK:
+            if _CATALOG_OWNER.get(owner_key) == self.run_dir:
+                return registered
+        self.build()
+        root = shared_root(self.spark)
+        for namespace, layer in layers.items():
+            self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace} "
+                           f"LOCATION '{root}/lakestar/catalog/{namespace}.db'")
+            for name in names[layer]:
+                table = f"{namespace}.{name}"
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+                self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{self.path(layer, name)}'")
+        with _CATALOG_LOCK:
+            _CATALOG_OWNER[owner_key] = self.run_dir
+        return registered
+
     def publish(self) -> str:
         """Point ``current`` at this run (after :meth:`build` succeeded)."""
         pointer = f"{self.run_dir.rsplit('/runs/', 1)[0]}/current"
@@ -149,6 +178,10 @@ def open_published(spark: SparkSession, sf_dir: str = "", root: str | None = Non
     return wh
 
 
+# Which run the session catalog's layer namespaces currently point at.
+_CATALOG_OWNER: dict[tuple, str] = {}
+_CATALOG_LOCK = threading.Lock()
+
 _CACHE: dict[tuple, Warehouse] = {}
 _CACHE_LOCK = threading.Lock()
 

@@ -161,3 +161,30 @@ def test_published_run_is_readable(spark, wh01):
     again = open_published(spark, SF001)
     assert again.run_dir == wh01.run_dir
     assert again.star("fact_sales").count() == 60000
+
+
+def test_invariants(spark, wh01):
+    from lakestar.operators import audit
+
+    report = catalog.audit_invariants(spark, SF001)
+    got = {r.invariant: (r.failures, r.holds) for r in report.collect()}
+    assert set(got) == set(audit.INVARIANTS)
+    assert got["customer_id_null_or_not_unique"] == (0, True)
+    assert got["fact_rows_differ_from_raw_sales"] == (0, True)
+    assert got["fact_revenue_differs_from_raw_sales"] == (0, True)
+    assert got["fact_dimension_key_missing"] == (106, False)
+    with pytest.raises(audit.InvariantError, match="fact_dimension_key_missing=106"):
+        audit.assert_invariants(report)
+
+
+def test_sql_over_layer_namespaces(spark, wh01):
+    tables = wh01.register_catalog()
+    assert "gold.fact_sales" in tables and "bronze.crm_sales_details" in tables
+    row = spark.sql("SELECT SUM(CAST(sales_amount AS BIGINT)) AS r FROM gold.fact_sales").first()
+    assert row.r == 3182485324
+    stamped = spark.table("silver.crm_cust_info").columns
+    assert stamped[-1] == "dwh_create_date"
+    by_country = spark.sql(
+        "SELECT c.country, SUM(CAST(f.sales_amount AS BIGINT)) AS revenue FROM gold.fact_sales AS f "
+        "JOIN gold.dim_customers AS c ON f.customer_key = c.customer_key GROUP BY c.country").collect()
+    assert sum(r.revenue for r in by_country) <= 3182485324
