@@ -1,10 +1,14 @@
 """Join helpers: size-checked broadcast, cardinality-checked joins.
 
 Broadcasting is only safe for a side whose size is *proven* small. The check
-here counts at most ``max_rows + 1`` rows of the candidate side (a bounded
-job that stops early); above the bound the join stays a shuffle join, where
-AQE may still switch to a broadcast from runtime statistics and splits
-skewed partitions of the large side.
+here is an exact row count of the candidate side. Callers pass materialised
+parquet tables (the layers of a run), for which a column-free count is
+answered from the file footers: each task returns one partial count, no row
+moves. (A ``limit(n + 1).count()`` would look cheaper but plans a local limit
+per partition feeding one single-partition exchange: up to partitions x n
+rows into one task.) Above the bound the join stays a shuffle join, where AQE
+may still switch to a broadcast from runtime statistics and splits skewed
+partitions of the large side.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ class CardinalityError(ValueError):
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Exact size check: ``df`` has at most ``max_rows`` rows."""
+    return df.select().count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .joins import broadcast_if_small
+from .joins import BROADCAST_MAX_ROWS, has_at_most
 
 
 def revenue() -> Column:
@@ -54,21 +54,34 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
 
 
 def revenue_by(fact: DataFrame, dim: DataFrame, key: str, attribute: str,
-               extra: dict | None = None) -> DataFrame:
+               extra: dict | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Inner fact-dimension join on the surrogate key, grouped by one
     dimension attribute; highest revenue first.
 
-    Pre-aggregating the fact by surrogate key before the join turns the join
-    input from "rows" into "distinct keys".
+    Two plans, chosen by the dimension's proven size:
+
+    * small dimension (at most ``max_broadcast_rows`` rows): broadcast it and
+      aggregate the joined rows by attribute; the only shuffle carries one
+      partial sum per attribute value per map task;
+    * large dimension: pre-aggregate the fact by surrogate key first, so the
+      shuffle join sees distinct keys instead of fact rows.
+
+    Both aggregate partially before every shuffle, so a hot key or a hot
+    attribute value (a third of the sales) never lands in one task as rows.
     """
     aggs = {"revenue": revenue()}
     aggs.update(extra or {})
-    per_key = fact.where(F.col(key).isNotNull()).groupBy(key).agg(
-        *[expr.alias(name) for name, expr in aggs.items()])
-    d = broadcast_if_small(dim.select(key, attribute))
-    joined = per_key.join(d, key, "inner")
-    sums = [F.sum(name).cast("bigint").alias(name) for name in aggs]
-    return joined.groupBy(attribute).agg(*sums).orderBy(F.desc("revenue"), F.asc(attribute))
+    d = dim.select(key, attribute)
+    if has_at_most(d, max_broadcast_rows):
+        joined = fact.where(F.col(key).isNotNull()).join(F.broadcast(d), key, "inner")
+        out = joined.groupBy(attribute).agg(*[expr.alias(name) for name, expr in aggs.items()])
+        out = out.select(attribute, *[F.col(name).cast("bigint").alias(name) for name in aggs])
+    else:
+        per_key = fact.where(F.col(key).isNotNull()).groupBy(key).agg(
+            *[expr.alias(name) for name, expr in aggs.items()])
+        joined = per_key.join(d, key, "inner")
+        out = joined.groupBy(attribute).agg(*[F.sum(name).cast("bigint").alias(name) for name in aggs])
+    return out.orderBy(F.desc("revenue"), F.asc(attribute))
 
 
 def revenue_by_country(fact: DataFrame, customers: DataFrame) -> DataFrame:

@@ -188,3 +188,13 @@ def test_sql_over_layer_namespaces(spark, wh01):
         "SELECT c.country, SUM(CAST(f.sales_amount AS BIGINT)) AS revenue FROM gold.fact_sales AS f "
         "JOIN gold.dim_customers AS c ON f.customer_key = c.customer_key GROUP BY c.country").collect()
     assert sum(r.revenue for r in by_country) <= 3182485324
+
+
+@pytest.mark.parametrize("attribute,dim,key", [("country", "dim_customers", "customer_key"),
+                                               ("category", "dim_products", "product_key")])
+def test_revenue_by_plans_agree(wh01, attribute, dim, key):
+    fact, d = wh01.star("fact_sales"), wh01.star(dim)
+    extra = {"units": F.sum(F.col("quantity").cast("bigint"))}
+    small = kpi.revenue_by(fact, d, key, attribute, extra)
+    large = kpi.revenue_by(fact, d, key, attribute, extra, max_broadcast_rows=0)
+    assert small.collect() == large.collect()
