@@ -85,7 +85,7 @@ def product_number(prd_key: Column | str) -> Column:
     return c.substr(F.lit(7), F.length(c))
 
 
-def parse_int_date(c: Column | str) -> Column:
+def parse_int_date(c: Column | str, strict: bool = False) -> Column:
     """``yyyymmdd`` integer -> DATE; 0, wrong length or non-dates -> null.
 
     Integer arithmetic instead of a text formatter (about 4x cheaper per
@@ -94,8 +94,16 @@ def parse_int_date(c: Column | str) -> Column:
     ``make_date`` runs, so ANSI mode never sees an invalid date (``CASE``
     branches are evaluated lazily). Same results as parsing the text with
     pattern ``yyyyMMdd`` leniently.
+
+    ``strict=True`` keeps 0 and wrong lengths as null but makes an 8-digit
+    value that is not a calendar date (``20139999``) fail the job, like the
+    reference's SQL load; it relies on ANSI mode (Spark's default).
     """
     c = _col(c)
+    if strict:
+        text = c.cast("string")
+        return F.when((c == 0) | (F.length(text) != 8), F.lit(None).cast("date")).otherwise(
+            F.to_date(text, "yyyyMMdd"))
     y = int_div(c, F.lit(10000)).cast("int")
     m = (int_div(c, F.lit(100)) % 100).cast("int")
     d = (c % 100).cast("int")

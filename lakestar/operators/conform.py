@@ -57,16 +57,17 @@ def clean_products(raw: DataFrame, category_fixes=C.CATEGORY_KEY_FIXES) -> DataF
     return _shape(dated.withColumnRenamed("_number", "prd_key"), "crm_prd_info")
 
 
-def clean_sales(raw: DataFrame) -> DataFrame:
+def clean_sales(raw: DataFrame, strict_dates: bool = False) -> DataFrame:
     """Parse the three integer dates and repair amount and price from the
-    raw columns."""
+    raw columns. ``strict_dates``: an 8-digit non-date fails the load
+    instead of becoming null."""
     out = raw.select(
         "sls_ord_num",
         "sls_prd_key",
         "sls_cust_id",
-        C.parse_int_date("sls_order_dt").alias("sls_order_dt"),
-        C.parse_int_date("sls_ship_dt").alias("sls_ship_dt"),
-        C.parse_int_date("sls_due_dt").alias("sls_due_dt"),
+        C.parse_int_date("sls_order_dt", strict_dates).alias("sls_order_dt"),
+        C.parse_int_date("sls_ship_dt", strict_dates).alias("sls_ship_dt"),
+        C.parse_int_date("sls_due_dt", strict_dates).alias("sls_due_dt"),
         C.repair_amount("sls_sales", "sls_quantity", "sls_price").alias("sls_sales"),
         "sls_quantity",
         C.repair_price("sls_price", "sls_sales", "sls_quantity").alias("sls_price"),

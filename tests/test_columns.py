@@ -44,6 +44,15 @@ def test_parse_int_date(spark):
                    dt.date(1000, 1, 1), None, dt.date(2013, 4, 30), None]
 
 
+def test_parse_int_date_strict(spark):
+    import pytest
+
+    ok = _rows(spark, [(0,), (20120229,), (123,)], "d int", C.parse_int_date("d", strict=True))
+    assert ok == [(None,), (dt.date(2012, 2, 29),), (None,)]
+    with pytest.raises(Exception):
+        _rows(spark, [(20139999,)], "d int", C.parse_int_date("d", strict=True))
+
+
 def test_parse_int_date_matches_text_parse(spark):
     df = spark.range(0, 400).select((F.lit(20120000) + F.col("id") * 3).cast("int").alias("d"))
     text = F.col("d").cast("string")
