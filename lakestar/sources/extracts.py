@@ -158,8 +158,9 @@ def erp_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def erp_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # nation is the fixed 25-row TPC-H dimension: a proven size bound.
-    n = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    # No hint: Spark broadcasts the nation table from its file statistics
+    # (a few KB) and falls back to a sort-merge join above the threshold.
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
     nk = F.col("c_nationkey") % 6
     out = j.select(
