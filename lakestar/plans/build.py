@@ -140,10 +140,19 @@ class Warehouse:
         return registered
 
     def publish(self) -> str:
-        """Point ``current`` at this run (after :meth:`build` succeeded)."""
-        pointer = f"{self.run_dir.rsplit('/runs/', 1)[0]}/current"
-        self.spark.createDataFrame([(self.run_dir,)], "run_dir string").coalesce(1) \
-            .write.mode("overwrite").text(pointer)
+        """Publish this run (after :meth:`build` succeeded).
+
+        Append-only: each publication is a new one-row parquet folder
+        ``(published_at, run_dir)`` under ``published/``, committed by Spark's
+        output committer, so a reader sees either the previous publication or
+        this one, never a missing or half-written pointer (an ``overwrite``
+        would delete the old pointer first).
+        """
+        self.build()
+        pointer = f"{self.run_dir.rsplit('/runs/', 1)[0]}/published/{uuid.uuid4().hex}"
+        self.spark.range(1, numPartitions=1).select(
+            F.current_timestamp().alias("published_at"), F.lit(self.run_dir).alias("run_dir")) \
+            .write.mode("errorifexists").parquet(pointer)
         return pointer
 
     # -- storage ----------------------------------------------------------------
@@ -172,7 +181,10 @@ class Warehouse:
 def open_published(spark: SparkSession, sf_dir: str = "", root: str | None = None) -> Warehouse:
     """The most recently published run, read-only."""
     base = f"{root or shared_root(spark)}/lakestar/warehouse"
-    run_dir = spark.read.text(f"{base}/current").first()[0]
+    pointers = spark.read.schema("published_at timestamp, run_dir string").parquet(f"{base}/published/*")
+    run_dir = pointers.agg(F.max_by("run_dir", F.struct("published_at", "run_dir"))).first()[0]
+    if run_dir is None:
+        raise FileNotFoundError(f"no published warehouse run under {base}")
     wh = Warehouse(spark, sf_dir, run_dir=run_dir)
     for name in CONFORMED_RULES:
         wh._tables[("raw", name)] = spark.read.parquet(wh.path("raw", name))
