@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from .dedupe import latest_per_key
+from .joins import semi_count
 from .kpi import mean_of_group_sums
 
 METRICS = (
@@ -49,9 +50,9 @@ def latest_product_versions(raw_products: DataFrame) -> DataFrame:
 def category_matches(latest: DataFrame, categories: DataFrame, harmonised: bool) -> DataFrame:
     """Active products whose category id (raw or harmonised) is a lookup id."""
     fixes = C.CATEGORY_KEY_FIXES if harmonised else None
-    ids = categories.select(F.trim("id").alias("_id")).distinct()
+    ids = categories.select(F.trim("id").alias("_id"))
     keyed = latest.select(C.category_id("prd_key", fixes).alias("_cat"))
-    return keyed.join(ids, keyed["_cat"] == ids["_id"], "left_semi").agg(F.count(F.lit(1)).alias("n"))
+    return semi_count(keyed, ids, "_cat", "_id").withColumnRenamed("matches", "n")
 
 
 def _repair_count_columns() -> list:

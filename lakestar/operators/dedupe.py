@@ -29,12 +29,6 @@ from ..session import shared_root
 MAX_SLICES = 1_000_000
 
 
-def _as_cols(cols: Sequence[str | Column] | str | Column) -> list[Column]:
-    if isinstance(cols, (str, Column)):
-        cols = [cols]
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
-
-
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str],
                    tie_breakers: Sequence[str] | None = None, drop_null_keys: bool = False) -> DataFrame:
     """One row per ``key``: the row with the greatest ``order_by`` values.

@@ -7,8 +7,6 @@ sum). Breakdowns aggregate partially before their shuffle, so a hot group
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,9 +140,3 @@ def mean_of_group_sums(df: DataFrame, group: str, measure: str, name: str) -> Da
 def duplicate_excess(df: DataFrame, key: str, name: str = "duplicate_excess") -> DataFrame:
     """Non-null key count minus distinct key count."""
     return df.agg((F.count(key) - F.count_distinct(key)).alias(name))
-
-
-def stack_metrics(one_row: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One-row wide frame -> ``(metric, value)`` rows, value as double."""
-    wide = one_row.select(*[F.col(n).cast("double").alias(n) for n in names])
-    return wide.unpivot([], list(names), "metric", "value")

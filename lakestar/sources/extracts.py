@@ -11,8 +11,6 @@ its size grows with the driver tables and Catalyst prunes unused columns.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,11 +185,3 @@ EXTRACTS = {
     "erp_loc_a101": erp_loc_a101,
     "erp_px_cat_g1v2": erp_px_cat_g1v2,
 }
-
-
-def all_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: make(spark, sf_dir) for name, make in EXTRACTS.items()}
-
-
-def union_all(frames) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
