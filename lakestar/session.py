@@ -15,10 +15,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lakestar") -> SparkSession:
-    """Session for tests and the local benchmark (one JVM, ``cores`` threads)."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lakestar",
+                  conf: dict[str, str] | None = None) -> SparkSession:
+    """Session for tests and the local benchmark (one JVM, ``cores`` threads);
+    ``conf`` adds or overrides settings."""
+    builder = SparkSession.builder
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

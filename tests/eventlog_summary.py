@@ -1,0 +1,55 @@
+"""Summarise a Spark event log folder: one line per job with its start
+offset, duration, description and stage task counts.
+
+Usage: python tests/eventlog_summary.py <event-log-dir>
+"""
+
+from __future__ import annotations
+
+import glob
+import io
+import itertools
+import json
+import sys
+
+
+def _lines(path: str):
+    if path.endswith(".zstd"):
+        import zstandard
+
+        return io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(open(path, "rb")), encoding="utf-8")
+    return open(path, encoding="utf-8")
+
+
+def main(folder: str) -> None:
+    files = sorted(glob.glob(f"{folder}/**/events_*", recursive=True)) or \
+        [f for f in glob.glob(f"{folder}/*") if not f.endswith(".inprogress")]
+    jobs, stages = {}, {}
+    for line in itertools.chain.from_iterable(_lines(f) for f in files):
+        event = json.loads(line)
+        kind = event["Event"]
+        if kind == "SparkListenerJobStart":
+            props = event.get("Properties", {})
+            jobs[event["Job ID"]] = {"start": event["Submission Time"], "stages": event["Stage IDs"],
+                                     "desc": props.get("spark.job.description", "")}
+        elif kind == "SparkListenerJobEnd":
+            jobs[event["Job ID"]]["end"] = event["Completion Time"]
+        elif kind == "SparkListenerStageCompleted":
+            info = event["Stage Info"]
+            stages[info["Stage ID"]] = (info.get("Completion Time", 0) - info.get("Submission Time", 0),
+                                        info["Number of Tasks"])
+    if not jobs:
+        print("no jobs found")
+        return
+    t0 = min(j["start"] for j in jobs.values())
+    per_desc: dict[str, int] = {}
+    for jid, job in sorted(jobs.items()):
+        dur = job.get("end", job["start"]) - job["start"]
+        per_desc[job["desc"]] = per_desc.get(job["desc"], 0) + dur
+        parts = "; ".join(f"{d}ms/{n}t" for d, n in (stages[s] for s in job["stages"] if s in stages))
+        print(f"job {jid:4d} @{(job['start'] - t0) / 1000:7.2f}s {dur:6d}ms {job['desc'][:32]:32s} {parts}")
+    print("summed job time per description (ms):", json.dumps(per_desc))
+
+
+if __name__ == "__main__":
+    main(sys.argv[1])
