@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .joins import BROADCAST_MAX_ROWS, has_at_most
 
 ERROR, WARNING = "error", "warning"
 
@@ -130,17 +131,29 @@ def count_unmatched(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str)
     return df.join(ids, df[key] == ids["_id"], "left_anti").agg(F.count(F.lit(1)).alias("failed"))
 
 
-def count_orphans(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+def count_orphans(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
+                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of ``fact LEFT JOIN d1 ... LEFT JOIN dn`` where some dimension
-    key found no match, without joining fact rows: the fact is reduced to
-    distinct key tuples with a row count, each dimension to key -> copies."""
+    key found no match (a fan-out from duplicated dimension keys counts as
+    the joins would emit it), without materialising the joined rows: each
+    dimension is reduced to ``key -> copies``.
+
+    When every dimension passes the size check, the copy tables are
+    broadcast and the fact is weighed row by row map-side (no shuffle of fact
+    rows). Otherwise the fact is first reduced to distinct key tuples with a
+    row count, so the shuffle joins see key tuples instead of rows.
+    """
     key_cols = [k for _, k in dims]
-    pairs = fact.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_rows"))
+    small = all(has_at_most(dim.select(k), max_broadcast_rows) for dim, k in dims)
+    if small:
+        pairs = fact.select(*key_cols, F.lit(1).cast("bigint").alias("_rows"))
+    else:
+        pairs = fact.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_rows"))
     missing = F.lit(False)
     weight = F.col("_rows")
     for i, (dim, k) in enumerate(dims):
         copies = dim.where(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias(f"_c{i}"))
-        pairs = pairs.join(copies, k, "left")
+        pairs = pairs.join(F.broadcast(copies) if small else copies, k, "left")
         missing = missing | F.col(f"_c{i}").isNull()
         weight = weight * F.coalesce(F.col(f"_c{i}"), F.lit(1))
     return pairs.agg(F.coalesce(F.sum(F.when(missing, weight)), F.lit(0)).alias("failed"))

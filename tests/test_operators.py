@@ -82,6 +82,8 @@ def test_count_orphans_equals_left_join_definition(spark):
     dim_c = spark.createDataFrame([(1,), (2,), (2,), (4,)], "ck int")     # 2 is duplicated (fan-out)
     dim_p = spark.createDataFrame([(10,), (11,)], "pk int")
     got = quality.count_orphans(fact, [(dim_c, "ck"), (dim_p, "pk")]).first()[0]
+    shuffled = quality.count_orphans(fact, [(dim_c, "ck"), (dim_p, "pk")], max_broadcast_rows=0).first()[0]
+    assert got == shuffled
     f, c, p = fact.alias("f"), dim_c.alias("c"), dim_p.alias("p")
     exp = (f.join(c, F.col("f.ck") == F.col("c.ck"), "left").join(p, F.col("f.pk") == F.col("p.pk"), "left")
            .where(F.col("c.ck").isNull() | F.col("p.pk").isNull()).count())
