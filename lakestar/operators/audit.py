@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from .dedupe import latest_per_key
 from .joins import semi_count
-from .kpi import mean_of_group_sums
+from .kpi import means_of_group_sums
 
 METRICS = (
     "raw_crm_customer_rows",
@@ -102,8 +102,8 @@ def audit_metrics(raw: dict[str, DataFrame], conformed: dict[str, DataFrame],
                   F.sum(_repaired_amount()).alias("total_revenue"),
                   F.count_distinct("sls_ord_num").alias("distinct_orders"),
                   F.count_distinct("sls_cust_id").alias("distinct_customers_in_fact")),
-        mean_of_group_sums(repaired, "sls_ord_num", "amount", "average_order_value"),
-        mean_of_group_sums(repaired, "sls_cust_id", "amount", "average_revenue_per_customer"),
+        means_of_group_sums(repaired, {"average_order_value": "sls_ord_num",
+                                       "average_revenue_per_customer": "sls_cust_id"}, "amount"),
     ]
     stacked = None
     for frame in one_row:

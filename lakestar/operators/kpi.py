@@ -137,6 +137,24 @@ def mean_of_group_sums(df: DataFrame, group: str, measure: str, name: str) -> Da
     return per_group.agg(F.avg(F.col("_s").cast("double")).alias(name))
 
 
+def means_of_group_sums(df: DataFrame, groups: dict[str, str], measure: str) -> DataFrame:
+    """Several :func:`mean_of_group_sums` in one pass: ``GROUPING SETS`` over
+    the group columns computes every per-group sum with one scan and one
+    shuffle; ``groups`` maps output name -> group column. Null group keys
+    are excluded, as in the single form."""
+    cols = list(groups.values())
+    sums = df.groupingSets([[c] for c in cols], *cols).agg(
+        F.sum(measure).alias("_s"), F.grouping_id().alias("_g"))
+    out = []
+    for i, (name, col) in enumerate(groups.items()):
+        # grouping_id has one bit per column (first column = highest bit),
+        # set when the column is aggregated away: the set [col] clears it.
+        gid = (1 << len(cols)) - 1 - (1 << (len(cols) - 1 - i))
+        mine = (F.col("_g") == gid) & F.col(col).isNotNull()
+        out.append(F.avg(F.when(mine, F.col("_s").cast("double"))).alias(name))
+    return sums.agg(*out)
+
+
 def duplicate_excess(df: DataFrame, key: str, name: str = "duplicate_excess") -> DataFrame:
     """Non-null key count minus distinct key count."""
     return df.agg((F.count(key) - F.count_distinct(key)).alias(name))

@@ -118,11 +118,9 @@ def metric_average_revenue(spark, sf_dir):
     """Mean revenue per order and per customer (two-level aggregates), as
     ``(metric, value)`` rows."""
     fact = _wh(spark, sf_dir).star("fact_sales")
-    parts = [kpi.mean_of_group_sums(fact, group, "sales_amount", "value")
-             .select(F.lit(name).alias("metric"), "value")
-             for name, group in (("avg_revenue_per_order", "order_number"),
-                                 ("avg_revenue_per_customer", "customer_key"))]
-    return parts[0].unionByName(parts[1])
+    wide = kpi.means_of_group_sums(fact, {"avg_revenue_per_order": "order_number",
+                                          "avg_revenue_per_customer": "customer_key"}, "sales_amount")
+    return wide.unpivot([], wide.columns, "metric", "value")
 
 
 def metric_duplicate_excess(spark, sf_dir):

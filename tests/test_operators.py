@@ -131,3 +131,12 @@ def test_quality_gate(spark):
     bad = spark.createDataFrame([("c2", "error", 1)], "check_name string, severity string, failed_rows bigint")
     with pytest.raises(quality.QualityError, match="c2"):
         quality.quality_gate({"silver": ok, "gold": bad})
+
+
+def test_means_of_group_sums_matches_single_form(spark):
+    df = spark.range(2000).select((F.col("id") % 37).alias("a"),
+                                  F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 53).alias("b"),
+                                  (F.col("id") % 7).alias("m"))
+    both = kpi.means_of_group_sums(df, {"ma": "a", "mb": "b"}, "m").first()
+    assert both.ma == pytest.approx(kpi.mean_of_group_sums(df, "a", "m", "x").first().x, rel=1e-12)
+    assert both.mb == pytest.approx(kpi.mean_of_group_sums(df, "b", "m", "x").first().x, rel=1e-12)
