@@ -363,7 +363,6 @@ QUERIES: dict[str, Query] = {
     "silver_crm_sales_details": _conformed_table("crm_sales_details"),
     "silver_erp_cust_az12": _conformed_table("erp_cust_az12"),
     "silver_erp_loc_a101": _conformed_table("erp_loc_a101"),
-    "silver_erp_px_cat_g1v2": _conformed_table("erp_px_cat_g1v2"),
     "gold_dim_customers": _star_table("dim_customers"),
     "gold_dim_products": _star_table("dim_products"),
     "gold_fact_sales": _star_table("fact_sales"),
