@@ -10,6 +10,7 @@ machine-local temporary folder is not visible to other executors.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,6 +37,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+_ROOT_LOCK = threading.Lock()
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
@@ -44,17 +48,18 @@ def shared_root(spark: SparkSession) -> str:
     a fresh temporary folder (registered as the checkpoint dir); otherwise fail.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        current = sc.getCheckpointDir()
-        if current:
-            return current.rstrip("/")
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="lakestar-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    with _ROOT_LOCK:  # builders run in threads; pick (and register) one root
+        root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not root:
+            current = sc.getCheckpointDir()
+            if current:
+                return current.rstrip("/")
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+            root = tempfile.mkdtemp(prefix="lakestar-")
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+        return root.rstrip("/")
 
 
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
