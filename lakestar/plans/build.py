@@ -171,8 +171,10 @@ class Warehouse:
         with table_lock:
             if key not in self._tables:
                 path = self.path(layer, name)
-                make().write.mode("errorifexists").parquet(path)
-                df = self.spark.read.parquet(path)
+                frame = make()
+                frame.write.mode("errorifexists").parquet(path)
+                # The schema is known: no footer inference when reading back.
+                df = self.spark.read.schema(frame.schema).parquet(path)
                 with self._lock:
                     self._tables[key] = df
             return self._tables[key]
