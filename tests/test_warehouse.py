@@ -252,3 +252,22 @@ def test_hot_keys_end_to_end(spark, wh01):
         assert orphans == fact.where(F.col("customer_key").isNull() | F.col("product_key").isNull()).count()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_shuffle_join_fallbacks_agree(wh01):
+    """Beyond the broadcast bound the star builders and the checked join
+    take the shuffle-join path; results must not change."""
+    from lakestar.operators import joins, star
+
+    def same(a, b):
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    sales = wh01.conformed("crm_sales_details")
+    dim_p, dim_c = wh01.star("dim_products"), wh01.star("dim_customers")
+    assert same(star.fact_sales(sales, dim_p, dim_c, max_broadcast_rows=0), star.fact_sales(sales, dim_p, dim_c))
+    prd, cat = wh01.conformed("crm_prd_info"), wh01.conformed("erp_px_cat_g1v2")
+    assert same(star.dim_products(prd, cat, max_broadcast_rows=0), star.dim_products(prd, cat))
+    left = sales.select("sls_ord_num", "sls_cust_id")
+    right = dim_c.select("customer_id", "country")
+    assert same(joins.checked_join(left, right, ["sls_cust_id"], ["customer_id"], max_broadcast_rows=0),
+                joins.checked_join(left, right, ["sls_cust_id"], ["customer_id"]))
