@@ -60,21 +60,34 @@ def orphans(name, severity, table, dims: Sequence[tuple[str, str]]) -> Check:
 
 
 # ---- the conformed-layer and star-layer check lists ---------------------------------------
-def conformed_checks(as_of: _dt.date | str) -> list[Check]:
+def _text(name: str, collation: str | None) -> Column:
+    """A string column compared under ``collation`` (binary when None).
+
+    ``UTF8_LCASE_RTRIM`` mimics a server whose default collation ignores case
+    and trailing spaces in comparisons (SURVEY N3): ``'AW1 ' = 'AW1'`` and
+    ``'n/A' = 'n/a'``; leading spaces still count.
+    """
+    return F.collate(F.col(name), collation) if collation else F.col(name)
+
+
+def conformed_checks(as_of: _dt.date | str, collation: str | None = None) -> list[Check]:
+    """The 17 conformed-layer checks; ``collation`` applies to their string
+    comparisons (trim difference, domains, sentinels)."""
     as_of_col = lambda: F.lit(str(as_of)).cast("date")
+    t = lambda name: _text(name, collation)
     return [
         keys("crm_customer_key_null_or_duplicate", ERROR, "crm_cust_info", "cst_id"),
         rows("crm_customer_key_whitespace", ERROR, "crm_cust_info",
-             lambda: F.col("cst_key").isNull() | (F.col("cst_key") != F.trim("cst_key"))),
+             lambda: F.col("cst_key").isNull() | (t("cst_key") != F.trim("cst_key"))),
         rows("crm_customer_invalid_marital_status", ERROR, "crm_cust_info",
-             lambda: C.outside_domain("cst_marital_status", ["Single", "Married", C.UNKNOWN])),
-        rows("crm_customer_unknown_gender", WARNING, "crm_cust_info", lambda: C.unknown_or_null("cst_gndr")),
+             lambda: C.outside_domain(t("cst_marital_status"), ["Single", "Married", C.UNKNOWN])),
+        rows("crm_customer_unknown_gender", WARNING, "crm_cust_info", lambda: C.unknown_or_null(t("cst_gndr"))),
         keys("crm_product_key_null_or_duplicate", ERROR, "crm_prd_info", "prd_id"),
         unmatched("crm_product_unmatched_category", ERROR, "crm_prd_info", "cat_id", "erp_px_cat_g1v2", "id"),
         rows("crm_product_invalid_cost", ERROR, "crm_prd_info",
              lambda: F.col("prd_cost").isNull() | (F.col("prd_cost") < 0)),
         rows("crm_product_invalid_line", ERROR, "crm_prd_info",
-             lambda: C.outside_domain("prd_line", ["Mountain", "Road", "Other Sales", "Touring", C.UNKNOWN])),
+             lambda: C.outside_domain(t("prd_line"), ["Mountain", "Road", "Other Sales", "Touring", C.UNKNOWN])),
         rows("crm_product_invalid_date_range", ERROR, "crm_prd_info",
              lambda: F.col("prd_end_dt") < F.col("prd_start_dt")),
         rows("crm_sales_missing_order_date", WARNING, "crm_sales_details", lambda: F.col("sls_order_dt").isNull()),
@@ -84,20 +97,22 @@ def conformed_checks(as_of: _dt.date | str) -> list[Check]:
              lambda: C.invalid_measure("sls_sales", "sls_quantity", "sls_price")),
         rows("erp_customer_implausible_birthdate", WARNING, "erp_cust_az12",
              lambda: (F.col("bdate") < F.add_months(as_of_col(), -110 * 12)) | (F.col("bdate") > as_of_col())),
-        rows("erp_customer_unknown_gender", WARNING, "erp_cust_az12", lambda: C.unknown_or_null("gen")),
-        rows("erp_location_unknown_country", WARNING, "erp_loc_a101", lambda: C.unknown_or_null("cntry")),
+        rows("erp_customer_unknown_gender", WARNING, "erp_cust_az12", lambda: C.unknown_or_null(t("gen"))),
+        rows("erp_location_unknown_country", WARNING, "erp_loc_a101", lambda: C.unknown_or_null(t("cntry"))),
         keys("erp_category_key_null_or_duplicate", ERROR, "erp_px_cat_g1v2", "id"),
         rows("erp_category_invalid_maintenance_value", ERROR, "erp_px_cat_g1v2",
-             lambda: C.outside_domain("maintenance", ["Yes", "No"])),
+             lambda: C.outside_domain(t("maintenance"), ["Yes", "No"])),
     ]
 
 
-def star_checks() -> list[Check]:
+def star_checks(collation: str | None = None) -> list[Check]:
+    """The 12 star-schema checks; ``collation`` as in :func:`conformed_checks`."""
+    t = lambda name: _text(name, collation)
     return [
         keys("dim_customer_surrogate_key_null_or_duplicate", ERROR, "dim_customers", "customer_key"),
         keys("dim_customer_natural_key_null_or_duplicate", ERROR, "dim_customers", "customer_id"),
-        rows("dim_customer_unknown_gender", WARNING, "dim_customers", lambda: C.unknown_or_null("gender")),
-        rows("dim_customer_unknown_country", WARNING, "dim_customers", lambda: C.unknown_or_null("country")),
+        rows("dim_customer_unknown_gender", WARNING, "dim_customers", lambda: C.unknown_or_null(t("gender"))),
+        rows("dim_customer_unknown_country", WARNING, "dim_customers", lambda: C.unknown_or_null(t("country"))),
         keys("dim_product_surrogate_key_null_or_duplicate", ERROR, "dim_products", "product_key"),
         keys("dim_product_natural_key_null_or_duplicate", ERROR, "dim_products", "product_number"),
         rows("dim_product_missing_category_enrichment", ERROR, "dim_products",

@@ -140,3 +140,23 @@ def test_means_of_group_sums_matches_single_form(spark):
     both = kpi.means_of_group_sums(df, {"ma": "a", "mb": "b"}, "m").first()
     assert both.ma == pytest.approx(kpi.mean_of_group_sums(df, "a", "m", "x").first().x, rel=1e-12)
     assert both.mb == pytest.approx(kpi.mean_of_group_sums(df, "b", "m", "x").first().x, rel=1e-12)
+
+
+def test_checks_under_server_collation(spark):
+    """Binary comparison by default; with a case- and trailing-space-
+    insensitive collation, 'AW1 ' has no whitespace problem and 'single',
+    'N/A' are in their domains / sentinels."""
+    cust = spark.createDataFrame(
+        [(1, "AW1 ", "single", "N/A"), (2, " AW2", "Married", "Male"), (3, "AW3", "Single", "Female")],
+        "cst_id int, cst_key string, cst_marital_status string, cst_gndr string")
+    names = {"crm_customer_key_whitespace", "crm_customer_invalid_marital_status", "crm_customer_unknown_gender"}
+
+    def counts(collation):
+        checks = [c for c in quality.conformed_checks("2026-01-01", collation) if c.name in names]
+        return {r.check_name: r.failed_rows for r in quality.run_checks(checks, {"crm_cust_info": cust}).collect()}
+
+    assert counts(None) == {"crm_customer_key_whitespace": 2, "crm_customer_invalid_marital_status": 1,
+                            "crm_customer_unknown_gender": 0}
+    assert counts("UTF8_LCASE_RTRIM") == {"crm_customer_key_whitespace": 1,
+                                          "crm_customer_invalid_marital_status": 0,
+                                          "crm_customer_unknown_gender": 1}
