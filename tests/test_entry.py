@@ -30,3 +30,18 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     result = compare(E.queries()[name](spark, SF0001), con, E.oracle_sql()[name])
     assert result["ok"], result
+
+
+def test_end_to_end_job(spark, tmp_path_factory):
+    import os
+
+    from lakestar import run
+    from lakestar.session import new_run_dir
+
+    out = new_run_dir(spark, "metrics-job")
+    assert run.main(["--local", "--data", SF0001, "--no-gate", "--metrics-csv", out]) == 2
+    files = [f for f in os.listdir(out) if f.endswith(".csv")]
+    with open(os.path.join(out, files[0])) as fh:
+        lines = fh.read().splitlines()
+    assert lines[0] == "metric,value" and len(lines) == 20
+    assert run.main(["--local", "--data", SF0001]) == 1  # the gate fails on this data
