@@ -1,6 +1,6 @@
 """End-to-end job: build -> quality gate -> audit metrics -> publish.
 
-    spark-submit --conf spark.checkpoint.dir=<shared folder> -m lakestar.run --data <tables dir> [options]
+    spark-submit --conf spark.checkpoint.dir=<shared folder> lakestar/run.py --data <tables dir> [options]
     python -m lakestar.run --local --data /root/testdata/sf0.01 --no-gate
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (cluster
@@ -13,11 +13,15 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
+import os
 import sys
 
-from .operators import audit, kpi, quality
-from .plans.build import CONFORMED_RULES, DEFAULT_AS_OF, STAR_TABLES, Warehouse
-from .sources import csv_io
+if __package__ in (None, ""):  # run as a script (spark-submit lakestar/run.py): put the repo on the path
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from lakestar.operators import audit, kpi, quality  # noqa: E402
+from lakestar.plans.build import CONFORMED_RULES, DEFAULT_AS_OF, STAR_TABLES, Warehouse  # noqa: E402
+from lakestar.sources import csv_io  # noqa: E402
 
 
 def _parse(argv: list[str] | None) -> argparse.Namespace:
@@ -35,7 +39,7 @@ def _parse(argv: list[str] | None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> int:
     args = _parse(argv)
     if args.local:
-        from .session import local_session
+        from lakestar.session import local_session
 
         spark = local_session()
     else:

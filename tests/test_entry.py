@@ -32,7 +32,7 @@ def test_query_matches_oracle(spark, con, name):
     assert result["ok"], result
 
 
-def test_end_to_end_job(spark, tmp_path_factory):
+def test_end_to_end_job(spark):
     import os
 
     from lakestar import run
