@@ -18,18 +18,20 @@ SF0001 = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    # Tests run locally: the shared checkpoint folder is a private temp dir
-    # (only because the session does not name one).
     session = (
         SparkSession.builder.master("local[*]")
         .appName("lakestar-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakestar-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    # Use the shared checkpoint folder the environment names; only when none
+    # is set do the (local) tests pick a private one.
+    sc = session.sparkContext
+    if not session.conf.get("spark.checkpoint.dir", None) and not sc.getCheckpointDir():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lakestar-tests-"))
     yield session
     session.stop()
 
