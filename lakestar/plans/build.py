@@ -1,7 +1,7 @@
 """Build the warehouse: raw -> conformed -> star, materialised per run.
 
 Each build writes every layer under a fresh run folder in the shared root
-(``spark.checkpoint.dir``) and only then publishes the run by writing a
+(``spark.checkpoint.dir``) and only then publishes the run by appending a
 small pointer. Readers open the published run, so a failed or half-written
 build is never visible, and no job ever overwrites a path it reads.
 Materialising also cuts lineage: a lost executor re-reads parquet instead of
@@ -46,8 +46,9 @@ STAR_TABLES = ("dim_customers", "dim_products", "fact_sales")
 class Warehouse:
     """One snapshot of the three layers, built lazily table by table.
 
-    ``raw(name)`` is the lazy extract; ``conformed(name)`` and ``star(name)``
-    are read back from the run folder after their first write.
+    ``extract(name)`` is the lazy source extract; ``raw(name)``,
+    ``conformed(name)`` and ``star(name)`` are written to the run folder on
+    first use and read back from there afterwards.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.date = DEFAULT_AS_OF,
