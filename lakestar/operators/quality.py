@@ -8,8 +8,9 @@ A check is data: a name, a severity, the table it reads and how it counts.
   offending *keys*, not rows): a partial aggregate per key.
 * ``unmatched`` -- rows whose key has no partner in a lookup (anti join).
 * ``orphans`` -- fact rows whose surrogate keys miss either dimension,
-  counted exactly as two left joins would (including fan-out), but computed
-  on distinct key pairs instead of on fact rows.
+  counted exactly as two left joins would (including fan-out), weighing rows
+  by dimension key copies: broadcast copy tables when the dimensions are
+  small (no fact shuffle), else on distinct key pairs.
 
 A report is ``(check_name, severity, failed_rows)``, errors first.
 """
