@@ -64,6 +64,17 @@ class Warehouse:
         self._lock = threading.Lock()
         self._table_locks: dict[tuple[str, str], threading.Lock] = {}
 
+    @classmethod
+    def from_csv(cls, spark: SparkSession, datasets_dir: str, as_of: _dt.date = DEFAULT_AS_OF,
+                 mode: str = "FAILFAST", **kwargs) -> "Warehouse":
+        """A warehouse whose raw layer is loaded from the six CSV source
+        extracts (``source_crm/*.csv``, ``source_erp/*.csv``) instead of being
+        derived from the driver tables."""
+        from ..sources import csv_io
+
+        frames = csv_io.read_sources(spark, datasets_dir, mode=mode)
+        return cls(spark, datasets_dir, as_of=as_of, raw_frames=frames, **kwargs)
+
     # -- layers ---------------------------------------------------------------
     def extract(self, name: str) -> DataFrame:
         """The lazy source extract (not materialised)."""

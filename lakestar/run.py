@@ -26,7 +26,9 @@ from lakestar.sources import csv_io  # noqa: E402
 
 def _parse(argv: list[str] | None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="python -m lakestar.run", description=__doc__.splitlines()[0])
-    p.add_argument("--data", required=True, help="folder with the driver tables (<name>.parquet)")
+    src = p.add_mutually_exclusive_group(required=True)
+    src.add_argument("--data", help="folder with the driver tables (<name>.parquet)")
+    src.add_argument("--csv", help="datasets folder with source_crm/*.csv and source_erp/*.csv")
     p.add_argument("--as-of", default=str(DEFAULT_AS_OF), help="reference date for date checks (YYYY-MM-DD)")
     p.add_argument("--no-gate", action="store_true", help="report quality errors instead of failing")
     p.add_argument("--collation", default=None, help="collation for string checks, e.g. UTF8_LCASE_RTRIM")
@@ -48,7 +50,8 @@ def main(argv: list[str] | None = None) -> int:
         spark = SparkSession.builder.appName("lakestar").getOrCreate()
     as_of = _dt.date.fromisoformat(args.as_of)
 
-    wh = Warehouse(spark, args.data, as_of=as_of).build()
+    wh = (Warehouse.from_csv(spark, args.csv, as_of=as_of) if args.csv
+          else Warehouse(spark, args.data, as_of=as_of)).build()
     conformed = {n: wh.conformed(n) for n in CONFORMED_RULES}
     star = {n: wh.star(n) for n in STAR_TABLES}
     reports = {

@@ -47,6 +47,26 @@ def read_csv_with_null_tokens(spark: SparkSession, path: str, schema: T.StructTy
     return df.select(out)
 
 
+# The source file of each raw table, relative to the datasets
+# folder of the extracts.
+SOURCE_FILES = {
+    "crm_cust_info": "source_crm/cust_info.csv",
+    "crm_prd_info": "source_crm/prd_info.csv",
+    "crm_sales_details": "source_crm/sales_details.csv",
+    "erp_cust_az12": "source_erp/CUST_AZ12.csv",
+    "erp_loc_a101": "source_erp/LOC_A101.csv",
+    "erp_px_cat_g1v2": "source_erp/PX_CAT_G1V2.csv",
+}
+
+
+def read_sources(spark: SparkSession, datasets_dir: str, files: Mapping[str, str] = SOURCE_FILES,
+                 mode: str = "FAILFAST") -> dict[str, DataFrame]:
+    """The six source extracts as typed raw frames (lazy; Spark splits each
+    file across tasks). A path may also be a folder of CSV part files."""
+    root = datasets_dir.rstrip("/")
+    return {table: read_csv(spark, f"{root}/{rel}", RAW[table], mode) for table, rel in files.items()}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header + ``,``; text written verbatim (no whitespace trimming)."""
     (df.write.mode("errorifexists").option("header", True)
