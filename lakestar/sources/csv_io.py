@@ -24,9 +24,14 @@ from ..schemas import RAW
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST",
-             corrupt_column: str | None = None) -> DataFrame:
+             corrupt_column: str | None = None, quote: str | None = None) -> DataFrame:
+    """Typed CSV scan. ``quote=""`` turns quote handling off (a ``"`` is then
+    data, as in a plain bulk load); ``None`` keeps Spark's ``"`` quoting,
+    which round-trips :func:`write_csv` output."""
     reader = (spark.read.option("header", True).option("sep", ",").option("mode", mode)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if quote is not None:
+        reader = reader.option("quote", quote)
     if corrupt_column:
         schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
@@ -60,11 +65,11 @@ SOURCE_FILES = {
 
 
 def read_sources(spark: SparkSession, datasets_dir: str, files: Mapping[str, str] = SOURCE_FILES,
-                 mode: str = "FAILFAST") -> dict[str, DataFrame]:
+                 mode: str = "FAILFAST", quote: str | None = None) -> dict[str, DataFrame]:
     """The six source extracts as typed raw frames (lazy; Spark splits each
     file across tasks). A path may also be a folder of CSV part files."""
     root = datasets_dir.rstrip("/")
-    return {table: read_csv(spark, f"{root}/{rel}", RAW[table], mode) for table, rel in files.items()}
+    return {table: read_csv(spark, f"{root}/{rel}", RAW[table], mode, quote=quote) for table, rel in files.items()}
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -85,3 +85,11 @@ def test_warehouse_from_csv_sources(spark):
     for name in STAR_TABLES:
         a, b = direct.star(name), from_csv.star(name)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_quote_handling(spark):
+    path = _write_text(spark, ['id,cat,subcat,maintenance', 'AC_BR,"Racks, Bike",Bike Racks,Yes'], "csv-quote")
+    schema = RAW["erp_px_cat_g1v2"]
+    assert csv_io.read_csv(spark, path, schema).first().cat == "Racks, Bike"
+    literal = _write_text(spark, ['id,cat,subcat,maintenance', 'AC_BR,"Racks",Bike Racks,Yes'], "csv-noquote")
+    assert csv_io.read_csv(spark, literal, schema, quote="").first().cat == '"Racks"'
