@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_root
+from ..session import write_and_read
 
 # The patch table of :func:`next_value_within_key` has one row per slice.
 MAX_SLICES = 1_000_000
@@ -79,13 +79,13 @@ def next_value_within_key(df: DataFrame, key: str, order_col: str, tie_breakers:
         raise ValueError(f"too many slices for the broadcast patch table: {n}")
     order = [F.col(order_col).asc_nulls_first()] + [F.col(t).asc_nulls_first() for t in tie_breakers]
     # Range slices over the total order; a hot key spans several slices.
-    # The slice ids are written once (reliable checkpoint in the shared
-    # folder): the row pass and the slice summary below must see the same
-    # slices, and a retry after an executor loss must not re-sample them.
-    shared_root(spark)
-    sliced = (df.repartitionByRange(n, F.col(key).asc_nulls_first(), *order)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
+    # The slice ids are written once (a parquet table in the shared folder):
+    # the row pass and the slice summary below must see the same slices, a
+    # retry after an executor loss must not re-sample them, and the summary
+    # reads back only the key and order columns.
+    sliced = write_and_read(
+        df.repartitionByRange(n, F.col(key).asc_nulls_first(), *order).withColumn("_slice", F.spark_partition_id()),
+        "lead-slices")
     within = Window.partitionBy("_slice", key).orderBy(*order)
     local = sliced.withColumn(out, F.lead(order_col).over(within)) \
                   .withColumn("_is_last", F.lead(F.lit(1)).over(within).isNull())

@@ -6,8 +6,9 @@ distributed form below gives the same numbers:
 1. range-partition by the (total) order and sort within each partition;
 2. record each row's partition id and its position inside the partition
    (``monotonically_increasing_id`` is ``partition_id << 33 | position``);
-3. cut lineage with a reliable checkpoint, so retries after an executor loss
-   see the same positions;
+3. cut lineage by writing the rows with their (partition, position) to a
+   parquet table in the shared folder, so retries after an executor loss see
+   the same positions;
 4. count rows per partition -- one row per partition, a size bound we chose --
    and turn the counts into start offsets with a running sum;
 5. key = offset of the partition + position + 1, via a broadcast of that
@@ -24,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_root
+from ..session import write_and_read
 
 # Offsets are one row per partition; broadcasting them is safe up to this many.
 MAX_OFFSET_ROWS = 2_000_000
@@ -47,8 +48,7 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str = "surro
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
     if checkpoint:
-        shared_root(spark)
-        ranged = ranged.checkpoint(eager=True)
+        ranged = write_and_read(ranged, "dense-key")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # Running sum over at most `n` rows (one per partition).
     offsets = counts.withColumn(

@@ -13,7 +13,7 @@ import tempfile
 import threading
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lakestar",
@@ -65,3 +65,17 @@ def shared_root(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused folder under the shared root."""
     return f"{shared_root(spark)}/lakestar/{purpose}/{uuid.uuid4().hex}"
+
+
+def write_and_read(df: DataFrame, purpose: str) -> DataFrame:
+    """Cut lineage through a written table: ``df`` is written once as parquet
+    to a fresh folder under the shared root and read back with its schema.
+
+    Used instead of an RDD ``checkpoint()`` where the rows carry their own
+    bookkeeping columns (slice or partition id, position): parquet is
+    columnar and compressed, and later reads prune the columns they do not
+    need. Retries after an executor loss read the same files.
+    """
+    path = new_run_dir(df.sparkSession, purpose)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
