@@ -69,26 +69,25 @@ def _shape(df: DataFrame, table: str) -> DataFrame:
 def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     k = F.col("c_custkey")
-    base = c.select(
-        F.when(k % 401 == 7, F.lit(None)).otherwise(k).cast("int").alias("cst_id"),
-        _padded(k, "AW").alias("cst_key"),
-        F.when(k % 3 == 0, F.concat(F.lit("  "), "c_name")).otherwise(F.col("c_name")).alias("cst_firstname"),
-        F.when(k % 4 == 0, F.concat("c_mktsegment", F.lit(" "))).otherwise(F.col("c_mktsegment")).alias("cst_lastname"),
-        _case(k % 4, [(0, "S"), (1, " m"), (2, "M ")]).alias("cst_marital_status"),
-        _case(k % 5, [(0, "F"), (1, "m "), (2, "M"), (3, "")]).alias("cst_gndr"),
-        F.date_add(F.lit("2020-01-01").cast("date"), (k % 700).cast("int")).alias("cst_create_date"),
-    )
-    # A newer second version for some customers: the dedupe must keep it.
-    newer = c.where((k % 37 == 5) & (k % 401 != 7)).select(
-        k.cast("int").alias("cst_id"),
+    # Version 0 for every customer; a newer version 1 for some of them (the
+    # dedupe must keep it). Generated per row from one scan of the table.
+    has_newer = (k % 37 == 5) & (k % 401 != 7)
+    versions = c.withColumn("_v", F.explode(F.when(has_newer, F.array(F.lit(0), F.lit(1)))
+                                            .otherwise(F.array(F.lit(0)))))
+    newer = F.col("_v") == 1
+    out = versions.select(
+        F.when(newer, k).when(k % 401 == 7, F.lit(None)).otherwise(k).cast("int").alias("cst_id"),
         _padded(k, "AW").alias("cst_key"),
-        F.col("c_name").alias("cst_firstname"),
-        F.col("c_mktsegment").alias("cst_lastname"),
-        F.lit("M").alias("cst_marital_status"),
-        F.lit(None).cast("string").alias("cst_gndr"),
-        F.date_add(F.lit("2022-06-01").cast("date"), (k % 30).cast("int")).alias("cst_create_date"),
+        F.when(newer, F.col("c_name"))
+        .when(k % 3 == 0, F.concat(F.lit("  "), "c_name")).otherwise(F.col("c_name")).alias("cst_firstname"),
+        F.when(newer, F.col("c_mktsegment"))
+        .when(k % 4 == 0, F.concat("c_mktsegment", F.lit(" "))).otherwise(F.col("c_mktsegment")).alias("cst_lastname"),
+        F.when(newer, F.lit("M")).otherwise(_case(k % 4, [(0, "S"), (1, " m"), (2, "M ")])).alias("cst_marital_status"),
+        F.when(newer, F.lit(None)).otherwise(_case(k % 5, [(0, "F"), (1, "m "), (2, "M"), (3, "")])).alias("cst_gndr"),
+        F.when(newer, F.date_add(F.lit("2022-06-01").cast("date"), (k % 30).cast("int")))
+        .otherwise(F.date_add(F.lit("2020-01-01").cast("date"), (k % 700).cast("int"))).alias("cst_create_date"),
     )
-    return _shape(base.unionByName(newer), "crm_cust_info")
+    return _shape(out, "crm_cust_info")
 
 
 def crm_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
