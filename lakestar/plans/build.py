@@ -140,13 +140,21 @@ class Warehouse:
                 return registered
         self.build()
         root = shared_root(self.spark)
+        catalog = self.spark.catalog
+        # Check every target first, change nothing on a conflict: only an
+        # external table (dropping it keeps its files) is ever replaced; a
+        # managed table of that name is someone else's data.
+        for table in registered:
+            if catalog.tableExists(table) and catalog.getTable(table).tableType != "EXTERNAL":
+                raise RuntimeError(f"{table} exists as a {catalog.getTable(table).tableType} table; "
+                                   "not replacing it")
         for namespace, layer in layers.items():
             self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace} "
                            f"LOCATION '{root}/lakestar/catalog/{namespace}.db'")
             for name in names[layer]:
-                table = f"{namespace}.{name}"
-                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-                self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{self.path(layer, name)}'")
+                self.spark.sql(f"DROP TABLE IF EXISTS {namespace}.{name}")
+                self.spark.sql(f"CREATE TABLE {namespace}.{name} USING parquet "
+                               f"LOCATION '{self.path(layer, name)}'")
         with _CATALOG_LOCK:
             _CATALOG_OWNER[owner_key] = self.run_dir
         return registered

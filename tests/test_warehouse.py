@@ -271,3 +271,22 @@ def test_shuffle_join_fallbacks_agree(wh01):
     right = dim_c.select("customer_id", "country")
     assert same(joins.checked_join(left, right, ["sls_cust_id"], ["customer_id"], max_broadcast_rows=0),
                 joins.checked_join(left, right, ["sls_cust_id"], ["customer_id"]))
+
+
+def test_catalog_never_replaces_managed_tables(spark, wh01):
+    from lakestar.plans import build
+    from lakestar.session import new_run_dir
+
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS guarded LOCATION '{new_run_dir(spark, 'guarded')}'")
+    spark.sql("DROP TABLE IF EXISTS guarded.fact_sales")
+    spark.range(3).write.saveAsTable("guarded.fact_sales")  # a managed table someone else owns
+    try:
+        build._CATALOG_OWNER.clear()
+        with pytest.raises(RuntimeError, match="MANAGED"):
+            wh01.register_catalog({"guarded": "star"})
+        assert spark.table("guarded.fact_sales").count() == 3
+        assert not spark.catalog.tableExists("guarded.dim_customers")  # nothing changed
+    finally:
+        spark.sql("DROP TABLE IF EXISTS guarded.fact_sales")
+        spark.sql("DROP NAMESPACE IF EXISTS guarded CASCADE")
+        build._CATALOG_OWNER.clear()
