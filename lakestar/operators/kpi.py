@@ -7,7 +7,7 @@ sum). Breakdowns aggregate partially before their shuffle, so a hot group
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -99,10 +99,11 @@ def revenue_share(breakdown: DataFrame, attribute: str) -> DataFrame:
     """Add ``share_pct`` = revenue / total x 100, rounded half-up to 2 dp.
 
     The rounding is done exactly, in integer basis points, so no binary
-    floating-point tie can flip a digit. The breakdown has one row per group
-    (a few dozen), so the un-partitioned total over it is cheap.
+    floating-point tie can flip a digit. The total is a scalar subquery (a
+    global aggregate of partial sums, one value), so no task ever holds all
+    groups, however many there are, and no join is needed.
     """
-    total = F.sum("revenue").over(Window.partitionBy())
+    total = breakdown.select(F.sum("revenue")).scalar()
     wide = F.col("revenue").cast("decimal(38,0)")
     basis_points = C.int_div(wide * 20000 + total, total * 2)
     return breakdown.select(attribute, "revenue", (basis_points.cast("double") / 100).alias("share_pct")) \
