@@ -66,3 +66,10 @@ def test_small_dimension_breakdown_has_one_row_shuffle(wh01):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     # Exchanges: the partial-aggregate shuffle and the final (tiny) sort.
     assert len(re.findall(r"^\(\d+\) (?:Broadcast)?Exchange", text, re.M)) <= 3
+
+
+def test_revenue_share_total_is_a_scalar_subquery(spark):
+    groups = spark.range(5000).select(F.col("id").cast("string").alias("g"), (F.col("id") % 97).alias("revenue"))
+    text = plan(kpi.revenue_share(groups, "g"))
+    assert "Subquery" in text
+    assert "Window" not in text and "Join" not in text
