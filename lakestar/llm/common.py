@@ -69,7 +69,8 @@ def words(text: Column) -> Column:
 
 
 def shingles(words_: Column, k: int) -> Column:
-    """64-bit hashes of all runs of ``k`` words, in order, with repeats; none when there are fewer words."""
+    """64-bit hashes of all runs of ``k`` words, in order, with repeats; none when there are fewer words.
+    ``words_`` must be a plain column: an expression would be evaluated again for every shingle."""
     grams = F.transform(F.sequence(F.lit(0), F.size(words_) - k),
                         lambda i: F.xxhash64(*[F.get(words_, i + j) for j in range(k)]))
     return F.when(F.size(words_) >= k, grams).otherwise(F.array().cast("array<bigint>"))

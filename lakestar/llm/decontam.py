@@ -39,12 +39,15 @@ def find_contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id
     """doc_id, item_id, n_item_shingles, n_common, containment: a row for each item contained in a document."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = written(item_sketches(items, threshold, item_id_col, item_text_col), "decontam-items")
-    probes = texts.select("doc_id", F.explode(shingles(words(F.col("text")), SHINGLE_WORDS)).alias("h"))
+    # The words are a column of their own, so that they are split once and not for each shingle.
+    probes = (texts.select("doc_id", words(F.col("text")).alias("w"))
+              .select("doc_id", F.explode(shingles(F.col("w"), SHINGLE_WORDS)).alias("h")))
     sketch = known.select("item_id", F.explode("sketch").alias("h"))
     found = written(probes.join(sketch, "h").select("doc_id", "item_id").distinct(), "decontam-candidates")
     wanted = found.join(known.select("item_id", "grams", "n"), "item_id")
     suspects = texts.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
-    of_doc = suspects.select("doc_id", F.array_distinct(shingles(words(F.col("text")), SHINGLE_WORDS)).alias("doc_grams"))
+    of_doc = (suspects.select("doc_id", words(F.col("text")).alias("w"))
+              .select("doc_id", F.array_distinct(shingles(F.col("w"), SHINGLE_WORDS)).alias("doc_grams")))
     checked = of_doc.join(wanted, "doc_id").select(
         "doc_id", "item_id", F.col("n").cast("bigint").alias("n_item_shingles"),
         F.size(F.array_intersect("grams", "doc_grams")).cast("bigint").alias("n_common"))

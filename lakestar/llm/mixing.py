@@ -48,13 +48,11 @@ def source_rates(docs: DataFrame, weights: dict | None, epochs: float, source: s
         given = docs.sparkSession.createDataFrame(
             [(k, float(v)) for k, v in weights.items()], f"name {docs.select(source).schema[0].dataType.simpleString()}, weight double")
         stats = stats.join(given, F.col("source").eqNullSafe(F.col("name")), "left").drop("name")
-    stats = stats.where("bytes > 0 and weight > 0")
-    total = stats.agg(F.sum("bytes").alias("all_bytes"), F.sum("weight").alias("all_weight"))
-    rates = (stats.join(F.broadcast(total))  # one row
-             .withColumn("rate", F.col("weight") / F.col("all_weight") * F.lit(float(epochs)) * F.col("all_bytes") / F.col("bytes"))
-             .withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / MAX_MEAN)).cast("int"))
-             .withColumn("cdf", poisson_cdf(F.col("rate") / F.col("parts"))))
-    return written(rates.select("source", "rate", "parts", "cdf"), "mix-rates")
+    stats = written(stats.where("bytes > 0 and weight > 0"), "mix-sources")
+    total = stats.agg(F.sum("bytes").alias("bytes"), F.sum("weight").alias("weight")).first()
+    rate = F.col("weight") / F.lit(total["weight"]) * F.lit(float(epochs)) * F.lit(total["bytes"]) / F.col("bytes")
+    rates = stats.withColumn("rate", rate).withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / MAX_MEAN)).cast("int"))
+    return rates.withColumn("cdf", poisson_cdf(F.col("rate") / F.col("parts")))
 
 
 def mix_sources(docs: DataFrame, weights: dict | None = None, epochs: float = 1.0, seed: int = 17,
