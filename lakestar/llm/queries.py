@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontam, line_dedup, mixing, sharding
+from . import chat_format, decontam, line_dedup, mixing, near_dup, sharding
 from .common import table
 
 #: A conversation that the chat query adds to the table: both texts hold control strings.
@@ -47,12 +47,19 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs).select("doc_id", "n_lines", "n_removed", F.col("text").alias("kept_text"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents, at a Jaccard similarity of 0.85."""
+    groups = near_dup.near_duplicate_groups(table(spark, sf_dir, "documents"), percent=85)
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard_minimax": op2_shard_minimax,
     "op3_decontaminate": op3_decontaminate,
     "op6_chat_format": op6_chat_format,
     "op7_line_dedup": op7_line_dedup,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 _UNIFORM = "('0x' || substr(md5(concat_ws('|', '17', coalesce(CAST(doc_id AS VARCHAR), ''), '1')), 1, 13))::BIGINT / 4503599627370496.0"
