@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontam, line_dedup, mixing, near_dup, sharding
+from . import chat_format, decontam, lang_id, line_dedup, mixing, near_dup, sharding, substring_dedup
 from .common import table
 
 #: A conversation that the chat query adds to the table: both texts hold control strings.
@@ -28,6 +28,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 13-word windows that a document with a smaller id has too."""
+    parsed = substring_dedup.factor_documents(table(spark, sf_dir, "documents"))
+    return parsed.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, formatted and read back."""
     added = spark.createDataFrame([(TRICKY_CONVERSATION, 0, "user", TRICKY_TEXT), (TRICKY_CONVERSATION, 1, "assistant", TRICKY_TEXT)],
@@ -47,6 +53,19 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs).select("doc_id", "n_lines", "n_removed", F.col("text").alias("kept_text"))
 
 
+def held_out() -> Column:
+    """The fold that no language model learns from: a hash of the id."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from the labels of three folds in four."""
+    docs = table(spark, sf_dir, "documents")
+    model = lang_id.fit(docs.where(~held_out()))
+    told = lang_id.identify(docs.select("doc_id", "text"), model)
+    return told.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents, at a Jaccard similarity of 0.85."""
     groups = near_dup.near_duplicate_groups(table(spark, sf_dir, "documents"), percent=85)
@@ -57,8 +76,10 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard_minimax": op2_shard_minimax,
     "op3_decontaminate": op3_decontaminate,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_line_dedup": op7_line_dedup,
+    "op8_language_id": op8_language_id,
     "op9_near_duplicates": op9_near_duplicates,
 }
 
