@@ -26,7 +26,10 @@ from pyspark.sql import functions as F
 from .common import spare, with_columns
 
 SAMPLE_TEXTS, SAMPLE_CHARS = 400, 2000
-DICTIONARY_BYTES, BLOCK_BYTES, LEVEL = 100_000, 4096, 3
+DICTIONARY_BYTES, BLOCK_BYTES = 100_000, 512
+#: A search that follows chains, with short matches: small blocks are found in the dictionary even when they have few common words.
+PARAMETERS = {"window_log": 17, "chain_log": 15, "hash_log": 16, "search_log": 4, "min_match": 4, "strategy": zstandard.STRATEGY_LAZY,
+              "write_content_size": False, "write_checksum": False, "write_dict_id": False}
 UNKNOWN = "und"
 _DROP = (string.punctuation + string.digits).encode()
 
@@ -62,12 +65,11 @@ def _fill(pieces: list[bytes]) -> bytes:
 
 
 def encoders(model: dict[str, bytes]) -> list[tuple[str, Callable[[bytes], bytes]]]:
-    out = []
+    out, parameters = [], zstandard.ZstdCompressionParameters(**PARAMETERS)
     for lang in sorted(model):
         content = zstandard.ZstdCompressionDict(model[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        content.precompute_compress(level=LEVEL)
-        out.append((lang, zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False, write_checksum=False,
-                                                   write_dict_id=False).compress))
+        content.precompute_compress(compression_params=parameters)
+        out.append((lang, zstandard.ZstdCompressor(compression_params=parameters, dict_data=content).compress))
     return out
 
 
@@ -75,7 +77,7 @@ def classify(text: str | None, coders: list[tuple[str, Callable[[bytes], bytes]]
     """Language and margin of a text."""
     if not text or not coders or not any(c.isalpha() for c in text):
         return UNKNOWN, 0.0
-    data = normal(text)
+    data = b" " + normal(text) + b" "
     blocks = [data[at:at + BLOCK_BYTES] for at in range(0, len(data), BLOCK_BYTES)]
     sizes = sorted((sum(len(encode(b)) for b in blocks), lang) for lang, encode in coders)
     if len(sizes) == 1:
@@ -96,7 +98,7 @@ def predictor(model: dict[str, bytes]) -> Callable:
     return predict
 
 
-def identify(docs: DataFrame, model: dict[str, bytes], min_margin: float = 0.01, text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: dict[str, bytes], min_margin: float = 0.005, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected``."""
     told = spare(docs, "told_language")
     out = docs.withColumn(told, predictor(model)(F.col(text_col)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontam, lang_id, line_dedup, mixing, near_dup, sharding, substring_dedup
+from . import chat_format, decontam, html_extract, lang_id, line_dedup, mixing, near_dup, sharding, substring_dedup
 from .common import table
 
 #: A conversation that the chat query adds to the table: both texts hold control strings.
@@ -28,6 +28,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages, by weights learned from those that mark it."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, html_extract.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of 13-word windows that a document with a smaller id has too."""
     parsed = substring_dedup.factor_documents(table(spark, sf_dir, "documents"))
@@ -76,6 +82,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard_minimax": op2_shard_minimax,
     "op3_decontaminate": op3_decontaminate,
+    "op4_html_extract": op4_html_extract,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_line_dedup": op7_line_dedup,
