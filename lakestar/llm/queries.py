@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontam, html_extract, lang_id, line_dedup, mixing, near_dup, sharding, substring_dedup
+from . import ann, chat_format, decontam, html_extract, lang_id, line_dedup, mixing, near_dup, sharding, substring_dedup
 from .common import table
 
 #: A conversation that the chat query adds to the table: both texts hold control strings.
@@ -78,6 +78,11 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
+def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of each whose id 20 divides."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard_minimax": op2_shard_minimax,
@@ -88,6 +93,7 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_language_id": op8_language_id,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_nearest_vectors": op10_nearest_vectors,
 }
 
 _UNIFORM = "('0x' || substr(md5(concat_ws('|', '17', coalesce(CAST(doc_id AS VARCHAR), ''), '1')), 1, 13))::BIGINT / 4503599627370496.0"
