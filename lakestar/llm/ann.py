@@ -73,8 +73,7 @@ def inverted_files(near: np.ndarray, pivots: int) -> list[tuple[np.ndarray, np.n
 
 
 def _search(k: int, pivots: int):
-    def search(found: Iterator[pa.RecordBatch], asked: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        objects, queries = pa.Table.from_batches(list(found)), pa.Table.from_batches(list(asked))
+    def search(objects: pa.Table, queries: pa.Table) -> pa.Table:
         out_q, out_id, out_score = [], [], []
         if objects.num_rows and queries.num_rows:
             objects = objects.sort_by("id")
@@ -99,7 +98,7 @@ def _search(k: int, pivots: int):
                 out_id.append(ids[chosen][best])
                 out_score.append(scores[best])
         join = lambda x, kind: pa.array(np.concatenate(x) if x else np.zeros(0), kind)
-        yield pa.RecordBatch.from_arrays([join(out_q, pa.int64()), join(out_id, pa.int64()), join(out_score, pa.float64())], names=["query_id", "vec_id", "score"])
+        return pa.table([join(out_q, pa.int64()), join(out_id, pa.int64()), join(out_score, pa.float64())], names=["query_id", "vec_id", "score"])
 
     return search
 

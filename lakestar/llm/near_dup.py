@@ -100,9 +100,8 @@ def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["a", "b", "shared", "united"])
 
 
-def _compare(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(rows: pa.Table) -> pa.Table:
     """key, side, rep, n, label, signature of two blocks -> pairs a < b of different labels with near signatures."""
-    rows = pa.Table.from_batches(list(group))
     side = rows["side"].to_numpy()
     rep, label = rows["rep"].to_numpy(), rows["label"].to_numpy()
     values = np.frombuffer(b"".join(rows["signature"].to_pylist()), dtype=np.uint16).reshape(-1, VALUES)
@@ -115,7 +114,7 @@ def _compare(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_b.append(np.maximum(rep[near], rep[i]))
     a, b = np.concatenate(out_a or [rep[:0]]), np.concatenate(out_b or [rep[:0]])
     pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
