@@ -4,7 +4,7 @@ Groups of equal texts are atomic. They are ordered by the hash of their text and
 of that order, the atoms, so what the driver sees is bounded by a parameter and not by the data. An atom with more
 bytes than an even share gets a shard of its own (no cut can do better). The others, in order, are cut by
 minimax: a binary search over the shard capacity, each step a greedy filling of shards up to it, finds the
-smallest capacity that works, and the cuts are made there.
+smallest capacity that works. The cuts are made within it, as evenly as it allows.
 
 Slots count up from 0 in each shard. An atom is numbered in cells of at most about the mean number of rows, split
 by a hash of the id, so a group of copies with a third of all rows is spread over many tasks.
@@ -28,14 +28,32 @@ ROW_BYTES = 8
 ATOM_BITS = 16
 
 
-def greedy_cuts(ends: np.ndarray, capacity: int, shards: int) -> list[int] | None:
-    """Where shards end (indexes into ``ends``, the running sums) when each is filled up to ``capacity``; None if they don't suffice."""
-    cuts, at, before = [], 0, 0
+def fits(ends: np.ndarray, capacity: int, shards: int) -> bool:
+    """Whether shards that are filled one by one up to ``capacity`` hold all; ``ends``: running sums of the sizes."""
+    at = before = 0
     for _ in range(shards):
         at = int(np.searchsorted(ends, before + capacity, side="right"))
-        cuts.append(at)
         before = int(ends[at - 1]) if at else 0
-    return cuts if at == len(ends) else None
+    return at == len(ends)
+
+
+def cuts_within(ends: np.ndarray, capacity: int, shards: int) -> list[int]:
+    """Where the shards end (as indexes after their last) within a feasible ``capacity``: each cut as near as possible to an even share
+    of what is left, such that what comes after it still fits."""
+    before = np.concatenate(([0], ends))
+    starts = [len(ends)]  # the first index from which the last 0, 1, 2, ... shards hold all the rest
+    for _ in range(shards - 1):
+        starts.append(int(np.searchsorted(before, before[starts[-1]] - capacity, side="left")))
+    cuts, at = [], 0
+    for left in range(shards, 0, -1):
+        high = int(np.searchsorted(ends, before[at] + capacity, side="right"))
+        even = before[at] + (int(ends[-1]) - before[at]) / left
+        nearest = int(np.searchsorted(before, even))
+        if nearest and even - before[nearest - 1] < before[min(nearest, len(ends))] - even:
+            nearest -= 1
+        at = min(max(nearest, starts[left - 1], at), high)
+        cuts.append(at)
+    return cuts
 
 
 def minimax_cuts(sizes: np.ndarray, shards: int) -> tuple[int, list[int]]:
@@ -46,11 +64,11 @@ def minimax_cuts(sizes: np.ndarray, shards: int) -> tuple[int, list[int]]:
     low, high = max(int(sizes.max()), -(-int(ends[-1]) // shards)), int(ends[-1])
     while low < high:
         middle = (low + high) // 2
-        if greedy_cuts(ends, middle, shards):
+        if fits(ends, middle, shards):
             high = middle
         else:
             low = middle + 1
-    return low, greedy_cuts(ends, low, shards)
+    return low, cuts_within(ends, low, shards)
 
 
 def place_atoms(sizes: np.ndarray, shards: int) -> np.ndarray:
