@@ -10,18 +10,20 @@ lower-cased); with fewer words the whole sequence is one shingle. Documents whos
    values on average and share no key with a chance of 2e-8 (at 0.8: 3e-6); pairs over the distance may share one too, and are treated alike.
 3. A key's representatives are linked without listing their pairs. First each representative is compared with the smallest one of all its keys,
    then, where a key still holds several groups, with the pivot that a hash draws for each key. What then remains in a
-   key of three or more, pairs of different groups, is compared block by block inside tasks, signatures first.
+   key of three or more, pairs of different groups, is compared block by block inside tasks: sizes and signatures, then the full sets. Only links leave
+   a task, one for each document at most.
    So no link is lost, and a key that a third of all documents share takes a comparison or two for each of them.
 4. Every link is confirmed on the full sets (exact Jaccard, in whole numbers) before it counts.
 5. Groups are connected components, by joins (``components``).
 
 Defined results: null and blank texts have an empty set and are linked with nothing; rows with the same id are one document, whose text
-is the smallest non-null one; rows without an id give no row here; ties don't arise, as a group keeps its smallest id; an empty table gives an empty result.
+is the one with words that has the smallest hash; rows without an id give no row here; ties don't arise, as a group keeps its smallest id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +38,8 @@ from .shingles import mix, shingle_set
 SHINGLE_WORDS = 5
 CHUNKS, SLOTS, ERRORS = 12, 6, 1
 VALUES, BITS = CHUNKS * SLOTS, 16
-#: Within what remains after both rounds, signatures that differ in more values aren't compared in full: at a similarity of 0.8, the chance is below 1e-8.
-FAR = 36
+#: Within what remains after both rounds, signatures that differ in more values than links do with this chance aren't compared in full.
+MISS = 1e-7
 #: Representatives of a key that are compared in one step there.
 BLOCK = 512
 
@@ -61,27 +63,48 @@ def keys(signatures: np.ndarray) -> np.ndarray:
     return mix(np.repeat(chunks, SLOTS, axis=1) - slots + _SLOT)
 
 
+def far(percent: int) -> int:
+    """The most values in which the signatures of a link differ, but for a chance of MISS: the tail of a binomial distribution."""
+    differ = 1 - percent / 100
+    tail = 0.0
+    for d in range(VALUES, 0, -1):
+        tail += math.comb(VALUES, d) * differ ** d * (1 - differ) ** (VALUES - d)
+        if tail > MISS:
+            return d
+    return 0
+
+
+def first_shared(differs: np.ndarray) -> np.ndarray:
+    """For pairs of signatures (rows: which values differ) the number of the first key that both have; VALUES if none."""
+    chunks = differs.reshape(-1, CHUNKS, SLOTS)
+    errors = chunks.sum(axis=2)
+    chunk = (errors <= 1).argmax(axis=1)
+    rows = np.arange(len(differs))
+    slot = np.where(errors[rows, chunk] == 1, chunks[rows, chunk].argmax(axis=1), 0)
+    return np.where((errors <= 1).any(axis=1), chunk * SLOTS + slot, VALUES)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, sizes, prints, signatures = [], [], [], []
-        for doc, text in zip(batch.column(0), batch.column(1)):
+        sizes, prints, signatures = [], [], []
+        for text in batch.column(1):
             grams = shingle_set(text.as_py(), SHINGLE_WORDS)
-            ids.append(doc)
             sizes.append(len(grams))
             prints.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
             signatures.append(signature(grams).tobytes() if len(grams) else None)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-                                          pa.array(signatures, pa.binary())], names=["id", "n", "print", "signature"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
+                                          pa.array(signatures, pa.binary())], names=["id", "version", "n", "print", "signature"])
 
 
 def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """rep, n, signature -> key, rep, n."""
+    """rep, n, signature -> key, place (of the key among a signature's), rep, n."""
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
             found = keys(np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint16).reshape(-1, VALUES))
             reps, sizes = (np.repeat(batch.column(i).to_numpy(), VALUES) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(found.ravel().view(np.int64)), pa.array(reps), pa.array(sizes)], names=["key", "rep", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(found.ravel().view(np.int64)), pa.array(np.tile(np.arange(VALUES, dtype=np.int16), len(found))),
+                                              pa.array(reps), pa.array(sizes)], names=["key", "place", "rep", "n"])
 
 
 def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,21 +123,70 @@ def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["a", "b", "shared", "united"])
 
 
-def _compare(rows: pa.Table) -> pa.Table:
-    """key, side, rep, n, label, signature of two blocks -> pairs a < b of different labels with near signatures."""
-    side = rows["side"].to_numpy()
-    rep, label = rows["rep"].to_numpy(), rows["label"].to_numpy()
-    values = np.frombuffer(b"".join(rows["signature"].to_pylist()), dtype=np.uint16).reshape(-1, VALUES)
-    left = np.flatnonzero(side == 0)
-    right = np.flatnonzero(side == 1) if (side == 1).any() else left
-    out_a, out_b = [], []
-    for i in left:
-        near = right[(label[right] != label[i]) & ((values[right] != values[i]).sum(axis=1) <= FAR)]
-        out_a.append(np.minimum(rep[near], rep[i]))
-        out_b.append(np.maximum(rep[near], rep[i]))
-    a, b = np.concatenate(out_a or [rep[:0]]), np.concatenate(out_b or [rep[:0]])
-    pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-    return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+_CELL = "key bigint, one int, two int, side int, place smallint, rep bigint, n bigint, label bigint, signature binary"
+
+
+class _Cell:
+    """Two blocks of a key's representatives (or one with itself), by ascending set size."""
+
+    def __init__(self, rows: pa.Table, percent: int):
+        self.order = np.argsort(rows["n"].to_numpy(), kind="stable")
+        side, self.rep, self.n, self.label = (rows[x].to_numpy()[self.order] for x in ("side", "rep", "n", "label"))
+        self.values = np.frombuffer(b"".join(rows["signature"].to_pylist()), dtype=np.uint16).reshape(-1, VALUES)[self.order]
+        self.place, self.percent, self.most = rows["place"][0].as_py(), percent, far(percent)
+        self.left = np.flatnonzero(side == 0)
+        self.right = self.left if rows["one"][0] == rows["two"][0] else np.flatnonzero(side == 1)
+
+    def partners(self, i: int) -> np.ndarray:
+        """Those of the right block that may be links of the left one's ``i``: another label, sizes and signatures that allow it, and
+        this key is the first that both have (so that no pair is taken twice)."""
+        sizes = self.n[self.right]
+        low = np.searchsorted(sizes, -(-self.n[i] * self.percent // 100))
+        high = np.searchsorted(sizes, self.n[i] * 100 // self.percent, side="right")
+        near = self.right[low:high]
+        near = near[self.label[near] != self.label[i]]
+        differs = self.values[near] != self.values[i]
+        return near[(differs.sum(axis=1) <= self.most) & (first_shared(differs) == self.place)]
+
+
+def _with_partners(percent: int):
+    def keep(rows: pa.Table) -> pa.Table:
+        """The rows that have a partner in the cell."""
+        cell, has = _Cell(rows, percent), np.zeros(rows.num_rows, dtype=bool)
+        for i in cell.left:
+            near = cell.partners(i)
+            has[near] = True
+            has[i] |= len(near) > 0
+        return rows.take(cell.order[has])
+
+    return keep
+
+
+def _links_of_cell(percent: int):
+    def link(rows: pa.Table) -> pa.Table:
+        """Confirmed links of a cell's pairs, as (a, b): a the first of those that are connected here. Exact, on the full sets."""
+        cell = _Cell(rows, percent)
+        texts = rows["text"].take(cell.order)
+        sets = [shingle_set(x.as_py(), SHINGLE_WORDS) for x in texts]
+        group = np.arange(len(sets))
+        for i in cell.left:
+            near = cell.partners(i)
+            near = near[group[near] != group[i]]
+            if not len(near):
+                continue
+            lengths = np.array([len(sets[j]) for j in near])
+            common = np.isin(np.concatenate([sets[j] for j in near]), sets[i])
+            shared = np.add.reduceat(common.astype(np.int64), np.cumsum(lengths) - lengths)
+            for j in near[shared * 100 >= (lengths + len(sets[i]) - shared) * percent]:
+                if group[j] != group[i]:
+                    group[group == group[j]] = group[i]
+        first = {}
+        for i, g in enumerate(group):
+            first[g] = min(first.get(g, cell.rep[i]), cell.rep[i])
+        pairs = [(first[g], r) for g, r in zip(group, cell.rep) if first[g] != r]
+        return pa.table([pa.array([x[0] for x in pairs], pa.int64()), pa.array([x[1] for x in pairs], pa.int64())], names=["a", "b"])
+
+    return link
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -125,52 +197,60 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return counted.where(F.col("shared") * 100 >= F.col("united") * percent).select("a", "b")
 
 
+def labelled(rows: DataFrame, labels: DataFrame, by: str, name: str) -> DataFrame:
+    """``rows`` with the label of the node in column ``by``; a node without one is its own."""
+    of = labels.select(F.col("node").alias(by), F.col("label").alias(name))
+    return rows.join(of, by, "left").withColumn(name, F.coalesce(name, by))
+
+
+def merged(links: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """node, label after ``links`` (a, b) have joined groups: components of the graph of the labels so far."""
+    links = written(links, "near-links")
+    if labels is None:
+        return components(links)
+    at = labelled(labelled(links, labels, "a", "la"), labels, "b", "lb")
+    new = components(at.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")))
+    step = new.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    moved = labels.join(step, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    fresh = new.join(labels.select("node"), "node", "left_anti")  # nodes that had been their own
+    return written(moved.unionByName(fresh), "near-labels")
+
+
 def near_duplicate_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id: a row for each document. ``percent``: the least Jaccard similarity of a link, in hundredths."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    signed = texts.mapInArrow(_sign, "id bigint, n bigint, print binary, signature binary")
-    # Repeated ids count once: the smallest print stands for the smallest text, as equal rows have equal prints.
-    signed = written(signed, "near-signed")
-    signed = signed.groupBy("id").agg(F.min(F.struct("print", "n", "signature")).alias("s")).select("id", "s.*")
-    signed = written(signed, "near-documents")
-    reps = written(signed.where("n > 0").groupBy("print").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.max("signature").alias("signature")),
-                   "near-representatives")
-
-    posts = reps.select("rep", "n", "signature").mapInArrow(_post, "key bigint, rep bigint, n bigint")
+    texts = texts.withColumn("version", F.xxhash64("text"))
+    signed = texts.mapInArrow(_sign, "id bigint, version bigint, n bigint, print binary, signature binary")
+    own = F.min(F.struct((F.col("n") == 0).alias("blank"), "version", "print", "n", "signature"))
+    signed = written(signed.groupBy("id").agg(own.alias("own")).select("id", "own.version", "own.print", "own.n", "own.signature"), "near-documents")
+    found = signed.where("n > 0").groupBy("print").agg(F.min(F.struct("id", "version", "n", "signature")).alias("r"))
+    reps = written(found.select("print", F.col("r.id").alias("rep"), "r.version", "r.n", "r.signature"), "near-representatives")
+
+    posts = reps.select("rep", "n", "signature").mapInArrow(_post, "key bigint, place smallint, rep bigint, n bigint")
     drawn = F.struct(F.xxhash64("rep", "key"), F.col("rep"))
     shared = posts.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("members"), F.min(drawn).alias("drawn"))
     shared = written(shared.where("low <> high").select("key", "low", "members", F.col("drawn.rep").alias("pivot")), "near-keys")
     members = written(posts.join(shared, "key"), "near-members")
     sizes = reps.select(F.col("rep").alias("other"), F.col("n").alias("other_n"))
-    needed = members.select(F.col("rep").alias("id")).distinct()
-    texts = written(texts.join(needed, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
+    needed = members.select("rep").distinct().join(reps.select("rep", "version"), "rep").withColumnRenamed("rep", "id")
+    texts = written(texts.join(needed, ["id", "version"], "left_semi").groupBy("id", "version").agg(F.min("text").alias("text")), "near-texts")
     fits = F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent
 
-    def round_(pairs: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """Links with those of ``pairs`` that are confirmed, and the labels they give."""
-        new = written(confirmed(pairs, texts, percent), "near-links")
-        links = new if links is None else links.unionByName(new)
-        return links, components(links)
-
     first = members.groupBy("rep", "n").agg(F.min("low").alias("other")).where("rep <> other").join(sizes, "other").where(fits)
     tested = written(first.select(F.col("other").alias("a"), F.col("rep").alias("b")), "near-pairs")
-    links, labels = round_(tested, None)
-
-    def labelled(rows: DataFrame, by: str, name: str) -> DataFrame:
-        of = labels.select(F.col("node").alias(by), F.col("label").alias(name))
-        return rows.join(of, by, "left").withColumn(name, F.coalesce(name, by))
+    labels = merged(confirmed(tested, texts, percent), None)
 
-    # Keys of more than one group are left; most keys of two members are done.
     def still_mixed() -> DataFrame:
-        rows = labelled(members, "rep", "label")
+        """Members of the keys that hold several groups."""
+        rows = labelled(members, labels, "rep", "label")
         mixed = rows.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("key")
         return written(rows.join(mixed, "key", "left_semi"), "near-mixed")
 
     mixed = still_mixed()
     second = mixed.select("rep", "n", "label", F.explode(F.array("low", "pivot")).alias("other")).where("rep <> other").distinct()
-    second = labelled(second.join(sizes, "other").where(fits), "other", "other_label").where("label <> other_label")
+    second = labelled(second.join(sizes, "other").where(fits), labels, "other", "other_label").where("label <> other_label")
     second = second.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
-    links, labels = round_(written(second.join(tested, ["a", "b"], "left_anti"), "near-pairs"), links)
+    labels = merged(confirmed(written(second.join(tested, ["a", "b"], "left_anti"), "near-pairs"), texts, percent), labels)
 
     rest = still_mixed().where("members > 2").join(reps.select("rep", "signature"), "rep")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
@@ -178,13 +258,13 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc
     placed = rest.withColumn("blocks", blocks).withColumn("block", block)
     paired = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.select("key", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"),
-                           F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "rep", "n", "label", "signature")
-    third = paired.groupBy("key", "one", "two").applyInArrow(_compare, "a bigint, b bigint").distinct()
-    third = third.join(sizes.select(F.col("other").alias("a"), F.col("other_n").alias("n")), "a").join(
-        sizes.select(F.col("other").alias("b"), "other_n"), "b").where(fits).select("a", "b")
-    links, labels = round_(written(third.join(tested, ["a", "b"], "left_anti"), "near-pairs"), links)
+                           F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "place", "rep", "n", "label", "signature")
+    cell = ("key", "one", "two")
+    able = paired.groupBy(*cell).applyInArrow(_with_partners(percent), _CELL)
+    able = able.join(texts.select(F.col("id").alias("rep"), "text"), "rep").select(*[x.split()[0] for x in _CELL.split(", ")], "text")
+    labels = merged(able.groupBy(*cell).applyInArrow(_links_of_cell(percent), "a bigint, b bigint"), labels)
 
-    of_print = labelled(reps, "rep", "component_id").select("print", "component_id")
+    of_print = labelled(reps, labels, "rep", "component_id").select("print", "component_id")
     return (signed.join(of_print, "print", "left")
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))
 
