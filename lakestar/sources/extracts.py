@@ -58,7 +58,9 @@ def _case(value: Column, pairs, default=None) -> Column:
 
 
 def _padded(key: Column, prefix: str) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 8, "0"))
+    """``prefix`` and the key with at least eight digits; longer keys keep all of theirs (``lpad`` alone would cut them)."""
+    digits = key.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(8), F.length(digits)), "0"))
 
 
 def _shape(df: DataFrame, table: str) -> DataFrame:
@@ -76,7 +78,7 @@ def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             .otherwise(F.array(F.lit(0)))))
     newer = F.col("_v") == 1
     out = versions.select(
-        F.when(newer, k).when(k % 401 == 7, F.lit(None)).otherwise(k).cast("int").alias("cst_id"),
+        F.when(newer, k).when(k % 401 == 7, F.lit(None)).otherwise(k).cast("bigint").alias("cst_id"),
         _padded(k, "AW").alias("cst_key"),
         F.when(newer, F.col("c_name"))
         .when(k % 3 == 0, F.concat(F.lit("  "), "c_name")).otherwise(F.col("c_name")).alias("cst_firstname"),
@@ -98,7 +100,7 @@ def crm_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("v")
     prefix = _case(F.col("p_type"), PART_TYPE_PREFIX, DEFAULT_PREFIX)
     out = versions.select(
-        (k * 3 + v).cast("int").alias("prd_id"),
+        (k.cast("bigint") * 3 + v).alias("prd_id"),
         F.concat(prefix, F.lit("-"), _padded(k, "P")).alias("prd_key"),
         F.concat("p_name", F.lit(" ")).alias("prd_nm"),
         F.when(k % 97 == 3, F.lit(None)).otherwise(F.floor("p_retailprice") + v).cast("int").alias("prd_cost"),
@@ -118,14 +120,14 @@ def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "left")  # the load filters nothing
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     qty = F.col("l_quantity")
     unit = F.floor(F.col("l_extendedprice") / qty)
     out = j.select(
         F.concat(F.lit("SO"), ok.cast("string")).alias("sls_ord_num"),
         _padded(pk, "P").alias("sls_prd_key"),
-        F.col("o_custkey").cast("int").alias("sls_cust_id"),
+        F.col("o_custkey").cast("bigint").alias("sls_cust_id"),
         F.when(ok % 211 == 1, F.lit(0)).when(ok % 223 == 2, F.lit(32154))
         .otherwise(_yyyymmdd(F.col("o_orderdate"))).cast("int").alias("sls_order_dt"),
         _yyyymmdd(F.col("l_shipdate")).cast("int").alias("sls_ship_dt"),
@@ -158,7 +160,7 @@ def erp_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
     # No hint: Spark broadcasts the nation table from its file statistics
     # (a few KB) and falls back to a sort-merge join above the threshold.
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     nk = F.col("c_nationkey") % 6
     out = j.select(
         _padded(F.col("c_custkey"), "AW-").alias("cid"),
