@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from .dedupe import latest_per_key
 from .joins import semi_count
-from .kpi import means_of_group_sums
+from .kpi import monthly_revenue_filled
 
+# The metrics, in report order.
 METRICS = (
     "raw_crm_customer_rows",
     "raw_crm_product_rows",
@@ -73,8 +74,23 @@ def repair_counts(raw_sales: DataFrame) -> DataFrame:
     return raw_sales.agg(*_repair_count_columns())
 
 
-def repaired_sales(raw_sales: DataFrame) -> DataFrame:
-    return raw_sales.select("sls_ord_num", "sls_cust_id", _repaired_amount().alias("amount"))
+def sales_metrics(raw_sales: DataFrame) -> DataFrame:
+    """The raw sales' metrics as one row, from one scan and one shuffle: grouping sets by order and by customer give the groups' sums,
+    and the order groups, which hold every row, the totals."""
+    by = {"sls_ord_num": "average_order_value", "sls_cust_id": "average_revenue_per_customer"}
+    counts = _repair_count_columns()
+    groups = raw_sales.groupingSets([[k] for k in by], *by).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_repaired_amount()).alias("amount"), *counts, F.grouping_id().alias("g"))
+    order, customer = F.col("g") == 1, F.col("g") == 2
+    own = {"sls_ord_num": order & F.col("sls_ord_num").isNotNull(), "sls_cust_id": customer & F.col("sls_cust_id").isNotNull()}
+    total = lambda c: F.coalesce(F.sum(F.when(order, F.col(c))), F.lit(0))
+    return groups.agg(
+        total("n").alias("raw_crm_sales_rows"),
+        *[total(c).alias(c) for c in ("sales_amount_rows_repaired", "sales_price_rows_repaired", "sales_missing_order_date_rows")],
+        F.sum(F.when(order, F.col("amount"))).alias("total_revenue"),
+        F.count_if(own["sls_ord_num"]).alias("distinct_orders"),
+        F.count_if(own["sls_cust_id"]).alias("distinct_customers_in_fact"),
+        *[F.avg(F.when(own[k], F.col("amount").cast("double"))).alias(name) for k, name in by.items()])
 
 
 def audit_metrics(raw: dict[str, DataFrame], conformed: dict[str, DataFrame],
@@ -82,7 +98,6 @@ def audit_metrics(raw: dict[str, DataFrame], conformed: dict[str, DataFrame],
     """``(metric, value)``: nineteen rows, value formatted like ``'.12g'``."""
     cust, prd, sales = raw["crm_cust_info"], raw["crm_prd_info"], raw["crm_sales_details"]
     latest = latest_product_versions(prd)
-    repaired = repaired_sales(sales)
     # One pass per table: every metric of a table is one aggregate of it.
     one_row = [
         cust.agg(F.count(F.lit(1)).alias("raw_crm_customer_rows"),
@@ -97,13 +112,7 @@ def audit_metrics(raw: dict[str, DataFrame], conformed: dict[str, DataFrame],
         .withColumnRenamed("n", "active_product_category_matches_before_harmonization"),
         category_matches(latest, raw["erp_px_cat_g1v2"], True)
         .withColumnRenamed("n", "active_product_category_matches_after_harmonization"),
-        sales.agg(F.count(F.lit(1)).alias("raw_crm_sales_rows"),
-                  *_repair_count_columns(),
-                  F.sum(_repaired_amount()).alias("total_revenue"),
-                  F.count_distinct("sls_ord_num").alias("distinct_orders"),
-                  F.count_distinct("sls_cust_id").alias("distinct_customers_in_fact")),
-        means_of_group_sums(repaired, {"average_order_value": "sls_ord_num",
-                                       "average_revenue_per_customer": "sls_cust_id"}, "amount"),
+        sales_metrics(sales),
     ]
     stacked = None
     for frame in one_row:
@@ -119,6 +128,7 @@ class InvariantError(AssertionError):
     """A warehouse grain or completeness invariant does not hold."""
 
 
+# The invariants, in report order.
 INVARIANTS = (
     "customer_id_null_or_not_unique",
     "product_number_null_or_not_unique",
@@ -127,6 +137,7 @@ INVARIANTS = (
     "fact_measure_missing",
     "fact_rows_differ_from_raw_sales",
     "fact_revenue_differs_from_raw_sales",
+    "filled_months_differ_from_range",
 )
 
 
@@ -142,7 +153,10 @@ def invariants(raw: dict[str, DataFrame], conformed: dict[str, DataFrame],
     cust, products, fact = conformed["crm_cust_info"], star["dim_products"], star["fact_sales"]
     sales = raw["crm_sales_details"]
     one = F.lit(1)
+    months = monthly_revenue_filled(fact)
+    span = F.months_between(F.max("order_month"), F.min("order_month")).cast("bigint") + 1
     frames = [
+        months.agg((F.count(one) - F.coalesce(span, F.lit(0))).alias("filled_months_differ_from_range")),
         cust.agg((F.count(one) - F.count_distinct("cst_id")).alias("customer_id_null_or_not_unique")),
         products.agg((F.count(one) - F.count_distinct("product_number")).alias("product_number_null_or_not_unique"),
                      F.count_if(C.any_null("category", "subcategory", "maintenance")).alias("product_category_missing")),

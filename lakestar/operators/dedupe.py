@@ -1,6 +1,6 @@
 """Version-selection operators: latest row per key and validity end dates.
 
-``latest_per_key`` is an aggregate, not a window: ``max_by`` over a struct
+``latest_per_key`` is an aggregate, not a window: the maximum of a struct
 is partially aggregated on the map side, so a key that holds a third of all
 rows is reduced to one row per input partition *before* the shuffle, and no
 task ever holds a whole group.
@@ -12,21 +12,18 @@ partitions -- and computes ``lead`` inside each (slice, key). Slices hold
 contiguous ranges of the total order, so only the *last* key of a slice can
 continue in a later slice, and its missing lead is the first value of the
 next non-empty slice when that slice starts with the same key. The patch
-table therefore has one row per slice: its size is the partition count, a
-bound we choose, and it is broadcast -- no second pass over the rows.
+table therefore has one row per slice of about a hundred megabytes (the number of
+slices follows the input's size), and is broadcast -- no second pass over the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import write_and_read
-
-# The patch table of :func:`next_value_within_key` has one row per slice.
-MAX_SLICES = 1_000_000
+from ..session import slices_for, write_and_read
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str],
@@ -46,25 +43,13 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequ
         for k in keys:
             df = df.where(F.col(k).isNotNull())
     # Struct comparison is field by field with null smallest, so max() of
-    # (order..., ties...) is "ORDER BY ... DESC NULLS LAST" top-1.
-    rank = F.struct(*[F.col(c) for c in order + list(tie_breakers)])
-    payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    picked = df.groupBy(*keys).agg(F.max_by(payload, rank).alias("_row"))
+    # (order..., ties..., rest...) is "ORDER BY ... DESC NULLS LAST" top-1, and carries each column once.
+    ranked = order + [c for c in tie_breakers if c not in order]
+    rest = [c for c in df.columns if c not in keys and c not in ranked]
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in ranked + rest])).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def latest_per_key_window(df: DataFrame, key: str | Sequence[str], order_by: Sequence[Column]) -> DataFrame:
-    """Window form of :func:`latest_per_key` (``ROW_NUMBER() ... = 1``).
-
-    Kept for comparison and for callers that need an explicit mixed-direction
-    order; Spark plans it with a partial ``WindowGroupLimit`` before the
-    shuffle.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def next_value_within_key(df: DataFrame, key: str, order_col: str, tie_breakers: Sequence[str] = (),
                           out: str = "_next", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = ``LEAD(order_col) OVER (PARTITION BY key ORDER BY
@@ -73,10 +58,7 @@ def next_value_within_key(df: DataFrame, key: str, order_col: str, tie_breakers:
     Nulls sort first (SQL ascending order); null keys form one group, as in
     a SQL window.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if n > MAX_SLICES:
-        raise ValueError(f"too many slices for the broadcast patch table: {n}")
+    n = partitions or slices_for(df)
     order = [F.col(order_col).asc_nulls_first()] + [F.col(t).asc_nulls_first() for t in tie_breakers]
     # Range slices over the total order; a hot key spans several slices.
     # The slice ids are written once (a parquet table in the shared folder):

@@ -1,14 +1,8 @@
-"""Join helpers: size-checked broadcast, cardinality-checked joins.
+"""Join helpers: cardinality-checked joins and semi counts.
 
-Broadcasting is only safe for a side whose size is *proven* small. The check
-here is an exact row count of the candidate side. Callers pass materialised
-parquet tables (the layers of a run), for which a column-free count is
-answered from the file footers: each task returns one partial count, no row
-moves. (A ``limit(n + 1).count()`` would look cheaper but plans a local limit
-per partition feeding one single-partition exchange: up to partitions x n
-rows into one task.) Above the bound the join stays a shuffle join, where AQE
-may still switch to a broadcast from runtime statistics and splits skewed
-partitions of the large side.
+No join here carries a broadcast hint. Spark broadcasts a side whose size in bytes is below
+``spark.sql.autoBroadcastJoinThreshold`` (file sizes at planning, shuffle statistics at run time); any other join is
+a sort-merge join, whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -18,24 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a dimension we are willing to ship to every executor.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 class CardinalityError(ValueError):
     """A join side that must be unique on its key is not."""
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Exact size check: ``df`` has at most ``max_rows`` rows."""
-    return df.select().count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once (null keys excluded)."""
     nonnull = df
@@ -56,8 +36,7 @@ def assert_unique(df: DataFrame, keys: Sequence[str], side: str = "right") -> No
 
 
 def checked_join(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
-                 how: str = "left", validate: str = "many_to_one",
-                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 how: str = "left", validate: str = "many_to_one") -> DataFrame:
     """Equi-join that first verifies the declared cardinality.
 
     ``validate``: ``one_to_one`` (both sides unique), ``many_to_one`` (right
@@ -71,7 +50,7 @@ def checked_join(left: DataFrame, right: DataFrame, left_on: Sequence[str], righ
     for lk, rk in zip(left_on, right_on):
         c = left[lk] == right[rk]
         cond = c if cond is None else cond & c
-    return left.join(broadcast_if_small(right, max_broadcast_rows), cond, how)
+    return left.join(right, cond, how)
 
 
 def semi_count(df: DataFrame, lookup: DataFrame, left_on: str, right_on: str) -> DataFrame:

@@ -9,8 +9,7 @@ distributed form below gives the same numbers:
 3. cut lineage by writing the rows with their (partition, position) to a
    parquet table in the shared folder, so retries after an executor loss see
    the same positions;
-4. count rows per partition -- one row per partition, a size bound we chose --
-   and turn the counts into start offsets with a running sum;
+4. count rows per partition -- one row per partition, far fewer than rows -- and turn the counts into start offsets with a running sum;
 5. key = offset of the partition + position + 1, via a broadcast of that
    per-partition table.
 
@@ -25,10 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import write_and_read
-
-# Offsets are one row per partition; broadcasting them is safe up to this many.
-MAX_OFFSET_ROWS = 2_000_000
+from ..session import slices_for, write_and_read
 
 
 def _order_cols(order_by: Sequence[Column | str]) -> list[Column]:
@@ -36,19 +32,15 @@ def _order_cols(order_by: Sequence[Column | str]) -> list[Column]:
 
 
 def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str = "surrogate_key",
-              partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
-    """Add ``key`` (bigint, 1..n) numbering rows in ``order_by`` order."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if n > MAX_OFFSET_ROWS:
-        raise ValueError(f"too many partitions for the offset table: {n}")
+              partitions: int | None = None) -> DataFrame:
+    """Add ``key`` (bigint, 1..n) numbering rows in ``order_by`` order. The number of partitions follows the input's size."""
+    n = partitions or slices_for(df)
     order = _order_cols(order_by)
     ranged = (df.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
-    if checkpoint:
-        ranged = write_and_read(ranged, "dense-key")
+    ranged = write_and_read(ranged, "dense-key")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # Running sum over at most `n` rows (one per partition).
     offsets = counts.withColumn(
@@ -58,9 +50,3 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str = "surro
     keyed = ranged.join(F.broadcast(offsets), "_pid", "inner")
     out = keyed.withColumn(key, (F.col("_offset") + F.col("_pos") + 1).cast("bigint"))
     return out.select(key, *df.columns)
-
-
-def dense_key_window(df: DataFrame, order_by: Sequence[Column | str], key: str = "surrogate_key") -> DataFrame:
-    """Single-task reference form (plain ``row_number``); for small inputs and tests."""
-    w = Window.orderBy(*_order_cols(order_by))
-    return df.select(F.row_number().over(w).cast("bigint").alias(key), *df.columns)

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .joins import BROADCAST_MAX_ROWS, has_at_most
 
 
 def revenue() -> Column:
@@ -51,34 +50,20 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
             .orderBy("order_month"))
 
 
-def revenue_by(fact: DataFrame, dim: DataFrame, key: str, attribute: str,
-               extra: dict | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def revenue_by(fact: DataFrame, dim: DataFrame, key: str, attribute: str, extra: dict | None = None) -> DataFrame:
     """Inner fact-dimension join on the surrogate key, grouped by one
     dimension attribute; highest revenue first.
 
-    Two plans, chosen by the dimension's proven size:
-
-    * small dimension (at most ``max_broadcast_rows`` rows): broadcast it and
-      aggregate the joined rows by attribute; the only shuffle carries one
-      partial sum per attribute value per map task;
-    * large dimension: pre-aggregate the fact by surrogate key first, so the
-      shuffle join sees distinct keys instead of fact rows.
-
-    Both aggregate partially before every shuffle, so a hot key or a hot
-    attribute value (a third of the sales) never lands in one task as rows.
+    The fact is first reduced to a row per surrogate key (with a partial
+    aggregate before the shuffle), so whichever join Spark picks by the
+    dimension's bytes sees distinct keys instead of fact rows, and neither a hot key nor a hot
+    attribute value (a third of the sales) lands in one task as rows.
     """
     aggs = {"revenue": revenue()}
     aggs.update(extra or {})
-    d = dim.select(key, attribute)
-    if has_at_most(d, max_broadcast_rows):
-        joined = fact.where(F.col(key).isNotNull()).join(F.broadcast(d), key, "inner")
-        out = joined.groupBy(attribute).agg(*[expr.alias(name) for name, expr in aggs.items()])
-        out = out.select(attribute, *[F.col(name).cast("bigint").alias(name) for name in aggs])
-    else:
-        per_key = fact.where(F.col(key).isNotNull()).groupBy(key).agg(
-            *[expr.alias(name) for name, expr in aggs.items()])
-        joined = per_key.join(d, key, "inner")
-        out = joined.groupBy(attribute).agg(*[F.sum(name).cast("bigint").alias(name) for name in aggs])
+    per_key = fact.where(F.col(key).isNotNull()).groupBy(key).agg(*[expr.alias(name) for name, expr in aggs.items()])
+    joined = per_key.join(dim.select(key, attribute), key, "inner")
+    out = joined.groupBy(attribute).agg(*[F.sum(name).cast("bigint").alias(name) for name in aggs])
     return out.orderBy(F.desc("revenue"), F.asc(attribute))
 
 
@@ -98,14 +83,14 @@ def category_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
 def revenue_share(breakdown: DataFrame, attribute: str) -> DataFrame:
     """Add ``share_pct`` = revenue / total x 100, rounded half-up to 2 dp.
 
-    The rounding is done exactly, in integer basis points, so no binary
+    The share of a zero total is null. The rounding is done exactly, in integer basis points, so no binary
     floating-point tie can flip a digit. The total is a scalar subquery (a
     global aggregate of partial sums, one value), so no task ever holds all
     groups, however many there are, and no join is needed.
     """
     total = breakdown.select(F.sum("revenue")).scalar()
     wide = F.col("revenue").cast("decimal(38,0)")
-    basis_points = C.int_div(wide * 20000 + total, total * 2)
+    basis_points = C.int_div(wide * 20000 + total, F.nullif(total, F.lit(0)) * 2)
     return breakdown.select(attribute, "revenue", (basis_points.cast("double") / 100).alias("share_pct")) \
         .orderBy(F.desc("revenue"), F.asc(attribute))
 
@@ -132,17 +117,28 @@ def monthly_revenue_filled(fact: DataFrame) -> DataFrame:
             .orderBy("order_month"))
 
 
-def mean_of_group_sums(df: DataFrame, group: str, measure: str, name: str) -> DataFrame:
-    """Average over groups of the per-group sum (two-level aggregate)."""
-    per_group = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.sum(measure).alias("_s"))
-    return per_group.agg(F.avg(F.col("_s").cast("double")).alias(name))
+def monthly_revenue_filled_by(fact: DataFrame, key: str) -> DataFrame:
+    """Monthly revenue of each ``key`` from its own first to its own last month with revenue, the months between filled with 0.
+    A key's months are a row for each month of its range, however many sales it has."""
+    sparse = (fact.where(F.col("order_date").isNotNull() & F.col(key).isNotNull())
+              .groupBy(key, C.month_start("order_date").alias("order_month"))
+              .agg(revenue().alias("revenue")))
+    bounds = sparse.groupBy(key).agg(F.min("order_month").alias("lo"), F.max("order_month").alias("hi"))
+    spine = bounds.select(key, F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("order_month"))
+    return (spine.join(sparse, [key, "order_month"], "left")
+            .select(key, "order_month", F.coalesce("revenue", F.lit(0)).cast("bigint").alias("revenue")))
+
+
+def with_position(report: DataFrame) -> DataFrame:
+    """A small sorted report with each row's place in it (from 1): its rows in one partition, in their order."""
+    return report.coalesce(1).withColumn("position", F.monotonically_increasing_id() + 1)
 
 
 def means_of_group_sums(df: DataFrame, groups: dict[str, str], measure: str) -> DataFrame:
-    """Several :func:`mean_of_group_sums` in one pass: ``GROUPING SETS`` over
-    the group columns computes every per-group sum with one scan and one
+    """Averages over groups of the groups' sums, for several group columns in one pass: ``GROUPING SETS`` over
+    the columns computes every per-group sum with one scan and one
     shuffle; ``groups`` maps output name -> group column. Null group keys
-    are excluded, as in the single form."""
+    are excluded."""
     cols = list(groups.values())
     sums = df.groupingSets([[c] for c in cols], *cols).agg(
         F.sum(measure).alias("_s"), F.grouping_id().alias("_g"))
@@ -154,8 +150,3 @@ def means_of_group_sums(df: DataFrame, groups: dict[str, str], measure: str) ->
         mine = (F.col("_g") == gid) & F.col(col).isNotNull()
         out.append(F.avg(F.when(mine, F.col("_s").cast("double"))).alias(name))
     return sums.agg(*out)
-
-
-def duplicate_excess(df: DataFrame, key: str, name: str = "duplicate_excess") -> DataFrame:
-    """Non-null key count minus distinct key count."""
-    return df.agg((F.count(key) - F.count_distinct(key)).alias(name))

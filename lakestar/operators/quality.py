@@ -9,8 +9,7 @@ A check is data: a name, a severity, the table it reads and how it counts.
 * ``unmatched`` -- rows whose key has no partner in a lookup (anti join).
 * ``orphans`` -- fact rows whose surrogate keys miss either dimension,
   counted exactly as two left joins would (including fan-out), weighing rows
-  by dimension key copies: broadcast copy tables when the dimensions are
-  small (no fact shuffle), else on distinct key pairs.
+  by dimension key copies. The row checks of the fact are counted in the same pass.
 
 A report is ``(check_name, severity, failed_rows)``, errors first.
 """
@@ -25,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .joins import BROADCAST_MAX_ROWS, has_at_most
 
 ERROR, WARNING = "error", "warning"
 
@@ -60,7 +58,7 @@ def orphans(name, severity, table, dims: Sequence[tuple[str, str]]) -> Check:
     return Check(name, severity, table, "orphans", dims=tuple(dims))
 
 
-# ---- the conformed-layer and star-layer check lists ---------------------------------------
+# ---- the conformed-layer and star-layer check lists (fixed values: names, severities, domains) ---------------------------------------
 def _text(name: str, collation: str | None) -> Column:
     """A string column compared under ``collation`` (binary when None).
 
@@ -131,15 +129,18 @@ def star_checks(collation: str | None = None) -> list[Check]:
 
 
 # ---- counting ---------------------------------------------------------------------------
-def _one(check: Check, failed: Column, df: DataFrame) -> DataFrame:
-    return df.agg(failed.cast("bigint").alias("failed_rows")).select(
-        F.lit(check.name).alias("check_name"), F.lit(check.severity).alias("severity"), "failed_rows")
-
-
-def count_bad_keys(df: DataFrame, key: str) -> DataFrame:
-    """One row: number of key values that are null or repeated."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(F.count_if(F.col(key).isNull() | (F.col("_n") > 1)).alias("failed"))
+def count_bad_keys(df: DataFrame, *keys_: str) -> DataFrame:
+    """One row: for each of ``keys_`` the number of its values that are null or repeated. One scan: grouping sets."""
+    if len(keys_) == 1:
+        per_key = df.groupBy(keys_[0]).agg(F.count(F.lit(1)).alias("_n")).withColumn("_g", F.lit(0))
+    else:
+        per_key = df.groupingSets([[k] for k in keys_], *keys_).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_g"))
+    full = (1 << len(keys_)) - 1
+    counts = []
+    for i, k in enumerate(keys_):
+        own = F.col("_g") == (0 if len(keys_) == 1 else full ^ (1 << (len(keys_) - 1 - i)))
+        counts.append(F.count_if(own & (F.col(k).isNull() | (F.col("_n") > 1))).alias(k))
+    return per_key.agg(*counts)
 
 
 def count_unmatched(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str) -> DataFrame:
@@ -147,58 +148,51 @@ def count_unmatched(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str)
     return df.join(ids, df[key] == ids["_id"], "left_anti").agg(F.count(F.lit(1)).alias("failed"))
 
 
-def count_orphans(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``fact LEFT JOIN d1 ... LEFT JOIN dn`` where some dimension
+def count_orphans(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], extra: Sequence[Column] = ()) -> DataFrame:
+    """``failed``: rows of ``fact LEFT JOIN d1 ... LEFT JOIN dn`` where some dimension
     key found no match (a fan-out from duplicated dimension keys counts as
     the joins would emit it), without materialising the joined rows: each
-    dimension is reduced to ``key -> copies``.
-
-    When every dimension passes the size check, the copy tables are
-    broadcast and the fact is weighed row by row map-side (no shuffle of fact
-    rows). Otherwise the fact is first reduced to distinct key tuples with a
-    row count, so the shuffle joins see key tuples instead of rows.
+    dimension is reduced to ``key -> copies``, unique by key, so each fact row stays one row.
+    ``extra``: further aggregates of the fact's rows, counted in the same pass.
     """
-    key_cols = [k for _, k in dims]
-    small = all(has_at_most(dim.select(k), max_broadcast_rows) for dim, k in dims)
-    if small:
-        pairs = fact.select(*key_cols, F.lit(1).cast("bigint").alias("_rows"))
-    else:
-        pairs = fact.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_rows"))
-    missing = F.lit(False)
-    weight = F.col("_rows")
+    rows_, missing, weight = fact, F.lit(False), F.lit(1).cast("bigint")
     for i, (dim, k) in enumerate(dims):
         copies = dim.where(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias(f"_c{i}"))
-        pairs = pairs.join(F.broadcast(copies) if small else copies, k, "left")
+        rows_ = rows_.join(copies, k, "left")
         missing = missing | F.col(f"_c{i}").isNull()
         weight = weight * F.coalesce(F.col(f"_c{i}"), F.lit(1))
-    return pairs.agg(F.coalesce(F.sum(F.when(missing, weight)), F.lit(0)).alias("failed"))
+    return rows_.agg(F.coalesce(F.sum(F.when(missing, weight)), F.lit(0)).alias("failed"), *extra)
 
 
 def run_checks(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """Evaluate ``checks`` against ``tables``; one row per check."""
+    """Evaluate ``checks`` against ``tables``; one row per check. A table is read once for its row (and orphan) checks and
+    once for its key checks."""
     checks = list(checks)
+    of = lambda table, kind: [c for c in checks if c.table == table and c.kind == kind]
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for chk in checks:
-        if chk.kind == "rows":
-            by_table.setdefault(chk.table, []).append(chk)
-    for table, group in by_table.items():
-        wide = tables[table].agg(*[F.count_if(c.predicate()).cast("bigint").alias(c.name) for c in group])
-        long = wide.unpivot([], [c.name for c in group], "check_name", "failed_rows")
-        parts.append(long.select("check_name",
-                                 C.map_values("check_name", {c.name: c.severity for c in group}).alias("severity"),
-                                 "failed_rows"))
-    for chk in checks:
-        if chk.kind == "keys":
-            counted = count_bad_keys(tables[chk.table], chk.key)
-        elif chk.kind == "unmatched":
-            counted = count_unmatched(tables[chk.table], chk.key, tables[chk.lookup], chk.lookup_key)
-        elif chk.kind == "orphans":
-            counted = count_orphans(tables[chk.table], [(tables[d], k) for d, k in chk.dims])
-        else:
-            continue
-        parts.append(_one(chk, F.first("failed"), counted))
+
+    def add(wide: DataFrame, counted: dict[str, Check]) -> None:
+        """``counted``: the check of each column of the one-row ``wide``."""
+        named = wide.select(*[F.col(f"`{c}`").cast("bigint").alias(chk.name) for c, chk in counted.items()])
+        names = [chk.name for chk in counted.values()]
+        long = named.unpivot([], names, "check_name", "failed_rows")
+        severity = C.map_values("check_name", {chk.name: chk.severity for chk in counted.values()})
+        parts.append(long.select("check_name", severity.alias("severity"), "failed_rows"))
+
+    for table in dict.fromkeys(c.table for c in checks):
+        df, rows_, orphans_ = tables[table], of(table, "rows"), of(table, "orphans")
+        counts = [F.count_if(c.predicate()).alias(c.name) for c in rows_]
+        if orphans_:
+            wide = count_orphans(df, [(tables[d], k) for d, k in orphans_[0].dims], counts)
+            add(wide, {"failed": orphans_[0]} | {c.name: c for c in rows_})
+        elif rows_:
+            add(df.agg(*counts), {c.name: c for c in rows_})
+        for chk in orphans_[1:]:
+            add(count_orphans(df, [(tables[d], k) for d, k in chk.dims]), {"failed": chk})
+        if of(table, "keys"):
+            add(count_bad_keys(df, *[c.key for c in of(table, "keys")]), {c.key: c for c in of(table, "keys")})
+        for chk in of(table, "unmatched"):
+            add(count_unmatched(df, chk.key, tables[chk.lookup], chk.lookup_key), {"failed": chk})
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)

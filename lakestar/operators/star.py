@@ -12,16 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..schemas import DIM_CUSTOMERS, DIM_PRODUCTS, FACT_SALES
-from .joins import BROADCAST_MAX_ROWS, broadcast_if_small
-from .keys import dense_key, dense_key_window
+from .keys import dense_key
 
 
-def _keyed(df: DataFrame, order, key: str, distributed: bool) -> DataFrame:
-    return dense_key(df, order, key) if distributed else dense_key_window(df, order, key)
-
-
-def dim_customers(customers: DataFrame, demographics: DataFrame, locations: DataFrame,
-                  distributed_keys: bool = True) -> DataFrame:
+def dim_customers(customers: DataFrame, demographics: DataFrame, locations: DataFrame) -> DataFrame:
     """CRM customers enriched with ERP demographics and location (left joins
     on the business key). CRM gender wins unless unknown, then ERP gender."""
     ci = customers.alias("ci")
@@ -44,7 +38,7 @@ def dim_customers(customers: DataFrame, demographics: DataFrame, locations: Data
     # customer_id is unique after cleaning; the other columns complete the
     # order when the enrichment joins fan out.
     order = ["customer_id", "customer_number", "country", "gender", "birthdate"]
-    return _keyed(rows, order, "customer_key", distributed_keys).select(*DIM_CUSTOMERS)
+    return dense_key(rows, order, "customer_key").select(*DIM_CUSTOMERS)
 
 
 def active_products(products: DataFrame) -> DataFrame:
@@ -52,11 +46,10 @@ def active_products(products: DataFrame) -> DataFrame:
     return products.where(F.col("prd_end_dt").isNull())
 
 
-def dim_products(products: DataFrame, categories: DataFrame, distributed_keys: bool = True,
-                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Active product versions with their category (left lookup)."""
     pn = active_products(products).alias("pn")
-    pc = broadcast_if_small(categories, max_broadcast_rows).alias("pc")
+    pc = categories.alias("pc")
     rows = pn.join(pc, F.col("pn.cat_id") == F.col("pc.id"), "left").select(
         F.col("pn.prd_id").alias("product_id"),
         F.col("pn.prd_key").alias("product_number"),
@@ -71,14 +64,13 @@ def dim_products(products: DataFrame, categories: DataFrame, distributed_keys: b
     )
     order = [F.col("start_date").asc_nulls_first(), F.col("product_number").asc_nulls_first(),
              F.col("product_id").asc_nulls_first(), F.col("category").asc_nulls_first()]
-    return _keyed(rows, order, "product_key", distributed_keys).select(*DIM_PRODUCTS)
+    return dense_key(rows, order, "product_key").select(*DIM_PRODUCTS)
 
 
-def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame,
-               max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Sales lines with dimension surrogate keys attached; unmatched -> null."""
-    pr = broadcast_if_small(products.select("product_number", "product_key"), max_broadcast_rows).alias("pr")
-    cu = broadcast_if_small(customers.select("customer_id", "customer_key"), max_broadcast_rows).alias("cu")
+    pr = products.select("product_number", "product_key").alias("pr")
+    cu = customers.select("customer_id", "customer_key").alias("cu")
     sd = sales.alias("sd")
     joined = (sd.join(pr, F.col("sd.sls_prd_key") == F.col("pr.product_number"), "left")
                 .join(cu, F.col("sd.sls_cust_id") == F.col("cu.customer_id"), "left"))

@@ -20,14 +20,14 @@ from __future__ import annotations
 import datetime as _dt
 import threading
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import conform, star
 from ..schemas import LOAD_STAMP
-from ..session import shared_root
+from ..session import scratch_scope, shared_root
 from ..sources import extracts
 
 DEFAULT_AS_OF = _dt.date(2026, 1, 1)
@@ -42,6 +42,11 @@ CONFORMED_RULES = {
 }
 STAR_TABLES = ("dim_customers", "dim_products", "fact_sales")
 
+#: The driver tables that the extracts read.
+SOURCE_TABLES = ("customer", "nation", "orders", "lineitem", "part")
+#: Property of the catalog tables that this library has made.
+OWNED = "lakestar.layer"
+
 
 class Warehouse:
     """One snapshot of the three layers, built lazily table by table.
@@ -52,27 +57,28 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.date = DEFAULT_AS_OF,
-                 run_dir: str | None = None, distributed_keys: bool = True,
-                 raw_frames: dict[str, DataFrame] | None = None):
+                 run_dir: str | None = None, raw_frames: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
-        self.distributed_keys = distributed_keys
-        self.run_dir = run_dir or f"{shared_root(spark)}/lakestar/warehouse/runs/{uuid.uuid4().hex}"
+        self.base = f"{shared_root(spark)}/lakestar/warehouse"
+        self.run_dir = run_dir or f"{self.base}/runs/{uuid.uuid4().hex}"
         self._raw_frames = raw_frames or {}
         self._tables: dict[tuple[str, str], DataFrame] = {}
+        self._paths: dict[tuple[str, str], str] = {}
+        self._stop = threading.Event()
         self._lock = threading.Lock()
         self._table_locks: dict[tuple[str, str], threading.Lock] = {}
 
     @classmethod
     def from_csv(cls, spark: SparkSession, datasets_dir: str, as_of: _dt.date = DEFAULT_AS_OF,
-                 mode: str = "FAILFAST", **kwargs) -> "Warehouse":
+                 mode: str = "FAILFAST", quote: str = "", **kwargs) -> "Warehouse":
         """A warehouse whose raw layer is loaded from the six CSV source
         extracts (``source_crm/*.csv``, ``source_erp/*.csv``) instead of being
-        derived from the driver tables."""
+        derived from the driver tables. Unquoted, as in a plain bulk load; ``quote='"'`` reads quoted files."""
         from ..sources import csv_io
 
-        frames = csv_io.read_sources(spark, datasets_dir, mode=mode)
+        frames = csv_io.read_sources(spark, datasets_dir, mode=mode, quote=quote)
         return cls(spark, datasets_dir, as_of=as_of, raw_frames=frames, **kwargs)
 
     # -- layers ---------------------------------------------------------------
@@ -96,9 +102,9 @@ class Warehouse:
         builders = {
             "dim_customers": lambda: star.dim_customers(
                 self.conformed("crm_cust_info"), self.conformed("erp_cust_az12"),
-                self.conformed("erp_loc_a101"), self.distributed_keys),
+                self.conformed("erp_loc_a101")),
             "dim_products": lambda: star.dim_products(
-                self.conformed("crm_prd_info"), self.conformed("erp_px_cat_g1v2"), self.distributed_keys),
+                self.conformed("crm_prd_info"), self.conformed("erp_px_cat_g1v2")),
             "fact_sales": lambda: star.fact_sales(
                 self.conformed("crm_sales_details"), self.star("dim_products"), self.star("dim_customers")),
         }
@@ -112,14 +118,34 @@ class Warehouse:
         when its three (or two) conformed inputs are written, without
         waiting for the sales chain, and the fact waits only for what it
         reads. Locks are taken in dependency order (a DAG), so there is no
-        deadlock. The first error is raised after all builders finish.
+        deadlock. On the first error no further table is begun, running jobs of
+        this build are cancelled, and that error is raised; a later call
+        resumes with the tables that are missing.
         """
         targets = [lambda n=n: self.conformed(n) for n in CONFORMED_RULES]
         targets += [lambda n=n: self.star(n) for n in STAR_TABLES]
+        self._stop.clear()
+        context, tag = self.spark.sparkContext, f"lakestar-build-{uuid.uuid4().hex}"
+
+        def tagged(target):
+            context.addJobTag(tag)
+            try:
+                return target()
+            finally:
+                context.removeJobTag(tag)
+
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            futures = [pool.submit(target) for target in targets]
-        for future in futures:
-            future.result()
+            futures = [pool.submit(tagged, target) for target in targets]
+            done, _ = wait(futures, return_when=FIRST_EXCEPTION)
+            failed = next((f for f in done if f.exception()), None)
+            if failed:
+                self._stop.set()
+                for future in futures:
+                    future.cancel()
+                context.cancelJobsWithTag(tag)
+        self._stop.clear()
+        if failed:
+            raise failed.exception()
         return self
 
     def register_catalog(self, layers: dict[str, str] | None = None) -> list[str]:
@@ -128,7 +154,9 @@ class Warehouse:
         ``spark.sql("SELECT ... FROM gold.fact_sales")`` works.
 
         Namespaces live under the shared root; tables are external parquet
-        tables over the run's files (dropping one never deletes data).
+        tables over the run's files, marked with the property OWNED. A table of
+        that name without the mark is someone else's and is an error; one with it is
+        pointed at this run's files in one step, so readers never miss it.
         Conformed tables keep their load stamp. Returns the table names.
         """
         layers = layers or {"bronze": "raw", "silver": "conformed", "gold": "star"}
@@ -141,20 +169,23 @@ class Warehouse:
         self.build()
         root = shared_root(self.spark)
         catalog = self.spark.catalog
-        # Check every target first, change nothing on a conflict: only an
-        # external table (dropping it keeps its files) is ever replaced; a
-        # managed table of that name is someone else's data.
-        for table in registered:
-            if catalog.tableExists(table) and catalog.getTable(table).tableType != "EXTERNAL":
-                raise RuntimeError(f"{table} exists as a {catalog.getTable(table).tableType} table; "
-                                   "not replacing it")
+        # Check every target first, change nothing on a conflict.
+        exists = {table for table in registered if catalog.tableExists(table)}
+        for table in exists:
+            if not any(r.key == OWNED for r in self.spark.sql(f"SHOW TBLPROPERTIES {table}").collect()):
+                raise RuntimeError(f"{table} exists as a {catalog.getTable(table).tableType} table that this "
+                                   "library has not made; not replacing it")
         for namespace, layer in layers.items():
             self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace} "
                            f"LOCATION '{root}/lakestar/catalog/{namespace}.db'")
             for name in names[layer]:
-                self.spark.sql(f"DROP TABLE IF EXISTS {namespace}.{name}")
-                self.spark.sql(f"CREATE TABLE {namespace}.{name} USING parquet "
-                               f"LOCATION '{self.path(layer, name)}'")
+                table = f"{namespace}.{name}"
+                if table in exists:
+                    self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{self.path(layer, name)}'")
+                    catalog.refreshTable(table)
+                else:
+                    self.spark.sql(f"CREATE TABLE {table} USING parquet "
+                                   f"LOCATION '{self.path(layer, name)}' TBLPROPERTIES ('{OWNED}' = 'true')")
         with _CATALOG_LOCK:
             _CATALOG_OWNER[owner_key] = self.run_dir
         return registered
@@ -163,26 +194,31 @@ class Warehouse:
         """Publish this run (after :meth:`build` succeeded).
 
         Append-only: each publication is a new one-row parquet folder
-        ``(published_at, run_dir)`` under ``published/``, committed by Spark's
+        ``(published_at, run_dir, as_of, tables)`` under ``published/``, committed by Spark's
         output committer, so a reader sees either the previous publication or
         this one, never a missing or half-written pointer (an ``overwrite``
         would delete the old pointer first).
         """
         self.build()
-        pointer = f"{self.run_dir.rsplit('/runs/', 1)[0]}/published/{uuid.uuid4().hex}"
+        pointer = f"{self.base}/published/{uuid.uuid4().hex}"
+        tables = F.create_map(*[F.lit(x) for (layer, name), path in sorted(self._paths.items()) for x in (f"{layer}/{name}", path)])
         self.spark.range(1, numPartitions=1).select(
-            F.current_timestamp().alias("published_at"), F.lit(self.run_dir).alias("run_dir")) \
+            F.current_timestamp().alias("published_at"), F.lit(self.run_dir).alias("run_dir"),
+            F.lit(self.as_of).alias("as_of"), tables.alias("tables")) \
             .write.mode("errorifexists").parquet(pointer)
         return pointer
 
     # -- storage ----------------------------------------------------------------
     def path(self, layer: str, name: str) -> str:
-        return f"{self.run_dir}/{layer}/{name}"
+        """Where a table that has been written lies."""
+        return self._paths[layer, name]
 
     def _materialise(self, layer: str, name: str, make) -> DataFrame:
-        """Write ``make()`` once to ``layer/name`` and return the written
+        """Write ``make()`` once under ``layer/name`` and return the written
         table. One lock per table: different tables build concurrently, a
-        second caller of the same table waits for the first write."""
+        second caller of the same table waits for the first write. Every
+        attempt has a folder of its own and counts only once it is complete, so a
+        failed write can be tried again. Scratch tables go with the attempt."""
         key = (layer, name)
         with self._lock:
             if key in self._tables:
@@ -190,32 +226,46 @@ class Warehouse:
             table_lock = self._table_locks.setdefault(key, threading.Lock())
         with table_lock:
             if key not in self._tables:
-                path = self.path(layer, name)
-                frame = make()
-                frame.write.mode("errorifexists").parquet(path)
+                if self._stop.is_set():
+                    raise RuntimeError(f"{layer}/{name} was not begun, as the build has failed")
+                path = f"{self.run_dir}/{layer}/{name}/{uuid.uuid4().hex}"
+                with scratch_scope(self.spark):
+                    frame = make()
+                    frame.write.mode("errorifexists").parquet(path)
                 # The schema is known: no footer inference when reading back.
                 df = self.spark.read.schema(frame.schema).parquet(path)
                 with self._lock:
-                    self._tables[key] = df
+                    self._tables[key], self._paths[key] = df, path
             return self._tables[key]
 
 
 def open_published(spark: SparkSession, sf_dir: str = "", root: str | None = None) -> Warehouse:
     """The most recently published run, read-only."""
     base = f"{root or shared_root(spark)}/lakestar/warehouse"
-    pointers = spark.read.schema("published_at timestamp, run_dir string").parquet(f"{base}/published/*")
-    run_dir = pointers.agg(F.max_by("run_dir", F.struct("published_at", "run_dir"))).first()[0]
-    if run_dir is None:
+    if not _status(spark, f"{base}/published"):
         raise FileNotFoundError(f"no published warehouse run under {base}")
-    wh = Warehouse(spark, sf_dir, run_dir=run_dir)
-    for name in CONFORMED_RULES:
-        wh._tables[("raw", name)] = spark.read.parquet(wh.path("raw", name))
-        wh._tables[("conformed", name)] = spark.read.parquet(wh.path("conformed", name))
-    for name in STAR_TABLES:
-        wh._tables[("star", name)] = spark.read.parquet(wh.path("star", name))
+    pointers = spark.read.schema("published_at timestamp, run_dir string, as_of date, tables map<string, string>") \
+        .parquet(f"{base}/published/*")
+    latest = pointers.agg(F.max_by(F.struct("run_dir", "as_of", "tables"), F.struct("published_at", "run_dir")).alias("p")).first().p
+    wh = Warehouse(spark, sf_dir, as_of=latest.as_of, run_dir=latest.run_dir)
+    wh.base = base
+    for key, path in latest.tables.items():
+        layer, name = key.split("/")
+        wh._paths[layer, name] = path
+        wh._tables[layer, name] = spark.read.parquet(path)
     return wh
 
 
+def _status(spark: SparkSession, path: str) -> str:
+    """Modification time and length of a file or folder in any store that Spark reads; empty if there is none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return ""
+    found = files.getFileStatus(target)
+    return f"{found.getModificationTime()}:{found.getLen()}"
+
+
 # Which run the session catalog's layer namespaces currently point at.
 _CATALOG_OWNER: dict[tuple, str] = {}
 _CATALOG_LOCK = threading.Lock()
@@ -225,8 +275,9 @@ _CACHE_LOCK = threading.Lock()
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str, as_of: _dt.date = DEFAULT_AS_OF) -> Warehouse:
-    """Shared per-application snapshot for ``sf_dir`` (built on demand)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of)
+    """Shared per-application snapshot for ``sf_dir`` (built on demand), a new one when a source table has changed."""
+    version = tuple(_status(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") for name in SOURCE_TABLES)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of, version)
     with _CACHE_LOCK:
         if key not in _CACHE:
             _CACHE[key] = Warehouse(spark, sf_dir, as_of)

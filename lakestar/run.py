@@ -20,7 +20,8 @@ if __package__ in (None, ""):  # run as a script (spark-submit lakestar/run.py):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lakestar.operators import audit, kpi, quality  # noqa: E402
-from lakestar.plans.build import CONFORMED_RULES, DEFAULT_AS_OF, STAR_TABLES, Warehouse  # noqa: E402
+from lakestar.plans.build import CONFORMED_RULES, STAR_TABLES, Warehouse  # noqa: E402
+from lakestar.session import scratch_scope, write_and_read  # noqa: E402
 from lakestar.sources import csv_io  # noqa: E402
 
 
@@ -29,7 +30,7 @@ def _parse(argv: list[str] | None) -> argparse.Namespace:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--data", help="folder with the driver tables (<name>.parquet)")
     src.add_argument("--csv", help="datasets folder with source_crm/*.csv and source_erp/*.csv")
-    p.add_argument("--as-of", default=str(DEFAULT_AS_OF), help="reference date for date checks (YYYY-MM-DD)")
+    p.add_argument("--as-of", default=None, help="reference date for date checks (YYYY-MM-DD; default: today)")
     p.add_argument("--no-gate", action="store_true", help="report quality errors instead of failing")
     p.add_argument("--collation", default=None, help="collation for string checks, e.g. UTF8_LCASE_RTRIM")
     p.add_argument("--metrics-csv", default=None, help="write the 19 audit metrics as one CSV file here")
@@ -48,7 +49,7 @@ def main(argv: list[str] | None = None) -> int:
         from pyspark.sql import SparkSession
 
         spark = SparkSession.builder.appName("lakestar").getOrCreate()
-    as_of = _dt.date.fromisoformat(args.as_of)
+    as_of = _dt.date.fromisoformat(args.as_of) if args.as_of else _dt.date.today()
 
     wh = (Warehouse.from_csv(spark, args.csv, as_of=as_of) if args.csv
           else Warehouse(spark, args.data, as_of=as_of)).build()
@@ -58,16 +59,18 @@ def main(argv: list[str] | None = None) -> int:
         "silver": quality.quality_report(quality.conformed_checks(as_of, args.collation), conformed),
         "gold": quality.quality_report(quality.star_checks(args.collation), star),
     }
-    for row in quality.tag_layers(reports).collect():  # one row per check
-        print(f"[{row.layer}] {row.severity:7s} {row.check_name}: {row.failed_rows}")
     status = 0
-    try:
-        quality.quality_gate(reports)
-    except quality.QualityError as err:
-        if not args.no_gate:
-            print(err, file=sys.stderr)
-            return 1
-        status = 2  # gate failed, reported only
+    with scratch_scope(spark):
+        report = write_and_read(quality.tag_layers(reports), "quality-report")  # computed once, printed and gated from here
+        for row in report.orderBy("layer", "severity", "check_name").collect():  # one row per check
+            print(f"[{row.layer}] {row.severity:7s} {row.check_name}: {row.failed_rows}")
+        try:
+            quality.quality_gate({layer: report.where(f"layer = '{layer}'").drop("layer") for layer in reports})
+        except quality.QualityError as err:
+            if not args.no_gate:
+                print(err, file=sys.stderr)
+                return 1
+            status = 2  # gate failed, reported only
 
     if args.metrics_csv:
         raw = {n: wh.raw(n) for n in CONFORMED_RULES}

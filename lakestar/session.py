@@ -9,6 +9,8 @@ machine-local temporary folder is not visible to other executors.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import threading
 import uuid
@@ -38,6 +40,47 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 _ROOT_LOCK = threading.Lock()
+_SCOPE = threading.local()
+
+#: Bytes of input files that one range slice should hold.
+SLICE_BYTES = 128 << 20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, by Spark's statistics of its sources."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 62)  # a source of unknown size counts as the greatest number there is
+
+
+def slices_for(df: DataFrame, slice_bytes: int = SLICE_BYTES) -> int:
+    """Range partitions for ``df``: a slice for each ``slice_bytes`` of its input, the session's shuffle partitions at least."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // slice_bytes))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store (by Spark's own file system client)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    try:
+        remove(spark, path)
+    except Exception:  # the JVM may be gone by then
+        pass
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables that :func:`write_and_read` writes in this block (and thread) go when it ends."""
+    outer, _SCOPE.paths = getattr(_SCOPE, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _SCOPE.paths = _SCOPE.paths, outer
+        for path in paths:
+            remove(spark, path)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -74,8 +117,13 @@ def write_and_read(df: DataFrame, purpose: str) -> DataFrame:
     Used instead of an RDD ``checkpoint()`` where the rows carry their own
     bookkeeping columns (slice or partition id, position): parquet is
     columnar and compressed, and later reads prune the columns they do not
-    need. Retries after an executor loss read the same files.
+    need. Retries after an executor loss read the same files. The table is removed at the end of the enclosing
+    :func:`scratch_scope`, else when the application ends.
     """
     path = new_run_dir(df.sparkSession, purpose)
+    if getattr(_SCOPE, "paths", None) is not None:
+        _SCOPE.paths.append(path)
+    else:
+        atexit.register(_remove_at_exit, df.sparkSession, path)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -45,9 +45,8 @@ def test_clean_products(products_raw):
     assert conform.clean_products(products_raw, category_fixes=None).where("prd_id = 300").first().cat_id == "CO_PE"
 
 
-@pytest.mark.parametrize("distributed", [True, False])
-def test_dim_products(products_raw, categories, distributed):
-    dim = star.dim_products(conform.clean_products(products_raw), categories, distributed_keys=distributed)
+def test_dim_products(products_raw, categories):
+    dim = star.dim_products(conform.clean_products(products_raw), categories)
     rows = dim.orderBy("product_key").collect()
     # Active versions only (no end date), keyed by (start_date, product_number).
     assert [(r.product_key, r.product_id) for r in rows] == [(1, 210), (2, 211), (3, 300), (4, 214)]
@@ -72,13 +71,12 @@ def customer_inputs(spark):
     return cust, demo, loc
 
 
-@pytest.mark.parametrize("distributed", [True, False])
-def test_dim_customers_fallbacks(customer_inputs, distributed):
+def test_dim_customers_fallbacks(customer_inputs):
     cust, demo, loc = customer_inputs
     ci = conform.clean_customers(cust)
     ca = conform.clean_demographics(demo, dt.date(2026, 1, 1))
     la = conform.clean_locations(loc)
-    rows = {r.customer_id: r for r in star.dim_customers(ci, ca, la, distributed_keys=distributed).collect()}
+    rows = {r.customer_id: r for r in star.dim_customers(ci, ca, la).collect()}
     assert sorted(rows) == [1, 2, 3]
     assert (rows[1].first_name, rows[1].last_name, rows[1].marital_status) == ("Ann", "Lee", "Single")
     assert rows[1].gender == "Female"                 # CRM wins over ERP "Male"
