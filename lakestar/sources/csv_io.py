@@ -40,16 +40,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "
 
 def read_csv_with_null_tokens(spark: SparkSession, path: str, schema: T.StructType,
                               tokens: tuple[str, ...] = ("NA",)) -> DataFrame:
-    """``nullValue`` takes one token; the others (and blank text) are mapped
-    to null afterwards, on string columns only."""
-    df = read_csv(spark, path, schema)
-    out = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.StringType):
-            c = F.when(c.isin(list(tokens)) | (c == F.lit("")), F.lit(None)).otherwise(c)
-        out.append(c.alias(f.name))
-    return df.select(out)
+    """Columns of every type: read as text, null the tokens and empty text, then cast (a value that is
+    neither a token nor of its type is an error, as under ``FAILFAST``)."""
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    df = read_csv(spark, path, text)
+    nulled = lambda c: F.when(c.isin(list(tokens)) | (c == F.lit("")), F.lit(None)).otherwise(c)
+    return df.select([nulled(F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 # The source file of each raw table, relative to the datasets
@@ -72,9 +68,9 @@ def read_sources(spark: SparkSession, datasets_dir: str, files: Mapping[str, str
     return {table: read_csv(spark, f"{root}/{rel}", RAW[table], mode, quote=quote) for table, rel in files.items()}
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Header + ``,``; text written verbatim (no whitespace trimming)."""
-    (df.write.mode("errorifexists").option("header", True)
+def write_csv(df: DataFrame, path: str, null_token: str = "") -> None:
+    """Header + ``,``; text written verbatim (no whitespace trimming), nulls as ``null_token``."""
+    (df.write.mode("errorifexists").option("header", True).option("nullValue", null_token)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
@@ -94,6 +90,11 @@ def ingest(spark: SparkSession, sources: Mapping[str, str], out_dir: str,
     return loaded
 
 
+def read_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The metrics file as ``(metric, value)`` text."""
+    return read_csv(spark, path, T.StructType([T.StructField(c, T.StringType(), True) for c in ("metric", "value")]))
+
+
 def write_metrics_csv(metrics: DataFrame, path: str) -> None:
     """``(metric, value)`` as one small CSV file with a header.
 

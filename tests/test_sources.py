@@ -52,6 +52,28 @@ def test_null_tokens(spark):
     assert [r.cntry for r in rows] == [None, None, "Germany"]
 
 
+def test_null_tokens_in_typed_columns(spark):
+    path = _write_text(spark, ["prd_id,prd_key,prd_nm,prd_cost,prd_line,prd_start_dt,prd_end_dt", "NA,k,n,NA,NA,NA,2007-12-28", "7,k,,3,S ,2011-07-01,"],
+                       "csv-na-typed")
+    rows = csv_io.read_csv_with_null_tokens(spark, path, RAW["crm_prd_info"]).orderBy("prd_cost").collect()
+    assert rows[0].prd_id is rows[0].prd_cost is rows[0].prd_line is rows[0].prd_start_dt is None and rows[0].prd_end_dt is not None
+    assert (rows[1].prd_id, rows[1].prd_cost, rows[1].prd_line, rows[1].prd_nm) == (7, 3, "S ", None)
+    bad = _write_text(spark, ["cid,bdate,gen", "a,not a date,M"], "csv-na-bad")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        csv_io.read_csv_with_null_tokens(spark, bad, RAW["erp_cust_az12"]).collect()
+
+
+def test_sources_are_read_unquoted_by_default(spark):
+    import inspect
+
+    from lakestar.plans.build import Warehouse
+
+    assert inspect.signature(Warehouse.from_csv).parameters["quote"].default == ""
+    path = _write_text(spark, ["id,cat,subcat,maintenance", 'A_B,5" Racks,"x,Yes'], "csv-stray")
+    row = csv_io.read_csv(spark, path, RAW["erp_px_cat_g1v2"], quote="").first()
+    assert (row.cat, row.subcat) == ('5" Racks', '"x')
+
+
 def test_ingest_round_trip(spark):
     src = spark.createDataFrame([("AC_HE", "Accessories", "Helmets", "Yes"), ("CO_PD", " Components", "Pedals", "No")],
                                 RAW["erp_px_cat_g1v2"])
