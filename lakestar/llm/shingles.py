@@ -4,6 +4,8 @@ A word is a run of bytes other than space and 0x09-0x0D in the UTF-8 text."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 
 _U = np.uint64
@@ -35,7 +37,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _hash_step(raw: np.ndarray) -> np.ndarray:
+def _hash_step(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of some bytes, and where it starts."""
     space = _SPACE[raw]
     word = ~space
     starts = np.flatnonzero(word & np.concatenate(([True], space[:-1])))
@@ -45,7 +48,7 @@ def _hash_step(raw: np.ndarray) -> np.ndarray:
         power, inverse = _powers(_BASE, len(raw)), _powers(pow(_BASE, -1, 1 << 64), len(raw))
     sums = np.zeros(len(raw) + 1, dtype=_U)
     np.cumsum((raw.astype(_U) + _U(1)) * power[:len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(_U))
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(_U)), starts
 
 
 def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
@@ -56,7 +59,7 @@ def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
     if lower:
         raw = _LOWER[raw]
     if len(raw) <= STEP:
-        return _hash_step(raw)
+        return _hash_step(raw)[0]
     parts, at = [], 0
     while at < len(raw):
         end = min(at + STEP, len(raw))
@@ -64,11 +67,34 @@ def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
             gaps = np.flatnonzero(_SPACE[raw[at:end]])
             after = gaps if len(gaps) else (end - at) + np.flatnonzero(_SPACE[raw[end:]])[:1]
             end = at + int(after[-1]) + 1 if len(after) else len(raw)
-        parts.append(_hash_step(raw[at:end]))
+        parts.append(_hash_step(raw[at:end])[0])
         at = end
     return np.concatenate(parts)
 
 
+def word_hashes_of(texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The words of many texts, several short ones at a time: number of the first text, the words' hashes one text after
+    the other, and where in these each text ends."""
+    first, group, size = 0, [], 0
+    for text in texts:
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        if group and size + len(raw) >= STEP:
+            yield first, *_hash_group(group)
+            first, group, size = first + len(group), [], 0
+        group.append(raw)
+        size += len(raw) + 1
+    if group:
+        yield first, *_hash_group(group)
+
+
+def _hash_group(group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    if len(group) == 1:
+        words = word_hashes(group[0].decode("utf-8", "surrogatepass"))
+        return words, np.array([len(words)])
+    words, starts = _hash_step(np.frombuffer(b" ".join(group) + b" ", dtype=np.uint8))
+    return words, np.searchsorted(starts, np.cumsum([len(x) + 1 for x in group]))
+
+
 def runs(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of ``k`` words, in order, with repeats."""
     n = len(words) - k + 1

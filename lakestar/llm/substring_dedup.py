@@ -28,20 +28,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .shingles import runs, word_hashes
+from .shingles import runs, word_hashes_of
 
 WINDOW = 13
 SEED_WORDS = 4
 
 
-def windows_and_anchors(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and anchor of each window of a text."""
-    words = word_hashes(text)
+def windows_of(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of several texts' words, one text after the other: hash and anchor of each window, and the number of the text it is in."""
     windows, seeds = runs(words, WINDOW), runs(words, SEED_WORDS)
     anchors = seeds[:len(windows)]
     for j in range(1, WINDOW - SEED_WORDS + 1):
         anchors = np.minimum(anchors, seeds[j:len(windows) + j])
-    return windows, anchors
+    text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    whole = text[:len(windows)] == text[WINDOW - 1:]  # not over the end of a text
+    return windows[whole], anchors[whole], text[:len(windows)][whole]
 
 
 def parse(windows: np.ndarray, known: np.ndarray, blocks: np.ndarray) -> list[tuple[int, int, int]]:
@@ -62,22 +63,24 @@ def parse(windows: np.ndarray, known: np.ndarray, blocks: np.ndarray) -> list[tu
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [np.unique(windows_and_anchors(x.as_py())[1]).view(np.int64) for x in batch.column(1)]
-        for at in range(0, len(found), 500):
-            part = found[at:at + 500]
-            ids = np.repeat(batch.column(0).to_numpy()[at:at + 500], [len(x) for x in part])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)), pa.array(ids)], names=["anchor", "id"])
+        ids = batch.column(0).to_numpy()
+        for first, words, ends in word_hashes_of(x.as_py() for x in batch.column(1)):
+            _, anchors, text = windows_of(words, ends)
+            new = np.ones(len(anchors), dtype=bool)  # windows side by side mostly have the same
+            new[1:] = (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(anchors[new].view(np.int64)), pa.array(ids[first + text[new]])], names=["anchor", "id"])
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, text, anchors -> window, id for the distinct windows with one of these anchors."""
+    """id, text, anchors -> window, id for the windows with one of these anchors. That an anchor is shared holds for all
+    texts that have it, so the anchors of texts that are hashed together can be looked up together."""
     for batch in batches:
-        ids = batch.column(0).to_numpy()
-        for i, (text, anchors) in enumerate(zip(batch.column(1), batch.column(2))):
-            windows, own = windows_and_anchors(text.as_py())
-            wanted = anchors.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            found = np.unique(windows[np.isin(own, wanted)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), ids[i]))], names=["window", "id"])
+        ids, offsets = batch.column(0).to_numpy(), batch.column(2).offsets.to_numpy()
+        shared = batch.column(2).values.to_numpy(zero_copy_only=False).view(np.uint64)
+        for first, words, ends in word_hashes_of(x.as_py() for x in batch.column(1)):
+            windows, anchors, text = windows_of(words, ends)
+            known = np.isin(anchors, shared[offsets[first]:offsets[first + len(ends)]])
+            yield pa.RecordBatch.from_arrays([pa.array(windows[known].view(np.int64)), pa.array(ids[first + text[known]])], names=["window", "id"])
 
 
 def _factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,29 +90,31 @@ def _factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
             counts, removed, factors, kept = [], [], [], []
-            for text, hits in zip(batch.column(1), batch.column(2)):
-                text = text.as_py()
+            texts = [x.as_py() for x in batch.column(1)]
+            windows = [w for _, words, ends in word_hashes_of(texts) for w in _split(words, ends)]
+            for text, own, hits in zip(texts, windows, batch.column(2)):
                 words = (text or "").encode("utf-8").split()
                 found = []
                 if hits.is_valid and len(hits.values):
                     pairs = hits.values
-                    found = parse(word_windows(text), pairs.field(0).to_numpy(zero_copy_only=False).view(np.uint64),
-                                  pairs.field(1).to_numpy(zero_copy_only=False))
+                    found = parse(own, pairs.field(0).to_numpy(zero_copy_only=False).view(np.uint64), pairs.field(1).to_numpy(zero_copy_only=False))
                 gone = np.zeros(len(words) + 1, dtype=np.int64)
                 for start, n, _ in found:
                     gone[start] += 1
                     gone[start + n] -= 1
-                keep = np.cumsum(gone[:-1]) == 0
+                keep = np.cumsum(gone[:-1]) == 0 if found else None
                 counts.append(len(words))
-                removed.append(int((~keep).sum()))
+                removed.append(int((~keep).sum()) if found else 0)
                 factors.append([{"start": a, "words": n, "block": b} for a, n, b in found])
-                kept.append(b" ".join(words if not found else [words[i] for i in np.flatnonzero(keep)]).decode("utf-8"))
+                kept.append(b" ".join([words[i] for i in np.flatnonzero(keep)] if found else words).decode("utf-8"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(factors, kind),
                                               pa.array(kept, pa.string())], names=["id", "n_words", "n_removed", "factors", "kept_text"])
 
 
-def word_windows(text: str | None) -> np.ndarray:
-    return runs(word_hashes(text), WINDOW)
+def _split(words: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """The windows of each text."""
+    windows, _, text = windows_of(words, ends)
+    return np.split(windows, np.searchsorted(text, np.arange(1, len(ends))))
 
 
 def factor_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
