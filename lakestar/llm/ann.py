@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import hash_sample, written
 
 PIVOTS, PREFIX = 256, 128
 CANDIDATES, LEAST = 0.1, 200
@@ -106,8 +106,8 @@ def _search(k: int, pivots: int):
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of each row for which ``is_query`` holds (a condition on the id, as ``id``)."""
     vectors = valid_vectors(rows, id_col, vector_col)
-    sample = vectors.orderBy(F.xxhash64("vector"), "id").select("vector").limit(PIVOTS).collect()
-    pivots = np.array([r["vector"] for r in sample], dtype=np.float64).reshape(len(sample), -1)
+    sample = hash_sample(vectors, "vector", PIVOTS)
+    pivots = np.array(sample, dtype=np.float64) if sample else np.zeros((0, 1))
     index = written(order_of(vectors, pivots), "ann-index")
     queries = index.where(is_query)
     parts = lambda n, size: max(1, -(-n // size))

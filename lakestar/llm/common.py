@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,3 +82,23 @@ def union_all(parts: Iterable[DataFrame]) -> DataFrame:
     for p in parts:
         out = p if out is None else out.unionByName(p)
     return out
+
+
+#: Range of the hashes by which samples are drawn.
+HASHES = 1 << 40
+
+
+def sample_hash(col: Column) -> Column:
+    return F.pmod(F.xxhash64(col), F.lit(HASHES))
+
+
+def sample_bound(wanted: int, rows: int) -> int:
+    """Hashes below it belong to about four times the ``wanted`` of so many rows, so what is sorted and sent for a sample is bounded too."""
+    return math.ceil(HASHES * min(1.0, 4 * wanted / max(1, rows)))
+
+
+def hash_sample(df: DataFrame, col: str, wanted: int) -> list:
+    """The ``wanted`` distinct values of ``col`` with the smallest hashes (fewer, if the bound leaves fewer): a sample for the driver."""
+    h = sample_hash(F.col(col))
+    low = df.select(col).where(h < sample_bound(wanted, df.count())).distinct()
+    return [r[0] for r in low.orderBy(h, col).limit(wanted).collect()]

@@ -14,7 +14,7 @@ breaks, are white space or nothing inside a block.
 
 Defined results: null or empty html, or a page without words, gives an empty text; a page without any mark-up is one text; unclosed and
 stray tags are allowed, a skipped element ends with its parent at the latest; ties go to the first, then the longest
-region; repeated rows get equal results; an empty table gives an empty result; without labelled pages, words weigh 1 and tags -1.
+region; repeated rows get equal results; an empty table gives an empty result; without labelled pages, words weigh 1 and tags by their kind.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spare, with_columns
+from .common import hash_sample, spare, with_columns
 
 SAMPLE_PAGES = 400
 SCALES = (0.5, 1, 2, 4, 8, 16, 32)
@@ -45,6 +45,7 @@ _WHOLE = frozenset("html body main".split())  # may tell of a sidebar by their c
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("""address article blockquote body caption center dd details dir div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol option p
 pre section summary table tbody td tfoot th thead tr ul""".split())
+_BOXES = frozenset("article body div html main section".split())
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
 _NAMED = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
@@ -127,8 +128,13 @@ class Weights(NamedTuple):
     tags: dict[str, float]
     scale: float
 
+    def tag(self, tag: str) -> float:
+        """A tag that no labelled page has costs as much as its kind: a box that may hold anything, a block of text, or a mark inside one."""
+        name = tag.strip("/")
+        return self.tags.get(tag, -1.0 if name in _BOXES else -0.1 if name in _BLOCK else -0.01)
+
     def scores(self, page: list[Token]) -> list[float]:
-        return [self.scale * self.tags.get(t.tag, -1.0) if t.tag else t.words * self.words.get(t.kind, 1.0) for t in page]
+        return [self.scale * self.tag(t.tag) if t.tag else t.words * self.words.get(t.kind, 1.0) for t in page]
 
 
 def _content(page: list[Token]) -> tuple[int, int] | None:
@@ -184,8 +190,7 @@ def main_text(page: str | None, weights: Weights) -> str:
 def fit(pages: DataFrame, html_col: str = "html") -> Weights:
     """Weights from a bounded sample of the pages that mark their content."""
     marked = pages.select(F.col(html_col).alias("html")).where(F.lower("html").contains("<article"))
-    sample = marked.orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES).collect()
-    return learn([r["html"] for r in sample])
+    return learn(hash_sample(marked, "html", SAMPLE_PAGES))
 
 
 def extract(pages: DataFrame, weights: Weights, html_col: str = "html") -> DataFrame:

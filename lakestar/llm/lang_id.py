@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spare, with_columns
+from .common import sample_bound, sample_hash, spare, with_columns
 
 SAMPLE_TEXTS, SAMPLE_CHARS = 400, 2000
 DICTIONARY_BYTES, BLOCK_BYTES = 100_000, 512
@@ -42,7 +42,13 @@ def normal(text: str) -> bytes:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Dictionary content of each language; reads a bounded sample of ``labelled``."""
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    ranked = rows.withColumn("h", F.xxhash64("text")).withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    rows = rows.withColumn("h", sample_hash(F.col("text")))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a number for each language
+    if not counts:
+        return {}
+    bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, sample_bound(SAMPLE_TEXTS, n))])
+    low = rows.where(F.col("h") < bound[F.col("lang")]).distinct()
+    ranked = low.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
     sample = ranked.where(F.col("place") <= SAMPLE_TEXTS).select("lang", "place", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
     found: dict[str, list[bytes]] = {}
     for row in sorted(sample, key=lambda r: (r["lang"], r["place"])):
