@@ -63,13 +63,20 @@ def order_of(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
     return rows.select("id", "vector").mapInArrow(number, "id bigint, vector array<double>, near binary")
 
 
-def inverted_files(near: np.ndarray, pivots: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each pivot the objects that have it among their nearest, and PREFIX less its place there."""
-    objects = np.repeat(np.arange(len(near)), near.shape[1])
-    weights = np.tile(near.shape[1] - np.arange(near.shape[1]), len(near)).astype(np.int32)
-    order = np.argsort(near.ravel(), kind="stable")
-    ends = np.searchsorted(near.ravel()[order], np.arange(pivots + 1))
-    return [(objects[order[a:b]], weights[order[a:b]]) for a, b in zip(ends[:-1], ends[1:])]
+def inverted_files(near: np.ndarray, pivots: int) -> np.ndarray:
+    """A row for each pivot: PREFIX less the pivot's place with each object, 0 for those that don't have it. With PREFIX / PIVOTS of all
+    objects in a file, such a row is smaller than a list of them, and reading it is one pass over bytes."""
+    files = np.zeros((pivots, len(near)), dtype=np.uint8)
+    weights = np.arange(near.shape[1], 0, -1, dtype=np.uint8)
+    files[near.ravel(), np.repeat(np.arange(len(near)), near.shape[1])] = np.tile(weights, len(near))
+    return files
+
+
+def common_places(files: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For each object the sum over the pivots that it has in common with a query of PREFIX less the later place."""
+    weights = np.arange(len(order), 0, -1, dtype=np.uint8)
+    read = files[order]
+    return np.minimum(read, weights[:, None], out=read).sum(axis=0, dtype=np.uint16)
 
 
 def _search(k: int, pivots: int):
@@ -83,10 +90,7 @@ def _search(k: int, pivots: int):
             ask = np.frombuffer(b"".join(queries["near"].to_pylist()), dtype=np.uint16).reshape(queries.num_rows, -1)
             take = min(len(ids), max(LEAST, k + 1, int(np.ceil(CANDIDATES * len(ids)))))
             for query, vector, order in zip(queries["id"].to_numpy(), matrix(queries["vector"]), ask):
-                common = np.zeros(len(ids), dtype=np.int32)
-                for place, pivot in enumerate(order):
-                    posted, weight = files[pivot]
-                    common[posted] += np.minimum(weight, len(order) - place)
+                common = common_places(files, order)
                 # The smallest footrule distances are the largest sums; of equal ones the smaller ids, which come first.
                 least = np.partition(common, len(ids) - take)[len(ids) - take]
                 over = np.flatnonzero(common > least)
