@@ -180,8 +180,5 @@ def test_footrule_of_inverted_files():
     for i, order in enumerate(near):
         place[i, order] = np.arange(k)
     for q in range(5):
-        common = np.zeros(40, dtype=int)
-        for j, pivot in enumerate(near[q]):
-            posted, weight = files[pivot]
-            common[posted] += np.minimum(weight, k - j)
+        common = ann.common_places(files, near[q]).astype(int)
         assert (k * (k + 1) - 2 * common == np.abs(place - place[q]).sum(axis=1)).all()
