@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import audit, dedupe, joins, kpi, quality
+from ..operators import audit, conform, dedupe, joins, kpi, quality
 from ..schemas import RAW
-from ..session import new_run_dir
+from ..session import scratch_dir
 from ..sources import csv_io, extracts
 from .build import CONFORMED_RULES, STAR_TABLES, Warehouse, warehouse_for
 
@@ -43,6 +43,15 @@ def _conformed_table(name: str) -> Query:
     return lambda spark, sf_dir: _wh(spark, sf_dir).conformed(name)
 
 
+def conform_part_categories(spark, sf_dir):
+    """The category rule on category rows derived from the parts: padded ids, types, brands and maintenance codes."""
+    p = extracts.read_table(spark, sf_dir, "part").select("p_type", "p_brand", "p_size")
+    pad = lambda c: F.concat(F.lit(" "), c, F.lit("  "))
+    raw = p.select(pad(F.upper(F.substring("p_type", 1, 5))).alias("id"), pad(F.col("p_type")).alias("cat"), pad(F.col("p_brand")).alias("subcat"),
+                   F.when(F.col("p_size") % 2 == 0, " Yes").otherwise("No ").alias("maintenance")).distinct()
+    return conform.clean_categories(raw)
+
+
 def _star_table(name: str) -> Query:
     return lambda spark, sf_dir: _wh(spark, sf_dir).star(name)
 
@@ -55,22 +64,22 @@ def bronze_row_counts(spark, sf_dir):
 def bronze_csv_roundtrip_products(spark, sf_dir):
     """Raw product extract landed as CSV, then ingested with the declared
     schema (the full-refresh CSV path of the raw layer)."""
-    landing = new_run_dir(spark, "landing")
+    landing = scratch_dir(spark, "landing")
     csv_io.write_csv(extracts.crm_prd_info(spark, sf_dir), f"{landing}/crm_prd_info")
-    loaded = csv_io.ingest(spark, {"crm_prd_info": f"{landing}/crm_prd_info"}, new_run_dir(spark, "raw"))
+    loaded = csv_io.ingest(spark, {"crm_prd_info": f"{landing}/crm_prd_info"}, scratch_dir(spark, "raw"))
     return loaded["crm_prd_info"]
 
 
 def bronze_csv_null_tokens(spark, sf_dir):
     """The raw product extract landed as CSV with ``NA`` for its nulls, in number and date columns too, and read back."""
-    landing = new_run_dir(spark, "landing")
+    landing = scratch_dir(spark, "landing")
     csv_io.write_csv(extracts.crm_prd_info(spark, sf_dir), landing, null_token="NA")
     return csv_io.read_csv_with_null_tokens(spark, landing, RAW["crm_prd_info"])
 
 
 def metrics_csv_roundtrip(spark, sf_dir):
     """The audit metrics as written to their CSV file and read back."""
-    path = new_run_dir(spark, "metrics")
+    path = scratch_dir(spark, "metrics")
     csv_io.write_metrics_csv(metrics_audit(spark, sf_dir), path)
     return csv_io.read_metrics_csv(spark, path)
 
@@ -441,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "silver_crm_sales_details": _conformed_table("crm_sales_details"),
     "silver_erp_cust_az12": _conformed_table("erp_cust_az12"),
     "silver_erp_loc_a101": _conformed_table("erp_loc_a101"),
+    "conform_part_categories": conform_part_categories,
     "gold_dim_customers": _star_table("dim_customers"),
     "gold_dim_products": _star_table("dim_products"),
     "gold_fact_sales": _star_table("fact_sales"),

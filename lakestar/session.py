@@ -110,6 +110,16 @@ def new_run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/lakestar/{purpose}/{uuid.uuid4().hex}"
 
 
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder that is removed at the end of the enclosing :func:`scratch_scope`, else when the application ends."""
+    path = new_run_dir(spark, purpose)
+    if getattr(_SCOPE, "paths", None) is not None:
+        _SCOPE.paths.append(path)
+    else:
+        atexit.register(_remove_at_exit, spark, path)
+    return path
+
+
 def write_and_read(df: DataFrame, purpose: str) -> DataFrame:
     """Cut lineage through a written table: ``df`` is written once as parquet
     to a fresh folder under the shared root and read back with its schema.
@@ -120,10 +130,6 @@ def write_and_read(df: DataFrame, purpose: str) -> DataFrame:
     need. Retries after an executor loss read the same files. The table is removed at the end of the enclosing
     :func:`scratch_scope`, else when the application ends.
     """
-    path = new_run_dir(df.sparkSession, purpose)
-    if getattr(_SCOPE, "paths", None) is not None:
-        _SCOPE.paths.append(path)
-    else:
-        atexit.register(_remove_at_exit, df.sparkSession, path)
+    path = scratch_dir(df.sparkSession, purpose)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
