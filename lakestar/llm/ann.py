@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_sample, written
+from .common import hash_sample, ship, written
 
 PIVOTS, PREFIX = 256, 128
 CANDIDATES, LEAST = 0.1, 200
@@ -109,6 +109,7 @@ def _search(k: int, pivots: int):
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of each row for which ``is_query`` holds (a condition on the id, as ``id``)."""
+    ship(rows.sparkSession)
     vectors = valid_vectors(rows, id_col, vector_col)
     sample = hash_sample(vectors, "vector", PIVOTS)
     pivots = np.array(sample, dtype=np.float64) if sample else np.zeros((0, 1))

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import io
 import math
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +19,29 @@ from ..session import new_run_dir
 FREE_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the application's Python workers, wherever the driver was started: its modules go to
+    the executors as one small archive, by Spark's own file distribution."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(here)
+    found = io.BytesIO()
+    with zipfile.ZipFile(found, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder in (top, here):
+            for name in sorted(os.listdir(folder)):
+                if name.endswith(".py"):
+                    archive.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(top)))
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="lakestar-")), "lakestar_llm.zip")  # Spark takes it from the driver
+    with open(path, "wb") as out:
+        out.write(found.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, spare, with_columns
+from .common import hash_sample, ship, spare, with_columns
 
 SAMPLE_PAGES = 400
 SCALES = (0.5, 1, 2, 4, 8, 16, 32)
@@ -195,6 +195,8 @@ def fit(pages: DataFrame, html_col: str = "html") -> Weights:
 
 def extract(pages: DataFrame, weights: Weights, html_col: str = "html") -> DataFrame:
     """``pages`` with ``text`` and ``n_chars``; columns with these names give way."""
+    ship(pages.sparkSession)
+
     @F.arrow_udf("string")
     def text_of(pages_: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in pages_:

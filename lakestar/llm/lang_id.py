@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sample_bound, sample_hash, spare, with_columns
+from .common import sample_bound, sample_hash, ship, spare, with_columns
 
 SAMPLE_TEXTS, SAMPLE_CHARS = 400, 2000
 DICTIONARY_BYTES, BLOCK_BYTES = 100_000, 512
@@ -106,6 +106,7 @@ def predictor(model: dict[str, bytes]) -> Callable:
 
 def identify(docs: DataFrame, model: dict[str, bytes], min_margin: float = 0.005, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected``."""
+    ship(docs.sparkSession)
     told = spare(docs, "told_language")
     out = docs.withColumn(told, predictor(model)(F.col(text_col)))
     rejected = (F.col(f"{told}.lang") == UNKNOWN) | (F.col(f"{told}.score") < min_margin)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import ship, written
 from .components import components
 from .shingles import mix, shingle_set
 
@@ -218,6 +218,7 @@ def merged(links: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def near_duplicate_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id: a row for each document. ``percent``: the least Jaccard similarity of a link, in hundredths."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     texts = texts.withColumn("version", F.xxhash64("text"))
     signed = texts.mapInArrow(_sign, "id bigint, version bigint, n bigint, print binary, signature binary")
@@ -261,7 +262,7 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc
                            F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "place", "rep", "n", "label", "signature")
     cell = ("key", "one", "two")
     able = paired.groupBy(*cell).applyInArrow(_with_partners(percent), _CELL)
-    able = able.join(texts.select(F.col("id").alias("rep"), "text"), "rep").select(*[x.split()[0] for x in _CELL.split(", ")], "text")
+    able = able.join(texts, F.col("rep") == F.col("id")).select(*[x.split()[0] for x in _CELL.split(", ")], "text")
     labels = merged(able.groupBy(*cell).applyInArrow(_links_of_cell(percent), "a bigint, b bigint"), labels)
 
     of_print = labelled(reps, labels, "rep", "component_id").select("print", "component_id")

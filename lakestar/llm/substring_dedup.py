@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import ship, written
 from .shingles import runs, word_hashes_of
 
 WINDOW = 13
@@ -119,6 +119,7 @@ def _split(words: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
 
 def factor_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_words, n_removed, factors (array of start, words, block) and kept_text (the other words, joined by a space): a row for each row."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     named = texts.where("id is not null")
     anchors = named.mapInArrow(_anchors, "anchor bigint, id bigint")
