@@ -6,7 +6,6 @@ import atexit
 import io
 import math
 import os
-import tempfile
 import zipfile
 from collections.abc import Iterable
 
@@ -24,7 +23,7 @@ _SHIPPED: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the application's Python workers, wherever the driver was started: its modules go to
-    the executors as one small archive, by Spark's own file distribution."""
+    the executors as one small archive in the shared folder, by Spark's own file distribution."""
     if spark.sparkContext.applicationId in _SHIPPED:
         return
     here = os.path.dirname(os.path.abspath(__file__))
@@ -35,9 +34,12 @@ def ship(spark: SparkSession) -> None:
             for name in sorted(os.listdir(folder)):
                 if name.endswith(".py"):
                     archive.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(top)))
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="lakestar-")), "lakestar_llm.zip")  # Spark takes it from the driver
-    with open(path, "wb") as out:
-        out.write(found.getvalue())
+    path = f"{new_run_dir(spark, 'llm-package')}/lakestar_llm.zip"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(found.getvalue()))
+    out.close()
+    atexit.register(_remove, spark, os.path.dirname(path))
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(spark.sparkContext.applicationId)
 
