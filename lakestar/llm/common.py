@@ -121,9 +121,9 @@ def sample_hash(col: Column) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(HASHES))
 
 
-def sample_bound(wanted: int, rows: int) -> int:
-    """Hashes below it belong to about four times the ``wanted`` of so many rows, so what is sorted and sent for a sample is bounded too."""
-    return math.ceil(HASHES * min(1.0, 4 * wanted / max(1, rows)))
+def sample_bound(wanted: int, distinct: int) -> int:
+    """Hashes below it belong to about four times the ``wanted`` of so many distinct values, so what is sorted and sent for a sample is bounded too."""
+    return math.ceil(HASHES * min(1.0, 4 * wanted / max(1, distinct)))
 
 
 def hash_sample(df: DataFrame, col: str, wanted: int) -> list:

@@ -1,6 +1,6 @@
 """Language identification by compression: the language whose text helps most to compress a document.
 
-Fitting gathers a bounded sample of labelled texts: for each language the SAMPLE_TEXTS texts with the smallest hash,
+Fitting gathers a bounded sample of labelled texts: for each language the SAMPLE_TEXTS distinct texts with the smallest hash,
 SAMPLE_CHARS characters of each at most. Lower-cased and without digits and ASCII punctuation, they form that language's
 zstandard raw-content dictionary, of DICTIONARY_BYTES at most.
 
@@ -43,7 +43,8 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     """Dictionary content of each language; reads a bounded sample of ``labelled``."""
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     rows = rows.withColumn("h", sample_hash(F.col("text")))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a number for each language
+    # Distinct texts are counted, so that copies don't lower the bound: with SAMPLE_TEXTS distinct texts or more, as many are found.
+    counts = {r["lang"]: r["count"] for r in rows.select("lang", "h").distinct().groupBy("lang").count().collect()}  # a number for each language
     if not counts:
         return {}
     bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, sample_bound(SAMPLE_TEXTS, n))])

@@ -120,6 +120,13 @@ def test_language_odd_rows(spark):
     assert (one.lang_pred, one.score, one.rejected) == ("en", 1.0, False)
 
 
+def test_copies_do_not_thin_the_sample_of_a_language(spark):
+    others = [(i, f"parole{chr(97 + i % 26)}{chr(97 + i // 26)} della casa", "it") for i in range(100)]
+    copies = spark.range(60_000).selectExpr("id as doc_id", "'una copia sola' as text", "'it' as lang")
+    model = lang_id.fit(copies.unionByName(spark.createDataFrame(others, LANG)))
+    assert sorted(model["it"].split(b" ")) == sorted(" ".join(["una copia sola", *[x[1] for x in others]]).encode().split(b" "))
+
+
 VEC = "vec_id bigint, embedding array<float>"
 
 
