@@ -1,11 +1,14 @@
 """Approximate nearest neighbours by inner product: a permutation index.
 
-Objects near to each other see the same reference points in the same order. PIVOTS vectors, a bounded sample of the table (those with the
-smallest hash), are the reference points. Each object is represented by its PREFIX nearest pivots (largest inner product), in order; that is the index, a
+Objects in nearly the same direction see the same reference points in the same order. PIVOTS vectors, a bounded sample of the table (those with the
+smallest hash), scaled to length 1, are the reference points. Each object is represented by its PREFIX nearest pivots (largest inner product), in order; that is the index, a
 row for each object. In a block, objects are posted to their pivots' inverted files with their place. For a query, the files of
 its own PREFIX nearest pivots are read and give the Spearman footrule distance of the two orders: a pivot that only one
 of them has counts as place PREFIX, so footrule = PREFIX * (PREFIX + 1) - 2 * sum over common pivots of (PREFIX - the later place).
-The CANDIDATES share of a block with the smallest distances (LEAST at least) is reranked by the exact inner product.
+The footrule tells the angle only, so an object's inner product with the query is estimated by its length times a cosine: a line through the
+pivots' own pairs gives the cosine of a footrule, and DEVIATIONS standard deviations of these pairs are added, so that long objects aren't lost
+by an error of the angle. With equal lengths this is the order of the footrule. The CANDIDATES share of a block with the largest
+estimates (LEAST at least) is reranked by the exact inner product of the original vectors.
 
 Blocks: objects are dealt by a hash of their id into blocks of about OBJECTS, queries into blocks of about QUERIES; each pair of blocks is a
 group of bounded size that returns no more than k rows a query, and a query's best k of all blocks are its answer.
@@ -28,6 +31,7 @@ from .common import hash_sample, ship, written
 
 PIVOTS, PREFIX = 256, 128
 CANDIDATES, LEAST = 0.1, 200
+DEVIATIONS = 2
 OBJECTS, QUERIES = 8192, 1024
 
 
@@ -47,6 +51,12 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return whole.flatten().to_numpy(zero_copy_only=False).reshape(len(whole), -1).astype(np.float64)
 
 
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Euclidean length of each non-zero vector; scaled, so that no square overflows."""
+    largest = np.abs(vectors).max(axis=1)
+    return largest * np.sqrt(((vectors / largest[:, None]) ** 2).sum(axis=1))
+
+
 def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Numbers of each vector's PREFIX nearest pivots, nearest first."""
     return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :PREFIX].astype(np.uint16)
@@ -79,7 +89,23 @@ def common_places(files: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.minimum(read, weights[:, None], out=read).sum(axis=0, dtype=np.uint16)
 
 
-def _search(k: int, pivots: int):
+def cosine_line(pivots: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of a line that gives the cosine of two vectors, DEVIATIONS above the mean, from ``common_places`` of
+    their orders; learned from the pairs of pivots. Where these don't tell, it gives 0 to 1."""
+    near = nearest_pivots(pivots, pivots)
+    files = inverted_files(near, len(pivots))
+    pairs = ~np.eye(len(pivots), dtype=bool)
+    common = np.array([common_places(files, order) for order in near], dtype=np.float64)[pairs]
+    cosine = (pivots @ pivots.T)[pairs]
+    spread = common.var() if len(common) else 0.0
+    slope = ((common - common.mean()) * (cosine - cosine.mean())).mean() / spread if spread else 0.0
+    if slope <= 0:
+        return 2 / (near.shape[1] * (near.shape[1] + 1)), 0.0
+    base = cosine.mean() - slope * common.mean()
+    return slope, base + DEVIATIONS * (cosine - base - slope * common).std()
+
+
+def _search(k: int, pivots: int, line: tuple[float, float]):
     def search(objects: pa.Table, queries: pa.Table) -> pa.Table:
         out_q, out_id, out_score = [], [], []
         if objects.num_rows and queries.num_rows:
@@ -87,14 +113,15 @@ def _search(k: int, pivots: int):
             ids, vectors = objects["id"].to_numpy(), matrix(objects["vector"])
             near = np.frombuffer(b"".join(objects["near"].to_pylist()), dtype=np.uint16).reshape(len(ids), -1)
             files = inverted_files(near, pivots)
+            length = lengths(vectors)
             ask = np.frombuffer(b"".join(queries["near"].to_pylist()), dtype=np.uint16).reshape(queries.num_rows, -1)
             take = min(len(ids), max(LEAST, k + 1, int(np.ceil(CANDIDATES * len(ids)))))
             for query, vector, order in zip(queries["id"].to_numpy(), matrix(queries["vector"]), ask):
-                common = common_places(files, order)
-                # The smallest footrule distances are the largest sums; of equal ones the smaller ids, which come first.
-                least = np.partition(common, len(ids) - take)[len(ids) - take]
-                over = np.flatnonzero(common > least)
-                chosen = np.concatenate((over, np.flatnonzero(common == least)[:take - len(over)]))
+                estimate = length * (line[0] * common_places(files, order) + line[1])
+                # The largest estimates; of equal ones the smaller ids, which come first.
+                least = np.partition(estimate, len(ids) - take)[len(ids) - take]
+                over = np.flatnonzero(estimate > least)
+                chosen = np.concatenate((over, np.flatnonzero(estimate == least)[:take - len(over)]))
                 chosen = np.sort(chosen[ids[chosen] != query])
                 scores = (vectors[chosen] * vector).sum(axis=1)
                 best = np.lexsort((ids[chosen], -scores))[:k]
@@ -113,6 +140,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     vectors = valid_vectors(rows, id_col, vector_col)
     sample = hash_sample(vectors, "vector", PIVOTS)
     pivots = np.array(sample, dtype=np.float64) if sample else np.zeros((0, 1))
+    if sample:
+        pivots /= lengths(pivots)[:, None]
     index = written(order_of(vectors, pivots), "ann-index")
     queries = index.where(is_query)
     parts = lambda n, size: max(1, -(-n // size))
@@ -122,6 +151,6 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     objects = index.withColumn("object_block", block(object_blocks)).withColumn("query_block", every(query_blocks))
     asked = queries.withColumn("query_block", block(query_blocks)).withColumn("object_block", every(object_blocks))
     cells = objects.groupBy("object_block", "query_block").cogroup(asked.groupBy("object_block", "query_block"))
-    best = cells.applyInArrow(_search(k, len(pivots)), "query_id bigint, vec_id bigint, score double")
+    best = cells.applyInArrow(_search(k, len(pivots), cosine_line(pivots) if sample else (0.0, 0.0)), "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -159,6 +159,18 @@ def test_recall_against_brute_force(spark, monkeypatch):
     assert all(abs(s - vectors[q] @ vectors[v]) < 1e-9 for q, x in got.items() for v, s in x)
 
 
+@pytest.mark.parametrize("kind", ["lognormal", "few long"])
+def test_recall_with_unequal_lengths(spark, kind):
+    draw = np.random.RandomState(5)
+    vectors = draw.randn(4000, 64)
+    length = np.exp(0.5 * draw.randn(4000)) if kind == "lognormal" else np.where(draw.rand(4000) < 0.05, 3.0, 1.0)
+    vectors *= (length / np.linalg.norm(vectors, axis=1))[:, None]
+    rows = [(i, x) for i, x in enumerate(vectors.astype(np.float32).tolist())]
+    got, want = found(spark, rows), brute_nearest(dict(rows), 20)
+    hits = sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
+    assert hits >= 0.95 * 20 * len(want)
+
+
 def test_small_tables_are_exact_with_ties_to_the_smaller_id(spark):
     draw = np.random.RandomState(3)
     rows = [(i, draw.randn(8).round(1).tolist()) for i in range(60)] + [(i, [1.0] * 8) for i in range(60, 200)]
