@@ -127,7 +127,9 @@ def sample_bound(wanted: int, distinct: int) -> int:
 
 
 def hash_sample(df: DataFrame, col: str, wanted: int) -> list:
-    """The ``wanted`` distinct values of ``col`` with the smallest hashes (fewer, if the bound leaves fewer): a sample for the driver."""
+    """The ``wanted`` distinct values of ``col`` with the smallest hashes (all, if there are fewer): a sample for the driver.
+    Copies don't count for the bound, so they leave no fewer values."""
     h = sample_hash(F.col(col))
-    low = df.select(col).where(h < sample_bound(wanted, df.count())).distinct()
+    values = df.select(col).where(F.col(col).isNotNull())
+    low = values.where(h < sample_bound(wanted, values.select(h.alias("h")).distinct().count())).distinct()
     return [r[0] for r in low.orderBy(h, col).limit(wanted).collect()]

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestar.llm import ann, html_extract, lang_id, queries
+from lakestar.llm.common import hash_sample
 
 SF = "/root/testdata/sf0.01"
 PAGE = "page_id bigint, url string, html string"
@@ -180,6 +181,14 @@ def test_small_tables_are_exact_with_ties_to_the_smaller_id(spark):
     assert {q: len(x) for q, x in found(spark, few).items()} == {0: 2, 20: 2}
 
 
+def test_samples_of_repeated_values_hold_all_of_them(spark):
+    few = spark.range(100_000).selectExpr("concat('value ', id % 10) as v")
+    assert sorted(hash_sample(few, "v", 256)) == [f"value {i}" for i in range(10)]
+    equal = spark.range(5_000).selectExpr("id as vec_id", "array(3.0f, 4.0f, 5.0f) as embedding")
+    rows = ann.nearest(equal, F.col("id") == 0, 20).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in rows] == [(i, 50.0) for i in range(1, 21)]
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (6, []), (None, [1.0, 1.0]), (7, [3.0, 1.0]),
