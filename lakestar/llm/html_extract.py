@@ -9,7 +9,9 @@ in the same kind of element (a link, a paragraph, ...) that are content; a tag's
 against a word is set by the number in SCALES that recovers most labelled regions exactly, the middle one of several.
 
 What the markup itself names as no content is taken out before the scan, so it neither counts nor splits a region:
-elements in SKIPPED, and any whose class, id or role has a word in MARKED. Block elements part blocks; other tags, and line
+elements in SKIPPED, and those whose class, id or role names furniture (``_named``). Such a name may also tell how a whole page is laid out, so
+an element that holds another article, or most of the page's words, stays for the scan, where its tags weigh as any others do. Readers' threads may
+be longer than what they are about: they go at any size, and where an article stands apart from an element, its size tells nothing. Block elements part blocks; other tags, and line
 breaks, are white space or nothing inside a block.
 
 Defined results: null or empty html, or a page without words, gives an empty text; a page without any mark-up is one text; unclosed and
@@ -19,6 +21,7 @@ region; repeated rows get equal results; an empty table gives an empty result; w
 
 from __future__ import annotations
 
+import bisect
 import html as html_lib
 import math
 import re
@@ -40,6 +43,11 @@ SKIPPED = frozenset("head title script style noscript template nav header footer
 MARKED = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay
 newsletter subscribe signup login nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside widget related recommended share sharing social
 comment comments commentlist respond disqus replies reply header masthead footer copyright search toolbar contentinfo complementary""".split())
+#: Of these, names of readers' threads.
+_THREADS = frozenset("comments commentlist disqus replies respond".split())
+#: A name that begins so tells what a page has, and of no element.
+_STATES = frozenset("has no with without is".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _RAW = frozenset("script style textarea title noscript template iframe svg".split())
 _WHOLE = frozenset("html body main".split())  # may tell of a sidebar by their class without being one
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,7 +55,7 @@ _BLOCK = frozenset("""address article blockquote body caption center dd details
 pre section summary table tbody td tfoot th thead tr ul""".split())
 _BOXES = frozenset("article body div html main section".split())
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
-_NAMED = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
 
 
 class Token(NamedTuple):
@@ -59,15 +67,82 @@ class Token(NamedTuple):
     words: int
 
 
-def _marked(attributes: str) -> bool:
-    return bool(attributes) and any(w in MARKED for x in _NAMED.findall(attributes) for w in re.split(r"[^a-z]+", x.lower()))
+def _named(tag: str, attributes: str) -> set[str]:
+    """The words in MARKED by which an element's class, id or role names furniture: a whole name, or the first or last part of one.
+    Only a whole name counts on articles and paragraphs, and as the id of a section, which like a heading's is made from its title;
+    headings, and ids of paragraphs, name nothing."""
+    out: set[str] = set()
+    if not attributes or tag in _WHOLE or tag in _HEADINGS:
+        return out
+    for key, value in _ATTRIBUTE.findall(attributes):
+        key = key.lower()
+        if key not in ("class", "id", "role") or key == "id" and tag == "p":
+            continue
+        whole = key == "role" or tag in ("article", "p") or key == "id" and tag == "section"
+        for name in value.strip("\"'").lower().split():
+            parts = [w for w in re.split(r"[^a-z]+", name) if w]
+            if parts and (len(parts) == 1 or not whole and parts[0] not in _STATES):
+                out |= {parts[0], parts[-1]} & MARKED
+    return out
+
+
+class _Span(NamedTuple):
+    """A named element: its tokens, whether it is an article or a readers' thread, and whether its own tag closes it."""
+
+    start: int
+    end: int
+    article: bool
+    thread: bool
+    closed: bool
+
+
+def _without_furniture(page: list[Token], spans: list[_Span]) -> list[Token]:
+    """``page`` without the named elements that are furniture."""
+    total = [0]
+    for t in page:
+        total.append(total[-1] + t.words)
+    named = {s.start for s in spans if s.article}
+    articles = [i for i, t in enumerate(page) if t.tag == "article" and i not in named]
+    ends, open_ = {}, []
+    for i, t in enumerate(page):
+        if t.tag == "article":
+            open_.append(i)
+        elif t.tag == "/article" and open_:
+            ends[open_.pop()] = i
+    out, at = [], 0
+    first = articles[0] if articles else len(page)
+    last = articles[-1] if articles else -1
+    closed = min((ends.get(i, len(page)) for i in articles), default=len(page))  # where the first article ends
+    for s in sorted(spans):
+        inside = bisect.bisect_left(articles, s.end) > bisect.bisect_left(articles, s.start)
+        if s.start < at or inside:
+            continue
+        apart = closed < s.start or last >= s.end  # an article stands before or behind it
+        around = first < s.start
+        if s.article and not (apart or around) or not (apart or s.thread) and 2 * (total[s.end] - total[s.start]) > total[-1]:
+            continue
+        out += page[at:s.start]
+        if s.closed:
+            out.append(Token("", "", " ", 0))
+        at = s.end
+    return out + page[at:]
 
 
 def tokens(page: str) -> list[Token]:
     """The page's tags and text nodes, without skipped elements and comments."""
     out: list[Token] = []
     stack: list[str] = []  # open elements
+    names: list[tuple[int, int, bool, bool]] = []  # open named elements: depth of the stack inside, first token, article, thread
+    spans: list[_Span] = []
     skip = 0  # depth of the stack inside of the skipped element, 0: none
+
+    def close(depth: int, own: bool) -> None:
+        """Named elements deeper than ``depth`` end here; the outermost of them by its own tag, if ``own``."""
+        while names and names[-1][0] > depth:
+            inside, start, article, thread = names.pop()
+            mine = own and inside == depth + 1
+            spans.append(_Span(start, len(out) + mine, article, thread, mine))
+
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.match(page, at)
@@ -90,6 +165,7 @@ def tokens(page: str) -> list[Token]:
                         skip = 0
                         continue
                     skip = 0
+                close(depth, True)
             if not skip:
                 out.append(Token(f"/{name}", "", "", 0))
             continue
@@ -97,18 +173,26 @@ def tokens(page: str) -> list[Token]:
             if not skip:
                 out.append(Token(name, "", "", 0))
             continue
-        if name == "p" and not skip and "p" in stack:  # a paragraph ends where the next begins
-            del stack[len(stack) - stack[::-1].index("p") - 1:]
+        floor = names[-1][0] if names else 0
+        if name == "p" and not skip and ("p" in stack[floor:] or floor and stack[floor - 1] == "p"):  # a paragraph ends where the next begins
+            depth = len(stack) - stack[::-1].index("p") - 1
+            del stack[depth:]
+            close(depth, False)
         stack.append(name)
-        if not skip and (name in SKIPPED or name not in _WHOLE and _marked(m.group(3))):
+        if not skip and name in SKIPPED:
             skip = len(stack)
+        elif not skip:
+            marks = _named(name, m.group(3))
+            if marks:
+                names.append((len(stack), len(out), name == "article", bool(marks & _THREADS)))
         if name in _RAW:
-            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = close.start() if close else end
+            found = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            at = found.start() if found else end
             continue
         if not skip:
             out.append(Token(name, "", "", 0))
-    return out
+    close(0, False)
+    return _without_furniture(out, spans) if spans else out
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:

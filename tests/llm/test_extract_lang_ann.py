@@ -50,6 +50,25 @@ def test_furniture_inside_and_around_the_article_goes(weights):
     assert found == "Title & more\nOne bold word here next\nitem one\nitem two\nA quote\nLast"
 
 
+@pytest.mark.parametrize("around,inside", [
+    ('<article class="post has-sidebar">%s</article>', ""), ('<article class="post comment-status-open">%s</article>', ""),
+    ('<div class="content-sidebar-wrap"><article>%s</article></div>', ""), ('<div class="page header-fixed"><article>%s</article></div>', ""),
+    ('<div class="page header-fixed">%s</div>', ""), ('<article data-id="ad" title="class=ad">%s</article>', ""), ('<article>%s</article>', '<h2 id="related-work">More</h2>'),
+    ('<article>%s</article>', '<h2 id="search">More</h2>'), ('<article>%s</article>', '<h3 class="header">More</h3>'), ('<article>%s</article>', '<p class="alert-level">More</p>'),
+    ('<article>%s</article>', '<section id="related-work"><p>More</p></section>'), ('<article>%s</article>', '<div data-id="share">More</div>'),
+])
+def test_names_that_are_no_furniture_cost_nothing(weights, around, inside):
+    text = " ".join(["word"] * 30)
+    body = f"<p>{text}</p>{inside}<p>{text}</p>"
+    raw = f"<html><body><nav>Home</nav><div class='sidebar'><p>Side</p></div>{around % body}<div id='comments'><p>Nice</p></div></body></html>"
+    assert html_extract.main_text(raw, weights) == "\n".join([text, *["More"] * bool(inside), text])
+
+
+def test_long_threads_and_marked_paragraphs_go(weights):
+    thread = "<div class='comments'>%s</div>" % ("<article class='comment'><p>I say so too</p></article>" * 100)
+    assert html_extract.main_text(page("<p>One</p><p class='ad'>Buy<p>Two</p><div class='share'><p>x<p>y</div>" + thread, "", thread), weights) == "One\nTwo"
+
+
 def test_plain_boxes_around_the_article_lose(weights):
     text = " ".join(["word"] * 60)
     found = html_extract.main_text(page(f"<p>{text}</p>", "<div>About us</div>", "<div>Read more here</div>"), weights)
