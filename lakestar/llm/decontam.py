@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shingles, words, written
+from .common import shingles, spare, words, written
 
 SHINGLE_WORDS = 5
 
@@ -57,6 +57,10 @@ def find_contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that contain an item; all columns and other rows stay, also those without an id."""
-    bad = find_contained(docs, items, threshold, id_col, text_col).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(bad, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rows whose text contains an item; all columns and other rows stay. Each row is judged by its own text, so also one
+    without an id, or of an id that others have too (``id_col`` decides nothing)."""
+    mark = spare(docs, "text_hash")
+    hashed = docs.withColumn(mark, F.sha2(F.col(text_col).cast("binary"), 256))
+    texts = hashed.select(mark, text_col).where(F.col(mark).isNotNull()).distinct()
+    bad = find_contained(texts, items, threshold, mark, text_col).select(F.col("doc_id").alias(mark)).distinct()
+    return hashed.join(bad, mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -59,6 +59,12 @@ def test_decontamination_keeps_all_columns_and_clean_rows(spark):
     assert out.columns == docs.columns and sorted(r.item_id for r in out.collect()) == [2, 2, 3]
 
 
+def test_decontamination_judges_each_row_by_its_text(spark):
+    docs = spark.createDataFrame([(None, ITEM), (None, "clean"), (5, ITEM), (5, "clean too"), (6, None)], DOC)
+    out = decontam.drop_contaminated(docs, spark.createDataFrame([(1, ITEM)], BENCH))
+    assert sorted((str(r.doc_id), str(r.text)) for r in out.collect()) == [("5", "clean too"), ("6", "None"), ("None", "clean")]
+
+
 def test_decontamination_empty_tables(spark):
     none, one = spark.createDataFrame([], DOC), spark.createDataFrame([(1, ITEM)], BENCH)
     assert decontam.find_contained(none, one).collect() == []
