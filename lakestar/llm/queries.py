@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, decontam, html_extract, lang_id, line_dedup, mixing, near_dup, sharding, substring_dedup
+from . import ann, chat_format, decontam, filter_audit, html_extract, lang_id, line_dedup, mixing, near_dup, sharding, sql, substring_dedup, turn_repair
 from .common import table
 
 #: A conversation that the chat query adds to the table: both texts hold control strings.
@@ -83,6 +83,32 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults, by a hash of conversation and turn: rows dropped, emptied, cut short, repeated or given to the user."""
+    told = turns.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    fault = told.withColumn("fault", (F.crc32(key.cast("binary")) % 20).cast("int")).where("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    return fault.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1))).alias("copy"))
+
+
+def op11_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    turns = table(spark, sf_dir, "conversations")
+    repaired = turn_repair.digests(turn_repair.repair(damaged(turns)))
+    every = turns.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    joined = every.join(repaired, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                         F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from each language's documents, in all 120 orders."""
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard_minimax": op2_shard_minimax,
@@ -94,11 +120,15 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_nearest_vectors": op10_nearest_vectors,
+    "op11_repair_turns": op11_repair_turns,
+    "op13_filter_interactions": op13_filter_interactions,
 }
 
 _UNIFORM = "('0x' || substr(md5(concat_ws('|', '17', coalesce(CAST(doc_id AS VARCHAR), ''), '1')), 1, 13))::BIGINT / 4503599627370496.0"
 
 ORACLE_SQL = {
+    "op11_repair_turns": sql.TURN_REPAIR,
+    "op13_filter_interactions": sql.FILTER_AUDIT,
     # Rates here stay far below the mean at which a draw is split into parts.
     "op1_mix_sources": f"""
 WITH RECURSIVE sizes AS (
