@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, decontam, filter_audit, html_extract, lang_id, line_dedup, mixing, near_dup, sharding, sql, substring_dedup, turn_repair
+from . import ann, chat_format, decontam, filter_audit, html_extract, lang_id, line_dedup, mixing, near_dup, quality_gam, sharding, sql, substring_dedup, turn_repair
 from .common import table
 
 #: A conversation that the chat query adds to the table: both texts hold control strings.
@@ -104,6 +104,19 @@ def op11_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
 
 
+def quality_held_out() -> Column:
+    """The fold that no quality model learns from: a hash of the id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op12_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents, learned from the labels of two folds in three."""
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    model = quality_gam.fit(docs.where(~quality_held_out()), labels.where(~quality_held_out()))
+    rated = quality_gam.rate(docs.select("doc_id", "text"), model)
+    return rated.select("doc_id", quality_held_out().alias("held_out"), "score", "predicted")
+
+
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes from each language's documents, in all 120 orders."""
     return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -121,6 +134,7 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_nearest_vectors": op10_nearest_vectors,
     "op11_repair_turns": op11_repair_turns,
+    "op12_quality_score": op12_quality_score,
     "op13_filter_interactions": op13_filter_interactions,
 }
 
