@@ -26,12 +26,11 @@ def ship(spark: SparkSession) -> None:
     the executors as one small archive in the shared folder, by Spark's own file distribution."""
     if spark.sparkContext.applicationId in _SHIPPED:
         return
-    here = os.path.dirname(os.path.abspath(__file__))
-    top = os.path.dirname(here)
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     found = io.BytesIO()
     with zipfile.ZipFile(found, "w", zipfile.ZIP_DEFLATED) as archive:
-        for folder in (top, here):
-            for name in sorted(os.listdir(folder)):
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
                 if name.endswith(".py"):
                     archive.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(top)))
     path = f"{new_run_dir(spark, 'llm-package')}/lakestar_llm.zip"
