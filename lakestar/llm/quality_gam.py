@@ -30,7 +30,7 @@ from .common import sample_bound, sample_hash, ship, spare, with_columns, writte
 
 SAMPLE = 20_000
 BINS, COARSE = 32, 8
-ROUNDS, PAIR_ROUNDS, PAIRS = 150, 75, 6
+ROUNDS, PAIR_ROUNDS, PAIRS = 150, 300, 6
 RATE, PENALTY, LEAF = 0.1, 2.0, 5
 #: Leaves of a tree over bins.
 LEAVES = 4

@@ -275,7 +275,7 @@ def test_the_sample_holds_distinct_texts(spark, monkeypatch):
 # -- op13: filter interaction audit ------------------------------------------------------------------------------------------------------
 
 def audit_by_hand(docs, labels):
-    good, bad = ({d for d, q, t in labels if (q, t)[k] == 1} for k in (0, 1))
+    good, bad = ({d for d, q, t in labels if d is not None and (q, t)[k] == 1} for k in (0, 1))
     ids = {}
     for d, text, _ in docs:
         if d is not None:
