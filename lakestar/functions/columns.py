@@ -29,6 +29,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def collated(c: Column | str, collation: str | None) -> Column:
+    """A string column compared under ``collation`` (as it is when None): ``UTF8_LCASE_RTRIM`` ignores case and trailing spaces, like a server's
+    default collation. Equality, grouping and joins of such columns are by collation key."""
+    return F.collate(_col(c), collation) if collation else _col(c)
+
+
 def map_values(c: Column | str, mapping: Mapping[str, str], default: Column | str | None = UNKNOWN) -> Column:
     """``CASE c WHEN k THEN v ... ELSE default END`` over a literal mapping."""
     c = _col(c)

@@ -5,15 +5,11 @@ is partially aggregated on the map side, so a key that holds a third of all
 rows is reduced to one row per input partition *before* the shuffle, and no
 task ever holds a whole group.
 
-``validity_end_dates`` needs the next start within a key (``LEAD``). A plain
-window would place a hot key in one task, so the skew-safe plan range-
-partitions by (key, start, tie) -- the sampler splits a hot key across many
-partitions -- and computes ``lead`` inside each (slice, key). Slices hold
-contiguous ranges of the total order, so only the *last* key of a slice can
-continue in a later slice, and its missing lead is the first value of the
-next non-empty slice when that slice starts with the same key. The patch
-table therefore has one row per slice of about a hundred megabytes (the number of
-slices follows the input's size), and is broadcast -- no second pass over the rows.
+``validity_end_dates`` needs the next start within a key (``LEAD``). A plain window would place a hot key in one task, and range slices of
+all rows need a written copy. Instead there are two levels: an index of the distinct starts of each key (with the greatest tie-breaker of each), reduced before its
+shuffle, and the rows, which look up their own entry. Within equal starts the next value is the start itself, but for the last row, which
+takes the index's next start. Only the index is windowed: a key with a third of all rows has a row there for each distinct start (a
+calendar's days, for dates), and the join's large partitions are split by AQE. No copy of the rows is written.
 """
 
 from __future__ import annotations
@@ -23,12 +19,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import slices_for, write_and_read
+from ..functions import columns as C
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str],
-                   tie_breakers: Sequence[str] | None = None, drop_null_keys: bool = False) -> DataFrame:
-    """One row per ``key``: the row with the greatest ``order_by`` values.
+                   tie_breakers: Sequence[str] | None = None, drop_null_keys: bool = False, collation: str | None = None) -> DataFrame:
+    """One row per ``key``: the row with the greatest ``order_by`` values. ``collation``: string keys that are equal under it are one key; the
+    row that is kept keeps its own spelling (of rows equal in all else the greatest).
 
     Ordering is descending with nulls last (a null date never beats a real
     one). Ties are broken by ``tie_breakers`` (descending, nulls last), by
@@ -46,6 +43,11 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequ
     # (order..., ties..., rest...) is "ORDER BY ... DESC NULLS LAST" top-1, and carries each column once.
     ranked = order + [c for c in tie_breakers if c not in order]
     rest = [c for c in df.columns if c not in keys and c not in ranked]
+    if collation:
+        texts = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+        by = [(C.collated(k, collation) if k in texts else F.col(k)).alias(f"_key{i}") for i, k in enumerate(keys)]
+        picked = df.groupBy(*by).agg(F.max(F.struct(*[F.col(c) for c in ranked + rest + [k for k in keys if k not in ranked]])).alias("_row"))
+        return picked.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns])
     picked = df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in ranked + rest])).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
@@ -53,40 +55,21 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequ
 def next_value_within_key(df: DataFrame, key: str, order_col: str, tie_breakers: Sequence[str] = (),
                           out: str = "_next", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = ``LEAD(order_col) OVER (PARTITION BY key ORDER BY
-    order_col, tie_breakers)`` without ever putting one key in one task.
+    order_col, tie_breakers)`` without ever putting one key's rows in one task.
 
     Nulls sort first (SQL ascending order); null keys form one group, as in
-    a SQL window.
+    a SQL window. Rows that are equal in all of these are one version: each of them takes what the last of them would. ``partitions`` of the
+    index, by default the session's.
     """
-    n = partitions or slices_for(df)
-    order = [F.col(order_col).asc_nulls_first()] + [F.col(t).asc_nulls_first() for t in tie_breakers]
-    # Range slices over the total order; a hot key spans several slices.
-    # The slice ids are written once (a parquet table in the shared folder):
-    # the row pass and the slice summary below must see the same slices, a
-    # retry after an executor loss must not re-sample them, and the summary
-    # reads back only the key and order columns.
-    sliced = write_and_read(
-        df.repartitionByRange(n, F.col(key).asc_nulls_first(), *order).withColumn("_slice", F.spark_partition_id()),
-        "lead-slices")
-    within = Window.partitionBy("_slice", key).orderBy(*order)
-    local = sliced.withColumn(out, F.lead(order_col).over(within)) \
-                  .withColumn("_is_last", F.lead(F.lit(1)).over(within).isNull())
-    # One row per non-empty slice: its first (key, value) and its last key,
-    # in the total order (struct comparison: field by field, nulls first).
-    rank = F.struct(F.col(key), F.col(order_col), *[F.col(t) for t in tie_breakers])
-    summary = sliced.groupBy("_slice").agg(
-        F.min_by(F.struct(F.col(key).alias("k"), F.col(order_col).alias("v")), rank).alias("_first"),
-        F.max_by(F.col(key), rank).alias("_last_key"))
-    following = Window.orderBy("_slice")  # at most `n` rows
-    nxt = F.lead("_first").over(following)
-    patch = summary.select(
-        F.col("_slice").alias("_pslice"),
-        F.col("_last_key"),
-        F.when(nxt["k"].eqNullSafe(F.col("_last_key")), nxt["v"]).alias("_carry"))
-    patched = local.join(F.broadcast(patch), local["_slice"] == patch["_pslice"], "left")
-    takes_carry = F.col("_is_last") & F.col(key).eqNullSafe(F.col("_last_key"))
-    return patched.withColumn(out, F.when(takes_carry, F.col("_carry")).otherwise(F.col(out))) \
-                  .drop("_slice", "_is_last", "_carry", "_pslice", "_last_key")
+    ties = F.struct(*[F.col(t) for t in tie_breakers]) if tie_breakers else F.lit(True)
+    starts = df.groupBy(F.col(key).alias("_key"), F.col(order_col).alias("_start")).agg(F.max(ties).alias("_last"))
+    if partitions:
+        starts = starts.repartition(partitions, "_key")
+    following = Window.partitionBy("_key").orderBy(F.col("_start").asc_nulls_first())
+    index = starts.withColumn("_following", F.lead("_start").over(following))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(order_col).eqNullSafe(F.col("_start"))
+    value = F.when(ties.eqNullSafe(F.col("_last")), F.col("_following")).otherwise(F.col(order_col))
+    return df.join(index, same, "left").select(*df.columns, value.alias(out))
 
 
 def validity_end_dates(df: DataFrame, key: str, start: str, end: str = "end_date",

@@ -35,17 +35,34 @@ def assert_unique(df: DataFrame, keys: Sequence[str], side: str = "right") -> No
         raise CardinalityError(f"{side} side is not unique on {list(keys)}: e.g. {dup[0].asDict()}")
 
 
+def _once(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
+    """``df`` as it is, with a check in its plan: the job fails with the key when ``keys`` repeat. Rows are grouped by the keys, which is how a join
+    on them shuffles them anyway; rows with a null key match nothing, so each is a group of its own."""
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    copies, row, tag = (f"_{side}_{x}" for x in ("copies", "row", "tag"))
+    grouped = df.withColumn(tag, F.when(null, F.monotonically_increasing_id())).groupBy(*keys, tag).agg(
+        F.count(F.lit(1)).alias(copies), F.first(F.struct(*[F.col(c) for c in df.columns if c not in keys] or [F.lit(0).alias("_")])).alias(row))
+    name = F.concat_ws(", ", *[F.concat(F.lit(f"{k} = "), F.col(k).cast("string")) for k in keys])
+    message = F.concat(F.lit(f"{side} side is not unique on {list(keys)}: "), name)
+    sound = grouped.where(F.when(F.col(copies) > 1, F.raise_error(message).cast("boolean")).otherwise(True))
+    return sound.select(*[F.col(c) if c in keys else F.col(f"{row}.{c}").alias(c) for c in df.columns])
+
+
 def checked_join(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
                  how: str = "left", validate: str = "many_to_one") -> DataFrame:
-    """Equi-join that first verifies the declared cardinality.
+    """Equi-join that verifies the declared cardinality as it runs.
 
     ``validate``: ``one_to_one`` (both sides unique), ``many_to_one`` (right
-    unique), ``one_to_many`` (left unique) or ``many_to_many`` (no check).
+    unique), ``one_to_many`` (left unique) or ``many_to_many`` (no check). Each side is read once and nothing runs before the join does; a
+    repeated key, also one without a partner, fails the job with an error that names it. Keys of the result are the left side's and the right side's columns, so their
+    names must differ.
     """
     if validate in ("one_to_one", "many_to_one"):
-        assert_unique(right, right_on, "right")
+        right = _once(right, right_on, "right")
     if validate in ("one_to_one", "one_to_many"):
-        assert_unique(left, left_on, "left")
+        left = _once(left, left_on, "left")
     cond: Column | None = None
     for lk, rk in zip(left_on, right_on):
         c = left[lk] == right[rk]

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .distinct import distinct_keys, key_bitmaps
+from .keys import dense_key
 
 
 def revenue() -> Column:
@@ -28,26 +30,53 @@ def row_counts(objects: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def sales_rollups(fact: DataFrame) -> dict[str, DataFrame]:
+    """The distinct customers of each month with their revenue, and its distinct orders, as bitmaps that merge (see :mod:`.distinct`): what
+    :func:`summary` and :func:`monthly_revenue` are rolled up from. Rows without a date are a month of their own (null)."""
+    month = C.month_start("order_date").alias("order_month")
+    return {
+        "customers_by_month": key_bitmaps(fact.select(month, "customer_key", "sales_amount"), ["order_month"], "customer_key", {"revenue": "sales_amount"}),
+        "orders_by_month": key_bitmaps(fact.select(month, "order_number"), ["order_month"], "order_number"),
+    }
+
+
+def summary_of(rollups: dict[str, DataFrame]) -> DataFrame:
+    """Total revenue, distinct orders and customers, average order value, from :func:`sales_rollups`; the fact is not read."""
+    counted = {name: distinct_keys(rollups[table], [], name).select(F.coalesce(name, F.lit(0)).alias(name))
+               for table, name in (("orders_by_month", "distinct_orders"), ("customers_by_month", "distinct_customers"))}
+    total = rollups["customers_by_month"].agg(F.sum("revenue").cast("bigint").alias("total_revenue"))
+    row = total.select("total_revenue", *[frame.scalar().alias(name) for name, frame in counted.items()])
+    average = F.col("total_revenue").cast("decimal(29,2)") / F.nullif(F.col("distinct_orders"), F.lit(0))
+    return row.withColumn("average_order_value", average.cast("decimal(19,2)"))
+
+
 def summary(fact: DataFrame) -> DataFrame:
-    """Total revenue, distinct orders and customers, average order value."""
-    orders = F.count_distinct("order_number")
-    return fact.agg(
-        revenue().alias("total_revenue"),
-        orders.alias("distinct_orders"),
-        F.count_distinct("customer_key").alias("distinct_customers"),
-        (F.sum(F.col("sales_amount").cast("decimal(19,2)")) / F.nullif(orders, F.lit(0)))
-        .cast("decimal(19,2)").alias("average_order_value"),
-    )
+    return summary_of(sales_rollups(fact))
+
+
+def monthly_revenue_of(rollups: dict[str, DataFrame]) -> DataFrame:
+    """Revenue, orders and active customers per calendar month (sparse), from :func:`sales_rollups`."""
+    customers, orders = (rollups[t].where(F.col("order_month").isNotNull()) for t in ("customers_by_month", "orders_by_month"))
+    active = F.coalesce(F.sum(F.when(F.col("bucket").isNotNull(), F.bitmap_count("bits"))), F.lit(0))
+    sums = customers.groupBy("order_month").agg(F.sum("revenue").cast("bigint").alias("revenue"), active.alias("active_customers"))
+    counts = distinct_keys(orders, ["order_month"], "orders", merged=False)
+    return (sums.join(counts, "order_month", "left")
+            .select("order_month", "revenue", F.coalesce("orders", F.lit(0)).alias("orders"), "active_customers").orderBy("order_month"))
 
 
 def monthly_revenue(fact: DataFrame) -> DataFrame:
-    """Revenue, orders and active customers per calendar month (sparse)."""
-    return (fact.where(F.col("order_date").isNotNull())
-            .groupBy(C.month_start("order_date").alias("order_month"))
-            .agg(revenue().alias("revenue"),
-                 F.count_distinct("order_number").alias("orders"),
-                 F.count_distinct("customer_key").alias("active_customers"))
-            .orderBy("order_month"))
+    return monthly_revenue_of(sales_rollups(fact.where(F.col("order_date").isNotNull())))
+
+
+def yearly_activity(rollups: dict[str, DataFrame]) -> DataFrame:
+    """Revenue, distinct orders and active customers of each year (null: of rows without a date), rolled up from the months' bitmaps."""
+    year = F.year("order_month").alias("order_year")
+    customers, orders = (rollups[t].withColumn("order_year", year) for t in ("customers_by_month", "orders_by_month"))
+    out = customers.groupBy("order_year").agg(F.sum("revenue").cast("bigint").alias("revenue"))
+    for counted, name in ((distinct_keys(orders, ["order_year"], "orders"), "orders"), (distinct_keys(customers, ["order_year"], "active_customers"), "active_customers")):
+        counted = counted.withColumnRenamed("order_year", "_year")
+        out = out.join(counted, F.col("order_year").eqNullSafe(F.col("_year")), "left").drop("_year").withColumn(name, F.coalesce(name, F.lit(0)))
+    return out
 
 
 def revenue_by(fact: DataFrame, dim: DataFrame, key: str, attribute: str, extra: dict | None = None) -> DataFrame:
@@ -129,9 +158,9 @@ def monthly_revenue_filled_by(fact: DataFrame, key: str) -> DataFrame:
             .select(key, "order_month", F.coalesce("revenue", F.lit(0)).cast("bigint").alias("revenue")))
 
 
-def with_position(report: DataFrame) -> DataFrame:
-    """A small sorted report with each row's place in it (from 1): its rows in one partition, in their order."""
-    return report.coalesce(1).withColumn("position", F.monotonically_increasing_id() + 1)
+def with_position(report: DataFrame, order_by: list[Column | str]) -> DataFrame:
+    """A report with each row's place (from 1) in the total order ``order_by``."""
+    return dense_key(report, order_by, "position").select(*report.columns, "position")
 
 
 def means_of_group_sums(df: DataFrame, groups: dict[str, str], measure: str) -> DataFrame:

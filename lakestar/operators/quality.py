@@ -17,6 +17,7 @@ A report is ``(check_name, severity, failed_rows)``, errors first.
 from __future__ import annotations
 
 import datetime as _dt
+import itertools
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -39,18 +40,20 @@ class Check:
     lookup: str | None = None
     lookup_key: str | None = None
     dims: tuple = field(default_factory=tuple)
+    collation: str | None = None
 
 
 def rows(name, severity, table, predicate) -> Check:
     return Check(name, severity, table, "rows", predicate=predicate)
 
 
-def keys(name, severity, table, key) -> Check:
-    return Check(name, severity, table, "keys", key=key)
+def keys(name, severity, table, key, collation=None) -> Check:
+    """``collation``: string keys that are equal under it are one key."""
+    return Check(name, severity, table, "keys", key=key, collation=collation)
 
 
-def unmatched(name, severity, table, key, lookup, lookup_key) -> Check:
-    return Check(name, severity, table, "unmatched", key=key, lookup=lookup, lookup_key=lookup_key)
+def unmatched(name, severity, table, key, lookup, lookup_key, collation=None) -> Check:
+    return Check(name, severity, table, "unmatched", key=key, lookup=lookup, lookup_key=lookup_key, collation=collation)
 
 
 def orphans(name, severity, table, dims: Sequence[tuple[str, str]]) -> Check:
@@ -59,21 +62,12 @@ def orphans(name, severity, table, dims: Sequence[tuple[str, str]]) -> Check:
 
 
 # ---- the conformed-layer and star-layer check lists (fixed values: names, severities, domains) ---------------------------------------
-def _text(name: str, collation: str | None) -> Column:
-    """A string column compared under ``collation`` (binary when None).
-
-    ``UTF8_LCASE_RTRIM`` mimics a server whose default collation ignores case
-    and trailing spaces in comparisons (SURVEY N3): ``'AW1 ' = 'AW1'`` and
-    ``'n/A' = 'n/a'``; leading spaces still count.
-    """
-    return F.collate(F.col(name), collation) if collation else F.col(name)
-
-
 def conformed_checks(as_of: _dt.date | str, collation: str | None = None) -> list[Check]:
     """The 17 conformed-layer checks; ``collation`` applies to their string
-    comparisons (trim difference, domains, sentinels)."""
+    comparisons (keys, lookups, trim difference, domains, sentinels). ``UTF8_LCASE_RTRIM`` mimics a server whose default collation ignores case
+    and trailing spaces (SURVEY N3): ``'AW1 ' = 'AW1'`` and ``'n/A' = 'n/a'``; leading spaces still count."""
     as_of_col = lambda: F.lit(str(as_of)).cast("date")
-    t = lambda name: _text(name, collation)
+    t = lambda name: C.collated(name, collation)
     return [
         keys("crm_customer_key_null_or_duplicate", ERROR, "crm_cust_info", "cst_id"),
         rows("crm_customer_key_whitespace", ERROR, "crm_cust_info",
@@ -82,7 +76,7 @@ def conformed_checks(as_of: _dt.date | str, collation: str | None = None) -> lis
              lambda: C.outside_domain(t("cst_marital_status"), ["Single", "Married", C.UNKNOWN])),
         rows("crm_customer_unknown_gender", WARNING, "crm_cust_info", lambda: C.unknown_or_null(t("cst_gndr"))),
         keys("crm_product_key_null_or_duplicate", ERROR, "crm_prd_info", "prd_id"),
-        unmatched("crm_product_unmatched_category", ERROR, "crm_prd_info", "cat_id", "erp_px_cat_g1v2", "id"),
+        unmatched("crm_product_unmatched_category", ERROR, "crm_prd_info", "cat_id", "erp_px_cat_g1v2", "id", collation),
         rows("crm_product_invalid_cost", ERROR, "crm_prd_info",
              lambda: F.col("prd_cost").isNull() | (F.col("prd_cost") < 0)),
         rows("crm_product_invalid_line", ERROR, "crm_prd_info",
@@ -98,7 +92,7 @@ def conformed_checks(as_of: _dt.date | str, collation: str | None = None) -> lis
              lambda: (F.col("bdate") < F.add_months(as_of_col(), -110 * 12)) | (F.col("bdate") > as_of_col())),
         rows("erp_customer_unknown_gender", WARNING, "erp_cust_az12", lambda: C.unknown_or_null(t("gen"))),
         rows("erp_location_unknown_country", WARNING, "erp_loc_a101", lambda: C.unknown_or_null(t("cntry"))),
-        keys("erp_category_key_null_or_duplicate", ERROR, "erp_px_cat_g1v2", "id"),
+        keys("erp_category_key_null_or_duplicate", ERROR, "erp_px_cat_g1v2", "id", collation),
         rows("erp_category_invalid_maintenance_value", ERROR, "erp_px_cat_g1v2",
              lambda: C.outside_domain(t("maintenance"), ["Yes", "No"])),
     ]
@@ -106,14 +100,14 @@ def conformed_checks(as_of: _dt.date | str, collation: str | None = None) -> lis
 
 def star_checks(collation: str | None = None) -> list[Check]:
     """The 12 star-schema checks; ``collation`` as in :func:`conformed_checks`."""
-    t = lambda name: _text(name, collation)
+    t = lambda name: C.collated(name, collation)
     return [
         keys("dim_customer_surrogate_key_null_or_duplicate", ERROR, "dim_customers", "customer_key"),
         keys("dim_customer_natural_key_null_or_duplicate", ERROR, "dim_customers", "customer_id"),
         rows("dim_customer_unknown_gender", WARNING, "dim_customers", lambda: C.unknown_or_null(t("gender"))),
         rows("dim_customer_unknown_country", WARNING, "dim_customers", lambda: C.unknown_or_null(t("country"))),
         keys("dim_product_surrogate_key_null_or_duplicate", ERROR, "dim_products", "product_key"),
-        keys("dim_product_natural_key_null_or_duplicate", ERROR, "dim_products", "product_number"),
+        keys("dim_product_natural_key_null_or_duplicate", ERROR, "dim_products", "product_number", collation),
         rows("dim_product_missing_category_enrichment", ERROR, "dim_products",
              lambda: C.any_null("category", "subcategory", "maintenance")),
         rows("fact_sales_missing_dimension_key", ERROR, "fact_sales",
@@ -129,8 +123,10 @@ def star_checks(collation: str | None = None) -> list[Check]:
 
 
 # ---- counting ---------------------------------------------------------------------------
-def count_bad_keys(df: DataFrame, *keys_: str) -> DataFrame:
-    """One row: for each of ``keys_`` the number of its values that are null or repeated. One scan: grouping sets."""
+def count_bad_keys(df: DataFrame, *keys_: str, collations: Sequence[str | None] = ()) -> DataFrame:
+    """One row: for each of ``keys_`` the number of its values that are null or repeated. One scan: grouping sets. ``collations``: of each key, None for a
+    binary comparison."""
+    df = df.select([C.collated(k, c).alias(k) for k, c in itertools.zip_longest(keys_, collations)])
     if len(keys_) == 1:
         per_key = df.groupBy(keys_[0]).agg(F.count(F.lit(1)).alias("_n")).withColumn("_g", F.lit(0))
     else:
@@ -143,9 +139,9 @@ def count_bad_keys(df: DataFrame, *keys_: str) -> DataFrame:
     return per_key.agg(*counts)
 
 
-def count_unmatched(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str) -> DataFrame:
-    ids = lookup.select(F.col(lookup_key).alias("_id")).distinct()
-    return df.join(ids, df[key] == ids["_id"], "left_anti").agg(F.count(F.lit(1)).alias("failed"))
+def count_unmatched(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, collation: str | None = None) -> DataFrame:
+    ids = lookup.select(C.collated(lookup_key, collation).alias("_id")).distinct()
+    return df.join(ids, C.collated(df[key], collation) == ids["_id"], "left_anti").agg(F.count(F.lit(1)).alias("failed"))
 
 
 def count_orphans(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], extra: Sequence[Column] = ()) -> DataFrame:
@@ -190,19 +186,23 @@ def run_checks(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFra
         for chk in orphans_[1:]:
             add(count_orphans(df, [(tables[d], k) for d, k in chk.dims]), {"failed": chk})
         if of(table, "keys"):
-            add(count_bad_keys(df, *[c.key for c in of(table, "keys")]), {c.key: c for c in of(table, "keys")})
+            counted = {c.key: c for c in of(table, "keys")}
+            add(count_bad_keys(df, *counted, collations=[c.collation for c in counted.values()]), counted)
         for chk in of(table, "unmatched"):
-            add(count_unmatched(df, chk.key, tables[chk.lookup], chk.lookup_key), {"failed": chk})
+            add(count_unmatched(df, chk.key, tables[chk.lookup], chk.lookup_key, chk.collation), {"failed": chk})
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
     return report
 
 
-def ordered(report: DataFrame) -> DataFrame:
+def report_order() -> list[Column | str]:
     """Errors before warnings, then by name."""
-    rank = F.when(F.col("severity") == F.lit(ERROR), 1).otherwise(2)
-    return report.orderBy(rank, "check_name")
+    return [F.when(F.col("severity") == F.lit(ERROR), 1).otherwise(2), "check_name"]
+
+
+def ordered(report: DataFrame) -> DataFrame:
+    return report.orderBy(*report_order())
 
 
 def quality_report(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFrame:

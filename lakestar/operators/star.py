@@ -15,14 +15,15 @@ from ..schemas import DIM_CUSTOMERS, DIM_PRODUCTS, FACT_SALES
 from .keys import dense_key
 
 
-def dim_customers(customers: DataFrame, demographics: DataFrame, locations: DataFrame) -> DataFrame:
+def dim_customers(customers: DataFrame, demographics: DataFrame, locations: DataFrame, collation: str | None = None) -> DataFrame:
     """CRM customers enriched with ERP demographics and location (left joins
-    on the business key). CRM gender wins unless unknown, then ERP gender."""
+    on the business key, under ``collation``). CRM gender wins unless unknown, then ERP gender."""
+    key = lambda name: C.collated(name, collation)
     ci = customers.alias("ci")
     ca = demographics.alias("ca")
     la = locations.alias("la")
-    joined = (ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-                .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left"))
+    joined = (ci.join(ca, key("ci.cst_key") == key("ca.cid"), "left")
+                .join(la, key("ci.cst_key") == key("la.cid"), "left"))
     rows = joined.select(
         F.col("ci.cst_id").alias("customer_id"),
         F.col("ci.cst_key").alias("customer_number"),
@@ -46,11 +47,11 @@ def active_products(products: DataFrame) -> DataFrame:
     return products.where(F.col("prd_end_dt").isNull())
 
 
-def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
-    """Active product versions with their category (left lookup)."""
+def dim_products(products: DataFrame, categories: DataFrame, collation: str | None = None) -> DataFrame:
+    """Active product versions with their category (left lookup, under ``collation``)."""
     pn = active_products(products).alias("pn")
     pc = categories.alias("pc")
-    rows = pn.join(pc, F.col("pn.cat_id") == F.col("pc.id"), "left").select(
+    rows = pn.join(pc, C.collated("pn.cat_id", collation) == C.collated("pc.id", collation), "left").select(
         F.col("pn.prd_id").alias("product_id"),
         F.col("pn.prd_key").alias("product_number"),
         F.col("pn.prd_nm").alias("product_name"),
@@ -67,12 +68,12 @@ def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     return dense_key(rows, order, "product_key").select(*DIM_PRODUCTS)
 
 
-def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    """Sales lines with dimension surrogate keys attached; unmatched -> null."""
+def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame, collation: str | None = None) -> DataFrame:
+    """Sales lines with dimension surrogate keys attached (product numbers under ``collation``); unmatched -> null."""
     pr = products.select("product_number", "product_key").alias("pr")
     cu = customers.select("customer_id", "customer_key").alias("cu")
     sd = sales.alias("sd")
-    joined = (sd.join(pr, F.col("sd.sls_prd_key") == F.col("pr.product_number"), "left")
+    joined = (sd.join(pr, C.collated("sd.sls_prd_key", collation) == C.collated("pr.product_number", collation), "left")
                 .join(cu, F.col("sd.sls_cust_id") == F.col("cu.customer_id"), "left"))
     return joined.select(
         F.col("sd.sls_ord_num").alias("order_number"),

@@ -10,6 +10,10 @@ snapshot so the fact and the dimensions agree. The raw layer is written too
 (the full-refresh load of the source extracts), so the audit and the raw-data
 checks read typed tables instead of re-deriving the extracts.
 
+Each run keeps a manifest in its folder: what it is built from (source files with lengths and times, reference date, collation), and a note for each
+table that has been written in full. :meth:`Warehouse.resume` goes on with the newest run of the same inputs, in any process, and
+writes only what is missing. :func:`retire` removes runs that are superseded or were never published, after a grace period.
+
 Tables that do not depend on each other are written by concurrent Spark jobs
 (one driver thread per table); each table starts as soon as its own inputs
 are written.
@@ -17,18 +21,21 @@ are written.
 
 from __future__ import annotations
 
+import atexit
 import datetime as _dt
 import threading
+import time
 import uuid
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators import conform, star
-from ..schemas import LOAD_STAMP
-from ..session import scratch_scope, shared_root
-from ..sources import extracts
+from ..operators import conform, kpi, star
+from ..schemas import LOAD_STAMP, RAW
+from ..session import _remove_at_exit, entries, read_note, remove, scratch_scope, shared_root, write_note
+from ..sources import csv_io, extracts
 
 DEFAULT_AS_OF = _dt.date(2026, 1, 1)
 
@@ -42,6 +49,9 @@ CONFORMED_RULES = {
 }
 STAR_TABLES = ("dim_customers", "dim_products", "fact_sales")
 
+ROLLUPS = ("customers_by_month", "orders_by_month")
+RUN_NOTE, MANIFEST = "_run.json", "_manifest"
+
 #: The driver tables that the extracts read.
 SOURCE_TABLES = ("customer", "nation", "orders", "lineitem", "part")
 #: Property of the catalog tables that this library has made.
@@ -57,10 +67,15 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.date = DEFAULT_AS_OF,
-                 run_dir: str | None = None, raw_frames: dict[str, DataFrame] | None = None):
+                 run_dir: str | None = None, raw_frames: dict[str, DataFrame] | None = None, collation: str | None = None,
+                 tolerant: dict | None = None):
+        """``collation``: string keys of dimensions and facts are joined under it (binary when None). ``tolerant``: how to load CSV files
+        with bad rows (see :meth:`from_csv`)."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self.collation = collation
+        self._tolerant = tolerant
         self.base = f"{shared_root(spark)}/lakestar/warehouse"
         self.run_dir = run_dir or f"{self.base}/runs/{uuid.uuid4().hex}"
         self._raw_frames = raw_frames or {}
@@ -68,18 +83,62 @@ class Warehouse:
         self._paths: dict[tuple[str, str], str] = {}
         self._stop = threading.Event()
         self._lock = threading.Lock()
+        self._begun = run_dir is not None
+        self.published = False
         self._table_locks: dict[tuple[str, str], threading.Lock] = {}
 
     @classmethod
     def from_csv(cls, spark: SparkSession, datasets_dir: str, as_of: _dt.date = DEFAULT_AS_OF,
-                 mode: str = "FAILFAST", quote: str = "", **kwargs) -> "Warehouse":
+                 mode: str = "FAILFAST", quote: str = "", max_rejects: int | None = None, **kwargs) -> "Warehouse":
         """A warehouse whose raw layer is loaded from the six CSV source
         extracts (``source_crm/*.csv``, ``source_erp/*.csv``) instead of being
-        derived from the driver tables. Unquoted, as in a plain bulk load; ``quote='"'`` reads quoted files."""
-        from ..sources import csv_io
-
+        derived from the driver tables. Unquoted, as in a plain bulk load; ``quote='"'`` reads quoted files. ``max_rejects``: bad rows that each file may
+        have; they are kept apart (:meth:`rejects`). None: the first bad row fails the load."""
         frames = csv_io.read_sources(spark, datasets_dir, mode=mode, quote=quote)
-        return cls(spark, datasets_dir, as_of=as_of, raw_frames=frames, **kwargs)
+        tolerant = None if max_rejects is None else {"max_rejects": max_rejects, "quote": quote}
+        return cls(spark, datasets_dir, as_of=as_of, raw_frames=frames, tolerant=tolerant, **kwargs)
+
+    @classmethod
+    def resume(cls, spark: SparkSession, sf_dir: str, as_of: _dt.date = DEFAULT_AS_OF, make=None, **kwargs) -> "Warehouse":
+        """The newest run of the same inputs (source files, reference date, options) that isn't published yet, with the tables that it
+        has written; else a new run. ``make``: :meth:`from_csv` for a run from CSV files. Tables are written in full or not noted, and the same inputs
+        give the same tables, so it does no harm when the run's first process is still at work."""
+        fresh = (make or cls)(spark, sf_dir, as_of=as_of, **kwargs)
+        published = {p["run_dir"] for p in _pointers(spark, fresh.base)}
+        found = []
+        for path, _, _ in entries(spark, f"{fresh.base}/runs"):
+            note = read_note(spark, f"{path}/{RUN_NOTE}")
+            if note and note["inputs"] == fresh.inputs() and note["run_dir"] not in published:
+                found.append((note["begun"], note["run_dir"]))
+        if found:
+            fresh.run_dir, fresh._begun = max(found)[1], True
+            fresh._load_manifest()
+        return fresh
+
+    def inputs(self) -> dict:
+        """What this run is built from; runs with equal inputs have equal tables."""
+        if self._raw_frames:
+            files = [f"{self.sf_dir.rstrip('/')}/{f}" for f in csv_io.SOURCE_FILES.values()]
+        else:
+            files = [f"{self.sf_dir.rstrip('/')}/{name}.parquet" for name in SOURCE_TABLES]
+        return {"sources": [[f, _status(self.spark, f)] for f in files], "as_of": str(self.as_of), "collation": self.collation, "tolerant": self._tolerant}
+
+    def _begin(self) -> None:
+        """Note what the run is built from, before its first table."""
+        with self._lock:
+            if self._begun:
+                return
+            self._begun = True
+        write_note(self.spark, f"{self.run_dir}/{RUN_NOTE}", {"run_dir": self.run_dir, "begun": time.time(), "inputs": self.inputs()})
+
+    def _load_manifest(self) -> None:
+        """Take over the tables that are noted as written."""
+        for path, _, _ in entries(self.spark, f"{self.run_dir}/{MANIFEST}"):
+            note = read_note(self.spark, path) if path.endswith(".json") else None
+            if note:
+                key = (note["layer"], note["name"])
+                self._paths[key] = note["path"]
+                self._tables[key] = self.spark.read.schema(T.StructType.fromJson(note["schema"])).parquet(note["path"])
 
     # -- layers ---------------------------------------------------------------
     def extract(self, name: str) -> DataFrame:
@@ -90,7 +149,23 @@ class Warehouse:
 
     def raw(self, name: str) -> DataFrame:
         """The raw layer table: the extract as loaded into this run."""
-        return self._materialise("raw", name, lambda: self.extract(name))
+        if self._tolerant is None:
+            return self._materialise("raw", name, lambda: self.extract(name))
+        source = f"{self.sf_dir.rstrip('/')}/{csv_io.SOURCE_FILES[name]}"
+        return self._materialise("raw", name, lambda: None, lambda path: csv_io.split_load(
+            self.spark, source, RAW[name], path, self._tolerant["max_rejects"], self._tolerant["quote"])[0])
+
+    def rejects(self) -> DataFrame:
+        """``(table_name, line, source_file)``: the bad rows of the CSV files that the raw layer was loaded without."""
+        parts = []
+        for name in CONFORMED_RULES:
+            self.raw(name)
+            folder = self.path("raw", name).removesuffix("/rows")
+            parts.append(self.spark.read.schema("line string, source_file string").parquet(f"{folder}/rejects").select(F.lit(name).alias("table_name"), "*"))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
 
     def conformed(self, name: str, stamped: bool = False) -> DataFrame:
         df = self._materialise("conformed", name,
@@ -102,14 +177,21 @@ class Warehouse:
         builders = {
             "dim_customers": lambda: star.dim_customers(
                 self.conformed("crm_cust_info"), self.conformed("erp_cust_az12"),
-                self.conformed("erp_loc_a101")),
+                self.conformed("erp_loc_a101"), self.collation),
             "dim_products": lambda: star.dim_products(
-                self.conformed("crm_prd_info"), self.conformed("erp_px_cat_g1v2")),
+                self.conformed("crm_prd_info"), self.conformed("erp_px_cat_g1v2"), self.collation),
             "fact_sales": lambda: star.fact_sales(
-                self.conformed("crm_sales_details"), self.star("dim_products"), self.star("dim_customers")),
+                self.conformed("crm_sales_details"), self.star("dim_products"), self.star("dim_customers"), self.collation),
         }
         return self._materialise("star", name, builders[name])
 
+    def rollup(self, name: str) -> DataFrame:
+        """A table of :func:`kpi.sales_rollups`: reports read it instead of the fact."""
+        return self._materialise("rollup", name, lambda: kpi.sales_rollups(self.star("fact_sales"))[name])
+
+    def rollups(self) -> dict[str, DataFrame]:
+        return {name: self.rollup(name) for name in ROLLUPS}
+
     def build(self, parallelism: int = 9) -> "Warehouse":
         """Materialise every table, each as soon as its own inputs exist.
 
@@ -200,6 +282,7 @@ class Warehouse:
         would delete the old pointer first).
         """
         self.build()
+        self.published = True
         pointer = f"{self.base}/published/{uuid.uuid4().hex}"
         tables = F.create_map(*[F.lit(x) for (layer, name), path in sorted(self._paths.items()) for x in (f"{layer}/{name}", path)])
         self.spark.range(1, numPartitions=1).select(
@@ -213,12 +296,12 @@ class Warehouse:
         """Where a table that has been written lies."""
         return self._paths[layer, name]
 
-    def _materialise(self, layer: str, name: str, make) -> DataFrame:
+    def _materialise(self, layer: str, name: str, make, load=None) -> DataFrame:
         """Write ``make()`` once under ``layer/name`` and return the written
-        table. One lock per table: different tables build concurrently, a
+        table (``load``: writes the table itself under the path it is given, and returns it). One lock per table: different tables build concurrently, a
         second caller of the same table waits for the first write. Every
-        attempt has a folder of its own and counts only once it is complete, so a
-        failed write can be tried again. Scratch tables go with the attempt."""
+        attempt has a folder of its own and counts only once it is complete and noted in the manifest, so a
+        failed write can be tried again, by another process too. Scratch tables go with the attempt."""
         key = (layer, name)
         with self._lock:
             if key in self._tables:
@@ -228,24 +311,72 @@ class Warehouse:
             if key not in self._tables:
                 if self._stop.is_set():
                     raise RuntimeError(f"{layer}/{name} was not begun, as the build has failed")
+                self._begin()
                 path = f"{self.run_dir}/{layer}/{name}/{uuid.uuid4().hex}"
                 with scratch_scope(self.spark):
-                    frame = make()
-                    frame.write.mode("errorifexists").parquet(path)
-                # The schema is known: no footer inference when reading back.
-                df = self.spark.read.schema(frame.schema).parquet(path)
+                    if load is not None:
+                        df, path = load(path), f"{path}/rows"
+                    else:
+                        frame = make()
+                        frame.write.mode("errorifexists").parquet(path)
+                        # The schema is known: no footer inference when reading back.
+                        df = self.spark.read.schema(frame.schema).parquet(path)
+                write_note(self.spark, f"{self.run_dir}/{MANIFEST}/{layer}.{name}.json",
+                           {"layer": layer, "name": name, "path": path, "schema": df.schema.jsonValue()})
                 with self._lock:
                     self._tables[key], self._paths[key] = df, path
             return self._tables[key]
 
 
+POINTER = "published_at timestamp, run_dir string, as_of date, tables map<string, string>"
+
+
+def _pointers(spark: SparkSession, base: str) -> list[dict]:
+    """The publications, oldest first: published_at (seconds), run_dir, path; a row for each that is kept."""
+    if not entries(spark, f"{base}/published"):
+        return []
+    rows = spark.read.schema(POINTER).parquet(f"{base}/published/*").select(
+        F.unix_micros("published_at").alias("at"), "run_dir", F.col("_metadata.file_path").alias("file")).collect()
+    return sorted(({"at": r["at"] / 1e6, "run_dir": r["run_dir"], "path": r["file"].rpartition("/")[0]} for r in rows), key=lambda p: (p["at"], p["run_dir"]))
+
+
+def retire(spark: SparkSession, keep: int = 2, grace: _dt.timedelta = _dt.timedelta(days=1), root: str | None = None) -> list[str]:
+    """Remove runs that no reader should still need, and their publications; returns their folders.
+
+    Kept are the ``keep`` newest published runs, runs that left these less than ``grace`` ago (who opened one then can go on reading), runs that
+    were never published but have written something within ``grace``, and the runs that this session's catalog and cache show."""
+    base = f"{root or shared_root(spark)}/lakestar/warehouse"
+    now, pointers = time.time(), _pointers(spark, base)
+    order = list(dict.fromkeys(p["run_dir"] for p in reversed(pointers)))  # newest publication first
+    first = {}
+    for p in pointers:
+        first.setdefault(p["run_dir"], p["at"])
+    shown = set(_CATALOG_OWNER.values()) | {wh.run_dir for wh in _CACHE.values()} | set(order[:keep])
+    gone = []
+    for place, run in enumerate(order):
+        # A run leaves the kept ones when the last of the ``keep`` newer ones is published.
+        if run not in shown and now - max(first[newer] for newer in order[place - keep:place]) > grace.total_seconds():
+            gone.append(run)
+    for path, _, _ in entries(spark, f"{base}/runs"):
+        run = f"{base}/runs/{path.rpartition('/')[2]}"
+        if run not in first and run not in shown:
+            touched = [t / 1000 for _, _, t in entries(spark, run) + entries(spark, f"{run}/{MANIFEST}")]
+            if now - max(touched, default=0) > grace.total_seconds():
+                gone.append(run)
+    for run in gone:
+        for p in pointers:
+            if p["run_dir"] == run:
+                remove(spark, p["path"])
+        remove(spark, run)
+    return gone
+
+
 def open_published(spark: SparkSession, sf_dir: str = "", root: str | None = None) -> Warehouse:
     """The most recently published run, read-only."""
     base = f"{root or shared_root(spark)}/lakestar/warehouse"
     if not _status(spark, f"{base}/published"):
         raise FileNotFoundError(f"no published warehouse run under {base}")
-    pointers = spark.read.schema("published_at timestamp, run_dir string, as_of date, tables map<string, string>") \
-        .parquet(f"{base}/published/*")
+    pointers = spark.read.schema(POINTER).parquet(f"{base}/published/*")
     latest = pointers.agg(F.max_by(F.struct("run_dir", "as_of", "tables"), F.struct("published_at", "run_dir")).alias("p")).first().p
     wh = Warehouse(spark, sf_dir, as_of=latest.as_of, run_dir=latest.run_dir)
     wh.base = base
@@ -257,13 +388,8 @@ def open_published(spark: SparkSession, sf_dir: str = "", root: str | None = Non
 
 
 def _status(spark: SparkSession, path: str) -> str:
-    """Modification time and length of a file or folder in any store that Spark reads; empty if there is none."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(target):
-        return ""
-    found = files.getFileStatus(target)
-    return f"{found.getModificationTime()}:{found.getLen()}"
+    """Names, lengths and modification times of a table's files, in any store that Spark reads; empty if there is none."""
+    return ";".join(f"{name.rpartition('/')[2]}:{length}:{changed}" for name, length, changed in entries(spark, path))
 
 
 # Which run the session catalog's layer namespaces currently point at.
@@ -281,4 +407,11 @@ def warehouse_for(spark: SparkSession, sf_dir: str, as_of: _dt.date = DEFAULT_AS
     with _CACHE_LOCK:
         if key not in _CACHE:
             _CACHE[key] = Warehouse(spark, sf_dir, as_of)
+            atexit.register(_forget, spark, _CACHE[key])
         return _CACHE[key]
+
+
+def _forget(spark: SparkSession, wh: Warehouse) -> None:
+    """A cached snapshot that was not published goes with the application."""
+    if not wh.published:
+        _remove_at_exit(spark, wh.run_dir)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import audit, conform, dedupe, joins, kpi, quality
+from ..operators import audit, conform, dedupe, joins, kpi, quality, star
 from ..schemas import RAW
 from ..session import scratch_dir
 from ..sources import csv_io, extracts
@@ -77,6 +77,21 @@ def bronze_csv_null_tokens(spark, sf_dir):
     return csv_io.read_csv_with_null_tokens(spark, landing, RAW["crm_prd_info"])
 
 
+def bronze_tolerated_rejects(spark, sf_dir):
+    """The demographics landed as CSV lines, some of them broken by rule (a date that is none, a field too many, a field too few), and loaded
+    with tolerance: what was loaded and what was kept apart."""
+    landing = scratch_dir(spark, "landing")
+    people = extracts.erp_cust_az12(spark, sf_dir)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("cid", "bdate", "gen")]
+    kind = F.right(F.col("cid"), F.lit(2))
+    line = (F.when(kind == "07", F.concat_ws(",", fields[0], F.lit("soon"), fields[2])).when(kind == "18", F.concat_ws(",", *fields, F.lit("more")))
+            .when(kind == "29", F.concat_ws(",", *fields[:2])).otherwise(F.concat_ws(",", *fields)))
+    csv_io.write_lines(people.select(line), "cid,bdate,gen", landing)
+    rows, rejects = csv_io.split_load(spark, landing, RAW["erp_cust_az12"], scratch_dir(spark, "raw"), max_rejects=1_000_000_000, quote="")
+    loaded = rows.select(F.lit("loaded").alias("kind"), F.concat_ws(",", *fields).alias("line"))
+    return loaded.unionByName(rejects.select(F.lit("rejected").alias("kind"), "line"))
+
+
 def metrics_csv_roundtrip(spark, sf_dir):
     """The audit metrics as written to their CSV file and read back."""
     path = scratch_dir(spark, "metrics")
@@ -91,16 +106,21 @@ def gold_row_counts(spark, sf_dir):
 
 # ---- KPIs ---------------------------------------------------------------------
 def kpi_summary(spark, sf_dir):
-    return kpi.summary(_wh(spark, sf_dir).star("fact_sales"))
+    return kpi.summary_of(_wh(spark, sf_dir).rollups())
 
 
 def kpi_average_order_value(spark, sf_dir):
     """Revenue per distinct order, ``DECIMAL(19,2)`` (null without orders)."""
-    return kpi.summary(_wh(spark, sf_dir).star("fact_sales")).select("average_order_value")
+    return kpi.summary_of(_wh(spark, sf_dir).rollups()).select("average_order_value")
 
 
 def kpi_monthly_revenue(spark, sf_dir):
-    return kpi.monthly_revenue(_wh(spark, sf_dir).star("fact_sales"))
+    return kpi.monthly_revenue_of(_wh(spark, sf_dir).rollups())
+
+
+def kpi_yearly_activity(spark, sf_dir):
+    """Years rolled up from the months' bitmaps: distinct orders and customers are merged, not added."""
+    return kpi.yearly_activity(_wh(spark, sf_dir).rollups())
 
 
 def kpi_revenue_by_country(spark, sf_dir):
@@ -144,16 +164,16 @@ def trend_customer_months_filled(spark, sf_dir):
 
 
 def ordered_monthly_revenue(spark, sf_dir):
-    return kpi.with_position(kpi_monthly_revenue(spark, sf_dir))
+    return kpi.with_position(kpi_monthly_revenue(spark, sf_dir), ["order_month"])
 
 
 def ordered_revenue_by_country(spark, sf_dir):
-    return kpi.with_position(kpi_revenue_by_country(spark, sf_dir))
+    return kpi.with_position(kpi_revenue_by_country(spark, sf_dir), [F.desc("revenue"), "country"])
 
 
 def ordered_quality_report(spark, sf_dir):
     """The conformed layer's report with each row's place: errors first, then by name."""
-    return kpi.with_position(dq_silver_report(spark, sf_dir))
+    return kpi.with_position(dq_silver_report(spark, sf_dir), quality.report_order())
 
 
 def metric_average_revenue(spark, sf_dir):
@@ -211,7 +231,7 @@ def sql_repeat_customers(spark, sf_dir):
           SELECT d.country, f.customer_key, count(DISTINCT f.order_number) AS orders, sum(f.sales_amount) AS spent
           FROM gold.fact_sales f JOIN gold.dim_customers d USING (customer_key)
           GROUP BY ALL)
-        SELECT country, least(orders, 20) AS orders_capped, count(*) AS customers, sum(spent) AS revenue
+        SELECT country, orders, count(*) AS customers, sum(spent) AS revenue
         FROM per_customer GROUP BY ALL""")
 
 
@@ -379,6 +399,47 @@ def dq_duplicate_keys(spark, sf_dir):
     return quality.quality_report(checks, _raw(wh))
 
 
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def _respelled(key: str):
+    """Some values of a key column in lower case and with trailing spaces."""
+    c = F.col(key)
+    return F.when(c.endswith("3"), F.lower(c)).when(c.endswith("5"), F.concat(c, F.lit("  "))).when(c.endswith("7"), F.concat(F.lower(c), F.lit(" "))).otherwise(c)
+
+
+def star_collated_keys(spark, sf_dir):
+    """Dimensions and facts from tables that spell keys differently, joined under a collation that ignores case and trailing spaces."""
+    wh = _wh(spark, sf_dir)
+    respelled = lambda table, key: wh.conformed(table).withColumn(key, _respelled(key))
+    customers = star.dim_customers(wh.conformed("crm_cust_info"), respelled("erp_cust_az12", "cid"), respelled("erp_loc_a101", "cid"), COLLATION)
+    products = star.dim_products(wh.conformed("crm_prd_info"), wh.conformed("erp_px_cat_g1v2").withColumn("id", F.lower("id")), COLLATION)
+    fact = star.fact_sales(respelled("crm_sales_details", "sls_prd_key"), products, customers, COLLATION)
+    joined = fact.join(products.select("product_key", "category"), "product_key", "left").join(customers.select("customer_key", "gender", "country"), "customer_key", "left")
+    return joined.groupBy("category", "gender", "country").agg(F.count(F.lit(1)).alias("sales"), F.sum("sales_amount").alias("revenue"))
+
+
+def dq_collated_keys(spark, sf_dir):
+    """Key and lookup checks, binary and under the collation, on customers of which some come twice, spelled differently."""
+    wh = _wh(spark, sf_dir)
+    customers = wh.conformed("crm_cust_info").select("cst_key")
+    tables = {"customers": customers.unionByName(customers.where(F.col("cst_key").rlike("[3578]$")).withColumn("cst_key", _respelled("cst_key"))),
+              "people": wh.conformed("erp_cust_az12").select(_respelled("cid").alias("cid"))}
+    checks = []
+    for name, collation in (("binary", None), ("collated", COLLATION)):
+        checks += [quality.keys(f"customer_key_null_or_duplicate_{name}", quality.ERROR, "customers", "cst_key", collation),
+                   quality.unmatched(f"customer_without_demographics_{name}", quality.WARNING, "customers", "cst_key", "people", "cid", collation)]
+    reports = [quality.run_checks([c for c in checks if c.name.endswith(n)], tables) for n in ("binary", "collated")]
+    return reports[0].unionByName(reports[1])
+
+
+def latest_customer_collated(spark, sf_dir):
+    """The newest version of each customer key, with keys that differ in case and trailing spaces as one."""
+    raw = _wh(spark, sf_dir).raw("crm_cust_info").select(_respelled("cst_key").alias("cst_key"), "cst_create_date", "cst_firstname")
+    older = _wh(spark, sf_dir).raw("crm_cust_info").select("cst_key", F.date_sub("cst_create_date", 10).alias("cst_create_date"), "cst_firstname")
+    return dedupe.latest_per_key(raw.unionByName(older), "cst_key", "cst_create_date", tie_breakers=["cst_firstname"], collation=COLLATION)
+
+
 def dq_unmatched_category(spark, sf_dir):
     """Product versions without a category, before and after harmonising
     the CRM category key."""
@@ -457,11 +518,13 @@ QUERIES: dict[str, Query] = {
     "bronze_row_counts": bronze_row_counts,
     "bronze_csv_roundtrip_products": bronze_csv_roundtrip_products,
     "bronze_csv_null_tokens": bronze_csv_null_tokens,
+    "bronze_tolerated_rejects": bronze_tolerated_rejects,
     "metrics_csv_roundtrip": metrics_csv_roundtrip,
     "gold_row_counts": gold_row_counts,
     "kpi_summary": kpi_summary,
     "kpi_average_order_value": kpi_average_order_value,
     "kpi_monthly_revenue": kpi_monthly_revenue,
+    "kpi_yearly_activity": kpi_yearly_activity,
     "kpi_revenue_by_country": kpi_revenue_by_country,
     "kpi_revenue_by_product_line": kpi_revenue_by_product_line,
     "kpi_category_performance": kpi_category_performance,
@@ -496,6 +559,9 @@ QUERIES: dict[str, Query] = {
     "dq_errors_only": dq_errors_only,
     "dq_dirty_conformed": dq_dirty_conformed,
     "dq_dirty_star": dq_dirty_star,
+    "star_collated_keys": star_collated_keys,
+    "latest_customer_collated": latest_customer_collated,
+    "dq_collated_keys": dq_collated_keys,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_unmatched_category": dq_unmatched_category,
     "dq_orphan_keys": dq_orphan_keys,

@@ -20,7 +20,7 @@ if __package__ in (None, ""):  # run as a script (spark-submit lakestar/run.py):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lakestar.operators import audit, kpi, quality  # noqa: E402
-from lakestar.plans.build import CONFORMED_RULES, STAR_TABLES, Warehouse  # noqa: E402
+from lakestar.plans.build import CONFORMED_RULES, STAR_TABLES, Warehouse, retire  # noqa: E402
 from lakestar.session import scratch_scope, write_and_read  # noqa: E402
 from lakestar.sources import csv_io  # noqa: E402
 
@@ -32,7 +32,10 @@ def _parse(argv: list[str] | None) -> argparse.Namespace:
     src.add_argument("--csv", help="datasets folder with source_crm/*.csv and source_erp/*.csv")
     p.add_argument("--as-of", default=None, help="reference date for date checks (YYYY-MM-DD; default: today)")
     p.add_argument("--no-gate", action="store_true", help="report quality errors instead of failing")
-    p.add_argument("--collation", default=None, help="collation for string checks, e.g. UTF8_LCASE_RTRIM")
+    p.add_argument("--collation", default=None, help="collation for string keys and checks, e.g. UTF8_LCASE_RTRIM")
+    p.add_argument("--max-rejects", type=int, default=None, help="bad rows that each CSV file may have (default: none)")
+    p.add_argument("--resume", action="store_true", help="go on with the newest unpublished run of the same inputs")
+    p.add_argument("--keep", type=int, default=None, help="after publishing, remove runs but for the newest ones (and those under a day old)")
     p.add_argument("--metrics-csv", default=None, help="write the 19 audit metrics as one CSV file here")
     p.add_argument("--publish", action="store_true", help="publish the run after a passing gate")
     p.add_argument("--local", action="store_true", help="start a local session (tests, laptops)")
@@ -51,8 +54,15 @@ def main(argv: list[str] | None = None) -> int:
         spark = SparkSession.builder.appName("lakestar").getOrCreate()
     as_of = _dt.date.fromisoformat(args.as_of) if args.as_of else _dt.date.today()
 
-    wh = (Warehouse.from_csv(spark, args.csv, as_of=as_of) if args.csv
-          else Warehouse(spark, args.data, as_of=as_of)).build()
+    options = {"as_of": as_of, "collation": args.collation}
+    if args.csv:
+        options["max_rejects"] = args.max_rejects
+    make = Warehouse.from_csv if args.csv else Warehouse
+    wh = (Warehouse.resume(spark, args.csv or args.data, make=make, **options) if args.resume
+          else make(spark, args.csv or args.data, **options)).build()
+    if args.csv and args.max_rejects is not None:
+        for row in wh.rejects().groupBy("table_name").count().collect():  # one row per table
+            print(f"rejected {row['count']} rows of {row.table_name}")
     conformed = {n: wh.conformed(n) for n in CONFORMED_RULES}
     star = {n: wh.star(n) for n in STAR_TABLES}
     reports = {
@@ -77,6 +87,8 @@ def main(argv: list[str] | None = None) -> int:
         csv_io.write_metrics_csv(audit.audit_metrics(raw, conformed, star), args.metrics_csv)
     if args.publish and status == 0:
         print("published", wh.publish())
+        if args.keep:
+            print("removed", retire(spark, args.keep))
     kpi.summary(star["fact_sales"]).show(truncate=False)
     print("run folder", wh.run_dir)
     return status

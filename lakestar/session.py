@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import json
 import tempfile
 import threading
 import uuid
@@ -44,6 +45,9 @@ _SCOPE = threading.local()
 
 #: Bytes of input files that one range slice should hold.
 SLICE_BYTES = 128 << 20
+#: Slices of one range shuffle at most: its blocks number map tasks times slices, and Spark samples a million rows at most for the bounds. Larger
+#: slices are sorted with spilling.
+MAX_SLICES = 2048
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -54,14 +58,53 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def slices_for(df: DataFrame, slice_bytes: int = SLICE_BYTES) -> int:
-    """Range partitions for ``df``: a slice for each ``slice_bytes`` of its input, the session's shuffle partitions at least."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // slice_bytes))
+    """Range partitions for ``df``: a slice for each ``slice_bytes`` of its input, MAX_SLICES at most, the session's shuffle partitions at least."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MAX_SLICES, -(-input_bytes(df) // slice_bytes)))
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared store (by Spark's own file system client)."""
+def store(spark: SparkSession, path: str) -> tuple:
+    """Spark's own file system client for ``path``, and the path as it takes it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store."""
+    files, target = store(spark, path)
+    files.delete(target, True)
+
+
+def entries(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time in ms) of a file, or of what lies in a folder; empty if there is none."""
+    files, target = store(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted((x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in files.listStatus(target))
+
+
+def write_note(spark: SparkSession, path: str, note: dict) -> None:
+    """A small JSON file in the shared store, under its name only once it is complete; one that is there already gives way."""
+    files, target = store(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = files.create(draft)
+    out.write(bytearray(json.dumps(note).encode()))
+    out.close()
+    files.delete(target, False)
+    if not files.rename(draft, target):
+        raise OSError(f"{path} can't be written")
+
+
+def read_note(spark: SparkSession, path: str) -> dict | None:
+    """A note's content; None if there is none."""
+    files, target = store(spark, path)
+    if not files.exists(target):
+        return None
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
+    stream = files.open(target)
+    try:
+        return json.loads(text.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def _remove_at_exit(spark: SparkSession, path: str) -> None:

@@ -89,15 +89,77 @@ def test_count_orphans_equals_left_join_definition(spark):
 
 
 def test_checked_join(spark):
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k int, x string")
-    right = spark.createDataFrame([(1, "one"), (2, "two")], "k2 int, y string")
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, x string")
+    right = spark.createDataFrame([(1, "one"), (2, "two"), (None, "none"), (None, "nil")], "k2 int, y string")
     out = joins.checked_join(left, right, ["k"], ["k2"], "left", "many_to_one")
-    assert out.count() == 3
-    with pytest.raises(joins.CardinalityError):
-        joins.checked_join(left, right, ["k"], ["k2"], "left", "one_to_one")
-    dup = right.unionByName(right)
-    with pytest.raises(joins.CardinalityError):
-        joins.checked_join(left, dup, ["k"], ["k2"], "left", "many_to_one")
+    assert sorted((r.k or 0, r.x, r.y) for r in out.collect()) == [(0, "d", None), (0, "e", None), (1, "a", "one"), (2, "b", "two"), (2, "c", "two")]
+    assert out.columns == ["k", "x", "k2", "y"]
+    with pytest.raises(Exception, match=r"left side is not unique on \['k'\]: k = 2"):
+        joins.checked_join(left, right, ["k"], ["k2"], "left", "one_to_one").collect()
+    dup = right.unionByName(spark.createDataFrame([(7, "a"), (7, "b")], "k2 int, y string"))  # without a partner
+    with pytest.raises(Exception, match="right side is not unique on .*: k2 = 7"):
+        joins.checked_join(left, dup, ["k"], ["k2"], "left", "many_to_one").collect()
+    ones = left.where("x <> 'c'")
+    assert joins.checked_join(ones, right, ["k"], ["k2"], "left", "one_to_one").count() == 4  # null keys are no copies of each other
+    assert joins.checked_join(ones, dup, ["k"], ["k2"], "inner", "one_to_many").count() == 2
+    with pytest.raises(joins.CardinalityError, match="not unique"):
+        joins.assert_unique(dup, ["k2"])
+
+
+def test_distinct_counts_by_bitmaps(spark):
+    """Against count_distinct: numbers, texts with numbers in several spaces, other texts, nulls, a hot key."""
+    from lakestar.operators import distinct
+
+    texts = F.when(F.col("id") % 3 == 0, "SO7").when(F.col("id") % 41 == 1, F.concat(F.lit("SO0"), F.col("id") % 90)) \
+        .when(F.col("id") % 43 == 2, F.concat(F.lit("X"), F.col("id") % 2000)).when(F.col("id") % 47 == 3, F.lit("=SO7")) \
+        .when(F.col("id") % 53 == 4, F.lit(None)).when(F.col("id") % 59 == 5, F.lit("")).when(F.col("id") % 61 == 6, F.lit("9" * 25)) \
+        .otherwise(F.concat(F.lit("SO"), (F.col("id") * 7919) % 100000))
+    df = spark.range(20000).select((F.col("id") % 5).alias("g"), texts.alias("t"), F.when(F.col("id") % 9 != 0, F.col("id") * 31 - 200000).alias("n"),
+                                   (F.col("id") % 13).alias("m"))
+    for key in ("t", "n"):
+        maps = distinct.key_bitmaps(df, ["g"], key, {"total": "m"})
+        one = {r.g: r.keys for r in distinct.distinct_keys(maps, ["g"], "keys", merged=False).collect()}
+        assert one == {r.g: r.keys for r in df.groupBy("g").agg(F.count_distinct(key).alias("keys")).collect()}
+        assert distinct.distinct_keys(maps, [], "keys").first().keys == df.agg(F.count_distinct(key)).first()[0]
+        assert maps.agg(F.sum("total")).first()[0] == df.agg(F.sum("m")).first()[0]
+
+
+def test_summary_of_no_and_of_null_rows(spark):
+    schema = "order_number string, customer_key bigint, order_date date, sales_amount int"
+    none = spark.createDataFrame([], schema)
+    assert tuple(kpi.summary(none).first()) == (None, 0, 0, None) and kpi.monthly_revenue(none).count() == 0
+    odd = spark.createDataFrame([(None, None, None, 5), ("SO1", None, dt.date(2020, 1, 3), None), (None, 4, dt.date(2020, 1, 9), 7)], schema)
+    assert [float(x) for x in kpi.summary(odd).first()] == [12, 1, 1, 12]
+    assert [tuple(r) for r in kpi.monthly_revenue(odd).collect()] == [(dt.date(2020, 1, 1), 7, 1, 1)]
+
+
+def test_lead_of_equal_starts_and_of_versions_that_are_equal(spark):
+    day = dt.date
+    rows = [("A", day(2020, 1, 1), 1), ("A", day(2020, 1, 1), 2), ("A", day(2020, 2, 1), 1), ("A", None, 9), (None, None, 1), (None, day(2021, 1, 1), 1)]
+    df = spark.createDataFrame(rows, "k string, d date, t int")
+    got = {(r.k, r.d, r.t): r.n for r in dedupe.next_value_within_key(df, "k", "d", ["t"], out="n").collect()}
+    assert got == {rows[0]: day(2020, 1, 1), rows[1]: day(2020, 2, 1), rows[2]: None, rows[3]: day(2020, 1, 1), rows[4]: day(2021, 1, 1), rows[5]: None}
+    twice = dedupe.validity_end_dates(df.unionByName(df), "k", "d", "end", ["t"]).where("k = 'A' AND t = 2").collect()
+    assert [r.end for r in twice] == [day(2020, 1, 31)] * 2
+
+
+def test_keys_under_a_collation(spark):
+    from lakestar.operators import star
+
+    collation = "UTF8_LCASE_RTRIM"
+    rows = spark.createDataFrame([("AW1 ", 1, "x"), ("aw1", 2, "y"), ("AW2", 1, "z"), (" aw2", 1, "w"), (None, 1, "n")], "k string, v int, p string")
+    got = sorted((r.k or "", r.v) for r in dedupe.latest_per_key(rows, "k", "v", collation=collation).collect())
+    assert got == [("", 1), (" aw2", 1), ("AW2", 1), ("aw1", 2)]
+    assert quality.count_bad_keys(rows, "k", collations=[collation]).first()[0] == 2 and quality.count_bad_keys(rows, "k").first()[0] == 1
+    look = spark.createDataFrame([("aw1  ",), ("AW2",)], "id string")
+    assert quality.count_unmatched(rows, "k", look, "id", collation).first()[0] == 2
+    assert quality.count_unmatched(rows, "k", look, "id").first()[0] == 4
+    sales = spark.createDataFrame([("S1", "p1 ", 1), ("S2", "P1", 1), ("S3", "P3", 1)], "sls_ord_num string, sls_prd_key string, sls_cust_id int") \
+        .selectExpr("*", *[f"CAST(NULL AS DATE) AS sls_{d}_dt" for d in ("order", "ship", "due")], *[f"1 AS sls_{m}" for m in ("sales", "quantity", "price")])
+    products = spark.createDataFrame([("P1", 1)], "product_number string, product_key int")
+    customers = spark.createDataFrame([(1, 1)], "customer_id int, customer_key int")
+    keys_of = lambda c: sorted((r.order_number, r.product_key) for r in star.fact_sales(sales, products, customers, c).collect())
+    assert keys_of(collation) == [("S1", 1), ("S2", 1), ("S3", None)] and keys_of(None) == [("S1", None), ("S2", 1), ("S3", None)]
 
 
 def test_slices_follow_the_input_size(spark):

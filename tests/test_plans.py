@@ -24,9 +24,8 @@ def test_monthly_revenue_prunes_and_pushes_down(wh01):
     text = plan(kpi.monthly_revenue(wh01.star("fact_sales")))
     scan = text[text.index("Scan parquet"):]
     assert "PushedFilters: [IsNotNull(order_date)]" in scan
-    read_schema = re.search(r"ReadSchema: struct<([^>]*)>", scan).group(1)
-    assert set(f.split(":")[0] for f in read_schema.split(",")) == {
-        "order_number", "customer_key", "order_date", "sales_amount"}
+    read = [set(f.split(":")[0] for f in x.split(",")) for x in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
+    assert read == [{"customer_key", "order_date", "sales_amount"}, {"order_number", "order_date"}]
 
 
 def test_dense_key_has_no_global_row_number(wh01):
@@ -38,14 +37,38 @@ def test_dense_key_has_no_global_row_number(wh01):
     assert "BroadcastHashJoin" in text
 
 
-def test_lead_patch_is_broadcast_not_shuffled(spark):
+def test_lead_windows_the_index_of_starts_only(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"),
-                                  F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
-    text = plan(dedupe.next_value_within_key(df, "k", "d", ["t"], out="n"))
-    assert "SortMergeJoin" not in text
-    assert "BroadcastHashJoin" in text
-    # Row data is shuffled once (by slice and key) for the window.
-    assert len(re.findall(r"hashpartitioning\(_slice#\d+L?, k#", text)) == 1
+                                  F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("d"))
+    df.write.parquet(f"{tmp_path}/rows")
+    text = plan(dedupe.next_value_within_key(spark.read.parquet(f"{tmp_path}/rows"), "k", "d", ["t"], out="n"))
+    # Rows are reduced to distinct starts before the index is shuffled and windowed, and no copy of them is written.
+    assert text.index("partial_max") < text.index("lead(")
+    assert text.count("lead(") and len(re.findall(r"^\(\d+\) Window", text, re.M)) == 1
+    assert all(f"{tmp_path}/rows" in x for x in re.findall(r"Location: ([^\n]*)", text))
+
+
+def test_distinct_counts_multiply_no_rows(wh01):
+    for frame in (kpi.summary(wh01.star("fact_sales")), kpi.monthly_revenue(wh01.star("fact_sales"))):
+        assert "Expand" not in plan(frame)
+    # From the stored rollups the fact isn't read at all.
+    for frame in (kpi.summary_of(wh01.rollups()), kpi.monthly_revenue_of(wh01.rollups()), kpi.yearly_activity(wh01.rollups())):
+        assert scans(plan(frame), "sales_amount") == 0
+
+
+def test_checked_join_is_one_plan(wh01):
+    from lakestar.operators import joins
+
+    left, right = wh01.conformed("crm_sales_details").select("sls_cust_id", "sls_sales"), wh01.star("dim_customers").select("customer_id", "country")
+    text = plan(joins.checked_join(left, right, ["sls_cust_id"], ["customer_id"]))
+    assert "raise_error" in text and len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 2
+
+
+def test_slices_of_a_range_shuffle_are_bounded(spark, monkeypatch):
+    from lakestar import session
+
+    monkeypatch.setattr(session, "input_bytes", lambda df: 17 << 40)
+    assert session.slices_for(spark.range(1)) == session.MAX_SLICES
 
 
 def test_latest_per_key_aggregates_before_shuffle(spark):

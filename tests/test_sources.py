@@ -115,3 +115,31 @@ def test_quote_handling(spark):
     assert csv_io.read_csv(spark, path, schema).first().cat == "Racks, Bike"
     literal = _write_text(spark, ['id,cat,subcat,maintenance', 'AC_BR,"Racks",Bike Racks,Yes'], "csv-noquote")
     assert csv_io.read_csv(spark, literal, schema, quote="").first().cat == '"Racks"'
+
+
+def test_split_load_tolerates_a_stated_number_of_bad_rows(spark, tmp_path):
+    from lakestar.session import new_run_dir
+
+    good = [f"AW{i},1980-01-0{i},F" for i in range(1, 6)]
+    bad = [f"AW{i},1980-13-01,F" for i in range(4)] + [f"AW{i},1980-01-01" for i in range(3)] + [f"AW{i},1980-01-01,F,x" for i in range(3)]
+    path = tmp_path / "people.csv"
+    path.write_text("\n".join(["cid,bdate,gen", *good, *bad]) + "\n")
+    schema = RAW["erp_cust_az12"]
+    rows, rejects = csv_io.split_load(spark, str(path), schema, new_run_dir(spark, "split-test"), max_rejects=10, quote="")
+    assert sorted(r.cid for r in rows.collect()) == [f"AW{i}" for i in range(1, 6)] and rows.schema == schema
+    assert sorted(r.line for r in rejects.collect()) == sorted(bad) and rejects.where("source_file LIKE '%people.csv'").count() == 10
+    path.write_text("\n".join(["cid,bdate,gen", *good, *bad, "one more"]) + "\n")
+    target = new_run_dir(spark, "split-test")
+    with pytest.raises(csv_io.RejectError, match="11 bad rows, 10 are tolerated"):
+        csv_io.split_load(spark, str(path), schema, target, max_rejects=10, quote="")
+    with pytest.raises(Exception):  # no table is left
+        spark.read.parquet(f"{target}/rows")
+    loaded = csv_io.ingest(spark, {"erp_cust_az12": str(path)}, target + "-2", max_rejects=11, quote="")
+    assert loaded["erp_cust_az12"].count() == 5 and csv_io.rejects_of(spark, target + "-2", ["erp_cust_az12"]).count() == 11
+
+
+def test_default_null_tokens(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("cid,cntry\n" + "\n".join(f"k{i},{t}" for i, t in enumerate([*csv_io.NULL_TOKENS, "nil", "N.A."])) + "\n")
+    rows = csv_io.read_csv_with_null_tokens(spark, str(path), RAW["erp_loc_a101"]).where("cntry IS NOT NULL").collect()
+    assert sorted(r.cntry for r in rows) == ["N.A.", "nil"]

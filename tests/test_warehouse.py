@@ -372,14 +372,109 @@ def test_a_changed_source_is_noticed(spark, tmp_path):
     from conftest import SF0001
 
     for t in SOURCE_TABLES:
-        shutil.copy(f"{SF0001}/{t}.parquet", tmp_path)
+        shutil.copyfile(f"{SF0001}/{t}.parquet", tmp_path / f"{t}.parquet")
     one = warehouse_for(spark, str(tmp_path))
     assert warehouse_for(spark, str(tmp_path)) is one
-    shutil.copy("/root/testdata/sf0.01/nation.parquet", tmp_path)
+    shutil.copyfile("/root/testdata/sf0.01/nation.parquet", tmp_path / "nation.parquet")
     os.utime(tmp_path / "nation.parquet", (1, 1))
     assert warehouse_for(spark, str(tmp_path)) is not one
 
 
+@pytest.fixture
+def own_store(monkeypatch, tmp_path):
+    """A shared folder of the test's own."""
+    from lakestar import session
+    from lakestar.plans import build
+
+    for module in (session, build):
+        monkeypatch.setattr(module, "shared_root", lambda spark: str(tmp_path / "store"))
+    return f"{tmp_path}/store/lakestar/warehouse"
+
+
+def test_another_process_goes_on_with_a_failed_build(spark, own_store, monkeypatch):
+    from lakestar.plans import build
+
+    from conftest import SF0001
+
+    def fails(raw, as_of):
+        raise ValueError("killed")
+
+    with monkeypatch.context() as m:
+        m.setitem(build.CONFORMED_RULES, "erp_loc_a101", fails)
+        first = build.Warehouse(spark, SF0001)
+        with pytest.raises(ValueError, match="killed"):
+            first.build(parallelism=1)
+    done = dict(first._paths)
+    assert done and ("star", "fact_sales") not in done
+    # Nothing is shared with the first but the store: another reference date or other sources are other runs.
+    assert build.Warehouse.resume(spark, SF0001, as_of=dt.date(1980, 1, 1)).run_dir != first.run_dir
+    assert build.Warehouse.resume(spark, "/root/testdata/sf0.01").run_dir != first.run_dir
+    second = build.Warehouse.resume(spark, SF0001).build()
+    assert second.run_dir == first.run_dir and {k: second._paths[k] for k in done} == done
+    for name in build.STAR_TABLES:
+        want = build.Warehouse(spark, SF0001).star(name)
+        assert second.star(name).schema == want.schema and second.star(name).exceptAll(want).count() == 0
+    second.publish()
+    assert build.Warehouse.resume(spark, SF0001).run_dir != second.run_dir  # a published run is done
+
+
+def test_retire_keeps_the_newest_runs_and_those_in_grace(spark, own_store):
+    import os.path
+
+    from lakestar.plans import build
+
+    from conftest import SF0001
+
+    def run():
+        wh = build.Warehouse(spark, SF0001)
+        wh.raw("erp_px_cat_g1v2")
+        wh.build = lambda: wh  # one table is enough here
+        wh.publish()
+        return wh
+
+    runs = [run() for _ in range(4)]
+    left = build.Warehouse(spark, SF0001)  # never published
+    left.raw("erp_px_cat_g1v2")
+    there = lambda: [os.path.isdir(r.run_dir) for r in [*runs, left]]
+    assert build.retire(spark, keep=2) == [] and there() == [True] * 5  # all have changed within a day
+    reader = build.open_published(spark)
+    gone = build.retire(spark, keep=2, grace=dt.timedelta(0))
+    assert sorted(gone) == sorted([runs[0].run_dir, runs[1].run_dir, left.run_dir]) and there() == [False, False, True, True, False]
+    assert reader.raw("erp_px_cat_g1v2").count() == 6 and build.open_published(spark).run_dir == runs[3].run_dir
+    assert [p["run_dir"] for p in build._pointers(spark, own_store)] == [runs[2].run_dir, runs[3].run_dir]
+
+
+def test_csv_run_tolerates_and_lists_bad_rows(spark, own_store, tmp_path):
+    from lakestar.plans import build
+    from lakestar.schemas import RAW
+    from lakestar.sources import csv_io
+
+    root = tmp_path / "datasets"
+    for table, rel in csv_io.SOURCE_FILES.items():
+        (root / rel).parent.mkdir(parents=True, exist_ok=True)
+        (root / rel).write_text(",".join(RAW[table].fieldNames()) + "\n")
+    (root / csv_io.SOURCE_FILES["erp_loc_a101"]).write_text("cid,cntry\nAW-1,DE\nAW-2\nAW-3,US,x\n")
+    wh = build.Warehouse.from_csv(spark, str(root), max_rejects=10)
+    assert [r.cid for r in wh.conformed("erp_loc_a101").collect()] == ["AW1"]
+    assert sorted((r.table_name, r.line) for r in wh.rejects().collect()) == [("erp_loc_a101", "AW-2"), ("erp_loc_a101", "AW-3,US,x")]
+    again = build.Warehouse.resume(spark, str(root), make=build.Warehouse.from_csv, max_rejects=10)
+    assert again.run_dir == wh.run_dir and again.rejects().count() == 2
+    with pytest.raises(csv_io.RejectError):
+        build.Warehouse.from_csv(spark, str(root), max_rejects=1).raw("erp_loc_a101")
+
+
+def test_a_rewritten_file_in_a_table_folder_is_noticed(spark, tmp_path):
+    from lakestar.plans import build
+
+    path = tmp_path / "t.parquet"
+    spark.range(3).coalesce(1).write.parquet(str(path))
+    before, stamp = build._status(spark, str(path)), os.stat(path)
+    part = next(path.glob("part-*"))
+    part.write_bytes(part.read_bytes() + b" ")
+    os.utime(path, ns=(stamp.st_atime_ns, stamp.st_mtime_ns))
+    assert build._status(spark, str(path)) != before
+
+
 def test_catalog_never_replaces_managed_tables(spark, wh01):
     from lakestar.plans import build
     from lakestar.session import new_run_dir
