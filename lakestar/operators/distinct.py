@@ -1,7 +1,7 @@
 """Exact distinct counts as bitmaps that merge.
 
-A key is a place in a key space: an integer is itself in the one space ``''``; a text of letters and then digits (``SO1042``) is the number in
-the space of its letters, if writing that number again gives the same text; any other text is a space of its own. The distinct
+A key is a place in a key space: an integer is itself in the one space ``''``; a text that ends in a number (``SO1042``) is that number in
+the space of what stands before it, if writing the number again gives the same text; any other text is a space of its own, at place -1. The distinct
 keys of a group are bitmaps of 32,768 places each, in the buckets where it has keys. Counts of groups are sums of bits, and groups roll up by ``bitmap_or_agg``:
 months to years or to all time, without the rows.
 
@@ -25,10 +25,10 @@ def place(df: DataFrame, key: str) -> tuple[Column, Column]:
     c = F.col(key)
     if df.select(key).schema[0].dataType.typeName() != "string":
         return F.when(c.isNotNull(), ""), c.cast("bigint")
-    letters = F.regexp_extract(c, "^([A-Za-z]*)(0|[1-9][0-9]{0,17})$", 1)
-    number = F.try_to_number(F.regexp_extract(c, "^[A-Za-z]*(0|[1-9][0-9]{0,17})$", 1), F.lit("9" * 18)).cast("bigint")
-    # A text that isn't letters and a number is the only one in its space; the mark keeps it apart from spaces of letters.
-    return F.when(number.isNotNull(), letters).otherwise(F.concat(F.lit("="), c)), F.when(c.isNotNull(), F.coalesce(number, F.lit(0)))
+    head = F.rtrim(c, F.lit("0123456789"))
+    number = F.substr(c, F.length(head) + 1).try_cast("bigint")
+    canonical = F.coalesce(F.concat(head, number.cast("string")) == c, F.lit(False))
+    return F.when(canonical, head).otherwise(c), F.when(canonical, number).when(c.isNotNull(), -1)
 
 
 def key_bitmaps(df: DataFrame, groups: Sequence[str], key: str, measures: Mapping[str, str] | None = None) -> DataFrame:

@@ -190,7 +190,8 @@ class Warehouse:
         return self._materialise("rollup", name, lambda: kpi.sales_rollups(self.star("fact_sales"))[name])
 
     def rollups(self) -> dict[str, DataFrame]:
-        return {name: self.rollup(name) for name in ROLLUPS}
+        with ThreadPoolExecutor(max_workers=len(ROLLUPS)) as pool:
+            return dict(zip(ROLLUPS, pool.map(self.rollup, ROLLUPS)))
 
     def build(self, parallelism: int = 9) -> "Warehouse":
         """Materialise every table, each as soon as its own inputs exist.
