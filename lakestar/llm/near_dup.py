@@ -9,15 +9,22 @@ lower-cased); with fewer words the whole sequence is one shingle. Documents whos
    key for each of its values left out, so all pairs under that distance share a key. Pairs at a similarity of 0.85 differ in 10.8
    values on average and share no key with a chance of 2e-8 (at 0.8: 3e-6); pairs over the distance may share one too, and are treated alike.
 3. A key's representatives are linked without listing their pairs. First each representative is compared with the smallest one of all its keys,
-   then, where a key still holds several groups, with the pivot that a hash draws for each key. What then remains in a
-   key of three or more, pairs of different groups, is compared block by block inside tasks: sizes and signatures, then the full sets. Only links leave
-   a task, one for each document at most.
-   So no link is lost, and a key that a third of all documents share takes a comparison or two for each of them.
-4. Every link is confirmed on the full sets (exact Jaccard, in whole numbers) before it counts.
-5. Groups are connected components, by joins (``components``).
+   then, where a key still holds several groups, with the pivot that a hash draws for each key. A pivot's rows stream by its own text, in salted
+   parts, so a pivot that a third of all documents share is many tasks and its text is there once for each.
+4. What then remains in mixed keys of three or more is narrowed by prefixes before it is compared, as a key alone doesn't tell documents of one template
+   (well under the threshold, but close) apart. A shingle is useful if documents of several groups have it. Two documents with a link share
+   2t / (1 + t) of the smaller one's shingles at least, so, with useful shingles ordered by how many documents have them, the larger one's first
+   u - t * n + 1 and the smaller one's first u - 2t / (1 + t) * n + 1 (of u useful ones among n) have one in common. What a template has in common
+   comes last in that order, and a document with fewer useful shingles than a link takes has no partner at all.
+   Documents that meet at such a shingle, share a key and have signatures near enough are compared block by block inside tasks, on the full sets. Only
+   links leave a task, one for each document at most. Blocks are bounded by documents and by shingles.
+   So no link is lost. Work can grow with the square of a family only if its members have as much in common as links do without being links.
+5. Every link is confirmed on the full sets (exact Jaccard, in whole numbers) before it counts.
+6. Groups are connected components, by joins (``components``).
 
 Defined results: null and blank texts have an empty set and are linked with nothing; rows with the same id are one document, whose text
 is the one with words that has the smallest hash; rows without an id give no row here; ties don't arise, as a group keeps its smallest id; an empty table gives an empty result.
+``keep_one_of_each`` judges every row by its own text instead, with or without an id.
 """
 
 from __future__ import annotations
@@ -31,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import ship, spare, written
 from .components import components
 from .shingles import mix, shingle_set
 
@@ -40,8 +47,10 @@ CHUNKS, SLOTS, ERRORS = 12, 6, 1
 VALUES, BITS = CHUNKS * SLOTS, 16
 #: Within what remains after both rounds, signatures that differ in more values than links do with this chance aren't compared in full.
 MISS = 1e-7
-#: Representatives of a key that are compared in one step there.
-BLOCK = 512
+#: Documents, and about as many of their shingles, that are compared with as many others in one step there.
+BLOCK, BLOCK_GRAMS = 512, 1 << 19
+#: Rows of a pivot that are compared in one stream.
+STREAM = 1024
 
 _U = np.uint64
 _MULTIPLY = np.random.RandomState(23).randint(0, 1 << 63, VALUES).astype(_U) * _U(2) + _U(1)
@@ -107,46 +116,60 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(reps), pa.array(sizes)], names=["key", "place", "rep", "n"])
 
 
-def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """a, b, text_a, text_b -> a, b, shared, united."""
+def _against_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """pivot, part, member, text, sorted: the pivot's own text (member null) before those of its members in each part -> a, b, shared, united."""
+    pivot, known = None, None
     for batch in batches:
-        shared, united, last, known = [], [], None, None
-        for one, other in zip(batch.column(2), batch.column(3)):
-            one, other = one.as_py(), other.as_py()
-            if one != last:
-                last, known = one, shingle_set(one, SHINGLE_WORDS)
-            grams = shingle_set(other, SHINGLE_WORDS)
-            both = len(np.intersect1d(known, grams, assume_unique=True))
-            shared.append(both)
-            united.append(len(known) + len(grams) - both)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(united, pa.int64())],
-                                         names=["a", "b", "shared", "united"])
+        out = []
+        for a, b, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+            grams = shingle_set(text.as_py(), SHINGLE_WORDS)
+            if b is None:
+                pivot, known = a, grams
+            elif a == pivot:
+                both = len(np.intersect1d(known, grams, assume_unique=True))
+                out.append((a, b, both, len(known) + len(grams) - both))
+        columns = list(zip(*out)) if out else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "shared", "united"])
+
 
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """rep, n, label, text -> h, rep, n, label: a row for each shingle."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 64):
+            batch = whole.slice(at, 64)
+            sets = [shingle_set(x.as_py(), SHINGLE_WORDS) for x in batch.column(3)]
+            times = [len(x) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(sets).view(np.int64)), *[pa.array(np.repeat(batch.column(i).to_numpy(), times)) for i in range(3)]],
+                names=["h", "rep", "n", "label"])
 
-_CELL = "key bigint, one int, two int, side int, place smallint, rep bigint, n bigint, label bigint, signature binary"
+
+_CELL = "h bigint, one int, two int, side int, indexed boolean, rep bigint, n bigint, label bigint, signature binary"
 
 
 class _Cell:
-    """Two blocks of a key's representatives (or one with itself), by ascending set size."""
+    """Two blocks of a shingle's documents (or one with itself), by ascending set size."""
 
     def __init__(self, rows: pa.Table, percent: int):
         self.order = np.argsort(rows["n"].to_numpy(), kind="stable")
-        side, self.rep, self.n, self.label = (rows[x].to_numpy()[self.order] for x in ("side", "rep", "n", "label"))
+        side, self.indexed, self.rep, self.n, self.label = (rows[x].to_numpy()[self.order] for x in ("side", "indexed", "rep", "n", "label"))
         self.values = np.frombuffer(b"".join(rows["signature"].to_pylist()), dtype=np.uint16).reshape(-1, VALUES)[self.order]
-        self.place, self.percent, self.most = rows["place"][0].as_py(), percent, far(percent)
+        self.percent, self.most = percent, far(percent)
         self.left = np.flatnonzero(side == 0)
         self.right = self.left if rows["one"][0] == rows["two"][0] else np.flatnonzero(side == 1)
 
     def partners(self, i: int) -> np.ndarray:
-        """Those of the right block that may be links of the left one's ``i``: another label, sizes and signatures that allow it, and
-        this key is the first that both have (so that no pair is taken twice)."""
+        """Those of the right block that may be links of the left one's ``i``: another label, sizes, prefixes and signatures that allow it, and
+        a key that both have."""
         sizes = self.n[self.right]
         low = np.searchsorted(sizes, -(-self.n[i] * self.percent // 100))
         high = np.searchsorted(sizes, self.n[i] * 100 // self.percent, side="right")
         near = self.right[low:high]
-        near = near[self.label[near] != self.label[i]]
+        smaller = (self.indexed[i] & (self.n[near] >= self.n[i])) | (self.indexed[near] & (self.n[near] <= self.n[i]))
+        near = near[smaller & (self.label[near] != self.label[i])]
         differs = self.values[near] != self.values[i]
-        return near[(differs.sum(axis=1) <= self.most) & (first_shared(differs) == self.place)]
+        near, differs = near[differs.sum(axis=1) <= self.most], differs[differs.sum(axis=1) <= self.most]
+        return near[first_shared(differs) < VALUES] if len(near) else near
 
 
 def _with_partners(percent: int):
@@ -190,13 +213,46 @@ def _links_of_cell(percent: int):
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets have 100 * intersection >= percent * union."""
-    side = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    counted = both.mapInArrow(_jaccard, "a bigint, b bigint, shared bigint, united bigint")
+    """Those of ``pairs`` (a: the pivot, b, members: of the key they met at) whose full sets have 100 * intersection >= percent * union. Each
+    row's text is fetched once, the pivot's once for each part of its rows."""
+    parts = F.ceil(F.col("members") / STREAM).cast("int")
+    placed = pairs.select(F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"), F.col("b").alias("member"))
+    heads = placed.select("pivot", "part", F.lit(None).cast("bigint").alias("member")).distinct()
+    wanted = placed.unionByName(heads).withColumn("id", F.coalesce("member", "pivot"))
+    found = wanted.join(texts, "id").select("pivot", "part", "member", "text")
+    streams = found.repartition("pivot", "part").sortWithinPartitions("pivot", "part", F.asc_nulls_first("member"))
+    counted = streams.mapInArrow(_against_pivot, "a bigint, b bigint, shared bigint, united bigint")
     return counted.where(F.col("shared") * 100 >= F.col("united") * percent).select("a", "b")
 
 
+def links_of_rest(rest: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between documents of different labels among ``rest`` (rep, n, label)."""
+    grams = rest.join(texts, F.col("rep") == F.col("id")).select("rep", "n", "label", "text").mapInArrow(_grams, "h bigint, rep bigint, n bigint, label bigint")
+    grams = written(grams, "near-grams")
+    useful = grams.groupBy("h").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("documents"))
+    useful = useful.where("least <> most").select("h", "documents")
+    ranked = grams.join(useful, "h").groupBy("rep", "n", "label").agg(F.sort_array(F.collect_list(F.struct("documents", "h"))).alias("useful"))
+    # A share of n rounded up, in whole numbers; see point 4.
+    share = lambda num, den: F.call_function("div", F.col("n") * num + den - 1, F.lit(den))
+    prefix = lambda least: F.greatest(F.lit(0), F.size("useful") - least + 1).cast("int")
+    probes, indexed = prefix(share(percent, 100)), prefix(share(2 * percent, 100 + percent))
+    entries = ranked.select("rep", "n", "label", F.posexplode(F.slice("useful", F.lit(1), probes)).alias("place", "gram"), indexed.alias("indexed"))
+    entries = written(entries.select(F.col("gram.h").alias("h"), "rep", "n", "label", (F.col("place") < F.col("indexed")).alias("indexed")), "near-prefixes")
+    met = entries.groupBy("h").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("indexed").alias("any"),
+                                   F.count(F.lit(1)).alias("members"), F.sum("n").alias("size"))
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("size") / BLOCK_GRAMS)).cast("int")
+    met = met.where("least <> most AND any").select("h", blocks.alias("blocks"))
+    placed = entries.join(met, "h").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    placed = placed.join(reps.select("rep", "signature"), "rep")
+    paired = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = paired.select("h", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"),
+                           F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "indexed", "rep", "n", "label", "signature")
+    cell = ("h", "one", "two")
+    able = written(paired.groupBy(*cell).applyInArrow(_with_partners(percent), _CELL), "near-able")
+    able = able.join(texts, F.col("rep") == F.col("id")).select(*[x.split()[0] for x in _CELL.split(", ")], "text")
+    return able.groupBy(*cell).applyInArrow(_links_of_cell(percent), "a bigint, b bigint")
+
+
 def labelled(rows: DataFrame, labels: DataFrame, by: str, name: str) -> DataFrame:
     """``rows`` with the label of the node in column ``by``; a node without one is its own."""
     of = labels.select(F.col("node").alias(by), F.col("label").alias(name))
@@ -237,8 +293,10 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc
     texts = written(texts.join(needed, ["id", "version"], "left_semi").groupBy("id", "version").agg(F.min("text").alias("text")), "near-texts")
     fits = F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent
 
-    first = members.groupBy("rep", "n").agg(F.min("low").alias("other")).where("rep <> other").join(sizes, "other").where(fits)
-    tested = written(first.select(F.col("other").alias("a"), F.col("rep").alias("b")), "near-pairs")
+    best = F.min(F.struct(F.col("low"), (-F.col("members")).alias("fewer")))
+    first = members.groupBy("rep", "n").agg(best.alias("best")).select("rep", "n", F.col("best.low").alias("other"), (-F.col("best.fewer")).alias("members"))
+    first = first.where("rep <> other").join(sizes, "other").where(fits)
+    tested = written(first.select(F.col("other").alias("a"), F.col("rep").alias("b"), "members"), "near-pairs")
     labels = merged(confirmed(tested, texts, percent), None)
 
     def still_mixed() -> DataFrame:
@@ -247,23 +305,15 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc
         mixed = rows.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("key")
         return written(rows.join(mixed, "key", "left_semi"), "near-mixed")
 
-    mixed = still_mixed()
-    second = mixed.select("rep", "n", "label", F.explode(F.array("low", "pivot")).alias("other")).where("rep <> other").distinct()
+    second = still_mixed().select("rep", "n", "label", "members", F.explode(F.array("low", "pivot")).alias("other")).where("rep <> other")
+    second = second.groupBy("rep", "n", "label", "other").agg(F.max("members").alias("members"))
     second = labelled(second.join(sizes, "other").where(fits), labels, "other", "other_label").where("label <> other_label")
-    second = second.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
-    labels = merged(confirmed(written(second.join(tested, ["a", "b"], "left_anti"), "near-pairs"), texts, percent), labels)
+    second = second.select(F.col("other").alias("a"), F.col("rep").alias("b"), "members").join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    labels = merged(confirmed(written(second, "near-pairs"), texts, percent), labels)
 
-    rest = still_mixed().where("members > 2").join(reps.select("rep", "signature"), "rep")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    placed = rest.withColumn("blocks", blocks).withColumn("block", block)
-    paired = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.select("key", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"),
-                           F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "place", "rep", "n", "label", "signature")
-    cell = ("key", "one", "two")
-    able = paired.groupBy(*cell).applyInArrow(_with_partners(percent), _CELL)
-    able = able.join(texts, F.col("rep") == F.col("id")).select(*[x.split()[0] for x in _CELL.split(", ")], "text")
-    labels = merged(able.groupBy(*cell).applyInArrow(_links_of_cell(percent), "a bigint, b bigint"), labels)
+    rest = written(still_mixed().where("members > 2").select("rep", "n", "label").distinct(), "near-rest")
+    if rest.limit(1).count():
+        labels = merged(links_of_rest(rest, reps, texts, percent), labels)
 
     of_print = labelled(reps, labels, "rep", "component_id").select("print", "component_id")
     return (signed.join(of_print, "print", "left")
@@ -271,7 +321,14 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those whose group has a smaller id; all columns stay, and rows without an id."""
-    groups = near_duplicate_groups(docs, percent, id_col, text_col)
-    gone = groups.where("id <> component_id").select(F.col("id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with one row of each group of near-duplicates: the one with the smallest id (rows without one come last). Each row is judged by its own
+    text, so rows that share an id, or have none, are compared like others; rows without words are no one's copies and stay. All columns stay."""
+    row = spare(docs, "row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
+    groups = near_duplicate_groups(numbered, percent, row, text_col).select(F.col("id").alias("own"), "component_id")
+    ids = numbered.select(F.col(row).alias("own"), F.col(id_col).alias("name")).join(groups, "own")
+    first = F.min(F.struct(F.col("name").isNull().alias("unnamed"), F.col("name"), F.col("own")))
+    several = ids.groupBy("component_id").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = ids.join(several.select("component_id", F.col("first.own").alias("kept")), "component_id").where("own <> kept")
+    gone = written(gone.select(F.col("own").alias(row)), "near-gone")
+    return numbered.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -164,23 +164,22 @@ SELECT doc_id, source, CAST(i AS INTEGER) AS copy_no, CAST(n AS INTEGER) AS n_co
        md5(concat_ws('|', 'order-17', coalesce(CAST(doc_id AS VARCHAR), ''), CAST(i AS VARCHAR))) AS shuffle_key, text
 FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM counted WHERE n > 0)""",
     "op3_decontaminate": r"""
-WITH grams AS (
-  SELECT 'doc' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
-  UNION ALL
-  SELECT 'item', item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark),
-placed AS (
-  SELECT kind, id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM grams),
+WITH split AS (
+  SELECT 'doc' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'item', item_id, text FROM benchmark),
+worded AS (
+  SELECT DISTINCT kind, id, text, list_filter(regexp_split_to_array(regexp_replace(lower(text),
+         '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM split),
+lengths AS (SELECT DISTINCT least(len(w), 5) AS k FROM worded WHERE kind = 'item' AND len(w) > 0),
 rolled AS (
-  SELECT DISTINCT kind, id, g FROM (
-    SELECT kind, id, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w
-           || ' ' || lead(word, 4) OVER w AS g
-    FROM placed WINDOW w AS (PARTITION BY kind, id ORDER BY i)) WHERE g IS NOT NULL),
-sizes AS (SELECT id, count(*) AS n FROM rolled WHERE kind = 'item' GROUP BY id),
+  SELECT DISTINCT kind, id, text, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+  FROM worded, lengths WHERE kind = 'doc' OR k = least(len(w), 5)),
+sizes AS (SELECT id, text, count(*) AS n FROM rolled WHERE kind = 'item' GROUP BY id, text),
 shared AS (
-  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_common
-  FROM rolled d JOIN rolled i ON d.kind = 'doc' AND i.kind = 'item' AND d.g = i.g GROUP BY d.id, i.id)
-SELECT doc_id, item_id, n AS n_item_shingles, n_common, CAST(n_common AS DOUBLE) / n AS containment
-FROM shared JOIN sizes ON item_id = id WHERE CAST(n_common AS DOUBLE) / n >= 0.8""",
+  SELECT d.id AS doc_id, d.text, i.id AS item_id, i.text AS item, count(*) AS n_common
+  FROM rolled d JOIN rolled i ON d.kind = 'doc' AND i.kind = 'item' AND d.g = i.g AND d.k = i.k GROUP BY ALL)
+SELECT doc_id, item_id, n AS n_item_shingles, max(n_common) AS n_common, CAST(max(n_common) AS DOUBLE) / n AS containment
+FROM shared JOIN sizes ON item_id IS NOT DISTINCT FROM id AND item = sizes.text WHERE CAST(n_common AS DOUBLE) / n >= 0.8
+GROUP BY doc_id, item_id, item, n""",
     "op6_chat_format": r"""
 WITH rows_ AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

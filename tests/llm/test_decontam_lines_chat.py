@@ -65,6 +65,38 @@ def test_decontamination_judges_each_row_by_its_text(spark):
     assert sorted((str(r.doc_id), str(r.text)) for r in out.collect()) == [("5", "clean too"), ("6", "None"), ("None", "clean")]
 
 
+def test_items_are_told_apart_by_their_texts(spark):
+    other = "an entirely different question about rivers that asks how long the longest one is"
+    docs = spark.createDataFrame([(1, f"x {ITEM} y"), (2, f"x {other} y"), (None, f"z {other}"), (4, "clean")], DOC)
+    items = spark.createDataFrame([(None, ITEM), (7, ITEM), (7, other)], BENCH)
+    got = decontam.find_contained(docs, items).collect()
+    assert sorted((str(r.doc_id), str(r.item_id)) for r in got) == [("1", "7"), ("1", "None"), ("2", "7"), ("None", "7")]
+    assert [r.doc_id for r in decontam.drop_contaminated(docs, items).collect()] == [4]
+
+
+def test_short_items_and_items_without_spaces(spark):
+    docs = [(1, "He said: who painted guernica?"), (2, "who painted"), (3, "painted guernica who"), (4, "前文法国的首都是哪里后文"), (5, "法国的首都"), (6, "ประเทศไทยเมืองหลวงคือ"), (7, "首都")]
+    items = [(1, "Who painted Guernica"), (2, "法国的首都是哪里"), (3, "เมืองหลวง"), (4, "?!"), (5, "首都")]
+    got = decontam.find_contained(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, BENCH)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (4, 2), (6, 3), (4, 5), (5, 5), (7, 5)}
+
+
+def test_a_common_lead_in_makes_no_candidates(spark, monkeypatch):
+    seen, write = {}, decontam.written
+
+    def counted(frame, purpose):
+        out = write(frame, purpose)
+        seen[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(decontam, "written", counted)
+    lead = "read the passage below and then answer the question that follows it in a few words"
+    items = [(i, f"{lead} " + " ".join(f"i{i}w{j}" for j in range(20))) for i in range(400)]
+    docs = [(i, f"{lead} " + " ".join(f"d{i}w{j}" for j in range(30))) for i in range(400)] + [(999, items[5][1])]
+    got = decontam.find_contained(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, BENCH)).collect()
+    assert [(r.doc_id, r.item_id) for r in got] == [(999, 5)] and seen["decontam-candidates"] == 1
+
+
 def test_decontamination_empty_tables(spark):
     none, one = spark.createDataFrame([], DOC), spark.createDataFrame([(1, ITEM)], BENCH)
     assert decontam.find_contained(none, one).collect() == []

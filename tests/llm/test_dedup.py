@@ -85,14 +85,63 @@ def test_repeated_ids_are_one_document(spark):
     assert got == {1: (2, 1), 2: (2, 1)}
 
 
+@pytest.mark.parametrize("bounds", [{"BLOCK": 8}, {"BLOCK_GRAMS": 300, "STREAM": 4}])
+def test_blocks_and_streams_of_any_size_give_the_same_links(spark, monkeypatch, bounds):
+    """Keys of many more members than a block or a stream holds; every pair's similarity is near the threshold, so that none is missed is a recall of 1."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(near_dup, name, value)
+    draw = random.Random(15)
+    shared = [f"s{i}" for i in range(60)]
+    rows = [(i, " ".join(shared[:draw.randint(50, 60)] + [f"o{i}x{j}" for j in range(draw.randint(2, 12))])) for i in range(120)]
+    rows += [(200 + i, t) for i, t in random_corpus(3, 100)]
+    got = near_dup.near_duplicate_groups(spark.createDataFrame(rows, DOC), 80).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute_groups(rows, 80)
+
+
+def test_more_members_of_a_key_than_a_block_holds(spark):
+    """600 documents that share most of their shingles and are linked by chains only."""
+    draw = random.Random(17)
+    shared = [f"s{i}" for i in range(50)]
+    rows = [(i, " ".join(shared[:draw.randint(44, 50)] + [f"o{i}x{j}" for j in range(draw.randint(3, 9))])) for i in range(600)]
+    got = near_dup.near_duplicate_groups(spark.createDataFrame(rows, DOC), 80).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute_groups(rows, 80)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_documents_of_a_template_are_not_compared_in_pairs(spark, monkeypatch, percent):
+    """A similarity of 0.71: every key is mixed, but no two documents meet in a cell, however many there are."""
+    counts, write = {}, near_dup.written
+
+    def counted(frame, purpose):
+        out = write(frame, purpose)
+        counts[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dup, "written", counted)
+    template = [f"t{i}" for i in range(165)]
+    for n in (200, 400):
+        rows = [(i, " ".join(template + [f"o{i}x{j}" for j in range(33)])) for i in range(n)]
+        got = near_dup.near_duplicate_groups(spark.createDataFrame(rows, DOC), percent).collect()
+        assert {r.component_id for r in got} == set(range(n))
+        assert counts["near-rest"] == n and counts["near-able"] == 0
+
+
 def test_one_of_each_group_stays_with_all_columns(spark):
-    df = spark.createDataFrame([(3, "a b c d e", "x", 1), (2, "A b c d e", "y", 2), (None, "a b c d e", None, 3), (7, None, "z", 4)],
+    df = spark.createDataFrame([(3, "a b c d e", "x", 1), (2, "A b c d e", "y", 2), (None, "a b c d e", None, 3), (7, None, "z", 4), (7, "", "z", 5)],
                                DOC + ", label string, id int")
     out = near_dup.keep_one_of_each(df)
-    assert out.columns == df.columns and sorted(r["id"] for r in out.collect()) == [2, 3, 4]
+    assert out.columns == df.columns and sorted(r["id"] for r in out.collect()) == [2, 4, 5]
     assert near_dup.keep_one_of_each(spark.createDataFrame([], DOC)).collect() == []
 
 
+def test_rows_of_one_id_or_none_are_judged_by_their_texts(spark):
+    text = "one two three four five six seven"
+    kept = lambda rows: sorted((str(r.doc_id), r.text) for r in near_dup.keep_one_of_each(spark.createDataFrame(rows, DOC)).collect())
+    assert kept([(1, text), (2, text), (2, "another text")]) == [("1", text), ("2", "another text")]
+    assert kept([(None, text), (None, text), (5, text), (5, text), (6, text)]) == [("5", text)]
+    assert kept([(None, text), (None, text), (None, "other words")]) == [("None", "one two three four five six seven"), ("None", "other words")]
+
+
 def test_keys_are_shared_by_all_signatures_within_the_distance():
     draw = np.random.RandomState(1)
     bound = near_dup.CHUNKS * (near_dup.ERRORS + 1) - 1
