@@ -10,8 +10,9 @@ pivots' own pairs gives the cosine of a footrule, and DEVIATIONS standard deviat
 by an error of the angle. With equal lengths this is the order of the footrule. The CANDIDATES share of a block with the largest
 estimates (LEAST at least) is reranked by the exact inner product of the original vectors.
 
-Blocks: objects are dealt by a hash of their id into blocks of about OBJECTS, queries into blocks of about QUERIES; each pair of blocks is a
-group of bounded size that returns no more than k rows a query, and a query's best k of all blocks are its answer.
+Blocks: objects are dealt by a hash of their id into blocks of about OBJECTS at most, queries into blocks of about QUERIES; each pair of blocks is a
+group of bounded size that returns no more than k rows a query, and a query's best k of all blocks are its answer. A smaller table has more blocks of objects
+than it needs, for TASKS groups, as long as LEAST is no more than the CANDIDATES share of a block. An object moves once for each block of queries, a query once for each block of objects.
 
 Defined results: vectors that are null, zero, empty, or hold null or non-finite components take no part, nor do rows without an id or
 those of another length than the most common one (the smaller of equally common ones); rows with the same id are one, with the smallest vector; ties
@@ -32,7 +33,7 @@ from .common import hash_sample, ship, written
 PIVOTS, PREFIX = 256, 128
 CANDIDATES, LEAST = 0.1, 200
 DEVIATIONS = 2
-OBJECTS, QUERIES = 8192, 1024
+OBJECTS, QUERIES, TASKS = 1 << 16, 1 << 15, 24
 
 
 def valid_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -145,7 +146,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     index = written(order_of(vectors, pivots), "ann-index")
     queries = index.where(is_query)
     parts = lambda n, size: max(1, -(-n // size))
-    object_blocks, query_blocks = parts(index.count(), OBJECTS), parts(queries.count(), QUERIES)
+    rows, query_blocks = index.count(), parts(queries.count(), QUERIES)
+    object_blocks = max(parts(rows, OBJECTS), min(max(1, int(rows * CANDIDATES) // LEAST), parts(TASKS, query_blocks)))
     block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     objects = index.withColumn("object_block", block(object_blocks)).withColumn("query_block", every(query_blocks))

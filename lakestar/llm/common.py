@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import io
 import math
 import os
+import threading
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_run_dir
+from ..session import new_run_dir, scratch_dir, scratch_scope
 
 #: Session setting that drops a query's shuffle files as soon as the query has ended.
 FREE_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -70,27 +72,50 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Cut lineage: ``df`` is written once as Parquet under the shared folder and read back.
+_FREEING = threading.Lock()
+_FREE: dict[str, list] = {}
+
+
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Shuffle files of queries that end in this block are dropped as they end. The setting is the session's, so the first of several
+    threads sets it and the last one puts back what was there."""
+    key = spark.sparkContext.applicationId
+    with _FREEING:
+        if key not in _FREE:
+            _FREE[key] = [0, spark.conf.get(FREE_SHUFFLE, None)]
+            spark.conf.set(FREE_SHUFFLE, "true")
+        _FREE[key][0] += 1
+    try:
+        yield
+    finally:
+        with _FREEING:
+            _FREE[key][0] -= 1
+            if not _FREE[key][0]:
+                before = _FREE.pop(key)[1]
+                spark.conf.unset(FREE_SHUFFLE) if before is None else spark.conf.set(FREE_SHUFFLE, before)
+
+
+def written(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
+    """Cut lineage: ``df`` is written once as Parquet under the shared folder (or to ``path``) and read back.
 
     A lost executor's tasks then start from these files. The shuffle files of the
-    writing query are dropped when it ends; the table goes when the application ends.
+    writing query are dropped when it ends; the table goes with the enclosing ``scratch_scope``, else when the application ends.
     Read back, its size is known, so Spark's own broadcast threshold holds against real bytes."""
     spark = df.sparkSession
-    path = new_run_dir(spark, f"llm-{purpose}")
-    before = spark.conf.get(FREE_SHUFFLE, None)
-    spark.conf.set(FREE_SHUFFLE, "true")
-    try:
+    path = path or scratch_dir(spark, f"llm-{purpose}")
+    with freed_shuffles(spark):
         df.write.mode("errorifexists").parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(FREE_SHUFFLE)
-        else:
-            spark.conf.set(FREE_SHUFFLE, before)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def alone(spark: SparkSession, purpose: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, written; all tables that it has written on the way are removed."""
+    path = scratch_dir(spark, f"llm-{purpose}")
+    with scratch_scope(spark):
+        return written(make(), purpose, path)
+
+
 def words(text: Column) -> Column:
     """Words of a text: lower-cased runs of letters and digits; a null text has none."""
     parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")

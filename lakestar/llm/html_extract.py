@@ -4,7 +4,7 @@ A page is a sequence of tokens: tags, and text nodes. The words of a node score
 from labelled pages; one linear scan finds the contiguous region with the highest sum. Its text, block by block, is the main text.
 
 Labelled pages are those that mark their content themselves, with exactly one ``article`` element: what it holds is content. Fitting
-takes a bounded sample of them (SAMPLE_PAGES with the smallest hash of their html). A word's weight follows the share of words
+takes a bounded sample of them (SAMPLE_PAGES with the smallest hash of their html, of those with SAMPLE_BYTES at most). A word's weight follows the share of words
 in the same kind of element (a link, a paragraph, ...) that are content; a tag's, the share of such tags that are not. How much a tag weighs
 against a word is set by the number in SCALES that recovers most labelled regions exactly, the middle one of several.
 
@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from .common import hash_sample, ship, spare, with_columns
 
 SAMPLE_PAGES = 400
+#: Bytes of one page of the sample, so the driver sees SAMPLE_PAGES times as many at most. Longer pages teach nothing.
+SAMPLE_BYTES = 1 << 17
 SCALES = (0.5, 1, 2, 4, 8, 16, 32)
 #: Elements that hold no main text.
 SKIPPED = frozenset("head title script style noscript template nav header footer aside form button select textarea iframe object svg canvas menu dialog".split())
@@ -54,10 +56,102 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset("""address article blockquote body caption center dd details dir div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol option p
 pre section summary table tbody td tfoot th thead tr ul""".split())
 _BOXES = frozenset("article body div html main section".split())
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
+_NAME = re.compile(r"</?[a-zA-Z][^\s/>]*")
+_QUOTED = re.compile(r"""[^"'>]*(["'>])""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
 
 
+class Piece(NamedTuple):
+    """A stretch of a page: text (``name`` empty), or a tag with its name, whether it closes, and its attributes."""
+
+    start: int
+    end: int
+    name: str
+    closes: bool
+    attributes: str
+
+
+class _Finder:
+    """``str.find`` that doesn't look again for what isn't there any more, so that all searches together read a page once."""
+
+    def __init__(self, page: str):
+        self.page, self.none = page, {}
+
+    def __call__(self, what: str, at: int) -> int:
+        if at >= self.none.get(what, len(self.page) + 1):
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.none[what] = at
+        return found
+
+
+def pieces(page: str, at: int, find: _Finder) -> Piece:
+    """The piece that begins at ``at``. A ``<`` that begins no tag, or one that is never closed, is text; a comment that is never closed goes to the end."""
+    if page[at] != "<":
+        end = find("<", at)
+        return Piece(at, len(page) if end < 0 else end, "", False, "")
+    if page.startswith("<!--", at):
+        end = find("-->", at + 4)
+        return Piece(at, len(page) if end < 0 else end + 3, "!", False, "")
+    close = find(">", at)
+    if close < 0:  # no tag comes any more
+        end = find("<!--", at)
+        return Piece(at, len(page) if end < 0 else end, "", False, "")
+    if page.startswith(("<!", "<?"), at):
+        return Piece(at, close + 1, "!", False, "")
+    name = _NAME.match(page, at)
+    if not name:
+        return Piece(at, at + 1, "", False, "")
+    end = begin = name.end()
+    while True:  # to the first > outside of quotes; a quote that is never closed is none
+        m = _QUOTED.match(page, end)
+        if m is None:
+            return Piece(at, at + 1, "", False, "")
+        if m.group(1) == ">":
+            break
+        closed = find(m.group(1), m.end())
+        if closed < 0:
+            end = find(">", m.end())
+            if end < 0:
+                return Piece(at, at + 1, "", False, "")
+            return Piece(at, end + 1, name.group().lstrip("</"), page[at + 1] == "/", page[begin:end])
+        end = closed + 1
+    return Piece(at, m.end(), name.group().lstrip("</"), page[at + 1] == "/", page[begin:m.end() - 1])
+
+
+class _Open:
+    """The open elements of a page, with counts of their names, so that no question goes through all of them."""
+
+    def __init__(self):
+        self.stack, self.places, self.blocks = [], {}, []
+
+    def __len__(self) -> int:
+        return len(self.stack)
+
+    def push(self, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in _BLOCK:
+            self.blocks.append(name)
+        self.stack.append(name)
+
+    def last(self, name: str) -> int:
+        """Depth at which the innermost element of a name is, -1 if there is none."""
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    def cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            name = self.stack.pop()
+            self.places[name].pop()
+            if name in _BLOCK:
+                self.blocks.pop()
+
+    def kind(self) -> str:
+        """What text here is in: a link, or the innermost block."""
+        return "a" if self.last("a") >= 0 else self.blocks[-1] if self.blocks else ""
+
+
 class Token(NamedTuple):
     """A tag (``tag`` is its name, with a slash when it closes) or a text node (``tag`` empty; ``kind``: the element it is in)."""
 
@@ -129,12 +223,12 @@ def _without_furniture(page: list[Token], spans: list[_Span]) -> list[Token]:
 
 
 def tokens(page: str) -> list[Token]:
-    """The page's tags and text nodes, without skipped elements and comments."""
+    """The page's tags and text nodes, without skipped elements and comments; one pass."""
     out: list[Token] = []
-    stack: list[str] = []  # open elements
-    names: list[tuple[int, int, bool, bool]] = []  # open named elements: depth of the stack inside, first token, article, thread
+    open_ = _Open()
+    names: list[tuple[int, int, bool, bool]] = []  # open named elements: depth inside, first token, article, thread
     spans: list[_Span] = []
-    skip = 0  # depth of the stack inside of the skipped element, 0: none
+    skip = 0  # depth inside of the skipped element, 0: none
 
     def close(depth: int, own: bool) -> None:
         """Named elements deeper than ``depth`` end here; the outermost of them by its own tag, if ``own``."""
@@ -143,22 +237,22 @@ def tokens(page: str) -> list[Token]:
             mine = own and inside == depth + 1
             spans.append(_Span(start, len(out) + mine, article, thread, mine))
 
+    find, raw_ends = _Finder(page), {}
     at, end = 0, len(page)
     while at < end:
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        name = m.group(2)
+        piece = pieces(page, at, find)
+        at, name = piece.end, piece.name.lower()
         if not name:
-            raw = m.group()
-            if not skip and not raw.startswith(("<!", "<?")):
-                text = html_lib.unescape(raw)
-                out.append(Token("", "a" if "a" in stack else next((x for x in reversed(stack) if x in _BLOCK), ""), text, len(text.split())))
+            if not skip:
+                text = html_lib.unescape(page[piece.start:piece.end])
+                out.append(Token("", open_.kind(), text, len(text.split())))
+            continue
+        if name == "!":
             continue
-        name = name.lower()
-        if m.group(1):
-            if name in stack:
-                depth = len(stack) - stack[::-1].index(name) - 1
-                del stack[depth:]
+        if piece.closes:
+            depth = open_.last(name)
+            if depth >= 0:
+                open_.cut(depth)
                 if skip and depth + 1 <= skip:
                     if depth + 1 == skip:
                         out.append(Token("", "", " ", 0))
@@ -169,25 +263,24 @@ def tokens(page: str) -> list[Token]:
             if not skip:
                 out.append(Token(f"/{name}", "", "", 0))
             continue
-        if name in _VOID or m.group(3).endswith("/"):
+        if name in _VOID or piece.attributes.endswith("/"):
             if not skip:
                 out.append(Token(name, "", "", 0))
             continue
         floor = names[-1][0] if names else 0
-        if name == "p" and not skip and ("p" in stack[floor:] or floor and stack[floor - 1] == "p"):  # a paragraph ends where the next begins
-            depth = len(stack) - stack[::-1].index("p") - 1
-            del stack[depth:]
+        depth = open_.last("p")
+        if name == "p" and not skip and depth >= 0 and depth >= floor - 1:  # a paragraph ends where the next begins
+            open_.cut(depth)
             close(depth, False)
-        stack.append(name)
+        open_.push(name)
         if not skip and name in SKIPPED:
-            skip = len(stack)
+            skip = len(open_)
         elif not skip:
-            marks = _named(name, m.group(3))
+            marks = _named(name, piece.attributes)
             if marks:
-                names.append((len(stack), len(out), name == "article", bool(marks & _THREADS)))
+                names.append((len(open_), len(out), name == "article", bool(marks & _THREADS)))
         if name in _RAW:
-            found = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = found.start() if found else end
+            at = _raw_end(page, name, at, raw_ends)
             continue
         if not skip:
             out.append(Token(name, "", "", 0))
@@ -195,6 +288,15 @@ def tokens(page: str) -> list[Token]:
     return _without_furniture(out, spans) if spans else out
 
 
+def _raw_end(page: str, name: str, at: int, ended: dict[str, bool]) -> int:
+    """Where an element ends whose content is no markup; once there is no closing tag of a name any more, it isn't looked for again."""
+    found = None if ended.get(name) else re.compile(rf"</{name}\s*>", re.I).search(page, at)
+    if found is None:
+        ended[name] = True
+        return len(page)
+    return found.start()
+
+
 def best_region(scores: list[float]) -> tuple[int, int]:
     """Start and end of the contiguous stretch with the highest sum; empty when none is positive."""
     best, found, run, start = 0.0, (0, 0), 0.0, 0
@@ -273,7 +375,7 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 def fit(pages: DataFrame, html_col: str = "html") -> Weights:
     """Weights from a bounded sample of the pages that mark their content."""
-    marked = pages.select(F.col(html_col).alias("html")).where(F.lower("html").contains("<article"))
+    marked = pages.select(F.col(html_col).alias("html")).where(F.lower("html").contains("<article") & (F.octet_length("html") <= SAMPLE_BYTES))
     return learn(hash_sample(marked, "html", SAMPLE_PAGES))
 
 

@@ -1,6 +1,6 @@
 """Language identification by compression: the language whose text helps most to compress a document.
 
-Fitting gathers a bounded sample of labelled texts: for each language the SAMPLE_TEXTS distinct texts with the smallest hash,
+Fitting gathers a bounded sample of labelled texts: for each of the MAX_LANGUAGES languages with the most distinct texts (ties: those that sort first) the SAMPLE_TEXTS distinct texts with the smallest hash,
 SAMPLE_CHARS characters of each at most. Lower-cased and without digits and ASCII punctuation, they form that language's
 zstandard raw-content dictionary, of DICTIONARY_BYTES at most.
 
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import sample_bound, sample_hash, ship, spare, with_columns
 
 SAMPLE_TEXTS, SAMPLE_CHARS = 400, 2000
+#: Languages that are learned at most: those with the most distinct texts.
+MAX_LANGUAGES = 100
 DICTIONARY_BYTES, BLOCK_BYTES = 100_000, 512
 #: A search that follows chains, with short matches: small blocks are found in the dictionary even when they have few common words.
 PARAMETERS = {"window_log": 17, "chain_log": 15, "hash_log": 16, "search_log": 4, "min_match": 4, "strategy": zstandard.STRATEGY_LAZY,
@@ -44,11 +46,12 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     rows = rows.withColumn("h", sample_hash(F.col("text")))
     # Distinct texts are counted, so that copies don't lower the bound: with SAMPLE_TEXTS distinct texts or more, as many are found.
-    counts = {r["lang"]: r["count"] for r in rows.select("lang", "h").distinct().groupBy("lang").count().collect()}  # a number for each language
+    sizes = rows.select("lang", "h").distinct().groupBy("lang").count()
+    counts = {r["lang"]: r["count"] for r in sizes.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
     if not counts:
         return {}
     bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, sample_bound(SAMPLE_TEXTS, n))])
-    low = rows.where(F.col("h") < bound[F.col("lang")]).distinct()
+    low = rows.where(F.col("h") < bound[F.col("lang")]).distinct()  # none of a language that isn't learned
     ranked = low.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
     sample = ranked.where(F.col("place") <= SAMPLE_TEXTS).select("lang", "place", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
     found: dict[str, list[bytes]] = {}

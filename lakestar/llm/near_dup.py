@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, spare, written
+from .common import alone, ship, spare, written
 from .components import components
 from .shingles import mix, shingle_set
 
@@ -275,6 +275,10 @@ def merged(links: DataFrame, labels: DataFrame | None) -> DataFrame:
 def near_duplicate_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id: a row for each document. ``percent``: the least Jaccard similarity of a link, in hundredths."""
     ship(docs.sparkSession)
+    return alone(docs.sparkSession, "near-groups", lambda: _groups(docs, percent, id_col, text_col))
+
+
+def _groups(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     texts = texts.withColumn("version", F.xxhash64("text"))
     signed = texts.mapInArrow(_sign, "id bigint, version bigint, n bigint, print binary, signature binary")

@@ -148,8 +148,8 @@ ORACLE_SQL = {
 WITH RECURSIVE sizes AS (
   SELECT source, CAST(sum(coalesce(strlen(text), 0)) AS BIGINT) AS bytes FROM documents GROUP BY source),
 rates AS (
-  SELECT source, 1.0::DOUBLE / (SELECT CAST(count(*) AS DOUBLE) FROM sizes WHERE bytes > 0) * 1.0::DOUBLE
-         * (SELECT CAST(sum(bytes) AS DOUBLE) FROM sizes) / bytes AS rate FROM sizes WHERE bytes > 0),
+  SELECT source, CASE WHEN bytes > 0 THEN 1.0::DOUBLE / (SELECT CAST(count(*) AS DOUBLE) FROM sizes WHERE bytes > 0) * 1.0::DOUBLE
+         * (SELECT CAST(sum(bytes) AS DOUBLE) FROM sizes) / bytes ELSE 1.0::DOUBLE END AS rate FROM sizes),
 cdf AS (
   SELECT source, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM rates
   UNION ALL
@@ -160,7 +160,7 @@ drawn AS (
 counted AS (
   SELECT d.doc_id, d.source, d.text, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM d.source AND cdf.c <= d.u) AS n
   FROM drawn d)
-SELECT doc_id, source, CAST(i AS INTEGER) AS copy_no, CAST(n AS INTEGER) AS n_copies,
+SELECT doc_id, source, CAST(i AS BIGINT) AS copy_no, CAST(n AS BIGINT) AS n_copies,
        md5(concat_ws('|', 'order-17', coalesce(CAST(doc_id AS VARCHAR), ''), CAST(i AS VARCHAR))) AS shuffle_key, text
 FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM counted WHERE n > 0)""",
     "op3_decontaminate": r"""

@@ -28,6 +28,8 @@ _POWER = _powers(_BASE, STEP + 1)
 _INVERSE = _powers(pow(_BASE, -1, 1 << 64), STEP + 1)
 #: Odd multipliers for the places of a word in a run of words.
 PLACE = np.random.RandomState(7).randint(0, 1 << 63, 64).astype(_U) * _U(2) + _U(1)
+#: Others, for a second hash that tells runs apart whose first hashes are equal by chance.
+CHECK_PLACE = np.random.RandomState(11).randint(0, 1 << 63, 64).astype(_U) * _U(2) + _U(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -95,14 +97,14 @@ def _hash_group(group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.searchsorted(starts, np.cumsum([len(x) + 1 for x in group]))
 
 
-def runs(words: np.ndarray, k: int) -> np.ndarray:
+def runs(words: np.ndarray, k: int, place: np.ndarray = PLACE) -> np.ndarray:
     """Hashes of all runs of ``k`` words, in order, with repeats."""
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, dtype=_U)
-    out = words[:n] * PLACE[0]
+    out = words[:n] * place[0]
     for j in range(1, k):
-        out = out + words[j:n + j] * PLACE[j]
+        out = out + words[j:n + j] * place[j]
     return mix(out)
 
 

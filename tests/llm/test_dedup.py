@@ -226,11 +226,27 @@ def test_repeated_passages_go(spark):
     assert sum(r.n_removed for r in got) > 500
     texts = dict(rows)
     for r in got:
-        own = texts[r.id].split()
-        for f in r.factors:  # each window of a factor stands in its block
-            block = " ".join(texts[f.block].split())
-            assert f.words >= 13 and f.block < r.id
-            assert all(" ".join(own[i:i + 13]) in block for i in range(f.start, f.start + f.words - 12))
+        factors_are_runs_of_their_blocks(r, texts)
+
+
+def factors_are_runs_of_their_blocks(row, texts):
+    own = texts[row.id].split()
+    for f in row.factors:
+        assert f.words >= 13 and f.block < row.id
+        assert own[f.start:f.start + f.words] == texts[f.block].split()[f.place:f.place + f.words]
+    assert all(b.start > a.start and b.start + b.words > a.start + a.words for a, b in zip(row.factors, row.factors[1:]))
+
+
+def test_a_factor_ends_where_its_block_goes_on_otherwise(spark):
+    w = [f"a{i}" for i in range(1, 15)]
+    rows = [(1, " ".join([*w[:13], "Z", *w[1:]])), (2, " ".join(w)), (3, " ".join(["r"] * 13)), (4, " ".join(["r"] * 60)), (5, " ".join([*w, *["r"] * 20, *w[:13]]))]
+    got = {r.id: r for r in factored(spark.createDataFrame(rows, DOC)).collect()}
+    for r in got.values():
+        factors_are_runs_of_their_blocks(r, dict(rows))
+    assert [(f.start, f.words, f.place) for f in got[2].factors] == [(0, 13, 0), (1, 13, 14)] and got[2].n_removed == 14
+    # Repeats are covered by as few factors as their block allows.
+    assert [(f.start, f.words) for f in got[4].factors] == [(0, 13), (13, 13), (26, 13), (39, 13), (47, 13)] and got[4].n_removed == 60
+    assert got[5].n_removed == 47
 
 
 def test_a_run_goes_on_over_a_factor_boundary(spark):

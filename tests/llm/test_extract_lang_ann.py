@@ -5,10 +5,13 @@ from __future__ import annotations
 import html
 import random
 import re
+import string
+import time
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from lakestar.llm import ann, html_extract, lang_id, queries
@@ -80,7 +83,21 @@ def test_plain_boxes_around_the_article_lose(weights):
     ("</p></div>stray", "stray"), ("a < b and c > d", "a < b and c > d"), ("<nav>only a menu</nav>", ""), ("<script>never closed", ""), ("<p>x</p><!-- open", "x"),
 ])
 def test_broken_markup(raw, expected):
-    assert html_extract.main_text(raw, html_extract.Weights({}, {}, 1.0)) == expected or raw in ("<p>a<p>b",)
+    assert html_extract.main_text(raw, html_extract.Weights({}, {}, 1.0)) == expected
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<b>x", "<p>x", "<div class='ad'>x", "<a href='", '<a "', "<!-- ", "<!", "< ", "</b>", "<script>", "<div><p>x", "<!--x--", "&amp;<i ", "<title>x"])
+def test_broken_pages_take_time_in_proportion(unit):
+    raw = unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    html_extract.main_text(raw, html_extract.Weights({}, {}, 1.0))
+    assert time.process_time() - began < 12
+
+
+def test_quotes_that_never_close():
+    weights = html_extract.Weights({}, {}, 1.0)
+    assert html_extract.main_text("<p title='a>b'>one</p><p title='open>two</p>", weights) == "one\ntwo"
+    assert html_extract.main_text('<a title="x > y">in</a> <a b', weights) == "in <a b"
 
 
 def test_the_region_is_the_best_of_all():
@@ -122,6 +139,41 @@ def test_learning_takes_only_labels_of_the_other_folds(spark):
 LANG = "doc_id bigint, text string, lang string"
 
 
+def told_by_hand(text, model):
+    """Language and margin by compressing the whole text with every dictionary, one block after another."""
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    bare = "".join(c for c in text.lower() if c not in string.punctuation + string.digits)
+    data = b" " + b" ".join(bare.encode().split()) + b" "
+    totals = {}
+    for lang, content in model.items():
+        size = 0
+        for at in range(0, len(data), lang_id.BLOCK_BYTES):
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(compression_params=zstandard.ZstdCompressionParameters(**lang_id.PARAMETERS))
+            coder = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters(**lang_id.PARAMETERS), dict_data=known)
+            size += len(coder.compress(data[at:at + lang_id.BLOCK_BYTES]))
+        totals[lang] = size
+    first, second = sorted(totals.items(), key=lambda x: (x[1], x[0]))[:2]
+    return first[0], (second[1] - first[1]) / second[1]
+
+
+def test_languages_equal_compression_by_hand(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = lang_id.fit(docs)
+    rows = lang_id.identify(docs.select("doc_id", "text"), model).where("length(text) < 6000").collect()
+    assert len(rows) > 100
+    for r in rows[:120]:
+        lang, score = told_by_hand(r.text, model)
+        assert (r.lang_pred, r.rejected) == (lang, lang == "und" or score < 0.005) and r.score == pytest.approx(score)
+
+
+def test_the_number_of_languages_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "MAX_LANGUAGES", 2)
+    rows = [(i, f"text number {chr(97 + i)} of one", "aa") for i in range(5)] + [(9, "same", "bb")] * 50 + [(10, "one", "cc"), (11, "two", "cc"), (12, "x", "zz")]
+    assert set(lang_id.fit(spark.createDataFrame(rows, LANG))) == {"aa", "cc"}
+
+
 def test_language_odd_rows(spark):
     train = spark.createDataFrame([(1, "the cat and the dog are in the house", "en"), (2, "le chat et le chien sont dans la maison", "fr"),
                                    (3, None, "de"), (4, "unlabelled words", None), (5, "12 34", "nn")], LANG)
@@ -168,9 +220,11 @@ def found(spark, rows, k=20):
     return {q: [(v, s) for _, v, s in sorted(x)] for q, x in got.items()}
 
 
-def test_recall_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("queries_", [1 << 15, 60])
+def test_recall_against_brute_force(spark, monkeypatch, queries_):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
     monkeypatch.setattr(ann, "OBJECTS", 1500)  # several blocks
+    monkeypatch.setattr(ann, "QUERIES", queries_)
     got, want = found(spark, rows), brute_nearest(dict(rows), 20)
     assert set(got) == set(want)
     hits = sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)

@@ -49,6 +49,19 @@ def test_output_shares_match_the_weights(spark):
     assert all(abs(v / sum(share.values()) - 0.25) < 0.02 for v in share.values())
 
 
+def test_a_row_with_a_very_large_mean_is_spread(spark):
+    """A mean of 300,000 in 601 parts: three groups, each on its own; rows with equal ids draw the same number."""
+    rows = [(1, "x" * 10, "rare"), (100, "y" * 6_010_000, "big"), (None, None, "none")]
+    out = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), seed=3)
+    assert dict(out.dtypes)["copy_no"] == dict(out.dtypes)["n_copies"] == "bigint"
+    mean = 6_010_010 / 2 / 10
+    parts = math.ceil(mean / mixing.MAX_MEAN)
+    expected = sum(inverted(mean / parts, uniform(3, 1, i + 1)) for i in range(parts))
+    row = out.where("doc_id = 1").selectExpr("count(*) AS n", "count(DISTINCT copy_no) AS d", "min(copy_no) AS lo", "max(copy_no) AS hi", "min(n_copies) AS a", "max(n_copies) AS b").first()
+    assert tuple(row) == (expected, expected, 1, expected, expected, expected) and parts > 2 * mixing.GROUP
+    assert out.where("source = 'none'").count() == inverted(1.0, uniform(3, ""))
+
+
 def test_rows_are_in_a_random_order_that_repeats(spark):
     df = spark.createDataFrame([(i, "t", "s") for i in range(200)], SCHEMA)
     one, two = ([(r.doc_id, r.copy_no) for r in mixing.mix_sources(df, epochs=3.0).collect()] for _ in range(2))
@@ -67,8 +80,8 @@ def test_large_means_are_split_into_parts(spark):
 ])
 def test_mixing_odd_rows(spark, rows):
     out = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), epochs=8.0).collect()
-    if not any(r[1] for r in rows):
-        assert out == []  # a source without bytes is left out
+    if not any(r[1] for r in rows):  # a source without bytes: a mean of the epochs for each row
+        assert Counter(r.doc_id for r in out) == Counter({r[0]: inverted(8.0, uniform(17, r[0])) for r in rows})
     else:
         assert {r.source for r in out} == {None, "a"}
         copies = Counter((r.doc_id, r.copy_no) for r in out if r.source is None)
@@ -139,6 +152,52 @@ def test_a_third_of_all_rows_in_one_group(spark):
     assert len(load) == 8 and max(rest) <= 1.05 * sum(rest) / 7  # the group has a shard of its own, the others are even
 
 
+def loads(out, shards):
+    load = Counter({k: 0 for k in range(shards)})
+    for r in out:
+        load[r.shard] += r["size"]
+    return [load[k] for k in range(shards)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_cuts_fall_between_groups_wherever_the_capacity_needs_it(spark, monkeypatch, seed):
+    """With four ranges to begin with, and leaves that are split a little at a time, the largest shard is the least possible one for the groups in hash order."""
+    monkeypatch.setattr(sharding, "ATOM_BITS", 2)
+    monkeypatch.setattr(sharding, "LEAVES", 64)
+    draw = random.Random(seed)
+    rows = [(i, f"group {draw.randrange(60)}" + " x" * draw.randint(0, 1) * 9, None) for i in range(300)]
+    shards = 5
+    out = sharding.assign_shards(spark.createDataFrame(rows, SCHEMA), shards).collect()
+    check_shards(rows, out, shards)
+    size = Counter()
+    for _, text, _ in rows:
+        size[text] += len(text) + 8
+    keys = {r.text: r.k for r in spark.createDataFrame(rows, SCHEMA).selectExpr("text", "xxhash64(text) AS k").distinct().collect()}
+    ordered = [size[t] for t in sorted(size, key=lambda t: keys[t] % 2 ** 64)]
+    assert max(loads(out, shards)) == sharding.minimax_cuts(np.array(ordered), shards)[0]
+
+
+def test_as_many_shards_as_groups_are_all_filled(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ATOM_BITS", 6)
+    rows = [(i, f"{i:06d}", None) for i in range(3000)]
+    out = sharding.assign_shards(spark.createDataFrame(rows, SCHEMA), 1000).collect()
+    check_shards(rows, out, 1000)
+    assert set(loads(out, 1000)) == {3 * 14}
+
+
+def test_place_leaves_against_all_cuts():
+    draw = random.Random(9)
+    for _ in range(100):
+        sizes = np.array([draw.choice([1, 2, 5, 40]) for _ in range(draw.randint(1, 8))])
+        shards = draw.randint(1, 4)
+        placed = sharding.place_leaves(sizes, shards)
+        heavy = sharding.heavy_leaves(sizes, shards)
+        assert all(sum(placed == placed[i]) == 1 for i in heavy)
+        rest = [int(s) for i, s in enumerate(sizes) if i not in heavy]
+        load = [int(sizes[placed == k].sum()) for k in set(placed.tolist()) - {int(placed[i]) for i in heavy}]
+        assert (max(load) if load else 0) == (least_capacity(rest, shards - len(heavy)) if rest else 0)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, "s"), (1, None, "s"), (None, "", None)], [(5, "x" * 300_000, "s"), (6, "ä", None)]])
 def test_sharding_odd_rows(spark, rows):
     check_shards(rows, sharding.assign_shards(spark.createDataFrame(rows, SCHEMA), 3).collect(), 3)
