@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestar.llm import decontam, lang_id, mixing, near_dup, sharding
-from lakestar.llm.common import table, written
+from lakestar.llm.common import alone, table
 
 SHARDS = 24
 
@@ -56,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, in order, over the documents; the last one's rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = alone(spark, f"pipeline-{name}", lambda: stage(spark, docs, sf_dir))  # noqa: B023  called at once
     return STAGES[-1][1](spark, docs, sf_dir)
