@@ -3,7 +3,7 @@
 A check is data: a name, a severity, the table it reads and how it counts.
 
 * ``rows``   -- rows matching a predicate. All row checks on one table fold
-  into a single ``agg(count_if(...), ...)`` pass over that table.
+  into a single ``agg(count_if(...), ...)`` pass over that table, or are observed while it is written.
 * ``keys``   -- key values that are null or occur more than once (counts
   offending *keys*, not rows): a partial aggregate per key.
 * ``unmatched`` -- rows whose key has no partner in a lookup (anti join).
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import itertools
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -160,10 +160,17 @@ def count_orphans(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], extra:
     return rows_.agg(F.coalesce(F.sum(F.when(missing, weight)), F.lit(0)).alias("failed"), *extra)
 
 
-def run_checks(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFrame:
+def row_counts_of(checks: Iterable[Check], table: str) -> list[Column]:
+    """The aggregates that count the row checks of a table, each named like its check: to be observed while the table is written."""
+    return [F.count_if(c.predicate()).alias(c.name) for c in checks if c.table == table and c.kind == "rows"]
+
+
+def run_checks(checks: Iterable[Check], tables: dict[str, DataFrame], known: Mapping[str, int] | None = None) -> DataFrame:
     """Evaluate ``checks`` against ``tables``; one row per check. A table is read once for its row (and orphan) checks and
-    once for its key checks."""
+    once for its key checks. ``known``: row checks that were counted when their table was written, by name; they read nothing."""
     checks = list(checks)
+    counted = [c for c in checks if c.kind == "rows" and c.name in (known or {})]
+    checks = [c for c in checks if c not in counted]
     of = lambda table, kind: [c for c in checks if c.table == table and c.kind == kind]
     parts: list[DataFrame] = []
 
@@ -175,6 +182,11 @@ def run_checks(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFra
         severity = C.map_values("check_name", {chk.name: chk.severity for chk in counted.values()})
         parts.append(long.select("check_name", severity.alias("severity"), "failed_rows"))
 
+    if counted:
+        spark = tables[counted[0].table].sparkSession
+        rows_ = F.array(*[F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
+                                   F.lit(known[c.name]).cast("bigint").alias("failed_rows")) for c in counted])
+        parts.append(spark.range(0, 1, 1, 1).select(F.inline(rows_)))
     for table in dict.fromkeys(c.table for c in checks):
         df, rows_, orphans_ = tables[table], of(table, "rows"), of(table, "orphans")
         counts = [F.count_if(c.predicate()).alias(c.name) for c in rows_]
@@ -205,8 +217,8 @@ def ordered(report: DataFrame) -> DataFrame:
     return report.orderBy(*report_order())
 
 
-def quality_report(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    return ordered(run_checks(checks, tables))
+def quality_report(checks: Iterable[Check], tables: dict[str, DataFrame], known: Mapping[str, int] | None = None) -> DataFrame:
+    return ordered(run_checks(checks, tables, known))
 
 
 def tag_layers(reports: dict[str, DataFrame]) -> DataFrame:

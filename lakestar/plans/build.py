@@ -28,11 +28,12 @@ import time
 import uuid
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import conform, kpi, star
+from ..functions.columns import month_start
+from ..operators import conform, kpi, quality, star
 from ..schemas import LOAD_STAMP, RAW
 from ..session import _remove_at_exit, entries, read_note, remove, scratch_scope, shared_root, write_note
 from ..sources import csv_io, extracts
@@ -86,6 +87,7 @@ class Warehouse:
         self._begun = run_dir is not None
         self.published = False
         self._table_locks: dict[tuple[str, str], threading.Lock] = {}
+        self._counts: dict[str, int] = {}
 
     @classmethod
     def from_csv(cls, spark: SparkSession, datasets_dir: str, as_of: _dt.date = DEFAULT_AS_OF,
@@ -138,6 +140,7 @@ class Warehouse:
             if note:
                 key = (note["layer"], note["name"])
                 self._paths[key] = note["path"]
+                self._counts |= note["counts"]
                 self._tables[key] = self.spark.read.schema(T.StructType.fromJson(note["schema"])).parquet(note["path"])
 
     # -- layers ---------------------------------------------------------------
@@ -185,6 +188,17 @@ class Warehouse:
         }
         return self._materialise("star", name, builders[name])
 
+    def row_counts(self) -> dict[str, int]:
+        """Row checks (under this run's date and collation) of the tables written so far, as counted while they were written."""
+        return dict(self._counts)
+
+    def sales_by_month(self) -> DataFrame:
+        """The sales fact with ``order_month``, partitioned by it (rows without a date have a partition of their own): a report on some months
+        reads their files only. Large months are split over tasks and small ones put together (rebalance)."""
+        month = month_start("order_date").alias("order_month")
+        return self._materialise("rollup", "sales_by_month", lambda: self.star("fact_sales").select("*", month).hint("rebalance", "order_month"),
+                                 partition_by=("order_month",))
+
     def rollup(self, name: str) -> DataFrame:
         """A table of :func:`kpi.sales_rollups`: reports read it instead of the fact."""
         return self._materialise("rollup", name, lambda: kpi.sales_rollups(self.star("fact_sales"))[name])
@@ -297,7 +311,17 @@ class Warehouse:
         """Where a table that has been written lies."""
         return self._paths[layer, name]
 
-    def _materialise(self, layer: str, name: str, make, load=None) -> DataFrame:
+    def _observed(self, layer: str, name: str, frame: DataFrame) -> tuple[DataFrame, Observation | None]:
+        """``frame`` with the row checks of its table counted as it is written. The counts are those of the write's own tasks, one for each
+        partition, so a task or an attempt that is repeated counts once."""
+        checks = {"conformed": lambda: quality.conformed_checks(self.as_of, self.collation), "star": lambda: quality.star_checks(self.collation)}
+        counts = quality.row_counts_of(checks[layer](), name) if layer in checks else []
+        if not counts:
+            return frame, None
+        seen = Observation()
+        return frame.observe(seen, *counts), seen
+
+    def _materialise(self, layer: str, name: str, make, load=None, partition_by: tuple = ()) -> DataFrame:
         """Write ``make()`` once under ``layer/name`` and return the written
         table (``load``: writes the table itself under the path it is given, and returns it). One lock per table: different tables build concurrently, a
         second caller of the same table waits for the first write. Every
@@ -313,18 +337,21 @@ class Warehouse:
                 if self._stop.is_set():
                     raise RuntimeError(f"{layer}/{name} was not begun, as the build has failed")
                 self._begin()
-                path = f"{self.run_dir}/{layer}/{name}/{uuid.uuid4().hex}"
+                path, counts = f"{self.run_dir}/{layer}/{name}/{uuid.uuid4().hex}", {}
                 with scratch_scope(self.spark):
                     if load is not None:
                         df, path = load(path), f"{path}/rows"
                     else:
                         frame = make()
-                        frame.write.mode("errorifexists").parquet(path)
+                        watched, seen = self._observed(layer, name, frame)
+                        watched.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+                        counts = {k: int(v) for k, v in seen.get.items()} if seen else {}
                         # The schema is known: no footer inference when reading back.
                         df = self.spark.read.schema(frame.schema).parquet(path)
                 write_note(self.spark, f"{self.run_dir}/{MANIFEST}/{layer}.{name}.json",
-                           {"layer": layer, "name": name, "path": path, "schema": df.schema.jsonValue()})
+                           {"layer": layer, "name": name, "path": path, "schema": df.schema.jsonValue(), "counts": counts})
                 with self._lock:
+                    self._counts |= counts
                     self._tables[key], self._paths[key] = df, path
             return self._tables[key]
 
@@ -381,6 +408,7 @@ def open_published(spark: SparkSession, sf_dir: str = "", root: str | None = Non
     latest = pointers.agg(F.max_by(F.struct("run_dir", "as_of", "tables"), F.struct("published_at", "run_dir")).alias("p")).first().p
     wh = Warehouse(spark, sf_dir, as_of=latest.as_of, run_dir=latest.run_dir)
     wh.base = base
+    wh._load_manifest()  # for the counts; the publication says which tables
     for key, path in latest.tables.items():
         layer, name = key.split("/")
         wh._paths[layer, name] = path

@@ -138,6 +138,15 @@ def kpi_category_performance(spark, sf_dir):
     return kpi.category_performance(wh.star("fact_sales"), wh.star("dim_products"))
 
 
+def kpi_category_by_month(spark, sf_dir):
+    """Revenue by category in each month of the year 1996, from that year's partitions of the fact."""
+    wh = _wh(spark, sf_dir)
+    some = wh.sales_by_month().where("order_month >= DATE'1996-01-01' AND order_month < DATE'1997-01-01'")
+    per_key = some.groupBy("order_month", "product_key").agg(kpi.revenue().alias("revenue"))
+    joined = per_key.join(wh.star("dim_products").select("product_key", "category"), "product_key")
+    return joined.groupBy("order_month", "category").agg(F.sum("revenue").cast("bigint").alias("revenue"))
+
+
 def kpi_order_date_range(spark, sf_dir):
     return kpi.order_date_range(_wh(spark, sf_dir).star("fact_sales"))
 
@@ -332,19 +341,24 @@ def standardize_codes(spark, sf_dir):
 
 # ---- quality -------------------------------------------------------------------
 def dq_silver_report(spark, sf_dir):
+    """Row checks as counted while the tables were written; key and lookup checks read the tables."""
     wh = _wh(spark, sf_dir)
-    return quality.quality_report(quality.conformed_checks(wh.as_of), _conformed(wh))
+    tables = _conformed(wh)
+    return quality.quality_report(quality.conformed_checks(wh.as_of), tables, wh.row_counts())
 
 
 def dq_gold_report(spark, sf_dir):
-    return quality.quality_report(quality.star_checks(), _star(_wh(spark, sf_dir)))
+    wh = _wh(spark, sf_dir)
+    tables = _star(wh)
+    return quality.quality_report(quality.star_checks(), tables, wh.row_counts())
 
 
 def _both_layers(spark, sf_dir) -> dict[str, DataFrame]:
     """Both layers' reports, unsorted: a result that unions them has no order to keep."""
     wh = _wh(spark, sf_dir)
-    return {"silver": quality.run_checks(quality.conformed_checks(wh.as_of), _conformed(wh)),
-            "gold": quality.run_checks(quality.star_checks(), _star(wh))}
+    conformed, tables = _conformed(wh), _star(wh)
+    return {"silver": quality.run_checks(quality.conformed_checks(wh.as_of), conformed, wh.row_counts()),
+            "gold": quality.run_checks(quality.star_checks(), tables, wh.row_counts())}
 
 
 def dq_all_layers(spark, sf_dir):
@@ -528,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "kpi_revenue_by_country": kpi_revenue_by_country,
     "kpi_revenue_by_product_line": kpi_revenue_by_product_line,
     "kpi_category_performance": kpi_category_performance,
+    "kpi_category_by_month": kpi_category_by_month,
     "kpi_order_date_range": kpi_order_date_range,
     "kpi_revenue_share_by_category": kpi_revenue_share_by_category,
     "kpi_revenue_share_by_product_line": kpi_revenue_share_by_product_line,

@@ -463,6 +463,50 @@ def test_csv_run_tolerates_and_lists_bad_rows(spark, own_store, tmp_path):
         build.Warehouse.from_csv(spark, str(root), max_rejects=1).raw("erp_loc_a101")
 
 
+def test_row_checks_are_counted_while_tables_are_written(spark, own_store, monkeypatch):
+    from lakestar.operators import quality
+    from lakestar.plans import build
+
+    from conftest import SF0001
+
+    wh = build.Warehouse(spark, SF0001)
+    # The sales' first write fails in its second task, after rows were counted; what counts is the write that succeeds.
+    rule = build.CONFORMED_RULES["crm_sales_details"]
+    broken = F.when(F.col("sls_quantity") < 0, F.lit(0)).otherwise(F.raise_error("half way")).cast("int")
+
+    def fails(raw, as_of):
+        half = F.spark_partition_id() == 1
+        return rule(raw, as_of).repartition(2).withColumn("sls_quantity", F.when(half, broken).otherwise(F.col("sls_quantity")))
+
+    with monkeypatch.context() as m:
+        m.setitem(build.CONFORMED_RULES, "crm_sales_details", fails)
+        with pytest.raises(Exception, match="half way"):
+            wh.conformed("crm_sales_details")
+    assert not any(k.startswith("crm_sales") for k in wh.row_counts())
+    wh.build()
+    conformed, star = {n: wh.conformed(n) for n in build.CONFORMED_RULES}, {n: wh.star(n) for n in build.STAR_TABLES}
+    for checks, tables in ((quality.conformed_checks(wh.as_of), conformed), (quality.star_checks(), star)):
+        rows = [c.name for c in checks if c.kind == "rows"]
+        assert set(rows) <= set(wh.row_counts())
+        seen, read = (quality.run_checks(checks, tables, known) for known in (wh.row_counts(), None))
+        assert sorted(map(tuple, seen.collect())) == sorted(map(tuple, read.collect()))
+        only = quality.run_checks([c for c in checks if c.kind == "rows"], tables, wh.row_counts())
+        assert "parquet" not in only._jdf.queryExecution().executedPlan().toString().lower()
+    wh.publish()
+    assert build.open_published(spark).row_counts() == wh.row_counts() == build.Warehouse(spark, SF0001).build().row_counts()
+
+
+def test_a_month_is_a_partition(spark, wh01):
+    months = wh01.sales_by_month()
+    assert months.drop("order_month").exceptAll(wh01.star("fact_sales")).count() == 0
+    one = months.where("order_month = DATE'1996-03-01'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan
+    assert one.select(F.input_file_name()).distinct().count() == 1
+    assert one.count() == wh01.star("fact_sales").where("year(order_date) = 1996 and month(order_date) = 3").count()
+    assert months.where("order_month IS NULL").count() == wh01.star("fact_sales").where("order_date IS NULL").count() > 0
+
+
 def test_a_rewritten_file_in_a_table_folder_is_noticed(spark, tmp_path):
     from lakestar.plans import build
 
