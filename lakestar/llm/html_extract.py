@@ -5,7 +5,7 @@ from labelled pages; one linear scan finds the contiguous region with the highes
 
 Labelled pages are those that mark their content themselves, with exactly one ``article`` element: what it holds is content. Fitting
 takes a bounded sample of them (SAMPLE_PAGES with the smallest hash of their html, of those with SAMPLE_BYTES at most). A word's weight follows the share of words
-in the same kind of element (a link, a paragraph, ...) that are content; a tag's, the share of such tags that are not. How much a tag weighs
+in the same kind of element (a link, a paragraph, ...) and of text node (short or not) that are content, counted with all furniture that has a name, so it holds where names say nothing; a tag's, the share of such tags that are not. How much a tag weighs
 against a word is set by the number in SCALES that recovers most labelled regions exactly, the middle one of several.
 
 What the markup itself names as no content is taken out before the scan, so it neither counts nor splits a region:
@@ -39,6 +39,8 @@ SAMPLE_PAGES = 400
 #: Bytes of one page of the sample, so the driver sees SAMPLE_PAGES times as many at most. Longer pages teach nothing.
 SAMPLE_BYTES = 1 << 17
 SCALES = (0.5, 1, 2, 4, 8, 16, 32)
+#: Words of a text node from which on it isn't short.
+SHORT = 16
 #: Elements that hold no main text.
 SKIPPED = frozenset("head title script style noscript template nav header footer aside form button select textarea iframe object svg canvas menu dialog".split())
 #: Words of class, id and role attributes that name page furniture, adverts, notices and readers' comments.
@@ -222,8 +224,8 @@ def _without_furniture(page: list[Token], spans: list[_Span]) -> list[Token]:
     return out + page[at:]
 
 
-def tokens(page: str) -> list[Token]:
-    """The page's tags and text nodes, without skipped elements and comments; one pass."""
+def tokens(page: str, cut: bool = True) -> list[Token]:
+    """The page's tags and text nodes, without skipped elements and comments, and without named furniture if ``cut``; one pass."""
     out: list[Token] = []
     open_ = _Open()
     names: list[tuple[int, int, bool, bool]] = []  # open named elements: depth inside, first token, article, thread
@@ -285,7 +287,7 @@ def tokens(page: str) -> list[Token]:
         if not skip:
             out.append(Token(name, "", "", 0))
     close(0, False)
-    return _without_furniture(out, spans) if spans else out
+    return _without_furniture(out, spans) if spans and cut else out
 
 
 def _raw_end(page: str, name: str, at: int, ended: dict[str, bool]) -> int:
@@ -310,7 +312,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 
 class Weights(NamedTuple):
-    words: dict[str, float]  # by the element they are in
+    words: dict[str, float]  # by the element they are in, with a mark for short text nodes
     tags: dict[str, float]
     scale: float
 
@@ -320,7 +322,12 @@ class Weights(NamedTuple):
         return self.tags.get(tag, -1.0 if name in _BOXES else -0.1 if name in _BLOCK else -0.01)
 
     def scores(self, page: list[Token]) -> list[float]:
-        return [self.scale * self.tag(t.tag) if t.tag else t.words * self.words.get(t.kind, 1.0) for t in page]
+        return [self.scale * self.tag(t.tag) if t.tag else t.words * self.words.get(_place(t), self.words.get(t.kind, 1.0)) for t in page]
+
+
+def _place(t: Token) -> str:
+    """What a text node's words are counted by: the element it is in, and whether it is short, as labels, adverts and buttons are."""
+    return f"{t.kind} short" if t.words < SHORT else t.kind
 
 
 def _content(page: list[Token]) -> tuple[int, int] | None:
@@ -333,12 +340,15 @@ def learn(pages: list[str]) -> Weights:
     inside: Counter = Counter()
     outside: Counter = Counter()
     labelled = []
-    for page in map(tokens, pages):
-        region = _content(page)
-        if region:
-            labelled.append((page, region))
-            for i, t in enumerate(page):
-                (inside if region[0] <= i < region[1] else outside)[("tag", t.tag) if t.tag else ("word", t.kind)] += 1 if t.tag else t.words
+    for raw in pages:
+        # Counted with the furniture that names would cut, so that the scan learns to do without names.
+        for page, counted in ((tokens(raw, cut=False), True), (tokens(raw), False)):
+            region = _content(page)
+            if region and not counted:
+                labelled.append((page, region))
+            elif region:
+                for i, t in enumerate(page):
+                    (inside if region[0] <= i < region[1] else outside)[("tag", t.tag) if t.tag else ("word", _place(t))] += 1 if t.tag else t.words
     if not labelled:
         return Weights({}, {}, 1.0)
     odds = {k: math.log((inside[k] + 1) / (outside[k] + 1)) for k in {*inside, *outside} if inside[k] + outside[k]}

@@ -44,6 +44,17 @@ def test_all_given_pages_give_their_article(spark):
         assert (rows[p.page_id].text, rows[p.page_id].n_chars, rows[p.page_id].url) == (expected, len(expected), p.url)
 
 
+@pytest.mark.parametrize("names", [True, False])
+def test_given_pages_without_their_marks(spark, names):
+    """What the scan has learned tells adverts where neither an article nor a name does."""
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    weights = html_extract.learn(pages)
+    for raw in pages:
+        bare = raw.replace("<article>", "<div>").replace("</article>", "</div>")
+        bare = bare if names else re.sub(r"""\s(class|id|role)=("[^"]*"|'[^']*')""", "", bare)
+        assert html_extract.main_text(bare, weights) == html_extract.main_text(raw, weights) != ""
+
+
 def test_furniture_inside_and_around_the_article_goes(weights):
     body = """<h1>Title &amp; more</h1><div class="share-buttons">Share me</div><p>One <b>bold</b>
       word&nbsp;here<br>next</p><aside><p>Related</p></aside><form><p>Sign up</p><input><button>Go</button></form><ul><li>item one</li><li>item&#32;two</li></ul>
