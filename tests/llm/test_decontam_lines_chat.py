@@ -106,6 +106,16 @@ def test_decontamination_empty_tables(spark):
 LINES = "doc_id bigint, source string, text string"
 
 
+def test_lines_on_more_sites_than_a_sketch_counts_exactly(spark):
+    """Up to 5,000 sites a line: estimates far from the threshold decide, exact counts near it."""
+    spread = {"every": 5000, "most": 2600, "just": 2000, "below": 1999, "few": 1500, "rare": 3}
+    lines = spark.range(5000).selectExpr("id AS doc_id", "concat('s', id) AS source", "concat_ws('\n', 'own ' || id, " + ", ".join(
+        f"CASE WHEN (id * 7919) % 5000 < {n} THEN '{w}' END" for w, n in spread.items()) + ") AS text")
+    out = line_dedup.drop_boilerplate(lines, min_sites=2000)
+    left = out.selectExpr("explode(split(text, '\n')) AS line").groupBy("line").count().where("line NOT LIKE 'own %'").collect()
+    assert {r.line: r["count"] for r in left} == {w: n for w, n in spread.items() if n < 2000}
+
+
 def test_lines_on_many_sites_go(spark):
     rows = [(i, f"s{i % 12}", f" all rights reserved \nown line {i}\n\nrare line {i % 4 if i % 12 < 9 else 'x' + str(i)}") for i in range(240)]
     rows += [(900, None, "all rights reserved"), (901, "s1", None), (902, "s1", ""), (903, "s2", "all rights reserved\nall rights reserved"), (903, "s2", "mine")]
