@@ -35,7 +35,8 @@ def tokens(text: Column) -> Column:
 
 
 def digest(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
+    """128 bits that stand for a text in joins."""
+    return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
 
 
 def item_sketches(items: DataFrame, threshold: float, text_col: str) -> DataFrame:

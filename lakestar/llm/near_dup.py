@@ -144,19 +144,18 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["h", "rep", "n", "label"])
 
 
-_CELL = "h bigint, one int, two int, side int, indexed boolean, rep bigint, n bigint, label bigint, signature binary"
+_CELL = "bundle bigint, h bigint, one int, two int, side int, indexed boolean, rep bigint, n bigint, label bigint, signature binary"
 
 
 class _Cell:
-    """Two blocks of a shingle's documents (or one with itself), by ascending set size."""
+    """Two blocks of a shingle's documents (or one with itself), by ascending set size: the rows ``at`` of a group's columns."""
 
-    def __init__(self, rows: pa.Table, percent: int):
-        self.order = np.argsort(rows["n"].to_numpy(), kind="stable")
-        side, self.indexed, self.rep, self.n, self.label = (rows[x].to_numpy()[self.order] for x in ("side", "indexed", "rep", "n", "label"))
-        self.values = np.frombuffer(b"".join(rows["signature"].to_pylist()), dtype=np.uint16).reshape(-1, VALUES)[self.order]
+    def __init__(self, columns: dict[str, np.ndarray], at: np.ndarray, percent: int):
+        self.rows = at[np.argsort(columns["n"][at], kind="stable")]
+        side, self.indexed, self.rep, self.n, self.label, self.values = (columns[x][self.rows] for x in ("side", "indexed", "rep", "n", "label", "values"))
         self.percent, self.most = percent, far(percent)
         self.left = np.flatnonzero(side == 0)
-        self.right = self.left if rows["one"][0] == rows["two"][0] else np.flatnonzero(side == 1)
+        self.right = self.left if columns["one"][at[0]] == columns["two"][at[0]] else np.flatnonzero(side == 1)
 
     def partners(self, i: int) -> np.ndarray:
         """Those of the right block that may be links of the left one's ``i``: another label, sizes, prefixes and signatures that allow it, and
@@ -167,46 +166,65 @@ class _Cell:
         near = self.right[low:high]
         smaller = (self.indexed[i] & (self.n[near] >= self.n[i])) | (self.indexed[near] & (self.n[near] <= self.n[i]))
         near = near[smaller & (self.label[near] != self.label[i])]
+        if not len(near):
+            return near
         differs = self.values[near] != self.values[i]
-        near, differs = near[differs.sum(axis=1) <= self.most], differs[differs.sum(axis=1) <= self.most]
-        return near[first_shared(differs) < VALUES] if len(near) else near
+        few = differs.sum(axis=1) <= self.most
+        return near[few][first_shared(differs[few]) < VALUES]
+
+
+def _cells(rows: pa.Table, percent: int) -> Iterator[_Cell]:
+    """The cells of a group: one of a large shingle, or those of a bundle of small ones."""
+    columns = {x: rows[x].to_numpy() for x in ("h", "one", "two", "side", "indexed", "rep", "n", "label")}
+    columns["values"] = np.frombuffer(b"".join(rows["signature"].to_pylist()), dtype=np.uint16).reshape(-1, VALUES)
+    order = np.argsort(columns["h"], kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(columns["h"][order])) + 1):
+        yield _Cell(columns, at, percent)
 
 
 def _with_partners(percent: int):
     def keep(rows: pa.Table) -> pa.Table:
-        """The rows that have a partner in the cell."""
-        cell, has = _Cell(rows, percent), np.zeros(rows.num_rows, dtype=bool)
-        for i in cell.left:
-            near = cell.partners(i)
-            has[near] = True
-            has[i] |= len(near) > 0
-        return rows.take(cell.order[has])
+        """The rows that have a partner in their cell."""
+        has = np.zeros(rows.num_rows, dtype=bool)
+        for cell in _cells(rows, percent):
+            for i in cell.left:
+                near = cell.partners(i)
+                has[cell.rows[near]] = True
+                has[cell.rows[i]] |= len(near) > 0
+        return rows.select([x.split()[0] for x in _CELL.split(", ")]).filter(pa.array(has))
 
     return keep
 
 
-def _links_of_cell(percent: int):
+def _links_of_group(percent: int):
     def link(rows: pa.Table) -> pa.Table:
-        """Confirmed links of a cell's pairs, as (a, b): a the first of those that are connected here. Exact, on the full sets."""
-        cell = _Cell(rows, percent)
-        texts = rows["text"].take(cell.order)
-        sets = [shingle_set(x.as_py(), SHINGLE_WORDS) for x in texts]
-        group = np.arange(len(sets))
-        for i in cell.left:
-            near = cell.partners(i)
-            near = near[group[near] != group[i]]
-            if not len(near):
-                continue
-            lengths = np.array([len(sets[j]) for j in near])
-            common = np.isin(np.concatenate([sets[j] for j in near]), sets[i])
-            shared = np.add.reduceat(common.astype(np.int64), np.cumsum(lengths) - lengths)
-            for j in near[shared * 100 >= (lengths + len(sets[i]) - shared) * percent]:
-                if group[j] != group[i]:
-                    group[group == group[j]] = group[i]
-        first = {}
-        for i, g in enumerate(group):
-            first[g] = min(first.get(g, cell.rep[i]), cell.rep[i])
-        pairs = [(first[g], r) for g, r in zip(group, cell.rep) if first[g] != r]
+        """Confirmed links of the cells' pairs, as (a, b): a the first of those that are connected here. Exact, on the full sets."""
+        texts, sets, parent = rows["text"], {}, {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        def grams(cell: _Cell, i: int) -> np.ndarray:
+            if cell.rep[i] not in sets:
+                sets[cell.rep[i]] = shingle_set(texts[int(cell.rows[i])].as_py(), SHINGLE_WORDS)
+            return sets[cell.rep[i]]
+
+        for cell in _cells(rows, percent):
+            for i in cell.left:
+                near = np.array([j for j in cell.partners(i) if root(cell.rep[j]) != root(cell.rep[i])], dtype=np.int64)
+                if not len(near):
+                    continue
+                own, others = grams(cell, i), [grams(cell, j) for j in near]
+                lengths = np.array([len(x) for x in others])
+                common = np.isin(np.concatenate(others), own)
+                shared = np.add.reduceat(common.astype(np.int64), np.cumsum(lengths) - lengths)
+                for j in near[shared * 100 >= (lengths + len(own) - shared) * percent]:
+                    a, b = sorted((root(cell.rep[i]), root(cell.rep[j])))
+                    parent[b] = a
+        pairs = [(root(x), x) for x in list(parent) if root(x) != x]
         return pa.table([pa.array([x[0] for x in pairs], pa.int64()), pa.array([x[1] for x in pairs], pa.int64())], names=["a", "b"])
 
     return link
@@ -241,16 +259,20 @@ def links_of_rest(rest: DataFrame, reps: DataFrame, texts: DataFrame, percent: i
     met = entries.groupBy("h").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("indexed").alias("any"),
                                    F.count(F.lit(1)).alias("members"), F.sum("n").alias("size"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("size") / BLOCK_GRAMS)).cast("int")
-    met = met.where("least <> most AND any").select("h", blocks.alias("blocks"))
-    placed = entries.join(met, "h").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    met = written(met.where("least <> most AND any").select("h", blocks.alias("blocks"), "members", "size"), "near-met")
+    # Shingles of one block are compared in bundles of about a block's size, as most have a few documents only.
+    small = met.where("blocks = 1").agg(F.sum("members").alias("members"), F.sum("size").alias("size")).first()
+    bundles = max(1, -(-(small["members"] or 0) // (4 * BLOCK)), -(-(small["size"] or 0) // BLOCK_GRAMS))
+    placed = entries.join(met.select("h", "blocks"), "h").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     placed = placed.join(reps.select("rep", "signature"), "rep")
     paired = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.select("h", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"),
+    paired = paired.select(F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("h"), F.lit(bundles))).otherwise(-1).cast("bigint").alias("bundle"),
+                           "h", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"),
                            F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "indexed", "rep", "n", "label", "signature")
-    cell = ("h", "one", "two")
-    able = written(paired.groupBy(*cell).applyInArrow(_with_partners(percent), _CELL), "near-able")
+    large = F.when(F.col("bundle") < 0, F.col("h")).alias("large")
+    able = written(paired.groupBy("bundle", large, "one", "two").applyInArrow(_with_partners(percent), _CELL), "near-able")
     able = able.join(texts, F.col("rep") == F.col("id")).select(*[x.split()[0] for x in _CELL.split(", ")], "text")
-    return able.groupBy(*cell).applyInArrow(_links_of_cell(percent), "a bigint, b bigint")
+    return able.groupBy("bundle", large, "one", "two").applyInArrow(_links_of_group(percent), "a bigint, b bigint")
 
 
 def labelled(rows: DataFrame, labels: DataFrame, by: str, name: str) -> DataFrame:
