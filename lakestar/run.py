@@ -66,8 +66,8 @@ def main(argv: list[str] | None = None) -> int:
     conformed = {n: wh.conformed(n) for n in CONFORMED_RULES}
     star = {n: wh.star(n) for n in STAR_TABLES}
     reports = {
-        "silver": quality.quality_report(quality.conformed_checks(as_of, args.collation), conformed),
-        "gold": quality.quality_report(quality.star_checks(args.collation), star),
+        "silver": quality.quality_report(quality.conformed_checks(as_of, args.collation), conformed, wh.row_counts()),
+        "gold": quality.quality_report(quality.star_checks(args.collation), star, wh.row_counts()),
     }
     status = 0
     with scratch_scope(spark):
