@@ -52,6 +52,8 @@ STAR_TABLES = ("dim_customers", "dim_products", "fact_sales")
 
 ROLLUPS = ("customers_by_month", "orders_by_month")
 RUN_NOTE, MANIFEST = "_run.json", "_manifest"
+#: Raised whenever a rule or the layout of a layer table changes, so that no run of other code is gone on with.
+FORMAT = 1
 
 #: The driver tables that the extracts read.
 SOURCE_TABLES = ("customer", "nation", "orders", "lineitem", "part")
@@ -123,7 +125,8 @@ class Warehouse:
             files = [f"{self.sf_dir.rstrip('/')}/{f}" for f in csv_io.SOURCE_FILES.values()]
         else:
             files = [f"{self.sf_dir.rstrip('/')}/{name}.parquet" for name in SOURCE_TABLES]
-        return {"sources": [[f, _status(self.spark, f)] for f in files], "as_of": str(self.as_of), "collation": self.collation, "tolerant": self._tolerant}
+        return {"sources": [[f, _status(self.spark, f)] for f in files], "as_of": str(self.as_of), "collation": self.collation, "tolerant": self._tolerant,
+                "format": FORMAT}
 
     def _begin(self) -> None:
         """Note what the run is built from, before its first table."""
