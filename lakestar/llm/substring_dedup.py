@@ -11,9 +11,10 @@ The index is distributed, as the reference is the corpus itself:
 
 1. Each window has an anchor, the smallest hash of its ten 4-word runs, so equal windows have equal anchors, and a document has far fewer
    distinct anchors than windows. Only windows with an anchor that stands in two documents can be duplicates.
-2. Those windows are indexed: hash -> smallest id of a document that has it, and where (a partial minimum before the shuffle, so a passage that
-   a third of all documents share moves as a row for each task). Windows are told apart by 96 bits: of 1e13 different windows, two are
-   taken for equal with a chance of 1e-3.
+2. Those windows are indexed: 64-bit hash -> smallest id of a document that has it (a partial minimum before the shuffle, so a passage that
+   a third of all documents share moves as a row for each task), and its first place there. A document's window is taken for the index's only if 32 bits of another
+   hash are equal too, so no word goes by chance: of 1e13 different windows, two are taken for equal with a chance of 1e-3. (Some 3e6 pairs of these would have
+   equal 64-bit hashes; of such a pair, repeats of the one that the earliest document does not have are not seen.)
 3. Each document gets the places of its windows and is parsed by itself, in one pass.
 
 Defined results: a null text has no words and its kept text is empty; documents under WINDOW words keep all; rows with the same id don't count as before one
@@ -64,13 +65,10 @@ def parse(windows: np.ndarray, checks: np.ndarray, known: np.ndarray, known_chec
     """Factors (first word, words, block, place) of a document with these ``windows`` and ``checks``; the ``known`` ones stand at ``places`` of ``blocks``."""
     if not len(known) or not len(windows):
         return []
-    order = np.lexsort((known_checks, known))
-    known, known_checks = known[order], known_checks[order]
+    order = np.argsort(known)
+    known = known[order]
     at = np.minimum(np.searchsorted(known, windows), len(known) - 1)
-    # Windows with one hash and different checks lie side by side: go on while the hash is the same and the check isn't.
-    while len(more := np.flatnonzero((known[at] == windows) & (known_checks[at] < checks) & (at + 1 < len(known)))):
-        at[more] += 1
-    hits = np.flatnonzero((known[at] == windows) & (known_checks[at] == checks))
+    hits = np.flatnonzero((known[at] == windows) & (known_checks[order][at] == checks))
     if not len(hits):
         return []
     block, place = blocks[order][at[hits]], places[order][at[hits]]
@@ -97,7 +95,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, text, anchors -> window, check, id, place for the windows with one of these anchors. That an anchor is shared holds for all
+    """id, text, anchors -> window, id, spot (check and place in one number) for the windows with one of these anchors. That an anchor is shared holds for all
     texts that have it, so the anchors of texts that are hashed together can be looked up together."""
     for batch in batches:
         ids, offsets = batch.column(0).to_numpy(), batch.column(2).offsets.to_numpy()
@@ -106,8 +104,8 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             windows, checks, text = windows_of(words, ends)
             known = np.isin(anchors_of(words, ends)[0], shared[offsets[first]:offsets[first + len(ends)]])
             place = np.arange(len(windows)) - np.searchsorted(text, text)
-            yield pa.RecordBatch.from_arrays([pa.array(windows[known].view(np.int64)), pa.array(checks[known]), pa.array(ids[first + text[known]]),
-                                              pa.array(place[known].astype(np.int32))], names=["window", "check", "id", "place"])
+            spot = (checks[known].astype(np.int64) << 32) | place[known]
+            yield pa.RecordBatch.from_arrays([pa.array(windows[known].view(np.int64)), pa.array(ids[first + text[known]]), pa.array(spot)], names=["window", "id", "spot"])
 
 
 def _factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,8 +121,8 @@ def _factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = (text or "").encode("utf-8").split()
                 found = []
                 if hits.is_valid and len(hits.values):
-                    known = [hits.values.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
-                    found = parse(*own, known[0].view(np.uint64), *known[1:])
+                    known, blocks, spots = (hits.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+                    found = parse(*own, known.view(np.uint64), (spots >> 32).astype(np.int32), blocks, spots & 0xFFFFFFFF)
                 gone = np.zeros(len(words) + 1, dtype=np.int64)
                 for start, n, *_ in found:
                     gone[start] += 1
@@ -155,10 +153,12 @@ def factor_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = written(shared.where("low < high").select("anchor"), "substring-anchors")
     of_doc = written(anchors.join(shared, "anchor", "left_semi").groupBy("id").agg(F.collect_set("anchor").alias("anchors")), "substring-suspects")
     suspects = named.join(of_doc, "id").select("id", "text", "anchors")
-    windows = written(suspects.mapInArrow(_candidates, "window bigint, check int, id bigint, place int"), "substring-windows")
-    index = windows.groupBy("window", "check").agg(F.min(F.struct("id", "place")).alias("first"), F.max("id").alias("high"))
-    index = written(index.where("first.id < high").select("window", "check", F.col("first.id").alias("block"), F.col("first.place").alias("there")), "substring-index")
-    hits = windows.select("window", "check", "id").join(index, ["window", "check"]).where("block < id")
-    hits = written(hits.groupBy("id").agg(F.collect_set(F.struct("window", "check", "block", "there")).alias("hits")), "substring-hits")
+    windows = written(suspects.mapInArrow(_candidates, "window bigint, id bigint, spot bigint"), "substring-windows")
+    index = windows.groupBy("window").agg(F.min("id").alias("block"), F.max("id").alias("high"))
+    index = written(index.where("block < high").select("window", "block"), "substring-index")
+    shared = written(windows.join(index, "window"), "substring-shared")
+    first = shared.where("id = block").groupBy("window").agg(F.min("spot").alias("first"))
+    hits = shared.where("block < id").select("window", "block", "id").distinct().join(first, "window")
+    hits = written(hits.groupBy("id").agg(F.collect_list(F.struct("window", "block", "first")).alias("hits")), "substring-hits")
     return texts.join(hits, "id", "left").select("id", "text", "hits").mapInArrow(
         _factor, "id bigint, n_words bigint, n_removed bigint, factors array<struct<start: bigint, words: bigint, block: bigint, place: bigint>>, kept_text string")
