@@ -10,9 +10,9 @@ pivots' own pairs gives the cosine of a footrule, and DEVIATIONS standard deviat
 by an error of the angle. With equal lengths this is the order of the footrule. The CANDIDATES share of a block with the largest
 estimates (LEAST at least) is reranked by the exact inner product of the original vectors.
 
-Blocks: objects are dealt by a hash of their id into blocks of about OBJECTS at most, queries into blocks of about QUERIES; each pair of blocks is a
-group of bounded size that returns no more than k rows a query, and a query's best k of all blocks are its answer. A smaller table has more blocks of objects
-than it needs, for TASKS groups, as long as LEAST is no more than the CANDIDATES share of a block. An object moves once for each block of queries, a query once for each block of objects.
+Cells: objects are dealt by a hash of their id into TASKS stripes, whatever their number, and queries into blocks of about QUERIES. A stripe and a block are a
+cell: its queries are kept, its objects streamed past them in blocks of OBJECTS at most, and what a cell returns are a query's best k of the whole stripe. So a task's memory is bounded,
+a query moves TASKS times and gives TASKS * k rows at most to rank, however large the table is; an object moves once for each block of queries.
 
 Defined results: vectors that are null, zero, empty, or hold null or non-finite components take no part, nor do rows without an id or
 those of another length than the most common one (the smaller of equally common ones); rows with the same id are one, with the smallest vector; ties
@@ -106,31 +106,75 @@ def cosine_line(pivots: np.ndarray) -> tuple[float, float]:
     return slope, base + DEVIATIONS * (cosine - base - slope * common).std()
 
 
-def _search(k: int, pivots: int, line: tuple[float, float]):
-    def search(objects: pa.Table, queries: pa.Table) -> pa.Table:
-        out_q, out_id, out_score = [], [], []
-        if objects.num_rows and queries.num_rows:
-            objects = objects.sort_by("id")
-            ids, vectors = objects["id"].to_numpy(), matrix(objects["vector"])
-            near = np.frombuffer(b"".join(objects["near"].to_pylist()), dtype=np.uint16).reshape(len(ids), -1)
-            files = inverted_files(near, pivots)
-            length = lengths(vectors)
-            ask = np.frombuffer(b"".join(queries["near"].to_pylist()), dtype=np.uint16).reshape(queries.num_rows, -1)
-            take = min(len(ids), max(LEAST, k + 1, int(np.ceil(CANDIDATES * len(ids)))))
-            for query, vector, order in zip(queries["id"].to_numpy(), matrix(queries["vector"]), ask):
-                estimate = length * (line[0] * common_places(files, order) + line[1])
-                # The largest estimates; of equal ones the smaller ids, which come first.
-                least = np.partition(estimate, len(ids) - take)[len(ids) - take]
-                over = np.flatnonzero(estimate > least)
-                chosen = np.concatenate((over, np.flatnonzero(estimate == least)[:take - len(over)]))
-                chosen = np.sort(chosen[ids[chosen] != query])
-                scores = (vectors[chosen] * vector).sum(axis=1)
-                best = np.lexsort((ids[chosen], -scores))[:k]
-                out_q.append(np.full(len(best), query))
-                out_id.append(ids[chosen][best])
-                out_score.append(scores[best])
-        join = lambda x, kind: pa.array(np.concatenate(x) if x else np.zeros(0), kind)
-        return pa.table([join(out_q, pa.int64()), join(out_id, pa.int64()), join(out_score, pa.float64())], names=["query_id", "vec_id", "score"])
+def rerank(k: int, line: tuple[float, float], least: int, objects: pa.Table, pivots: int, queries: np.ndarray, vectors: np.ndarray,
+           orders: np.ndarray, best: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Bring each query's ``best`` (ids, scores) up to date with a block of objects, of which ``least`` are reranked at least."""
+    objects = objects.sort_by("id")
+    ids, of = objects["id"].to_numpy(), matrix(objects["vector"])
+    files, length = inverted_files(places(objects["near"]), pivots), lengths(of)
+    take = min(len(ids), max(least, k + 1, int(np.ceil(CANDIDATES * len(ids)))))
+    for i, (query, vector, order) in enumerate(zip(queries, vectors, orders)):
+        estimate = length * (line[0] * common_places(files, order) + line[1])
+        # The largest estimates; of equal ones the smaller ids, which come first.
+        lowest = np.partition(estimate, len(ids) - take)[len(ids) - take]
+        over = np.flatnonzero(estimate > lowest)
+        chosen = np.concatenate((over, np.flatnonzero(estimate == lowest)[:take - len(over)]))
+        chosen = np.sort(chosen[ids[chosen] != query])
+        known = np.concatenate((best[i][0], ids[chosen]))
+        scores = np.concatenate((best[i][1], (of[chosen] * vector).sum(axis=1)))
+        first = np.lexsort((known, -scores))[:k]
+        best[i] = known[first], scores[first]
+
+
+def places(near: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(near.to_pylist()), dtype=np.uint16).reshape(len(near), -1)
+
+
+def by_cell(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, bool, pa.Table]]:
+    """cell, whether these are objects, and rows: a cell's queries in one piece, then its objects in blocks of ``size`` (the last may be smaller), of rows ordered
+    by cell, queries first."""
+    key, held, n = None, [], 0
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        cells, kinds = part["cell"].to_numpy(), part["is_object"].to_numpy()
+        cuts = np.flatnonzero((cells[1:] != cells[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+        for start, end in zip([0, *cuts], [*cuts, len(cells)]):
+            if start == end:
+                continue
+            if held and key != (cells[start], kinds[start]):
+                yield *key, pa.concat_tables(held)
+                held, n = [], 0
+            key = cells[start], kinds[start]
+            while start < end:
+                some = min(end - start, size - n) if key[1] else end - start
+                held.append(part.slice(start, some))
+                start, n = start + some, n + some
+                if key[1] and n == size:
+                    yield *key, pa.concat_tables(held)
+                    held, n = [], 0
+    if held:
+        yield *key, pa.concat_tables(held)
+
+
+def _search(k: int, pivots: int, line: tuple[float, float], least: int, size: int):
+    def told(asked: tuple | None) -> Iterator[pa.RecordBatch]:
+        if asked:
+            counts = [len(ids) for ids, _ in asked[3]]
+            columns = [np.repeat(asked[0], counts), np.concatenate([ids for ids, _ in asked[3]]), np.concatenate([scores for _, scores in asked[3]])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, asked = None, None
+        for at, is_object, rows in by_cell(batches, size):
+            if at != cell:
+                yield from told(asked)
+                cell, asked = at, None
+            if not is_object:
+                none = np.zeros(0, dtype=np.int64), np.zeros(0)
+                asked = rows["id"].to_numpy(), matrix(rows["vector"]), places(rows["near"]), [none] * len(rows)
+            elif asked:
+                rerank(k, line, least, rows, pivots, *asked)
+        yield from told(asked)
 
     return search
 
@@ -146,13 +190,17 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     index = written(order_of(vectors, pivots), "ann-index")
     queries = index.where(is_query)
     parts = lambda n, size: max(1, -(-n // size))
-    rows, query_blocks = index.count(), parts(queries.count(), QUERIES)
-    object_blocks = max(parts(rows, OBJECTS), min(max(1, int(rows * CANDIDATES) // LEAST), parts(TASKS, query_blocks)))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    # With LEAST rows or fewer, all are reranked in one place.
+    stripes, query_blocks = TASKS if index.count() > LEAST else 1, parts(queries.count(), QUERIES)
+    dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    objects = index.withColumn("object_block", block(object_blocks)).withColumn("query_block", every(query_blocks))
-    asked = queries.withColumn("query_block", block(query_blocks)).withColumn("object_block", every(object_blocks))
-    cells = objects.groupBy("object_block", "query_block").cogroup(asked.groupBy("object_block", "query_block"))
-    best = cells.applyInArrow(_search(k, len(pivots), cosine_line(pivots) if sample else (0.0, 0.0)), "query_id bigint, vec_id bigint, score double")
+    objects = index.withColumn("query_block", every(query_blocks)).withColumn("stripe", dealt(stripes)).withColumn("is_object", F.lit(True))
+    asked = queries.withColumn("stripe", every(stripes)).withColumn("query_block", dealt(query_blocks)).withColumn("is_object", F.lit(False))
+    cell = (F.col("query_block") * stripes + F.col("stripe")).cast("int").alias("cell")
+    rows = objects.unionByName(asked).select(cell, "is_object", "id", "vector", "near").repartitionById(stripes * query_blocks, "cell")
+    # In the order of another hash, so that the blocks of a stripe don't follow the ids.
+    ordered = rows.sortWithinPartitions("cell", "is_object", F.xxhash64("id", F.lit(1)), "id")
+    line = cosine_line(pivots) if sample else (0.0, 0.0)
+    best = ordered.mapInArrow(_search(k, len(pivots), line, -(-LEAST // stripes), OBJECTS), "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -10,6 +10,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -244,6 +245,42 @@ def test_recall_against_brute_force(spark, monkeypatch, queries_):
     assert all(abs(s - vectors[q] @ vectors[v]) < 1e-9 for q, x in got.items() for v, s in x)
 
 
+def test_rows_to_rank_and_blocks_held_do_not_grow_with_the_table(spark, monkeypatch):
+    given = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    made = []
+    search = ann._search
+
+    def counted(*args):
+        sizes = spark.sparkContext.accumulator(0)
+        made.append(sizes)
+
+        def count(batches):
+            for batch in search(*args)(batches):
+                sizes.add(batch.num_rows)
+                yield batch
+        return count
+
+    monkeypatch.setattr(ann, "_search", counted)
+    vectors = np.random.RandomState(6).randn(10000, 8).tolist()
+    for n in (2000, 10000):
+        found(spark, list(enumerate(vectors[:n])))
+    a, b = (x.value for x in made)
+    assert 0 < b <= 1.2 * 5 * a  # 25 times as many, when the number of blocks grew with the table
+    monkeypatch.setattr(ann, "_search", search)
+    monkeypatch.setattr(ann, "OBJECTS", 30)  # several blocks of each stripe
+    monkeypatch.setattr(ann, "QUERIES", 60)
+    got, want = found(spark, given), brute_nearest(dict(given), 20)
+    assert sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want) >= 0.95 * 20 * len(want)
+
+
+def test_cells_are_cut_at_any_batch():
+    rows = [(c, o, i) for c in (0, 1, 4) for o, n in ((False, 3), (True, 8 if c else 0)) for i in range(n)]
+    table = pa.table({name: [r[j] for r in rows] for j, name in enumerate(("cell", "is_object", "id"))})
+    for size in (1, 2, 5, 100):
+        cut = [(int(c), bool(o), t["id"].to_pylist()) for c, o, t in ann.by_cell(iter(table.to_batches(max_chunksize=size)), 3)]
+        assert cut == [(0, False, [0, 1, 2])] + [x for c in (1, 4) for x in ((c, False, [0, 1, 2]), (c, True, [0, 1, 2]), (c, True, [3, 4, 5]), (c, True, [6, 7]))]
+
+
 @pytest.mark.parametrize("kind", ["lognormal", "few long"])
 def test_recall_with_unequal_lengths(spark, kind):
     draw = np.random.RandomState(5)
