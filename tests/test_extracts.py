@@ -27,3 +27,27 @@ def test_extract_matches_fixture_sql(spark, con, table):
                          for c in df.columns if c != "prd_end_dt"])
     result = compare(df, con, sql)
     assert result["ok"], result
+
+
+def test_sales_lines_are_narrow_before_their_shuffle(spark):
+    plan = extracts.crm_sales_details(spark, SF0001)._jdf.queryExecution().optimizedPlan()
+    shuffled = plan.children().apply(0).children().apply(0).output().mkString(",")
+    assert "_unit" in shuffled
+    assert not any(c in shuffled for c in ("l_suppkey", "l_extendedprice", "l_shipdate"))
+
+
+def test_due_dates_end_on_the_28th(spark, tmp_path):
+    days = ["2020-02-29", "2021-12-31", "2022-01-28", "2022-03-01", None]
+    spark.createDataFrame([(i, 1, 1, 2.0, 10.0, d) for i, d in enumerate(days)], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, d string") \
+        .selectExpr("*", "cast(d as timestamp) l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = extracts.crm_sales_details(spark, str(tmp_path)).orderBy("sls_ord_num").collect()
+    assert [(r.sls_ship_dt, r.sls_due_dt) for r in rows] == [(20200229, 20210228), (20211231, 20221228), (20220128, 20230128), (20220301, 20230301), (None, None)]
+
+
+def test_sales_are_written_with_zstd(wh01):
+    from lakestar.session import entries
+
+    for layer, name in (("raw", "crm_sales_details"), ("conformed", "crm_sales_details"), ("star", "fact_sales")):
+        files = [f for f, _, _ in entries(wh01.spark, wh01.path(layer, name)) if f.endswith(".parquet")]
+        assert files and all(".zstd." in f for f in files)
